@@ -1,0 +1,359 @@
+"""Registered queries: every operator applied to the proxied test tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rainroute.contracts import CONTRACTS, schema_from_ddl
+from rainroute.functions import mapped_name, rain_band_contiguous
+from rainroute.operators import dedup, outliers, quality, scope
+from rainroute.operators.casting import apply_contract
+from rainroute.plans import fleet as fleet_plan
+from rainroute.plans import gold, questions, rain_stations, silver
+from rainroute.session import materialise
+from rainroute.sources import proxy
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# Values the reference leaves open; chosen for the test tables, not claimed for real data.
+RAINY_DAY_MM = 5.0
+SCOPE = (date(1997, 1, 1), date(1998, 8, 24))
+DURATION_RANGE = (3, 45)
+DURATION_QUANTILES = (0.05, 0.95)
+PLATEAU_FROM, VALLEY_BELOW = 0.99, 0.95
+FLEET_YEAR = 2025
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    """Round sums and means of doubles, whose last bits depend on the order of addition."""
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+# --- Bronze -------------------------------------------------------------------
+
+
+def _typed(df: DataFrame, dataset: str) -> DataFrame:
+    return apply_contract(df, CONTRACTS[dataset].schema)
+
+
+def bronze_trips(spark, sf):
+    as_text = proxy.trips(spark, sf).select(
+        *[F.col(f.name).cast("string").alias(f.name) for f in CONTRACTS["viagens_onibus"].schema.fields]
+    )
+    return _typed(as_text, "viagens_onibus")
+
+
+def bronze_rain(spark, sf):
+    return rounded(_typed(proxy.rain(spark, sf), "clima_pluviometria"), "acumulado_chuva_1_h")
+
+
+def bronze_stations(spark, sf):
+    return _typed(proxy.stations(spark, sf), "estacoes_clima")
+
+
+# --- Silver -------------------------------------------------------------------
+
+
+def _silver(spark, sf, **options) -> DataFrame:
+    return silver.silver_trips(proxy.trips(spark, sf, **options), proxy.rain(spark, sf))
+
+
+def _dry_silver(spark, sf, **options) -> DataFrame:
+    """Silver without its rain columns, for answers that do not use them."""
+    return silver.trip_attributes(proxy.trips(spark, sf, **options))
+
+
+def rain_hourly(spark, sf):
+    return rounded(silver.hourly_rain(proxy.rain(spark, sf)), "avg_chuva_1h")
+
+
+def silver_trips(spark, sf):
+    return rounded(_silver(spark, sf), "chuva_no_horario")
+
+
+def silver_trips_preclassified(spark, sf):
+    wide = silver.silver_trips_preclassified(proxy.trips(spark, sf), proxy.classified_rain(spark, sf))
+    return rounded(wide, "chuva_no_horario")
+
+
+def rain_band_gap_free(spark, sf):
+    wide = silver.silver_trips(
+        proxy.trips(spark, sf, consortium=False), proxy.rain(spark, sf), rain_band_contiguous
+    )
+    return questions.rain_volume(gold.fact_trips(wide))
+
+
+def rain_unmatched(spark, sf):
+    return questions.unmatched_rain_share(proxy.trips(spark, sf, consortium=False), proxy.rain(spark, sf))
+
+
+# --- Gold ---------------------------------------------------------------------
+
+
+def dim_calendar(spark, sf):
+    return gold.dim_calendar(_dry_silver(spark, sf, consortium=False))
+
+
+def dim_calendar_clash(spark, sf):
+    return gold.dim_calendar(_dry_silver(spark, sf, consortium=False, clashing_day_type=True))
+
+
+def dim_consortium(spark, sf):
+    return gold.dim_consortium(_dry_silver(spark, sf))
+
+
+def dim_weather(spark, sf):
+    return gold.dim_weather(_silver(spark, sf, consortium=False))
+
+
+def fact_trips(spark, sf):
+    return rounded(gold.fact_trips(_silver(spark, sf)), "chuva_no_horario")
+
+
+# --- Questions ----------------------------------------------------------------
+
+
+def _fact(spark, sf, **options) -> DataFrame:
+    return gold.fact_trips(_silver(spark, sf, **options))
+
+
+def _dry_fact(spark, sf, **options) -> DataFrame:
+    return gold.fact_trips(_dry_silver(spark, sf, **options))
+
+
+def q1_peak_hours(spark, sf):
+    return questions.peak_hours(_dry_fact(spark, sf, consortium=False))
+
+
+def q2_weekend_supply(spark, sf):
+    base = _dry_silver(spark, sf, consortium=False)
+    return questions.weekend_supply(gold.fact_trips(base), gold.dim_calendar(base))
+
+
+def q2_weekend_supply_clash(spark, sf):
+    base = _dry_silver(spark, sf, consortium=False, clashing_day_type=True)
+    return questions.weekend_supply(gold.fact_trips(base), gold.dim_calendar(base))
+
+
+def q3_consortium_duration(spark, sf):
+    return rounded(questions.consortium_duration(_dry_fact(spark, sf)), "tempo_medio_minutos")
+
+
+def q4_line_unpredictability(spark, sf):
+    lines = questions.line_unpredictability(_dry_fact(spark, sf, consortium=False))
+    return rounded(lines, "media_minutos", "desvio_padrao")
+
+
+def q5_rain_duration(spark, sf):
+    return rounded(questions.rain_duration(_fact(spark, sf, consortium=False)), "tempo_medio")
+
+
+def q6_rain_volume(spark, sf):
+    return questions.rain_volume(_fact(spark, sf, consortium=False))
+
+
+def top15_lines(spark, sf):
+    lines = questions.least_predictable_lines(_dry_fact(spark, sf, consortium=False))
+    return rounded(lines, "media_minutos", "desvio_padrao")
+
+
+def day_hour_volume(spark, sf):
+    return questions.day_hour_volume(_dry_fact(spark, sf, consortium=False))
+
+
+def hour_change_class(spark, sf):
+    return questions.hour_change_class(_dry_fact(spark, sf, consortium=False))
+
+
+def hour_change_class_filled(spark, sf):
+    return questions.hour_change_class(_dry_fact(spark, sf, consortium=False), fill_gaps=True)
+
+
+def hour_regime(spark, sf):
+    regimes = questions.hour_regime(_dry_fact(spark, sf, consortium=False), PLATEAU_FROM, VALLEY_BELOW)
+    return rounded(regimes, "fracao_do_pico")
+
+
+def day_category_share(spark, sf):
+    base = _dry_silver(spark, sf, consortium=False)
+    shares = questions.day_category_share(gold.fact_trips(base), gold.dim_calendar(base))
+    return rounded(shares, "percentual")
+
+
+def rainy_day_duration(spark, sf):
+    answer = questions.rainy_day_duration(
+        _dry_fact(spark, sf, consortium=False), proxy.rain(spark, sf), RAINY_DAY_MM
+    )
+    return rounded(answer, "tempo_medio")
+
+
+def consortium_pace(spark, sf):
+    return rounded(questions.consortium_pace(_dry_fact(spark, sf)), "minutos_por_km")
+
+
+def rain_by_station(spark, sf):
+    answer = rain_stations.rain_by_station(proxy.rain(spark, sf), proxy.stations(spark, sf))
+    return rounded(answer, "media_chuva_1h", "maior_chuva_1h")
+
+
+def fleet_profile(spark, sf):
+    answer = fleet_plan.fleet_profile(proxy.fleet(spark, sf), FLEET_YEAR)
+    return rounded(answer, *[f"fracao_{n}" for n in fleet_plan.AMENITIES], "anos_desde_vistoria")
+
+
+# --- Quality ------------------------------------------------------------------
+
+
+def trip_dedup(spark, sf):
+    items = proxy.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("data"),
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+    )
+    return dedup.latest_per_key(items, ["l_orderkey", "l_linenumber"], ["data"])
+
+
+def duration_range_filter(spark, sf):
+    kept = outliers.within_range(_dry_fact(spark, sf, consortium=False), "tempo_viagem", *DURATION_RANGE)
+    return kept.select("id_viagem", "linha", "tempo_viagem")
+
+
+def duration_outlier_filter(spark, sf):
+    narrow = _dry_fact(spark, sf, consortium=False).select("id_viagem", "linha", "tempo_viagem")
+    return outliers.within_fences(narrow, "linha", "tempo_viagem", *DURATION_QUANTILES)
+
+
+def _untidy(name, key):
+    """Spell a name in one of three ways."""
+    return (
+        F.when(key % 3 == 0, F.lower(name))
+        .when(key % 3 == 1, F.concat(F.lit("  "), F.regexp_replace(name, " ", "   "), F.lit(" ")))
+        .otherwise(name)
+    )
+
+
+def consortium_normalise(spark, sf):
+    suppliers = proxy.regions_of_suppliers(spark, sf)
+    items = proxy.table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey")
+    named = items.groupBy("l_suppkey", (F.col("l_orderkey") % 3).alias("k")).agg(
+        F.count(F.lit(1)).alias("n")
+    ).join(suppliers, "l_suppkey", "left")
+    spelled = named.select("n", _untidy(F.col("r_name"), F.col("k")).alias("consorcio"))
+    tidy = mapped_name("consorcio", {"MIDDLE EAST": "ORIENTE MEDIO"})
+    return spelled.groupBy(tidy.alias("consorcio")).agg(F.sum("n").alias("total_viagens"))
+
+
+def scope_filter(spark, sf):
+    inside = scope.within_dates(proxy.table(spark, sf, "lineitem"), *SCOPE, column="l_shipdate")
+    wide = proxy.trips(spark, sf, consortium=False, lineitem=inside)
+    return gold.fact_trips(silver.trip_attributes(wide)).select(
+        "id_viagem", "data_id", "hora_partida", "tempo_viagem"
+    )
+
+
+def column_profile(spark, sf):
+    wide = proxy.trips(spark, sf).select(
+        "data", "consorcio", "tipo_dia", "id_viagem", "servico", "shape_id", "tempo_viagem"
+    )
+    return quality.column_profile(wide, exact=["consorcio", "tipo_dia", "servico", "shape_id"]).select(
+        "coluna", "linhas", "nulos", "distintos", "minimo", "maximo"
+    )
+
+
+def category_counts(spark, sf):
+    return quality.category_counts(proxy.trips(spark, sf), ["consorcio", "tipo_dia", "sentido", "shape_id"])
+
+
+def star_integrity(spark, sf):
+    """Audit of a written star, as the build job runs it, with clashing day types."""
+    wide = materialise(_silver(spark, sf, clashing_day_type=True), "silver")
+    dims = {
+        "dim_calendario": (gold.dim_calendar(wide), "data_id"),
+        "dim_consorcio": (gold.dim_consortium(wide), "consorcio_id"),
+        "dim_clima": (gold.dim_weather(wide), "clima_id"),
+    }
+    keys = {"dim_calendario": "data_id", "dim_consorcio": "consorcio_id", "dim_clima": "clima_id"}
+    return quality.star_integrity(wide, gold.fact_trips(wide), dims, keys)
+
+
+DRIFT_CONTRACT = "l_orderkey BIGINT, l_quantity INT, l_returnflag DOUBLE, l_shipdate DATE, versao_modelo VARCHAR"
+
+
+def schema_drift(spark, sf):
+    incoming = proxy.table(spark, sf, "lineitem").select(
+        *[F.col(c).cast("string").alias(c) for c in ("l_orderkey", "l_quantity", "l_returnflag", "l_tax")],
+        F.when(F.col("l_linenumber") == 3, F.lit("sem data"))
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+        .alias("l_shipdate"),
+    )
+    return quality.schema_drift(incoming, schema_from_ddl(DRIFT_CONTRACT))
+
+
+def layer_expectations(spark, sf):
+    fact = _dry_fact(spark, sf)
+    rules = {
+        "id_viagem presente": F.col("id_viagem").isNotNull(),
+        "hora entre 0 e 23": F.col("hora_partida").between(0, 23),
+        "duracao ate 45": F.col("tempo_viagem").between(1, 45),
+        "consorcio conhecido": F.col("consorcio_id") != "ASIA",
+    }
+    return quality.expectations(fact, rules)
+
+
+def lineage_by_file(spark, sf):
+    items = proxy.table(spark, sf, "lineitem")
+    return items.groupBy(F.col("_metadata.file_name").alias("arquivo")).agg(
+        F.count(F.lit(1)).alias("linhas")
+    )
+
+
+REGISTRY: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        bronze_trips,
+        bronze_rain,
+        bronze_stations,
+        rain_hourly,
+        silver_trips,
+        silver_trips_preclassified,
+        rain_band_gap_free,
+        rain_unmatched,
+        dim_calendar,
+        dim_calendar_clash,
+        dim_consortium,
+        dim_weather,
+        fact_trips,
+        q1_peak_hours,
+        q2_weekend_supply,
+        q2_weekend_supply_clash,
+        q3_consortium_duration,
+        q4_line_unpredictability,
+        q5_rain_duration,
+        q6_rain_volume,
+        top15_lines,
+        day_hour_volume,
+        hour_change_class,
+        hour_change_class_filled,
+        hour_regime,
+        day_category_share,
+        rainy_day_duration,
+        consortium_pace,
+        rain_by_station,
+        fleet_profile,
+        trip_dedup,
+        duration_range_filter,
+        duration_outlier_filter,
+        consortium_normalise,
+        scope_filter,
+        column_profile,
+        category_counts,
+        star_integrity,
+        schema_drift,
+        layer_expectations,
+        lineage_by_file,
+    )
+}
+REGISTRY["rain_band_contiguous"] = REGISTRY.pop("rain_band_gap_free")
