@@ -361,3 +361,11 @@ UNION ALL SELECT 'l_shipdate', 'changed', count(*) FROM lineitem WHERE l_linenum
     ),
     "lineage_by_file": "SELECT 'lineitem.parquet' AS arquivo, count(*) AS linhas FROM lineitem",
 }
+ORACLE["csv_to_bronze"] = ORACLE["bronze_trips"]
+ORACLE["published_star_answer"] = ORACLE["q5_rain_duration"]
+ORACLE["stream_enriched_trips"] = ORACLE["silver_trips"]
+ORACLE["stream_hourly_counts"] = """
+SELECT hora AS inicio, hora + INTERVAL 1 HOUR AS fim, event_type, count(*) AS total
+FROM (SELECT date_trunc('hour', ts) AS hora, event_type FROM events)
+WHERE hora + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+GROUP BY hora, event_type"""

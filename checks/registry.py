@@ -12,10 +12,11 @@ from rainroute.contracts import CONTRACTS, schema_from_ddl
 from rainroute.functions import mapped_name, rain_band_contiguous
 from rainroute.operators import dedup, outliers, quality, scope
 from rainroute.operators.casting import apply_contract
+from rainroute.plans import eta, gold, jobs, questions, rain_stations, silver
 from rainroute.plans import fleet as fleet_plan
-from rainroute.plans import gold, questions, rain_stations, silver
-from rainroute.session import materialise
+from rainroute.session import materialise, scratch_path
 from rainroute.sources import proxy
+from rainroute.streaming import trips as trips_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,7 @@ DURATION_RANGE = (3, 45)
 DURATION_QUANTILES = (0.05, 0.95)
 PLATEAU_FROM, VALLEY_BELOW = 0.99, 0.95
 FLEET_YEAR = 2025
+RUN_DATE = date(2024, 8, 24)
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -310,6 +312,84 @@ def lineage_by_file(spark, sf):
     )
 
 
+# --- Files, versions, streams, regression ---------------------------------------
+
+
+def _export(df: DataFrame, folder: str) -> None:
+    """Write the proxied input as CSV files with a header, as the jobs expect them."""
+    df.write.option("header", True).csv(folder)
+
+
+def _loaded_lake(spark, sf, *names: str) -> jobs.Lake:
+    root = scratch_path(spark, "lake")
+    inputs = {
+        "viagens_onibus": proxy.trips,
+        "clima_pluviometria": proxy.rain,
+        "estacoes_clima": proxy.stations,
+    }
+    for name in names:
+        _export(inputs[name](spark, sf), f"{root}/entrada/{name}")
+    lake = jobs.Lake.under(spark, root)
+    datasets = [jobs.Dataset(name, f"{root}/entrada/{name}") for name in names]
+    jobs.require_all(jobs.load_datasets(lake, datasets, RUN_DATE))
+    return lake
+
+
+def csv_to_bronze(spark, sf):
+    """CSV files, landing copy, typed bronze load, audit, publication, read back."""
+    lake = _loaded_lake(spark, sf, "viagens_onibus")
+    return jobs.read_bronze(lake, "viagens_onibus").select(
+        *[f.name for f in CONTRACTS["viagens_onibus"].schema.fields]
+    )
+
+
+def published_star_answer(spark, sf):
+    """CSV to bronze to silver to gold, all published; then the rain question on the gold table."""
+    lake = _loaded_lake(spark, sf, "viagens_onibus", "clima_pluviometria", "estacoes_clima")
+    jobs.build_silver(lake)
+    jobs.build_gold(lake)
+    return rounded(
+        questions.rain_duration(jobs.read_gold(lake, "fato_desempenho_viagem")), "tempo_medio"
+    )
+
+
+def _file_stream(spark, sf, name: str) -> DataFrame:
+    schema = proxy.table(spark, sf, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def stream_enriched_trips(spark, sf):
+    """Silver by stream: equal to the batch result."""
+    hourly = materialise(silver.hourly_rain(proxy.rain(spark, sf)), "hourly")
+    stream = proxy.trips(spark, sf, lineitem=_file_stream(spark, sf, "lineitem"))
+    root = scratch_path(spark, "stream")
+    trips_stream.write_enriched(
+        stream, lambda: (hourly, hourly.count()), f"{root}/out", f"{root}/checkpoint"
+    )
+    written = spark.read.parquet(f"{root}/out").select(*silver.SILVER_COLUMNS)
+    return rounded(written, "chuva_no_horario")
+
+
+def stream_hourly_counts(spark, sf):
+    """Hours whose watermark (one hour behind the latest event) has passed."""
+    root = scratch_path(spark, "stream")
+    counts = trips_stream.hourly_counts(_file_stream(spark, sf, "events"), "ts", "event_type", "1 hour")
+    trips_stream.write_available(counts, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.schema(counts.schema).parquet(f"{root}/out")
+
+
+def eta_errors(spark, sf):
+    """Regression fitted and judged on all trips: error in minutes."""
+    fact = materialise(_fact(spark, sf, consortium=False), "fact")
+    features = eta.eta_features(fact, eta.line_history(fact))
+    return rounded(
+        eta.errors(eta.predict(eta.fit(features), features)),
+        "erro_absoluto_medio",
+        "raiz_erro_quadratico",
+        digits=4,
+    )
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -354,6 +434,11 @@ REGISTRY: dict[str, Query] = {
         schema_drift,
         layer_expectations,
         lineage_by_file,
+        csv_to_bronze,
+        published_star_answer,
+        stream_enriched_trips,
+        stream_hourly_counts,
+        eta_errors,
     )
 }
 REGISTRY["rain_band_contiguous"] = REGISTRY.pop("rain_band_gap_free")
