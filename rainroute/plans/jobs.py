@@ -21,7 +21,6 @@ from rainroute.sources import catalog, csv_files
 from rainroute.sources.csv_files import MALFORMED, SOURCE_FILE
 from rainroute.sources.versions import Store, new_version, write_files
 
-RUN_PARTITIONS = ("ano", "mes", "dia", "versao")
 GOLD_TABLES = ("dim_calendario", "dim_consorcio", "dim_clima", "fato_desempenho_viagem")
 
 
@@ -287,20 +286,21 @@ def read_gold(lake: Lake, table: str, as_of: int | datetime | None = None) -> Da
 
 
 def register_bronze(lake: Lake, dataset: str) -> None:
-    """``bronze.<dataset>``: clean rows of the published versions, under the contract's names."""
-    spark, store = lake.spark, lake.bronze_store(dataset)
-    catalog.create_layers(spark)
+    """``bronze.<dataset>``: clean rows of the published versions, under the contract's names.
+
+    ``versao`` is a partition folder, so files of other versions are not opened.
+    """
+    store = lake.bronze_store(dataset)
     versions = sorted(store.current().values())
     if not versions:
         return
-    loads = f"bronze.{dataset}_cargas"
-    catalog.ensure_external_table(spark, loads, store.root, _bronze_table_schema(dataset), RUN_PARTITIONS)
+    catalog.create_layers(lake.spark)
     published = ", ".join(f"'{v}'" for v in versions)
     columns = ", ".join(f"`{f.name}`" for f in CONTRACTS[dataset].schema.fields)
     catalog.replace_view(
-        spark,
+        lake.spark,
         f"bronze.{dataset}",
-        f"SELECT {columns} FROM {loads} WHERE versao IN ({published}) AND {REJECTS} IS NULL",
+        f"SELECT {columns} FROM parquet.`{store.root}` WHERE versao IN ({published}) AND {REJECTS} IS NULL",
     )
 
 

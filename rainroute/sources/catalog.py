@@ -31,8 +31,13 @@ def ensure_table_as(df: DataFrame, name: str, fmt: str = "parquet") -> bool:
 def ensure_external_table(
     spark: SparkSession, name: str, path: str, schema: T.StructType, partitions: tuple[str, ...] = ()
 ) -> bool:
-    """Register files as a table if it is missing, else pick up files that were added."""
+    """Register files as a table if it is missing, else pick up files that were added.
+
+    A table of that name over another folder is an error, not something to repair.
+    """
     created = not spark.catalog.tableExists(name)
+    if not created and _folder_of(spark, name) != _bare(path):
+        raise ValueError(f"{name} exists over {_folder_of(spark, name)}")
     if created:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         clause = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
@@ -43,6 +48,16 @@ def ensure_external_table(
     return created
 
 
+def _bare(path: str) -> str:
+    """A path without scheme and surplus slashes, for comparing."""
+    return "/" + path.split(":", 1)[-1].strip("/")
+
+
+def _folder_of(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return _bare(described["data_type"])
+
+
 def replace_view(spark: SparkSession, name: str, query: str) -> None:
     """Stable name over a physical table; replacing the view is how a version goes live."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")

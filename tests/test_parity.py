@@ -1,0 +1,50 @@
+"""Every registered query against DuckDB, and what its plan may not contain."""
+
+import pytest
+from conftest import plan
+
+import __spark_entry__ as driver
+from checks import parity
+
+QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+# Regression by normal equations; compared with least squares in test_gold_questions.
+WITHOUT_SQL = {"eta_errors"}
+
+
+@pytest.fixture(scope="module")
+def duck(tiny):
+    return parity.connect(tiny)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
+    assert not set(ORACLE) - set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_same_result_as_duckdb(spark, duck, tiny, name):
+    df = QUERIES[name](spark, tiny)
+    text = plan(df)
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
+        assert forbidden not in text
+    if name in ORACLE:
+        assert parity.compare(duck, ORACLE[name], df) is None
+    else:
+        assert df.count() > 0
+
+
+def test_entry(spark):
+    df = driver.entry(spark)
+    assert df.columns == ["clima_id", "tempo_medio"] and df.count() == 5
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [("q1_peak_hours", {"l_orderkey", "l_shipdate"}), ("dim_consortium", {"l_suppkey"}),
+     ("q6_rain_volume", {"l_orderkey", "l_shipdate"})],
+)
+def test_only_needed_trip_columns_are_read_once(spark, tiny, name, columns):
+    scans = [s for s in plan(QUERIES[name](spark, tiny)).split("\n\n") if "Scan parquet" in s and "lineitem" in s]
+    assert len(scans) == 1
+    schema = scans[0].split("ReadSchema: struct<")[1].split(">")[0]
+    assert {f.split(":")[0] for f in schema.split(",")} == columns
