@@ -369,3 +369,36 @@ SELECT hora AS inicio, hora + INTERVAL 1 HOUR AS fim, event_type, count(*) AS to
 FROM (SELECT date_trunc('hour', ts) AS hora, event_type FROM events)
 WHERE hora + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
 GROUP BY hora, event_type"""
+ORACLE["as_of_version"] = ORACLE["rain_hourly"]
+ORACLE["row_count"] = "SELECT count(*) AS linhas FROM lineitem"
+ORACLE["lenient_rejects"] = """
+SELECT l_orderkey, l_linenumber, 'l_quantity' AS coluna, 'xx' AS valor FROM lineitem WHERE l_linenumber = 5
+UNION ALL
+SELECT l_orderkey, l_linenumber, 'l_shipdate', 'sem data' FROM lineitem WHERE l_linenumber >= 5"""
+ORACLE["bronze_fleet"] = (
+    "SELECT p_name AS nome_chassi, p_partkey AS id_chassi, p_type AS tecnologia, "
+    "if(p_size > 25, 'DIESEL', 'ELETRICO') AS tipo_combustivel, "
+    "p_partkey % 2 = 0 AS indicador_ar_condicionado, p_partkey % 3 = 0 AS indicador_elevador, "
+    "p_partkey % 5 = 0 AS indicador_usb, p_size % 2 = 1 AS indicador_wifi, "
+    "CAST(2015 + p_size % 10 AS BIGINT) AS ano_ultima_vistoria, "
+    + _null_columns(
+        carroceria="VARCHAR",
+        id_fabricante_chassi="BIGINT",
+        id_planta="BIGINT",
+        tipo_veiculo="VARCHAR",
+        status="VARCHAR",
+        data_inicio_vinculo="DATE",
+        data_ultima_vistoria="DATE",
+        ultima_situacao="VARCHAR",
+        quantidade_lotacao_pe="BIGINT",
+        quantidade_lotacao_sentado="BIGINT",
+        indicador_veiculo_lacrado="BOOLEAN",
+        indicador_data_ultima_vistoria_tratada="BOOLEAN",
+        data_arquivo_fonte="DATE",
+        versao="VARCHAR",
+        datetime_ultima_atualizacao="TIMESTAMP",
+        id_execucao_dbt="VARCHAR",
+        ano_ultima_vistoria_atualizado="BIGINT",
+    )
+    + " FROM part"
+)

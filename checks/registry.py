@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from rainroute.contracts import CONTRACTS, schema_from_ddl
 from rainroute.functions import mapped_name, rain_band_contiguous
 from rainroute.operators import dedup, outliers, quality, scope
-from rainroute.operators.casting import apply_contract
+from rainroute.operators.casting import REJECTS, apply_contract, rejected
 from rainroute.plans import eta, gold, jobs, questions, rain_stations, silver
 from rainroute.plans import fleet as fleet_plan
 from rainroute.session import materialise, scratch_path
 from rainroute.sources import proxy
+from rainroute.sources.versions import Store, write_files
 from rainroute.streaming import trips as trips_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +58,33 @@ def bronze_stations(spark, sf):
     return _typed(proxy.stations(spark, sf), "estacoes_clima")
 
 
+def bronze_fleet(spark, sf):
+    return _typed(proxy.fleet(spark, sf), "licenciamento_frota")
+
+
+def row_count(spark, sf):
+    """The non-empty audit's count, from the file footers."""
+    return proxy.table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+LENIENT_DDL = "l_orderkey BIGINT, l_linenumber INT, l_quantity INT, l_shipdate DATE"
+
+
+def lenient_rejects(spark, sf):
+    """Bad cells set aside by a lenient load, one row per cell."""
+    line = F.col("l_linenumber")
+    text = proxy.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("l_orderkey"),
+        line.cast("string").alias("l_linenumber"),
+        F.when(line == 5, "xx").otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"),
+        F.when(line >= 5, "sem data").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("l_shipdate"),
+    )
+    bad = rejected(apply_contract(text, schema_from_ddl(LENIENT_DDL), "lenient"))
+    return bad.select("l_orderkey", "l_linenumber", F.explode(REJECTS).alias("r")).select(
+        "l_orderkey", "l_linenumber", "r.coluna", "r.valor"
+    )
+
+
 # --- Silver -------------------------------------------------------------------
 
 
@@ -238,11 +266,11 @@ def _untidy(name, key):
 
 
 def consortium_normalise(spark, sf):
-    suppliers = proxy.regions_of_suppliers(spark, sf)
     items = proxy.table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey")
-    named = items.groupBy("l_suppkey", (F.col("l_orderkey") % 3).alias("k")).agg(
+    counted = items.groupBy("l_suppkey", (F.col("l_orderkey") % 3).alias("k")).agg(
         F.count(F.lit(1)).alias("n")
-    ).join(suppliers, "l_suppkey", "left")
+    )
+    named = proxy.with_region(spark, sf, counted)
     spelled = named.select("n", _untidy(F.col("r_name"), F.col("k")).alias("consorcio"))
     tidy = mapped_name("consorcio", {"MIDDLE EAST": "ORIENTE MEDIO"})
     return spelled.groupBy(tidy.alias("consorcio")).agg(F.sum("n").alias("total_viagens"))
@@ -353,6 +381,18 @@ def published_star_answer(spark, sf):
     )
 
 
+def as_of_version(spark, sf):
+    """Hourly rain as first published, after a second version and a rollback have come and gone."""
+    store = Store(spark, scratch_path(spark, "versions"))
+    hourly = silver.hourly_rain(proxy.rain(spark, sf))
+    write_files(hourly, store.path("v1"))
+    first = store.publish("v1")
+    write_files(store.read().withColumn("avg_chuva_1h", F.col("avg_chuva_1h") * 2), store.path("v2"))
+    store.publish("v2")
+    store.rollback()
+    return rounded(store.read(as_of=first), "avg_chuva_1h")
+
+
 def _file_stream(spark, sf, name: str) -> DataFrame:
     schema = proxy.table(spark, sf, name).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
@@ -396,6 +436,9 @@ REGISTRY: dict[str, Query] = {
         bronze_trips,
         bronze_rain,
         bronze_stations,
+        bronze_fleet,
+        row_count,
+        lenient_rejects,
         rain_hourly,
         silver_trips,
         silver_trips_preclassified,
@@ -436,6 +479,7 @@ REGISTRY: dict[str, Query] = {
         lineage_by_file,
         csv_to_bronze,
         published_star_answer,
+        as_of_version,
         stream_enriched_trips,
         stream_hourly_counts,
         eta_errors,

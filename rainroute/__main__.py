@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from rainroute.contracts import CONTRACTS, DEFAULT_DATASETS
-from rainroute.plans.jobs import Dataset, Lake, run
+from rainroute.plans.jobs import Dataset, Lake, SilverOptions, run
 from rainroute.session import SETTINGS
 
 
@@ -23,6 +23,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--source", action="append", default=[], metavar="DATASET=FOLDER")
     parser.add_argument("--lenient", action="store_true", help="keep bad rows aside instead of failing")
     parser.add_argument("--deduplicate", action="store_true", help="one row per key over all run dates")
+    parser.add_argument("--scope", nargs=2, type=date.fromisoformat, metavar=("FIRST", "LAST"))
+    parser.add_argument("--minutes", nargs=2, type=int, metavar=("SHORTEST", "LONGEST"))
+    parser.add_argument("--tidy-names", action="store_true", help="standardise consortium names")
     args = parser.parse_args(argv)
 
     sources = dict(s.split("=", 1) for s in args.source)
@@ -37,7 +40,13 @@ def main(argv: list[str] | None = None) -> None:
         builder = builder.config(key, value)
     lake = Lake.under(builder.getOrCreate(), args.lake.rstrip("/"))
     datasets = [Dataset(name, sources.get(name), mode) for name in names]
-    for result in run(lake, datasets, args.run_date, args.deduplicate):
+    options = SilverOptions(
+        args.deduplicate,
+        tuple(args.scope) if args.scope else None,
+        tuple(args.minutes) if args.minutes else None,
+        {} if args.tidy_names else None,
+    )
+    for result in run(lake, datasets, args.run_date, options):
         print(result)
 
 

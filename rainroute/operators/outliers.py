@@ -15,14 +15,15 @@ def within_range(df: DataFrame, column: str, low: float, high: float) -> DataFra
 
 
 def quantile_fences(df: DataFrame, group: str, column: str, low: float, high: float) -> DataFrame:
-    """Exact interpolated quantiles per group.
+    """Exact interpolated quantiles per group, NULL values left out.
 
-    Durations are whole minutes, so the value counts that ``percentile`` folds on
-    the map side stay small however many rows a group has.
+    Values are counted first: durations are whole minutes, so a group comes down
+    to one row per distinct minute on the map side, however many trips it has.
     """
-    return df.groupBy(group).agg(
-        F.percentile(column, F.lit(low)).alias("limite_inferior"),
-        F.percentile(column, F.lit(high)).alias("limite_superior"),
+    counted = df.groupBy(group, column).agg(F.count(column).alias("n")).filter(F.col("n") > 0)
+    return counted.groupBy(group).agg(
+        F.percentile(column, F.lit(low), F.col("n")).alias("limite_inferior"),
+        F.percentile(column, F.lit(high), F.col("n")).alias("limite_superior"),
     )
 
 

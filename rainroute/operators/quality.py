@@ -161,23 +161,35 @@ def star_integrity(
     Fact keys are counted before they meet a dimension, so only distinct keys move.
     """
 
-    def check(name: str, df: DataFrame, violations: Column) -> DataFrame:
-        return df.agg(F.coalesce(violations, F.lit(0)).cast("bigint").alias("violacoes")).select(
-            F.lit(name).alias("verificacao"), "violacoes"
+    def named(name: str, violations: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("verificacao"), F.coalesce(violations, F.lit(0)).cast("bigint").alias("violacoes")
         )
 
     reports = []
     for name, (dim, key) in dimensions.items():
-        sizes = dim.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        reports.append(check(f"{name}: chave repetida", sizes, F.count_if(F.col("n") > 1)))
+        known = dim.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
         used = fact.groupBy(F.col(keys[name]).alias("k")).agg(F.count(F.lit(1)).alias("linhas"))
-        known = sizes.select("k", F.lit(1).alias("known"))
-        status = used.join(known, "k", "left")
-        orphan = F.col("k").isNotNull() & F.col("known").isNull()
-        reports.append(check(f"{name}: fato sem dimensao", status, F.sum(F.when(orphan, F.col("linhas")))))
+        both = known.join(used, "k", "full_outer")  # distinct keys on both sides
+        absent = F.col("k").isNull()
+        found = both.agg(
+            F.count_if(F.col("n") > 1).alias("repeated"),
+            F.sum(F.when(~absent & F.col("n").isNull(), F.col("linhas"))).alias("orphans"),
+            F.sum(F.when(absent, F.col("linhas"))).alias("nulls"),
+        )
         reports.append(
-            check(f"{name}: chave nula no fato", used, F.sum(F.when(F.col("k").isNull(), F.col("linhas"))))
+            _unpivot_one_row(
+                found,
+                [
+                    named(f"{name}: chave repetida", F.col("repeated")),
+                    named(f"{name}: fato sem dimensao", F.col("orphans")),
+                    named(f"{name}: chave nula no fato", F.col("nulls")),
+                ],
+            )
         )
     sides = silver.select(F.lit(1).alias("d")).unionAll(fact.select(F.lit(-1).alias("d")))
-    reports.append(check("fato x silver: diferenca de linhas", sides, F.abs(F.sum("d"))))
+    difference = sides.agg(F.abs(F.sum("d")).alias("d"))
+    reports.append(
+        _unpivot_one_row(difference, [named("fato x silver: diferenca de linhas", F.col("d"))])
+    )
     return reduce(DataFrame.unionByName, reports)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainroute.contracts import CONTRACTS
+from rainroute.functions import mapped_name
 from rainroute.operators import quality
 from rainroute.operators.casting import REJECTS, REJECTS_TYPE, apply_contract
 from rainroute.operators.dedup import latest_per_key
+from rainroute.operators.outliers import within_range
+from rainroute.operators.scope import within_dates
 from rainroute.plans import gold, silver
 from rainroute.sources import catalog, csv_files
 from rainroute.sources.csv_files import MALFORMED, SOURCE_FILE
@@ -100,7 +103,7 @@ def bronze_file_schema(dataset: str) -> T.StructType:
 
 
 def _bronze_table_schema(dataset: str) -> T.StructType:
-    run = T.StructType.fromDDL("ano int, mes int, dia int, versao string")
+    run = T.StructType.fromDDL("ano int, mes int, dia int, carga string")
     return T.StructType(bronze_file_schema(dataset).fields + run.fields)
 
 
@@ -198,7 +201,7 @@ def read_bronze(
     df = lake.bronze_store(dataset).read(schema=_bronze_table_schema(dataset), as_of=as_of, slots=True)
     clean = df.filter(F.col(REJECTS).isNull()).drop(REJECTS)
     key = CONTRACTS[dataset].key
-    return latest_per_key(clean, key, ["ano", "mes", "dia", "versao"]) if deduplicate and key else clean
+    return latest_per_key(clean, key, ["ano", "mes", "dia", "carga"]) if deduplicate and key else clean
 
 
 def read_rejects(lake: Lake, dataset: str, as_of: int | datetime | None = None) -> DataFrame:
@@ -210,22 +213,46 @@ def read_rejects(lake: Lake, dataset: str, as_of: int | datetime | None = None)
 # --- Silver and gold ----------------------------------------------------------
 
 
-def build_silver(lake: Lake, deduplicate: bool = False, cluster_by: tuple[str, ...] = ()) -> str:
+@dataclass(frozen=True)
+class SilverOptions:
+    """Optional cleaning before silver; everything is off unless asked for."""
+
+    deduplicate: bool = False  # one row per contract key over all run dates
+    scope: tuple[date, date] | None = None  # first and last day kept
+    minutes: tuple[int, int] | None = None  # shortest and longest plausible trip
+    consortium_names: Mapping[str, str] | None = None  # tidy names; {} without aliases
+
+
+def _clean_trips(trips: DataFrame, options: SilverOptions) -> DataFrame:
+    if options.scope:
+        trips = within_dates(trips, *options.scope, column="data")
+    if options.minutes:
+        trips = within_range(trips, "tempo_viagem", *options.minutes)
+    if options.consortium_names is not None:
+        trips = trips.withColumn("consorcio", mapped_name("consorcio", options.consortium_names))
+    return trips
+
+
+def build_silver(
+    lake: Lake, options: SilverOptions = SilverOptions(), cluster_by: tuple[str, ...] = ()
+) -> str:
     """Hourly rain, then the wide trip table; both published. Returns the trips' version.
 
     The hourly rain is written first, so its exact row number decides between a
     broadcast and a shuffle join. Trips in and rows out are counted on the way.
     """
     version = new_version()
-    rain = read_bronze(lake, "clima_pluviometria", deduplicate=deduplicate)
+    rain = read_bronze(lake, "clima_pluviometria", deduplicate=options.deduplicate)
+    if options.scope:
+        rain = within_dates(rain, *options.scope, column="data_particao")
     hours_store = lake.silver_store("chuva_horaria")
     hourly, hours_seen = _counted(silver.hourly_rain(rain))
     write_files(hourly, hours_store.path(version))
     hours = hours_seen.get["rows"]
     hours_store.publish(version, rows=hours)
 
-    trips = read_bronze(lake, "viagens_onibus", deduplicate=deduplicate)
-    attributes, seen_in = _counted(silver.trip_attributes(trips))
+    trips = read_bronze(lake, "viagens_onibus", deduplicate=options.deduplicate)
+    attributes, seen_in = _counted(silver.trip_attributes(_clean_trips(trips, options)))
     wide, seen_out = _counted(silver.enrich(attributes, hours_store.read(), hours))
     if cluster_by:
         wide = wide.withColumns({"ano": F.year("data_viagem"), "mes": F.month("data_viagem")})
@@ -288,7 +315,7 @@ def read_gold(lake: Lake, table: str, as_of: int | datetime | None = None) -> Da
 def register_bronze(lake: Lake, dataset: str) -> None:
     """``bronze.<dataset>``: clean rows of the published versions, under the contract's names.
 
-    ``versao`` is a partition folder, so files of other versions are not opened.
+    ``carga`` is a partition folder, so files of other versions are not opened.
     """
     store = lake.bronze_store(dataset)
     versions = sorted(store.current().values())
@@ -300,7 +327,7 @@ def register_bronze(lake: Lake, dataset: str) -> None:
     catalog.replace_view(
         lake.spark,
         f"bronze.{dataset}",
-        f"SELECT {columns} FROM parquet.`{store.root}` WHERE versao IN ({published}) AND {REJECTS} IS NULL",
+        f"SELECT {columns} FROM parquet.`{store.root}` WHERE carga IN ({published}) AND {REJECTS} IS NULL",
     )
 
 
@@ -332,7 +359,9 @@ def register_views(lake: Lake, datasets: Sequence[str]) -> None:
     register_gold(lake)
 
 
-def run(lake: Lake, datasets: Sequence[Dataset], run_date: date, deduplicate: bool = False) -> list[LoadResult]:
+def run(
+    lake: Lake, datasets: Sequence[Dataset], run_date: date, options: SilverOptions = SilverOptions()
+) -> list[LoadResult]:
     """Load, build and expose everything for one run date; raises if a dataset failed.
 
     Silver and gold are built whenever trips and rain are both published, even
@@ -341,7 +370,7 @@ def run(lake: Lake, datasets: Sequence[Dataset], run_date: date, deduplicate: bo
     results = load_datasets(lake, datasets, run_date)
     ready = all(lake.bronze_store(d).current() for d in ("viagens_onibus", "clima_pluviometria"))
     if ready:
-        build_silver(lake, deduplicate)
+        build_silver(lake, options)
         build_gold(lake)
     register_views(lake, [d.name for d in datasets])
     require_all(results)

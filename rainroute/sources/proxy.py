@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainroute.contracts import CONTRACTS
-from rainroute.operators.lookup import lookup_join
+from rainroute.functions import rain_band
 
 LINES_PER_SUPPLIER = 12
 STATIONS = 33
@@ -40,15 +40,16 @@ def _padded(df: DataFrame, dataset: str, given: dict[str, Column]) -> DataFrame:
     )
 
 
-def regions_of_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """l_suppkey -> r_name."""
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+def with_region(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """Add r_name by l_suppkey. Each table joins on its own, so Catalyst sees its file
+    size: small ones are broadcast, a large supplier table is shuffled."""
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
     region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     return (
-        supplier.join(nation, "s_nationkey", "left")
+        df.join(supplier, "l_suppkey", "left")
+        .join(nation, "s_nationkey", "left")
         .join(region, "n_regionkey", "left")
-        .select(F.col("s_suppkey").alias("l_suppkey"), "r_name")
     )
 
 
@@ -66,9 +67,7 @@ def trips(
     """
     items = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
     if consortium:
-        # The supplier table's footer gives its exact row number.
-        rows = table(spark, sf_dir, "supplier").count()
-        items = lookup_join(items, regions_of_suppliers(spark, sf_dir), ["l_suppkey"], rows=rows)
+        items = with_region(spark, sf_dir, items)
     day = F.col("l_shipdate").cast("date")
     hours = (F.col("l_orderkey") % 24).cast("int")
     minutes = F.floor("l_quantity").cast("int")
@@ -116,8 +115,6 @@ def rain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classified_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rain at record grain with amount and class ready, several records per hour."""
-    from rainroute.functions import rain_band
-
     records = table(spark, sf_dir, "orders").select(
         F.col("o_orderdate").cast("date").alias("data_particao"),
         (F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int")))

@@ -1,6 +1,6 @@
 """Write, audit, publish: versioned folders and a small publication table.
 
-Data is written to a folder of its own (``versao=<id>``) that no reader looks
+Data is written to a folder of its own (``carga=<id>``) that no reader looks
 at. After the audit one row in the publication table makes it the version of
 its slot: a run date in bronze, the whole dataset in silver and gold. Older
 versions stay readable, and rolling back is one more row.
@@ -52,7 +52,7 @@ class Store:
     root: str
 
     def path(self, version: str, slot: str = "", table: str = "") -> str:
-        return "/".join(p for p in (self.root, slot, f"versao={version}", table) if p)
+        return "/".join(p for p in (self.root, slot, f"carga={version}", table) if p)
 
     @property
     def _log_path(self) -> str:

@@ -103,9 +103,9 @@ def test_a_file_without_rows_fails_the_audit_and_publishes_nothing(lake, inbox,
 def test_same_run_date_again_replaces_another_adds(lake, inbox):
     put(inbox, "a.csv", TRIPS, trip("a1"), trip("a2"))
     load(lake, "viagens_onibus", inbox)
-    before = rows(jobs.read_bronze(lake, "viagens_onibus").drop("versao"))
+    before = rows(jobs.read_bronze(lake, "viagens_onibus").drop("carga"))
     load(lake, "viagens_onibus", inbox)
-    assert rows(jobs.read_bronze(lake, "viagens_onibus").drop("versao")) == before
+    assert rows(jobs.read_bronze(lake, "viagens_onibus").drop("carga")) == before
     load(lake, "viagens_onibus", inbox, date(2024, 3, 6))
     assert jobs.read_bronze(lake, "viagens_onibus").count() == 4
     single = jobs.read_bronze(lake, "viagens_onibus", deduplicate=True)
@@ -241,6 +241,54 @@ def test_silver_by_month(lake, tmp_path):
     assert store.read().count() == 2
 
 
+def test_cleaning_before_silver_is_optional(lake, tmp_path):
+    late = trip("late").replace("2024-03-25,", "2024-09-01,", 1)
+    lines = [trip("a", consortium="  inter  sul"), trip("long", minutes=999), late]
+    put(str(tmp_path / "t"), "t.csv", TRIPS, *lines)
+    put(str(tmp_path / "r"), "r.csv", RAIN, reading("k1", 4.0))
+    load(lake, "viagens_onibus", str(tmp_path / "t"))
+    load(lake, "viagens_onibus", str(tmp_path / "t"), date(2024, 3, 6))
+    load(lake, "clima_pluviometria", str(tmp_path / "r"))
+    store = lake.silver_store("stg_viagens")
+    jobs.build_silver(lake)
+    assert store.read().count() == 6
+    options = jobs.SilverOptions(
+        deduplicate=True, scope=(date(2024, 1, 1), date(2024, 8, 24)), minutes=(1, 300),
+        consortium_names={"INTER SUL": "INTERSUL"},
+    )
+    jobs.build_silver(lake, options)
+    assert rows(store.read(), "id_viagem", "consorcio", "chuva_no_horario") == [("a", "INTERSUL", 4.0)]
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    from rainroute import __main__ as cli
+
+    put(str(tmp_path / "t"), "t.csv", TRIPS, trip("a"), trip("b", minutes=999))
+    put(str(tmp_path / "r"), "r.csv", RAIN, reading("k1", 4.0))
+    cli.main(
+        ["--lake", str(tmp_path / "lake"), "--run-date", "2024-03-05", "--minutes", "1", "300",
+         "--source", f"viagens_onibus={tmp_path}/t", "--source", f"clima_pluviometria={tmp_path}/r"]
+    )
+    printed = capsys.readouterr().out
+    assert printed.count("published") == 2 and printed.count("skipped") == 1
+    assert spark.table("gold.fato_viagens").count() == 1
+    with pytest.raises(SystemExit):
+        cli.main(["--lake", "x", "--run-date", "2024-03-05", "--source", "nope=x"])
+
+
+@pytest.mark.parametrize("name", sorted(CONTRACTS))
+def test_every_contract_can_be_loaded(lake, inbox, name):
+    cell = {"string": "a", "date": "2024-01-01", "timestamp": "2024-01-01 10:00:00", "int": "1", "bigint": "2",
+            "double": "1.5", "boolean": "true"}
+    fields = CONTRACTS[name].schema.fields
+    line = ",".join("10:00:00" if f.name == "horario" else cell[f.dataType.simpleString()] for f in fields)
+    put(inbox, "a.csv", ",".join(f.name for f in fields), line)
+    assert load(lake, name, inbox).rows == 1
+    got = jobs.read_bronze(lake, name)
+    assert [f.dataType for f in got.schema.fields][: len(fields)] == [f.dataType for f in fields]
+    assert None not in got.drop("_arquivo").first()
+
+
 # --- Versions -----------------------------------------------------------------
 
 
@@ -273,7 +321,7 @@ def test_slots_are_independent(spark, tmp_path):
     for slot, version, n in (("dia=01", "a", 1), ("dia=02", "b", 5), ("dia=02", "c", 2)):
         write_files(spark.range(n), store.path(version, slot))
         store.publish(version, slot)
-    assert rows(store.read(slots=True).groupBy("dia", "versao").count()) == [(1, "a", 1), (2, "c", 2)]
+    assert rows(store.read(slots=True).groupBy("dia", "carga").count()) == [(1, "a", 1), (2, "c", 2)]
 
 
 # --- Catalog ------------------------------------------------------------------
