@@ -30,32 +30,43 @@ def _clock(text: Column) -> Column:
 
 def _whole_number(text: Column, dtype: T.DataType) -> Column:
     """``12`` and ``12.0`` are whole numbers, ``12.7`` is a bad cell."""
-    decimal = text.try_cast("decimal(38,9)")
-    integral = F.when(decimal == F.floor(decimal), decimal.try_cast(dtype))
-    return F.coalesce(text.try_cast(dtype), integral)
+    return F.coalesce(text.try_cast(dtype), F.regexp_replace(text, r"\.0+$", "").try_cast(dtype))
 
 
-def _parsed(source: T.DataType, raw: Column, field: T.StructField) -> tuple[Column, Column]:
-    """(text or value whose loss would be a bad cell, parsed value)."""
+def _cell(source: T.DataType, raw: Column, field: T.StructField) -> Column:
+    """The cell as it is judged: empty text counts as NULL, blanks around values are dropped."""
     if not isinstance(source, T.StringType):
+        return raw
+    is_text = isinstance(field.dataType, T.StringType) and not is_clock(field)
+    return F.nullif(raw if is_text else F.trim(raw), F.lit(""))
+
+
+def _parsed(source: T.DataType, cell: Column, field: T.StructField) -> Column:
+    """The typed value, NULL where the cell does not fit."""
+    if isinstance(source, T.StringType):
         if is_clock(field):
-            return raw, F.date_format(raw, "HH:mm:ss")
-        return raw, raw.try_cast(field.dataType)
-    if isinstance(field.dataType, T.StringType) and not is_clock(field):
-        return raw, F.nullif(raw, F.lit(""))
-    text = F.nullif(F.trim(raw), F.lit(""))
-    if is_clock(field):
-        return text, _clock(text)
-    if isinstance(field.dataType, (T.IntegerType, T.LongType)):
-        return text, _whole_number(text, field.dataType)
-    return text, text.try_cast(field.dataType)
+            return _clock(cell)
+        if isinstance(field.dataType, (T.IntegerType, T.LongType)):
+            return _whole_number(cell, field.dataType)
+    elif is_clock(field):
+        return F.date_format(cell, "HH:mm:ss")
+    return cell.try_cast(field.dataType)
+
+
+def _always_fits(source: T.DataType, field: T.StructField) -> bool:
+    """Same type, or anything rendered as text."""
+    return not is_clock(field) and (source == field.dataType or isinstance(field.dataType, T.StringType))
+
 
+def _or_raise(field: T.StructField, cell: Column, value: Column) -> Column:
+    expected = f"bad cell in {field.name}: expected {field.dataType.simpleString()}, got "
+    error = F.raise_error(F.concat(F.lit(expected), cell.cast("string")))
+    return F.coalesce(value, F.when(cell.isNotNull(), error)).cast(field.dataType)
 
-def _is_plain(source: T.DataType, field: T.StructField) -> bool:
-    """No cell can go bad: same type, or anything rendered as text."""
-    if is_clock(field):
-        return False
-    return source == field.dataType or isinstance(field.dataType, T.StringType)
+
+def _or_listed(field: T.StructField, cell: Column, value: Column) -> Column:
+    entry = F.struct(F.lit(field.name).alias("coluna"), cell.cast("string").alias("valor"))
+    return F.when(cell.isNotNull() & value.isNull(), entry)
 
 
 def apply_contract(
@@ -65,41 +76,41 @@ def apply_contract(
 
     ``strict``: a bad cell or a missing column raises. ``lenient``: both become
     NULL and ``_rejeitos`` lists the bad cells of the row (NULL for a clean row).
+
+    Cells, values and verdicts are three projections. Written as one, the
+    generated method for a wide contract grows past what the JVM compiles.
     """
     if mode not in ("strict", "lenient"):
         raise ValueError(f"unknown mode {mode!r}")
     present = {f.name.lower(): f for f in df.schema.fields}
-    missing = [f.name for f in schema.fields if f.name.lower() not in present]
+    found = {f.name: present[f.name.lower()] for f in schema.fields if f.name.lower() in present}
+    missing = [f.name for f in schema.fields if f.name not in found]
     if missing and mode == "strict":
         raise ValueError(f"columns missing from the input: {', '.join(missing)}")
 
-    columns: list[Column] = []
-    bad_cells: list[Column] = []
-    for field in schema.fields:
-        found = present.get(field.name.lower())
-        if found is None:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
-            continue
-        raw = F.col(f"`{found.name}`")
-        given, value = _parsed(found.dataType, raw, field)
-        if not _is_plain(found.dataType, field):
-            bad = given.isNotNull() & value.isNull()
-            if mode == "strict":
-                message = F.concat(
-                    F.lit(f"bad cell in {field.name}: expected {field.dataType.simpleString()}, got "),
-                    given.cast("string"),
-                )
-                value = F.when(bad, F.raise_error(message)).otherwise(value)
-            else:
-                bad_cells.append(
-                    F.when(bad, F.struct(F.lit(field.name).alias("coluna"), given.cast("string").alias("valor")))
-                )
-        columns.append(value.cast(field.dataType).alias(field.name))
-    columns += [F.col(name) for name in keep]
+    given = [f for f in schema.fields if f.name in found]
+    judged = [f for f in given if not _always_fits(found[f.name].dataType, f)]
+    sources = {f.name: found[f.name].dataType for f in given}
+    cell = lambda f: F.col(f"`{f.name}`")
+    value = lambda f: F.col(f"`__typed_{f.name}`")
+
+    cells = [_cell(sources[f.name], F.col(f"`{found[f.name].name}`"), f).alias(f.name) for f in given]
+    values = [_parsed(sources[f.name], cell(f), f).alias(f"__typed_{f.name}") for f in judged]
+    parsed = df.select(*cells, *keep).select("*", *values)
+
+    def verdict(f: T.StructField) -> Column:
+        if f.name not in found:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        if f not in judged:
+            return cell(f).cast(f.dataType).alias(f.name)
+        return (_or_raise(f, cell(f), value(f)) if mode == "strict" else value(f)).alias(f.name)
+
+    columns = [verdict(f) for f in schema.fields] + [F.col(name) for name in keep]
     if mode == "lenient":
-        listed = F.filter(F.array(*bad_cells), lambda c: c.isNotNull()) if bad_cells else F.array()
+        bad = [_or_listed(f, cell(f), value(f)) for f in judged]
+        listed = F.filter(F.array(*bad), lambda c: c.isNotNull()) if bad else F.array()
         columns.append(F.when(F.size(listed) > 0, listed).cast(REJECTS_TYPE).alias(REJECTS))
-    return df.select(*columns)
+    return parsed.select(*columns)
 
 
 def apply_ddl(df: DataFrame, ddl: str | None, mode: str = "strict") -> DataFrame:

@@ -2,9 +2,12 @@
 
 import pytest
 from conftest import plan
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from checks import parity
+from rainroute.contracts import CONTRACTS, DEFAULT_DATASETS
+from rainroute.operators.casting import apply_contract
 
 QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
 # Regression by normal equations; compared with least squares in test_gold_questions.
@@ -48,3 +51,27 @@ def test_only_needed_trip_columns_are_read_once(spark, tiny, name, columns):
     assert len(scans) == 1
     schema = scans[0].split("ReadSchema: struct<")[1].split(">")[0]
     assert {f.split(":")[0] for f in schema.split(",")} == columns
+
+
+def largest_method(df):
+    import contextlib
+    import io
+    import re
+
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("codegen")
+    return max((int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())), default=0)
+
+
+@pytest.mark.parametrize("mode", ["strict", "lenient"])
+@pytest.mark.parametrize("name", DEFAULT_DATASETS)
+def test_casting_code_stays_small_enough_to_be_compiled(spark, name, mode):
+    """The JVM does not compile methods above 8000 bytes; a load would run several times slower.
+
+    Wider contracts rely on the session's limit, which makes Spark split the code instead.
+    """
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    schema = CONTRACTS[name].schema
+    text = spark.range(10).select(*[F.col("id").cast("string").alias(f.name) for f in schema.fields])
+    assert 0 < largest_method(apply_contract(text, schema, mode)) < 8000
