@@ -1,6 +1,6 @@
 """Run registered queries in Spark and their SQL in DuckDB and compare the results.
 
-    python -m checks.parity /root/testdata/sf0.01 [query ...]
+    python -m rainroute.checks.parity /root/testdata/sf0.01 [query ...]
 """
 
 from __future__ import annotations
@@ -67,8 +67,8 @@ def compare(con: duckdb.DuckDBPyConnection, sql: str, df: DataFrame) -> str | No
 
 
 def main() -> int:
-    from checks.oracle import ORACLE
-    from checks.registry import REGISTRY
+    from rainroute.checks.oracle import ORACLE
+    from rainroute.checks.registry import REGISTRY
     from rainroute.session import local_session
 
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(REGISTRY)

@@ -37,9 +37,11 @@ def lookup_join(
     keys = list(keys)
     if rows is not None and rows <= broadcast_rows:
         return left.join(F.broadcast(right), keys, how)
-    # The salt hashes the whole row: deterministic, so a recomputed task sends
-    # each row to the same place again. NULL keys, which match nothing, spread too.
-    salted = left.withColumn(_SALT, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    # Row hash plus input partition: rows of one key spread, identical copies too, and
+    # a recomputed task sends each row to the same place again. So do NULL keys,
+    # which match nothing.
+    spread = F.xxhash64(*left.columns) + F.spark_partition_id()
+    salted = left.withColumn(_SALT, F.pmod(spread, F.lit(salts)).cast("int"))
     copies = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, _SALT], how).drop(_SALT)
 

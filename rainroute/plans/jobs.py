@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +23,11 @@ from rainroute.sources import catalog, csv_files
 from rainroute.sources.csv_files import MALFORMED, SOURCE_FILE
 from rainroute.sources.versions import Store, new_version, write_files
 
+TRIP_COLUMNS = (
+    "data", "id_viagem", "servico", "consorcio", "tipo_dia", "distancia_planejada", "tempo_viagem",
+    "datetime_partida",
+)
+RAIN_COLUMNS = ("data_particao", "horario", "acumulado_chuva_1_h")
 GOLD_TABLES = ("dim_calendario", "dim_consorcio", "dim_clima", "fato_desempenho_viagem")
 
 
@@ -81,13 +85,6 @@ class LoadResult:
     error: str | None = None
 
 
-def _counted(df: DataFrame, **counts) -> tuple[DataFrame, Observation]:
-    """Count while the data passes by, instead of reading it again."""
-    seen = Observation(f"rows-{uuid.uuid4().hex}")
-    counts = counts or {"rows": F.count(F.lit(1))}
-    return df.observe(seen, *[c.alias(n) for n, c in counts.items()]), seen
-
-
 # --- Bronze -------------------------------------------------------------------
 
 
@@ -121,12 +118,23 @@ def _fitted(raw: DataFrame, dataset: Dataset) -> DataFrame:
     ).drop(MALFORMED)
 
 
-def _audit_files(written: DataFrame, files: DataFrame) -> None:
-    """Every listed file must have contributed at least one clean row."""
-    present = written.filter(F.col(REJECTS).isNull()).select(F.col(SOURCE_FILE).alias("arquivo")).distinct()
-    empty = files.join(present, "arquivo", "left_anti").limit(20).collect()
-    if empty:
-        raise AuditError("no data rows in " + ", ".join(sorted(r["arquivo"] for r in empty)))
+def _audit_files(written: DataFrame, files: DataFrame) -> tuple[int, int]:
+    """Clean and rejected rows as written; every listed file must have a clean row."""
+    per_file = written.groupBy(F.col(SOURCE_FILE).alias("arquivo")).agg(
+        F.count_if(F.col(REJECTS).isNull()).alias("limpas"),
+        F.count_if(F.col(REJECTS).isNotNull()).alias("rejeitadas"),
+    )
+    seen = files.select("arquivo").join(per_file, "arquivo", "left")
+    empty = F.coalesce("limpas", F.lit(0)) == 0
+    found = seen.agg(
+        F.sum("limpas").alias("limpas"),
+        F.sum("rejeitadas").alias("rejeitadas"),
+        F.count_if(empty).alias("vazios"),
+        F.min(F.when(empty, F.col("arquivo"))).alias("exemplo"),
+    ).first()
+    if found["vazios"]:
+        raise AuditError(f"no data rows in {found['vazios']} file(s), such as {found['exemplo']}")
+    return found["limpas"], found["rejeitadas"]
 
 
 def ingest(lake: Lake, dataset: Dataset, run_date: date) -> LoadResult:
@@ -149,19 +157,11 @@ def ingest(lake: Lake, dataset: Dataset, run_date: date) -> LoadResult:
     unknown = tuple(c for c in header.columns if c.lower() not in contract)
 
     store, version, slot = lake.bronze_store(dataset.name), new_version(), run_slot(run_date)
-    typed, seen = _counted(
-        _fitted(raw, dataset),
-        rows=F.count(F.lit(1)),
-        rejected=F.count_if(F.col(REJECTS).isNotNull()),
-    )
-    write_files(typed, store.path(version, slot))
-    rows, bad = seen.get["rows"], seen.get["rejected"]
-    if rows - bad == 0:
-        raise AuditError(f"{dataset.name}: no data rows")
+    write_files(_fitted(raw, dataset), store.path(version, slot))
     written = spark.read.schema(bronze_file_schema(dataset.name)).parquet(store.path(version, slot))
-    _audit_files(written, files)
-    store.publish(version, slot, rows - bad)
-    return LoadResult(dataset.name, "published", version, rows - bad, bad, unknown)
+    clean, bad = _audit_files(written, files)
+    store.publish(version, slot, clean)
+    return LoadResult(dataset.name, "published", version, clean, bad, unknown)
 
 
 def load_datasets(
@@ -192,16 +192,23 @@ def require_all(results: Sequence[LoadResult]) -> None:
 
 
 def read_bronze(
-    lake: Lake, dataset: str, as_of: int | datetime | None = None, deduplicate: bool = False
+    lake: Lake,
+    dataset: str,
+    as_of: int | datetime | None = None,
+    deduplicate: bool = False,
+    columns: Sequence[str] = (),
 ) -> DataFrame:
     """Clean published rows with their lineage columns (file, run date, version).
 
     ``deduplicate`` keeps, per contract key, the row of the latest run date.
+    ``columns`` narrows the rows before that, so that less is shuffled.
     """
     df = lake.bronze_store(dataset).read(schema=_bronze_table_schema(dataset), as_of=as_of, slots=True)
     clean = df.filter(F.col(REJECTS).isNull()).drop(REJECTS)
-    key = CONTRACTS[dataset].key
-    return latest_per_key(clean, key, ["ano", "mes", "dia", "carga"]) if deduplicate and key else clean
+    key, run = CONTRACTS[dataset].key, ["ano", "mes", "dia", "carga"]
+    if columns:
+        clean = clean.select(*dict.fromkeys([*columns, *key, *run]))
+    return latest_per_key(clean, key, run) if deduplicate and key else clean
 
 
 def read_rejects(lake: Lake, dataset: str, as_of: int | datetime | None = None) -> DataFrame:
@@ -233,34 +240,53 @@ def _clean_trips(trips: DataFrame, options: SilverOptions) -> DataFrame:
     return trips
 
 
+def _write_hourly_rain(lake: Lake, version: str, options: SilverOptions) -> tuple[DataFrame, int]:
+    """Write and publish the hourly rain; returns it with its exact row number."""
+    rain = read_bronze(
+        lake, "clima_pluviometria", deduplicate=options.deduplicate, columns=RAIN_COLUMNS
+    )
+    if options.scope:
+        rain = within_dates(rain, *options.scope, column="data_particao")
+    store = lake.silver_store("chuva_horaria")
+    write_files(silver.hourly_rain(rain), store.path(version))
+    hourly = lake.spark.read.parquet(store.path(version))
+    rows = hourly.count()
+    if hourly.select("data_particao", "hora_medicao").distinct().count() != rows:
+        raise AuditError("hourly rain lists an hour twice")
+    store.publish(version, rows=rows)
+    return hourly, rows
+
+
 def build_silver(
-    lake: Lake, options: SilverOptions = SilverOptions(), cluster_by: tuple[str, ...] = ()
+    lake: Lake,
+    options: SilverOptions = SilverOptions(),
+    cluster_by: tuple[str, ...] = (),
+    rules: Mapping[str, Column] | None = None,
 ) -> str:
     """Hourly rain, then the wide trip table; both published. Returns the trips' version.
 
     The hourly rain is written first, so its exact row number decides between a
-    broadcast and a shuffle join. Trips in and rows out are counted on the way.
+    broadcast and a shuffle join. Before publication the trips as written are
+    counted against the trips read, and ``rules`` must hold on every row.
     """
     version = new_version()
-    rain = read_bronze(lake, "clima_pluviometria", deduplicate=options.deduplicate)
-    if options.scope:
-        rain = within_dates(rain, *options.scope, column="data_particao")
-    hours_store = lake.silver_store("chuva_horaria")
-    hourly, hours_seen = _counted(silver.hourly_rain(rain))
-    write_files(hourly, hours_store.path(version))
-    hours = hours_seen.get["rows"]
-    hours_store.publish(version, rows=hours)
-
-    trips = read_bronze(lake, "viagens_onibus", deduplicate=options.deduplicate)
-    attributes, seen_in = _counted(silver.trip_attributes(_clean_trips(trips, options)))
-    wide, seen_out = _counted(silver.enrich(attributes, hours_store.read(), hours))
+    hourly, hours = _write_hourly_rain(lake, version, options)
+
+    trips = read_bronze(
+        lake, "viagens_onibus", deduplicate=options.deduplicate, columns=TRIP_COLUMNS
+    )
+    attributes = silver.trip_attributes(_clean_trips(trips, options))
+    wide = silver.enrich(attributes, hourly, hours)
     if cluster_by:
         wide = wide.withColumns({"ano": F.year("data_viagem"), "mes": F.month("data_viagem")})
     store = lake.silver_store("stg_viagens")
     write_files(wide, store.path(version), cluster_by)
-    rows_in, rows_out = seen_in.get["rows"], seen_out.get["rows"]
+
+    rows_in, rows_out = attributes.count(), catalog.parquet_rows(lake.spark, store.path(version))
     if rows_in != rows_out:
         raise AuditError(f"silver has {rows_out} rows for {rows_in} trips")
+    if rules:
+        quality.require(quality.expectations(lake.spark.read.parquet(store.path(version)), rules))
     store.publish(version, rows=rows_out)
     return version
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rainroute.plans.silver import HOUR_KEY, hourly_rain, trip_attributes
+
 # Lines need more trips than this to be ranked.
 MIN_TRIPS = 50
 # A relative change below this is "stable".
@@ -16,10 +18,13 @@ def _largest_first(df: DataFrame, value: str, key: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(value), F.asc_nulls_last(key))
 
 
+def _hours(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("hora_partida").agg(F.count(F.lit(1)).alias("total_viagens"))
+
+
 def peak_hours(fact: DataFrame) -> DataFrame:
     """Trips per departure hour, busiest first."""
-    hours = fact.groupBy("hora_partida").agg(F.count(F.lit(1)).alias("total_viagens"))
-    return _largest_first(hours, "total_viagens", "hora_partida")
+    return _largest_first(_hours(fact), "total_viagens", "hora_partida")
 
 
 def weekend_supply(fact: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -123,7 +128,7 @@ def hour_change_class(
 
 def hour_regime(fact: DataFrame, plateau_from: float, valley_below: float) -> DataFrame:
     """Label each hour by its share of the busiest hour: pico, plato, vale or transicao."""
-    hours = peak_hours(fact.filter(F.col("hora_partida").isNotNull()))
+    hours = _hours(fact.filter(F.col("hora_partida").isNotNull()))
     share = F.col("total_viagens") / F.max("total_viagens").over(Window.partitionBy())  # <= 24 rows
     regime = (
         F.when(F.col("fracao_do_pico") == 1, "pico")
@@ -183,8 +188,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 def unmatched_rain_share(trips: DataFrame, rain: DataFrame) -> DataFrame:
     """How many trips depart in an hour without any rain measurement (shown as 0 mm)."""
-    from rainroute.plans.silver import HOUR_KEY, hourly_rain, trip_attributes
-
     per_hour = trip_attributes(trips).groupBy(*HOUR_KEY).agg(F.count(F.lit(1)).alias("n"))
     measured = hourly_rain(rain).select(
         F.col("data_particao").alias(HOUR_KEY[0]),

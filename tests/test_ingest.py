@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from rainroute.contracts import CONTRACTS
+from rainroute.operators.quality import ExpectationError
 from rainroute.plans import jobs, questions
 from rainroute.sources import catalog, csv_files
 from rainroute.sources.versions import NotPublished, Store, write_files
@@ -260,6 +261,18 @@ def test_cleaning_before_silver_is_optional(lake, tmp_path):
     assert rows(store.read(), "id_viagem", "consorcio", "chuva_no_horario") == [("a", "INTERSUL", 4.0)]
 
 
+def test_rules_must_hold_before_silver_is_published(lake, tmp_path):
+    put(str(tmp_path / "t"), "t.csv", TRIPS, trip("a"), trip("long", minutes=999))
+    put(str(tmp_path / "r"), "r.csv", RAIN, reading("k1", 4.0))
+    load(lake, "viagens_onibus", str(tmp_path / "t"))
+    load(lake, "clima_pluviometria", str(tmp_path / "r"))
+    with pytest.raises(ExpectationError, match="duracao plausivel .1 rows"):
+        jobs.build_silver(lake, rules={"duracao plausivel": F.col("tempo_viagem") < 300})
+    with pytest.raises(NotPublished):
+        lake.silver_store("stg_viagens").read()
+    jobs.build_silver(lake, rules={"duracao positiva": F.col("tempo_viagem") > 0})
+
+
 def test_command_line(spark, tmp_path, monkeypatch, capsys):
     from rainroute import __main__ as cli
 

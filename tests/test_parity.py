@@ -5,7 +5,7 @@ from conftest import plan
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from checks import parity
+from rainroute.checks import parity
 from rainroute.contracts import CONTRACTS, DEFAULT_DATASETS
 from rainroute.operators.casting import apply_contract
 
