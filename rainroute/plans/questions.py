@@ -94,12 +94,20 @@ def day_hour_volume(fact: DataFrame) -> DataFrame:
 
 
 def _with_empty_hours(volume: DataFrame) -> DataFrame:
-    """All 24 hours of every date that has trips, empty ones with 0."""
-    grid = volume.select("data_id").distinct().select(
-        "data_id", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hora_partida")
-    )
-    return grid.join(volume, ["data_id", "hora_partida"], "left").withColumn(
-        "total_viagens", F.coalesce("total_viagens", F.lit(0))
+    """All 24 hours of every date that has trips, empty ones with 0.
+
+    A date's hours are held in one map of at most 24 entries.
+    """
+    counted = F.map_from_entries(F.collect_list(F.struct("hora_partida", "total_viagens")))
+    return (
+        volume.groupBy("data_id")
+        .agg(counted.alias("m"))
+        .select("data_id", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hora_partida"), "m")
+        .select(
+            "data_id",
+            "hora_partida",
+            F.coalesce(F.try_element_at("m", F.col("hora_partida")), F.lit(0)).alias("total_viagens"),
+        )
     )
 
 
