@@ -21,8 +21,9 @@ def hour_of_timestamp(ts: Column | str) -> Column:
 
 
 def hour_of_clock(clock: Column | str) -> Column:
-    """Hour 0-23 of an ``HH:mm:ss`` text as the contracts produce it."""
-    return F.substring(_col(clock), 1, 2).cast("int")
+    """Hour of an ``HH:mm:ss`` text as the contracts produce it; NULL outside 0-23."""
+    hour = F.substring(_col(clock), 1, 2).cast("int")
+    return F.when(hour.between(0, 23), hour)
 
 
 def is_weekend(day: Column | str) -> Column:

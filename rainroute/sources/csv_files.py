@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import csv
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +21,18 @@ def path_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def _file_name() -> Column:
+    """Name of the file a row comes from; the metadata column has it URL-encoded."""
+    name = F.col("_metadata.file_name")
+    plain = F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
+    return F.when(name.contains("%"), plain).otherwise(name)
+
+
+def _literal(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def list_csv(spark: SparkSession, folder: str) -> DataFrame | None:
     """Name, path and size of the CSV files directly in ``folder``; None if there is no folder.
 
@@ -31,7 +44,7 @@ def list_csv(spark: SparkSession, folder: str) -> DataFrame | None:
         if path_missing(error):
             return None
         raise
-    return found.select(F.col("_metadata.file_name").alias("arquivo"), "path", "length")
+    return found.select(_file_name().alias("arquivo"), "path", "length")
 
 
 @dataclass(frozen=True)
@@ -42,7 +55,7 @@ class Header:
 
 def read_header(spark: SparkSession, path: str, separator: str | None = None) -> Header:
     """First line of one file; the separator giving most columns wins if none is set."""
-    first = spark.read.text(path).first()
+    first = spark.read.text(_literal(path)).first()
     if first is None:
         raise ValueError(f"no header line in {path}")
     line = first["value"].lstrip("\ufeff")
@@ -87,7 +100,7 @@ def read_csv(
     )
     if lenient:
         reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
-    return reader.csv(folder).withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+    return reader.csv(folder).withColumn(SOURCE_FILE, _file_name())
 
 
 def infer_csv(spark: SparkSession, folder: str, separator: str = ",") -> DataFrame:
@@ -106,6 +119,6 @@ def infer_csv(spark: SparkSession, folder: str, separator: str = ",") -> DataFra
 def land(spark: SparkSession, folder: str, target: str) -> None:
     """Copy the files' lines, header included, to one directory per source file."""
     lines = spark.read.option("pathGlobFilter", CSV_ONLY).text(folder)
-    lines.select("value", F.col("_metadata.file_name").alias("arquivo")).write.mode("overwrite").partitionBy(
+    lines.select("value", _file_name().alias("arquivo")).write.mode("overwrite").partitionBy(
         "arquivo"
     ).text(target)

@@ -371,3 +371,10 @@ def test_row_count_and_preview(spark, tmp_path):
     spark.range(25).write.parquet(path)
     assert catalog.parquet_rows(spark, path) == 25
     assert catalog.preview(spark.read.parquet(path)).count() == 10
+
+
+@pytest.mark.parametrize("name", ["dados brutos.csv", "viagens [1].csv", "março,2024 {a}.CSV", "100%.csv", "a+b.csv"])
+def test_unusual_file_names(lake, inbox, name):
+    put(inbox, name, TRIPS, trip("a"))
+    assert load(lake, "viagens_onibus", inbox).rows == 1
+    assert rows(jobs.read_bronze(lake, "viagens_onibus"), "_arquivo") == [(name,)]
