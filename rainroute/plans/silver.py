@@ -69,6 +69,11 @@ def enrich(
     ).select(*[c for c in SILVER_COLUMNS if c in (*attributes.columns, "chuva_no_horario", "condicao_clima")])
 
 
+def reenrich(wide: DataFrame, hourly: DataFrame, hourly_rows: int | None, band=rain_band) -> DataFrame:
+    """Silver rows with their rain looked up again, for measurements that came after the trips."""
+    return enrich(wide.drop("chuva_no_horario", "condicao_clima"), hourly, hourly_rows, band)
+
+
 def silver_trips(trips: DataFrame, rain: DataFrame, band=rain_band) -> DataFrame:
     """Wide trip table from bronze trips and rain readings."""
     bound = hour_rows_bound(rain, "data_particao")

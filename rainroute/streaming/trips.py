@@ -40,7 +40,8 @@ def enrich_stream(trips: DataFrame, hourly: DataFrame, hourly_rows: int | None)
     """Silver rows from a stream of bronze trips and a fixed table of hourly rain.
 
     The join keeps no state. Rain that arrives after its trips is not waited
-    for: the next batch build of silver reads those trips again.
+    for: the next batch build of silver reads those trips again, or
+    ``silver.reenrich`` looks it up for rows already written.
     """
     return enrich(trip_attributes(trips), hourly, hourly_rows)
 

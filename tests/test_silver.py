@@ -128,6 +128,23 @@ def test_salted_lookup_without_broadcast(spark):
         lookup_join(left, right, ["k"], rows=1, how="full")
 
 
+def test_identical_rows_of_a_hot_key_are_spread_too(spark):
+    left = spark.range(8000, numPartitions=16).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
+    right = spark.createDataFrame([(7, "r")], "k int, r string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = lookup_join(left, right, ["k"], rows=None, salts=16)
+        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in per_task) == 8000
+        assert max(r["count"] for r in per_task) <= 4000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_unmatched_share(spark):
     trips = trips_frame(
         spark, ("a", DAY, datetime(2024, 3, 25, 6)), ("b", DAY, datetime(2024, 3, 25, 7)), ("c", DAY, None)

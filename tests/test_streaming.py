@@ -30,6 +30,11 @@ def test_csv_trips_are_enriched_and_new_rain_is_used_for_new_files(spark, tmp_pa
     put(inbox, "b.csv", TRIPS, trip("c", hour=6))
     assert pull(60.0) == [*first, ("c", 60.0, "Muito Forte")]
 
+    late = silver.reenrich(spark.read.parquet(out), hourly_frame(spark, 30.0), 1)
+    assert late.columns == list(silver.SILVER_COLUMNS)
+    assert rows(late, "id_viagem", "chuva_no_horario", "condicao_clima") == [
+        ("a", 30.0, "Forte"), ("b", 0.0, "Sem Chuva"), ("c", 30.0, "Forte")]
+
 
 def test_stream_equals_batch(spark, tiny, tmp_path):
     schema = proxy.table(spark, tiny, "lineitem").schema
