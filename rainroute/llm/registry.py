@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup, suffix_dedup
+from . import bpe, decontaminate, ngram_join, quality, substring_dedup, suffix_dedup, toxicity
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (suffix_dedup.op1_suffix_dedup, substring_dedup.op7_substring_dedup)
+    f.__name__: f
+    for f in (
+        suffix_dedup.op1_suffix_dedup,
+        decontaminate.op2_benchmark_decontamination,
+        ngram_join.op6_ngram_jaccard_join,
+        substring_dedup.op7_substring_dedup,
+        bpe.op8_bpe_encoding,
+        toxicity.op9_toxicity,
+        quality.op10_quality_classifier,
+    )
 }
 
 ORACLE: dict[str, str] = {}

@@ -281,11 +281,13 @@ def repeated_starts(docs: DataFrame, unit: Unit, solver: Solver, most: int = 16_
     """Intervals a..b of window starts that are repeated, by key; ``docs``: key, text."""
     spark = docs.sparkSession
     rows = anchor_rows(docs, unit)
-    often = (
+    # Written first: the join below then deals rows on its own, and Spark can split a hot owner.
+    often = materialise(
         rows.groupBy("owner")
         .agg(F.count("*").alias("n"), F.min("seg").alias("s0"), F.max("seg").alias("s1"))
         .where("n > 1")
-        .select("owner", (F.col("s0") == F.col("s1")).alias("alike"))
+        .select("owner", (F.col("s0") == F.col("s1")).alias("alike")),
+        "owners",
     )
     kept = materialise(rows.join(often, "owner"), "anchors")
     mixed = kept.where("not alike")
