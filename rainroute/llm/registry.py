@@ -6,13 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, ngram_join, quality, substring_dedup, suffix_dedup, toxicity
+from . import (
+    bpe,
+    decontaminate,
+    fingerprints,
+    licenses,
+    ngram_join,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    token_output,
+    toxicity,
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         suffix_dedup.op1_suffix_dedup,
         decontaminate.op2_benchmark_decontamination,
+        token_output.op3_token_output,
+        fingerprints.op4_document_fingerprints,
+        licenses.op5_license_scans,
         ngram_join.op6_ngram_jaccard_join,
         substring_dedup.op7_substring_dedup,
         bpe.op8_bpe_encoding,

@@ -138,7 +138,7 @@ def unit(width: int) -> repeats.Unit:
 
 
 def remove_repeats(docs: DataFrame, width: int = 400, column: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """All columns of ``docs`` as struct ``doc``; kept (bytes), n_bytes, n_removed, spans.
+    """Further columns of ``docs`` as struct ``doc``; kept (bytes), kept_text, was_null, n_bytes, n_removed, spans.
 
     ``spans``: start and stop of each maximal removed run, in bytes of the text.
     """
@@ -149,10 +149,11 @@ def remove_repeats(docs: DataFrame, width: int = 400, column: str = "text", id_c
     rows = docs.select(
         *key,
         F.struct(*[F.col(c) for c in docs.columns if c != column]).alias("doc"),
+        F.col(column).isNull().alias("was_null"),
         F.col(column).alias("body"),
     )
-    texts = repeats.packed(rows, "body", "k1", "k2", "doc")
-    joined = texts.join(per_doc, ["k1", "k2"], "left").select("doc", "z", "runs")
+    texts = repeats.packed(rows, "body", "k1", "k2", "doc", "was_null")
+    joined = texts.join(per_doc, ["k1", "k2"], "left").select("doc", "was_null", "z", "runs")
     doc_type = joined.schema["doc"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,17 +173,18 @@ def remove_repeats(docs: DataFrame, width: int = 400, column: str = "text", id_c
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"),
+                    batch.column("was_null"),
                     pa.array(kept, pa.binary()),
+                    pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()),
                     pa.array(size, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
                 ],
-                ["doc", "kept", "n_bytes", "n_removed", "spans"],
+                ["doc", "was_null", "kept", "kept_text", "n_bytes", "n_removed", "spans"],
             )
 
-    return arrow_map(
-        joined, cut, f"doc {doc_type}, kept binary, n_bytes long, n_removed long, spans array<struct<start:bigint,stop:bigint>>"
-    )
+    counts = "n_bytes long, n_removed long, spans array<struct<start:bigint,stop:bigint>>"
+    return arrow_map(joined, cut, f"doc {doc_type}, was_null boolean, kept binary, kept_text string, {counts}")
 
 
 def covered(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -75,12 +75,12 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return data, offsets if len(offsets) else np.zeros(len(column) + 1, np.int64)
 
 
-def runs(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes each; a longer row stands alone."""
+def runs(offsets: np.ndarray, limit: int = PIECE, most: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` bytes and ``most`` rows each; a longer row stands alone."""
     row, rows = 0, len(offsets) - 1
     while row < rows:
         stop = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        stop = min(max(stop, row + 1), rows)
+        stop = min(max(stop, row + 1), row + most, rows)
         yield row, stop
         row = stop
 
