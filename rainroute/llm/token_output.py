@@ -1,14 +1,17 @@
 """Token-ID output: all token sequences of a corpus in a training order, as fixed-stride shards.
 
-The tokens of all documents, each followed by an end token, make one stream, cut into
+The tokens of all documents, each followed by an end token (the id after the vocabulary's), make one stream, cut into
 sequences of ``length`` tokens. A keyed Feistel network permutes the sequence
 numbers; numbers beyond the last sequence are walked through it again until they fall inside.
 So every sequence has its slot without a shuffle of the whole or a list of numbers. A
 shard is a range of slots: a file of records of equal size, in the order of slots. The place of a
 slot follows from its number, so a reader can resume anywhere and reads on sequentially.
 
-A task writes a shard under a name of its own and renames it when it is whole, so a
-repeated task leaves the same file.
+Documents are tokenised twice: once to count each task's tokens, once to cut sequences. That moves
+every token once and keeps no copy of all tokens beside the shards. So ``docs`` must give the same
+rows in the same order each time, as a scan of files does; a task that finds another
+number of tokens than was counted fails. A task writes a shard under a name of its
+own and renames it when it is whole, so a repeated task leaves the same file.
 
 Defined cases: null and empty texts are one end token; repeated rows are in the stream
 once each; the last sequence is filled up with end tokens; an empty table writes no
@@ -17,25 +20,28 @@ shard and gives no rows; further columns are left out.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyarrow import fs
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainroute.session import materialise, scratch_path
 
-from . import bpe, text
+from . import bpe, repeats, text
 from .tasks import arrow_map
 
 LENGTH = 2048  # tokens of a sequence
 RECORDS = 4096  # sequences of a shard
-END = "<|endoftext|>"
 _ROUNDS = 6
 
 
@@ -57,87 +63,82 @@ def permute(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def token_rows(docs: DataFrame, spec: str) -> DataFrame:
-    """Tokens of every document with its place in the stream of its task: doc_id, part, start, n, ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(spec)
+@lru_cache(maxsize=2)
+def encoder(ranks: bytes) -> tiktoken.Encoding:
+    """Byte-level BPE from lines of token (base 64) and rank."""
+    pairs = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("vocabulary", pat_str=bpe.PATTERN, mergeable_ranks=pairs, special_tokens={})
+
+
+def public_ranks(name: str = "byte_bpe_50k.tiktoken") -> bytes:
+    """The vocabulary file, read on the driver and sent to the tasks (1 MB)."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def token_counts(docs: DataFrame, shared: Broadcast) -> dict[int, int]:
+    """Tokens of each task's documents, end tokens included: a number per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = bpe.vocabulary(shared.value)
-        end, kind = vocab.added[END], stride_type(vocab)
-        part, at = TaskContext.get().partitionId(), 0
+        encode, total = encoder(shared.value).encode_ordinary, 0
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            for a, b in bpe.batches_of(texts):
-                tokens, ends = vocab.encode_batch(texts[a:b])
-                size = np.diff(ends) + 1
-                start = at + np.cumsum(size) - size
-                at += int(size.sum())
-                ids = [
-                    np.append(tokens[x:y], end).astype(kind).tobytes()
-                    for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(a, b - a),
-                        pa.array(np.full(b - a, part)),
-                        pa.array(start),
-                        pa.array(size),
-                        pa.array(ids, pa.binary()),
-                    ],
-                    ["doc_id", "part", "start", "n", "ids"],
-                )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return arrow_map(rows, run, "doc_id long, part long, start long, n long, ids binary")
-
-
-def stride_type(vocab: bpe.Vocabulary) -> str:
-    return "<u2" if len(vocab.offsets) - 1 <= 1 << 16 else "<u4"
-
-
-def sequence_parts(tokens: DataFrame, bases: dict[int, int], count: int, length: int, records: int, key: int, width: int) -> DataFrame:
-    """Sequences, whole or the parts that a task has of them: shard, slot, sequence, offset, doc_ids, ids.
-
-    ``bases``: where the stream of each task of ``token_rows`` begins; a number per task.
+            total += sum(len(encode(x or "")) + 1 for x in batch.column("text").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([total])], ["part", "n"])
+
+    return {r.part: r.n for r in arrow_map(docs.select("text"), run, "part long, n long").collect()}
+
+
+def sequence_parts(docs: DataFrame, shared: Broadcast, counts: dict[int, int], length: int, records: int, key: int) -> DataFrame:
+    """Sequences, whole or the parts that a task has of them: shard, slot, sequence, offset, doc_ids, ids (compressed).
+
+    ``counts``: what ``token_counts`` found.
     """
+    total, bases = 0, {}
+    for part, n in sorted(counts.items()):
+        bases[part] = total
+        total += n
+    count = -(-total // length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Neighbouring documents of one stream are joined; a row group or file may start anywhere.
-        held: list[bytes] = []
+        encode, end = encoder(shared.value).encode_ordinary, encoder(shared.value).n_vocab
+        kind = stride_type(end)
+        part = TaskContext.get().partitionId()
+        position = begin = bases[part]
+        held: list[np.ndarray] = []
         ids: list[int | None] = []
-        begin = position = -1
         out: list[tuple] = []
 
         def close() -> None:
-            nonlocal held, ids
+            nonlocal begin
             if held:
-                out.append((begin // length, begin % length, list(dict.fromkeys(ids)), b"".join(held)))
-            held, ids = [], []
+                raw = np.concatenate(held).astype(kind).tobytes()
+                out.append((begin // length, begin % length, list(dict.fromkeys(ids)), repeats.squeeze(pa.py_buffer(raw))))
+            held.clear()
+            ids.clear()
+            begin = position
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "part", "start", "ids"))
-            for doc, part, start, raw in zip(*columns, strict=True):
-                at = bases[part] + start
-                if at != position:
-                    close()
-                    begin = at
-                position, done = at, 0
-                while done < len(raw):
-                    room = (length - position % length) * width
-                    piece = raw[done : done + room]
+            for doc, body in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                tokens = np.array([*encode(body or ""), end], dtype=np.int64)
+                done = 0
+                while done < len(tokens):
+                    piece = tokens[done : done + length - position % length]
                     held.append(piece)
                     ids.append(doc)
                     done += len(piece)
-                    position += len(piece) // width
+                    position += len(piece)
                     if position % length == 0:
                         close()
-                        begin = position
             if len(out) >= 500:
                 yield rows(out)
                 out = []
         close()
         if out:
             yield rows(out)
+        if position != bases[part] + counts[part]:
+            raise ValueError("the documents changed between two readings; write them to files first")
 
     def rows(out: list[tuple]) -> pa.RecordBatch:
         sequence = np.array([x[0] for x in out], dtype=np.int64)
@@ -154,7 +155,12 @@ def sequence_parts(tokens: DataFrame, bases: dict[int, int], count: int, length:
             ["shard", "slot", "sequence", "offset", "doc_ids", "ids"],
         )
 
-    return arrow_map(tokens, run, "shard int, slot long, sequence long, offset long, doc_ids array<long>, ids binary")
+    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return arrow_map(rows_in, run, "shard int, slot long, sequence long, offset long, doc_ids array<long>, ids binary")
+
+
+def stride_type(end: int) -> str:
+    return "<u2" if end < 1 << 16 else "<u4"
 
 
 def shard_name(folder: str, shard: int) -> str:
@@ -198,7 +204,7 @@ def write_shards(parts: DataFrame, folder: str, shards: int, length: int, record
                         sink = store.open_output_stream(name)
                     current[:] = [slot, sequence, of, [], []]
                 current[3] += ids
-                current[4].append(piece)
+                current[4].append(repeats.unsqueeze(piece))
             if len(out) >= 1000:
                 yield rows(out)
                 out = []
@@ -218,23 +224,16 @@ def write_shards(parts: DataFrame, folder: str, shards: int, length: int, record
     return arrow_map(dealt, run, names)
 
 
-def write_corpus(docs: DataFrame, spec: str, folder: str, length: int = LENGTH, records: int = RECORDS, key: int = 2024) -> DataFrame:
+def write_corpus(docs: DataFrame, ranks: bytes, folder: str, length: int = LENGTH, records: int = RECORDS, key: int = 2024) -> DataFrame:
     """Tokenises ``docs`` (doc_id, text) and writes the shards under ``folder``; the manifest, a row per sequence."""
-    vocab = bpe.vocabulary(spec)
-    kind = stride_type(vocab)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    end = encoder(ranks).n_vocab
+    kind = stride_type(end)
+    counts = token_counts(docs, shared)
+    shards = max(1, -(-sum(counts.values()) // (length * records)))
+    parts = sequence_parts(docs, shared, counts, length, records, key)
     width = np.dtype(kind).itemsize
-    tokens = materialise(token_rows(docs, spec), "tokens")
-    # One row per task that read the documents.
-    sums = sorted((r.part, r.n) for r in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect())
-    bases, total = {}, 0
-    for part, n in sums:
-        bases[part] = total
-        total += n
-    count = -(-total // length)
-    shards = max(1, -(-count // records))
-    parts = sequence_parts(tokens, bases, count, length, records, key, width)
-    end = np.array([vocab.added[END]], dtype=kind).tobytes()
-    return materialise(write_shards(parts, folder, shards, length, records, width, end), "manifest")
+    return materialise(write_shards(parts, folder, shards, length, records, width, np.array([end], dtype=kind).tobytes()), "manifest")
 
 
 def read_slots(folder: str, first: int, count: int, kind: str = "<u2", length: int = LENGTH, records: int = RECORDS) -> np.ndarray:
@@ -257,4 +256,4 @@ def read_slots(folder: str, first: int, count: int, kind: str = "<u2", length: i
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents`` as token shards in the shared folder; the manifest."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return write_corpus(docs, bpe.public_spec(), scratch_path(spark, "shards"))
+    return write_corpus(docs, public_ranks(), scratch_path(spark, "shards"))

@@ -1,4 +1,4 @@
-"""Toxicity: a logistic classifier over words, regularised by counterfactual texts.
+"""Toxicity: a logistic classifier over words and stems, regularised by counterfactual texts.
 
 Words that tell the labels apart are chosen from their document counts per class, over a
 bounded sample of labelled rows. In every sampled text that mentions an identity
@@ -27,6 +27,8 @@ from .tasks import arrow_map
 
 TRAINING_ROWS = 20_000
 WORDS = 512
+STEMS = (5, 6, 8)  # bytes: a stem may take many endings
+CLEAR = 4.0  # standard errors between the classes from which a word counts as telling
 THRESHOLD = 0.3
 
 #: Groups of identity terms that can stand for each other in a sentence (fixed values).
@@ -53,14 +55,28 @@ def swaps(groups=IDENTITY_GROUPS) -> dict[bytes, bytes]:
     return {g[i].encode(): g[(i + 1) % len(g)].encode() for g in groups for i in range(len(g))}
 
 
-def telling_words(rows: DataFrame, most: int = WORDS, least: int = 3) -> list[bytes]:
-    """Words whose share of documents differs most between the classes, in standard errors."""
+def features_of(body: bytes) -> set[bytes]:
+    """Words of a text, beginnings of its longer words (``^``), and those that two different words have (``^^``)."""
+    words = set(words_of(body))
+    out = set(words)
+    for size in STEMS:
+        seen: set[bytes] = set()
+        for word in words:
+            if len(word) > size:
+                stem = word[:size]
+                out.add(b"^^" + stem if stem in seen else b"^" + stem)
+                seen.add(stem)
+    return out
+
+
+def telling_words(rows: DataFrame, most: int = WORDS, least: int = 3, clear: float = CLEAR) -> list[bytes]:
+    """Words whose share of documents differs most between the classes, by ``clear`` standard errors or more."""
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[bytes, list[int]] = {}
             for body, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
-                for word in set(words_of(bytes(body.as_buffer()))):
+                for word in features_of(bytes(body.as_buffer())):
                     counts.setdefault(word, [0, 0])[label] += 1
             yield pa.RecordBatch.from_arrays(
                 [
@@ -79,6 +95,7 @@ def telling_words(rows: DataFrame, most: int = WORDS, least: int = 3) -> list[by
     top = (
         counts.where(F.col("n0") + F.col("n1") >= least)
         .withColumn("z", F.abs(F.col("n1") / b - F.col("n0") / a) / spread)
+        .where(F.col("z") >= clear)
         .orderBy(F.desc("z"), "word")
         .limit(most)
     )
@@ -93,7 +110,7 @@ def features(rows: DataFrame, words: list[bytes], terms: dict[bytes, bytes]):
         for batch in batches:
             plain, swapped = [], []
             for body in batch.column("text"):
-                found = set(words_of(bytes(body.as_buffer())))
+                found = features_of(bytes(body.as_buffer()))
                 plain.append(sorted(number[w] for w in found if w in number))
                 other = {terms.get(w, w) for w in found}
                 swapped.append(sorted(number[w] for w in other if w in number) if other != found else None)
@@ -114,7 +131,7 @@ def dense(lists, width: int) -> np.ndarray:
     return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, change: np.ndarray, ridge: float = 0.05, fairness: float = 10.0, steps: int = 12) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, change: np.ndarray, ridge: float = 0.2, fairness: float = 10.0, steps: int = 12) -> np.ndarray:
     """Weights that minimise log loss + ridge |w|**2 / 2 + fairness / 2 * sum((change @ w)**2).
 
     ``change``: rows of a counterfactual text less the text. The last column of ``x`` is the intercept.
@@ -159,7 +176,7 @@ def score(docs: DataFrame, weights: dict[bytes, float], intercept: float, column
         for batch in batches:
             out = []
             for body in batch.column("z"):
-                logit = base + sum(known[w] for w in sorted(known.keys() & set(words_of(bytes(body.as_buffer())))))
+                logit = base + sum(known[w] for w in sorted(known.keys() & features_of(bytes(body.as_buffer()))))
                 out.append(1 / (1 + math.exp(-logit)) if logit > -500 else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(out, pa.float64())], ["doc", "score"])
 
