@@ -1,8 +1,4 @@
-"""spark-submit entry: load the default datasets of one run date and rebuild the layers.
-
-    spark-submit ... -m rainroute --lake s3a://bucket/lake --run-date 2024-08-24 \
-        --source viagens_onibus=s3a://in/trips --source clima_pluviometria=s3a://in/rain
-"""
+"""Command line: load the default datasets of one run date and rebuild the layers (see ``submit.py``)."""
 
 from __future__ import annotations
 

@@ -43,6 +43,7 @@ _HOURLY = """
 hourly AS (SELECT dia, hora, avg(mm) AS mm FROM rain GROUP BY ALL)"""
 
 
+# Limits and labels of the rain bands.
 def _bands(mm: str) -> str:
     return (
         f"CASE WHEN {mm} >= 0.1 AND {mm} <= 5 THEN 'Fraca' WHEN {mm} >= 5 AND {mm} <= 25 THEN 'Moderada' "
@@ -294,11 +295,11 @@ SELECT * EXCLUDE (place) FROM (
     FROM lineitem)
 WHERE place = 1""",
     "duration_range_filter": _on_silver(
-        "SELECT id_viagem, linha, tempo_viagem FROM silver WHERE tempo_viagem BETWEEN 3 AND 45"
+        "SELECT id_viagem, linha, tempo_viagem FROM silver WHERE coalesce(tempo_viagem BETWEEN 3 AND 45, true)"
     ),
     "duration_outlier_filter": _on_silver(
-        "SELECT id_viagem, linha, tempo_viagem FROM silver JOIN fences USING (linha) "
-        "WHERE tempo_viagem BETWEEN low AND high",
+        "SELECT id_viagem, linha, tempo_viagem FROM silver LEFT JOIN fences USING (linha) "
+        "WHERE coalesce(tempo_viagem BETWEEN low AND high, true)",
         "\nfences AS (SELECT linha, quantile_cont(CAST(tempo_viagem AS DOUBLE), 0.05) AS low, "
         "quantile_cont(CAST(tempo_viagem AS DOUBLE), 0.95) AS high FROM silver GROUP BY linha)",
     ),
@@ -367,8 +368,51 @@ ORACLE["stream_enriched_trips"] = ORACLE["silver_trips"]
 ORACLE["stream_hourly_counts"] = """
 SELECT hora AS inicio, hora + INTERVAL 1 HOUR AS fim, event_type, count(*) AS total
 FROM (SELECT date_trunc('hour', ts) AS hora, event_type FROM events)
-WHERE hora + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
 GROUP BY hora, event_type"""
+ORACLE["two_deliveries_one_date"] = ORACLE["mixed_headers_to_bronze"] = ORACLE["bronze_trips"]
+ORACLE["rollback_to_first"] = ORACLE["rain_hourly"]
+ORACLE["bronze_lineage"] = (
+    "SELECT 2024 AS ano, 8 AS mes, 24 AS dia, CAST(1 AS BIGINT) AS versoes, count(*) AS linhas, "
+    "CAST(0 AS BIGINT) AS sem_arquivo FROM lineitem"
+)
+ORACLE["silver_view"] = _on_silver(
+    "SELECT condicao_clima, count(*) AS viagens, CAST(sum(tempo_viagem) AS BIGINT) AS minutos FROM silver GROUP BY 1"
+)
+_BEFORE, _AFTER = "data_viagem < DATE '1997-01-01'", "data_viagem >= DATE '1997-01-01'"
+_HISTORY = f"""
+history AS (
+    SELECT linha, avg(tempo_viagem) AS media_linha, coalesce(stddev_samp(tempo_viagem), 0) AS desvio_linha
+    FROM silver WHERE linha IS NOT NULL AND {_BEFORE} GROUP BY linha
+)"""
+ORACLE["eta_line_history"] = _on_silver(
+    "SELECT linha, round(media_linha, 6) AS media_linha, round(desvio_linha, 6) AS desvio_linha FROM history", _HISTORY
+)
+ORACLE["eta_baseline_errors"] = _on_silver(
+    "SELECT count(tempo_viagem) AS viagens, round(avg(abs(media_linha - tempo_viagem)), 4) AS erro_absoluto_medio, "
+    "round(sqrt(avg((media_linha - tempo_viagem) * (media_linha - tempo_viagem))), 4) AS raiz_erro_quadratico "
+    f"FROM silver JOIN history USING (linha) WHERE {_AFTER}",
+    _HISTORY,
+)
+
+
+def _places(question: str, value: str, order: str, source: str) -> str:
+    return (
+        f"SELECT '{question}' AS pergunta, row_number() OVER (ORDER BY {order}) AS posicao, "
+        f"CAST({value} AS VARCHAR) AS valor FROM ({source})"
+    )
+
+
+ORACLE["question_order"] = _on_silver(
+    "\nUNION ALL ".join(
+        (
+            _places("q1", "hora_partida", "n DESC, hora_partida", "SELECT hora_partida, count(*) AS n FROM silver GROUP BY 1"),
+            _places("q3", "consorcio", "m DESC, consorcio", "SELECT consorcio, avg(tempo_viagem) AS m FROM silver GROUP BY 1"),
+            _places("q4", "linha", "exact DESC NULLS LAST, linha", "SELECT * FROM spread ORDER BY exact DESC NULLS LAST, linha LIMIT 15"),
+            _places("q5", "condicao_clima", "m DESC, condicao_clima", "SELECT condicao_clima, avg(tempo_viagem) AS m FROM silver GROUP BY 1"),
+        )
+    ),
+    _SPREAD,
+)
 ORACLE["as_of_version"] = ORACLE["rain_hourly"]
 ORACLE["row_count"] = "SELECT count(*) AS linhas FROM lineitem"
 ORACLE["lenient_rejects"] = """

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rainroute.contracts import CONTRACTS, schema_from_ddl
 from rainroute.functions import mapped_name, rain_band_contiguous
@@ -29,6 +31,7 @@ DURATION_QUANTILES = (0.05, 0.95)
 PLATEAU_FROM, VALLEY_BELOW = 0.99, 0.95
 FLEET_YEAR = 2025
 RUN_DATE = date(2024, 8, 24)
+ETA_SPLIT = date(1997, 1, 1)
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -92,11 +95,6 @@ def _silver(spark, sf, **options) -> DataFrame:
     return silver.silver_trips(proxy.trips(spark, sf, **options), proxy.rain(spark, sf))
 
 
-def _dry_silver(spark, sf, **options) -> DataFrame:
-    """Silver without its rain columns, for answers that do not use them."""
-    return silver.trip_attributes(proxy.trips(spark, sf, **options))
-
-
 def rain_hourly(spark, sf):
     return rounded(silver.hourly_rain(proxy.rain(spark, sf)), "avg_chuva_1h")
 
@@ -112,32 +110,32 @@ def silver_trips_preclassified(spark, sf):
 
 def rain_band_gap_free(spark, sf):
     wide = silver.silver_trips(
-        proxy.trips(spark, sf, consortium=False), proxy.rain(spark, sf), rain_band_contiguous
+        proxy.trips(spark, sf), proxy.rain(spark, sf), rain_band_contiguous
     )
     return questions.rain_volume(gold.fact_trips(wide))
 
 
 def rain_unmatched(spark, sf):
-    return questions.unmatched_rain_share(proxy.trips(spark, sf, consortium=False), proxy.rain(spark, sf))
+    return questions.unmatched_rain_share(proxy.trips(spark, sf), proxy.rain(spark, sf))
 
 
 # --- Gold ---------------------------------------------------------------------
 
 
 def dim_calendar(spark, sf):
-    return gold.dim_calendar(_dry_silver(spark, sf, consortium=False))
+    return gold.dim_calendar(_silver(spark, sf))
 
 
 def dim_calendar_clash(spark, sf):
-    return gold.dim_calendar(_dry_silver(spark, sf, consortium=False, clashing_day_type=True))
+    return gold.dim_calendar(_silver(spark, sf, clashing_day_type=True))
 
 
 def dim_consortium(spark, sf):
-    return gold.dim_consortium(_dry_silver(spark, sf))
+    return gold.dim_consortium(_silver(spark, sf))
 
 
 def dim_weather(spark, sf):
-    return gold.dim_weather(_silver(spark, sf, consortium=False))
+    return gold.dim_weather(_silver(spark, sf))
 
 
 def fact_trips(spark, sf):
@@ -151,78 +149,74 @@ def _fact(spark, sf, **options) -> DataFrame:
     return gold.fact_trips(_silver(spark, sf, **options))
 
 
-def _dry_fact(spark, sf, **options) -> DataFrame:
-    return gold.fact_trips(_dry_silver(spark, sf, **options))
-
-
 def q1_peak_hours(spark, sf):
-    return questions.peak_hours(_dry_fact(spark, sf, consortium=False))
+    return questions.peak_hours(_fact(spark, sf))
 
 
 def q2_weekend_supply(spark, sf):
-    base = _dry_silver(spark, sf, consortium=False)
+    base = _silver(spark, sf)
     return questions.weekend_supply(gold.fact_trips(base), gold.dim_calendar(base))
 
 
 def q2_weekend_supply_clash(spark, sf):
-    base = _dry_silver(spark, sf, consortium=False, clashing_day_type=True)
+    base = _silver(spark, sf, clashing_day_type=True)
     return questions.weekend_supply(gold.fact_trips(base), gold.dim_calendar(base))
 
 
 def q3_consortium_duration(spark, sf):
-    return rounded(questions.consortium_duration(_dry_fact(spark, sf)), "tempo_medio_minutos")
+    return rounded(questions.consortium_duration(_fact(spark, sf)), "tempo_medio_minutos")
 
 
 def q4_line_unpredictability(spark, sf):
-    lines = questions.line_unpredictability(_dry_fact(spark, sf, consortium=False))
+    lines = questions.line_unpredictability(_fact(spark, sf))
     return rounded(lines, "media_minutos", "desvio_padrao")
 
 
 def q5_rain_duration(spark, sf):
-    return rounded(questions.rain_duration(_fact(spark, sf, consortium=False)), "tempo_medio")
+    return rounded(questions.rain_duration(_fact(spark, sf)), "tempo_medio")
 
 
 def q6_rain_volume(spark, sf):
-    return questions.rain_volume(_fact(spark, sf, consortium=False))
+    return questions.rain_volume(_fact(spark, sf))
 
 
 def top15_lines(spark, sf):
-    lines = questions.least_predictable_lines(_dry_fact(spark, sf, consortium=False))
+    lines = questions.least_predictable_lines(_fact(spark, sf))
     return rounded(lines, "media_minutos", "desvio_padrao")
 
 
 def day_hour_volume(spark, sf):
-    return questions.day_hour_volume(_dry_fact(spark, sf, consortium=False))
+    return questions.day_hour_volume(_fact(spark, sf))
 
 
 def hour_change_class(spark, sf):
-    return questions.hour_change_class(_dry_fact(spark, sf, consortium=False))
+    return questions.hour_change_class(_fact(spark, sf))
 
 
 def hour_change_class_filled(spark, sf):
-    return questions.hour_change_class(_dry_fact(spark, sf, consortium=False), fill_gaps=True)
+    return questions.hour_change_class(_fact(spark, sf), fill_gaps=True)
 
 
 def hour_regime(spark, sf):
-    regimes = questions.hour_regime(_dry_fact(spark, sf, consortium=False), PLATEAU_FROM, VALLEY_BELOW)
+    regimes = questions.hour_regime(_fact(spark, sf), PLATEAU_FROM, VALLEY_BELOW)
     return rounded(regimes, "fracao_do_pico")
 
 
 def day_category_share(spark, sf):
-    base = _dry_silver(spark, sf, consortium=False)
+    base = _silver(spark, sf)
     shares = questions.day_category_share(gold.fact_trips(base), gold.dim_calendar(base))
     return rounded(shares, "percentual")
 
 
 def rainy_day_duration(spark, sf):
     answer = questions.rainy_day_duration(
-        _dry_fact(spark, sf, consortium=False), proxy.rain(spark, sf), RAINY_DAY_MM
+        _fact(spark, sf), proxy.rain(spark, sf), RAINY_DAY_MM
     )
     return rounded(answer, "tempo_medio")
 
 
 def consortium_pace(spark, sf):
-    return rounded(questions.consortium_pace(_dry_fact(spark, sf)), "minutos_por_km")
+    return rounded(questions.consortium_pace(_fact(spark, sf)), "minutos_por_km")
 
 
 def rain_by_station(spark, sf):
@@ -247,12 +241,12 @@ def trip_dedup(spark, sf):
 
 
 def duration_range_filter(spark, sf):
-    kept = outliers.within_range(_dry_fact(spark, sf, consortium=False), "tempo_viagem", *DURATION_RANGE)
+    kept = outliers.within_range(_fact(spark, sf), "tempo_viagem", *DURATION_RANGE)
     return kept.select("id_viagem", "linha", "tempo_viagem")
 
 
 def duration_outlier_filter(spark, sf):
-    narrow = _dry_fact(spark, sf, consortium=False).select("id_viagem", "linha", "tempo_viagem")
+    narrow = _fact(spark, sf).select("id_viagem", "linha", "tempo_viagem")
     return outliers.within_fences(narrow, "linha", "tempo_viagem", *DURATION_QUANTILES)
 
 
@@ -266,20 +260,17 @@ def _untidy(name, key):
 
 
 def consortium_normalise(spark, sf):
-    items = proxy.table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey")
-    counted = items.groupBy("l_suppkey", (F.col("l_orderkey") % 3).alias("k")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    named = proxy.with_region(spark, sf, counted)
-    spelled = named.select("n", _untidy(F.col("r_name"), F.col("k")).alias("consorcio"))
-    tidy = mapped_name("consorcio", {"MIDDLE EAST": "ORIENTE MEDIO"})
-    return spelled.groupBy(tidy.alias("consorcio")).agg(F.sum("n").alias("total_viagens"))
+    """Trips with untidy consortium names, tidied trip by trip as the job does, then counted."""
+    trips = proxy.trips(spark, sf)
+    spelled = trips.withColumn("consorcio", _untidy(F.col("consorcio"), F.xxhash64("id_viagem") % 3))
+    tidy = spelled.withColumn("consorcio", mapped_name("consorcio", {"MIDDLE EAST": "ORIENTE MEDIO"}))
+    return tidy.groupBy("consorcio").agg(F.count(F.lit(1)).alias("total_viagens"))
 
 
 def scope_filter(spark, sf):
     inside = scope.within_dates(proxy.table(spark, sf, "lineitem"), *SCOPE, column="l_shipdate")
-    wide = proxy.trips(spark, sf, consortium=False, lineitem=inside)
-    return gold.fact_trips(silver.trip_attributes(wide)).select(
+    wide = proxy.trips(spark, sf, lineitem=inside)
+    return gold.fact_trips(silver.silver_trips(wide, proxy.rain(spark, sf))).select(
         "id_viagem", "data_id", "hora_partida", "tempo_viagem"
     )
 
@@ -323,7 +314,7 @@ def schema_drift(spark, sf):
 
 
 def layer_expectations(spark, sf):
-    fact = _dry_fact(spark, sf)
+    fact = _fact(spark, sf)
     rules = {
         "id_viagem presente": F.col("id_viagem").isNotNull(),
         "hora entre 0 e 23": F.col("hora_partida").between(0, 23),
@@ -352,6 +343,27 @@ def _export(df: DataFrame, key: str, folder: str) -> None:
     df.repartitionByRange(key).write.option("header", True).csv(folder)
 
 
+def _ordered(df: DataFrame) -> DataFrame:
+    """The rows of a result with their place in it."""
+    numbered = df.rdd.zipWithIndex().map(lambda pair: (*pair[0], pair[1] + 1))
+    return df.sparkSession.createDataFrame(numbered, T.StructType(df.schema.fields).add("posicao", "long"))
+
+
+def question_order(spark, sf):
+    """The order of the answers to four questions: question, place, and what stands there."""
+    fact = materialise(_fact(spark, sf), "fact")
+    named = (
+        ("q1", questions.peak_hours(fact), "hora_partida"),
+        ("q3", questions.consortium_duration(fact), "consorcio_id"),
+        ("q4", questions.least_predictable_lines(fact), "linha"),
+        ("q5", questions.rain_duration(fact), "clima_id"),
+    )
+    answers = [
+        _ordered(df).select(F.lit(q).alias("pergunta"), "posicao", F.col(c).cast("string").alias("valor")) for q, df, c in named
+    ]
+    return reduce(DataFrame.unionAll, answers)
+
+
 def _loaded_lake(spark, sf, *names: str) -> jobs.Lake:
     root = scratch_path(spark, "lake")
     inputs = {
@@ -375,6 +387,58 @@ def csv_to_bronze(spark, sf):
     )
 
 
+def _two_deliveries(spark, sf, mixed: bool) -> jobs.Lake:
+    """Trips in two folders of CSV files that come one after the other for one run date."""
+    root = scratch_path(spark, "lake")
+    lake = jobs.Lake.under(spark, root)
+    trips = proxy.trips(spark, sf)
+    even = F.pmod(F.xxhash64("id_viagem"), F.lit(2)) == 0
+    other = [*reversed(trips.columns)] if mixed else trips.columns
+    for name, part in (("a", trips.filter(even)), ("b", trips.filter(~even).select(*other))):
+        folder = f"{root}/entrada" if mixed else f"{root}/entrada/{name}"
+        part.repartitionByRange("id_viagem").write.mode("append").option("header", True).csv(folder)
+        if not mixed:
+            jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset("viagens_onibus", folder)], RUN_DATE))
+    if mixed:
+        jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset("viagens_onibus", f"{root}/entrada")], RUN_DATE))
+    return lake
+
+
+def _contract_columns(lake: jobs.Lake) -> DataFrame:
+    return jobs.read_bronze(lake, "viagens_onibus").select(*CONTRACTS["viagens_onibus"].schema.names)
+
+
+def two_deliveries_one_date(spark, sf):
+    """Two disjoint deliveries of one run date: readers see both."""
+    return _contract_columns(_two_deliveries(spark, sf, mixed=False))
+
+
+def mixed_headers_to_bronze(spark, sf):
+    """Files of one folder whose columns stand in different orders."""
+    return _contract_columns(_two_deliveries(spark, sf, mixed=True))
+
+
+def bronze_lineage(spark, sf):
+    """Bronze rows by run date and by whether file and version are known, through the view with lineage."""
+    _loaded_lake(spark, sf, "viagens_onibus")
+    return spark.sql(
+        "SELECT ano, mes, dia, count(DISTINCT carga) AS versoes, count(*) AS linhas,"
+        " count_if(_arquivo IS NULL OR _arquivo NOT LIKE '%.csv') AS sem_arquivo"
+        " FROM bronze.viagens_onibus_linhagem GROUP BY ano, mes, dia"
+    )
+
+
+def silver_view(spark, sf):
+    """Trips and minutes by rain band, from the SQL view over published silver."""
+    lake = _loaded_lake(spark, sf, "viagens_onibus", "clima_pluviometria")
+    jobs.build_silver(lake)
+    jobs.register_silver(lake)
+    return spark.sql(
+        "SELECT condicao_clima, count(*) AS viagens, sum(tempo_viagem) AS minutos"
+        " FROM silver.viagens_processadas GROUP BY condicao_clima"
+    )
+
+
 def published_star_answer(spark, sf):
     """CSV to bronze to silver to gold, all published; then the rain question on the gold table."""
     lake = _loaded_lake(spark, sf, "viagens_onibus", "clima_pluviometria", "estacoes_clima")
@@ -397,6 +461,18 @@ def as_of_version(spark, sf):
     return rounded(store.read(as_of=first), "avg_chuva_1h")
 
 
+def rollback_to_first(spark, sf):
+    """Hourly rain after three versions and two rollbacks, the second one by name."""
+    store = Store(spark, scratch_path(spark, "versions"))
+    hourly = silver.hourly_rain(proxy.rain(spark, sf))
+    for n, version in enumerate(("v1", "v2", "v3"), 1):
+        write_files(hourly.withColumn("avg_chuva_1h", F.col("avg_chuva_1h") * n), store.path(version))
+        store.publish(version)
+    store.rollback()
+    store.rollback(to="v1")
+    return rounded(store.read(), "avg_chuva_1h")
+
+
 def _file_stream(spark, sf, name: str) -> DataFrame:
     schema = proxy.table(spark, sf, name).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
@@ -415,19 +491,39 @@ def stream_enriched_trips(spark, sf):
 
 
 def stream_hourly_counts(spark, sf):
-    """Hours whose watermark (one hour behind the latest event) has passed."""
+    """All hours, those that are still open included."""
     root = scratch_path(spark, "stream")
     counts = trips_stream.hourly_counts(_file_stream(spark, sf, "events"), "ts", "event_type", "1 hour")
-    trips_stream.write_available(counts, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.schema(counts.schema).parquet(f"{root}/out")
+    store = Store(spark, f"{root}/out")
+    trips_stream.write_all(counts, store, f"{root}/checkpoint")
+    return store.read(schema=counts.schema)
+
+
+def _eta_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Trips before and from the split date on: history and model come from the first part only."""
+    fact = materialise(_fact(spark, sf), "fact")
+    return fact.filter(F.col("data_id") < F.lit(ETA_SPLIT)), fact.filter(F.col("data_id") >= F.lit(ETA_SPLIT))
+
+
+def eta_line_history(spark, sf):
+    """What the regression knows of each line: mean and deviation before the split date."""
+    return rounded(eta.line_history(_eta_parts(spark, sf)[0]), "media_linha", "desvio_linha")
+
+
+def eta_baseline_errors(spark, sf):
+    """Error of the line's mean as a forecast for later trips."""
+    before, after = _eta_parts(spark, sf)
+    known = eta.eta_features(after, eta.line_history(before)).withColumn("tempo_previsto", F.col("media_linha"))
+    return rounded(eta.errors(known), "erro_absoluto_medio", "raiz_erro_quadratico", digits=4)
 
 
 def eta_errors(spark, sf):
-    """Regression fitted and judged on all trips: error in minutes."""
-    fact = materialise(_fact(spark, sf, consortium=False), "fact")
-    features = eta.eta_features(fact, eta.line_history(fact))
+    """Regression fitted before the split date and judged on the trips after it: error in minutes."""
+    before, after = _eta_parts(spark, sf)
+    history = eta.line_history(before)
+    model = eta.fit(eta.eta_features(before, history))
     return rounded(
-        eta.errors(eta.predict(eta.fit(features), features)),
+        eta.errors(eta.predict(model, eta.eta_features(after, history))),
         "erro_absoluto_medio",
         "raiz_erro_quadratico",
         digits=4,
@@ -483,6 +579,14 @@ REGISTRY: dict[str, Query] = {
         lineage_by_file,
         csv_to_bronze,
         published_star_answer,
+        question_order,
+        two_deliveries_one_date,
+        mixed_headers_to_bronze,
+        bronze_lineage,
+        silver_view,
+        rollback_to_first,
+        eta_line_history,
+        eta_baseline_errors,
         as_of_version,
         stream_enriched_trips,
         stream_hourly_counts,

@@ -21,8 +21,8 @@ def hour_of_timestamp(ts: Column | str) -> Column:
 
 
 def hour_of_clock(clock: Column | str) -> Column:
-    """Hour of an ``HH:mm:ss`` text as the contracts produce it; NULL outside 0-23."""
-    hour = F.substring(_col(clock), 1, 2).cast("int")
+    """Hour of an ``HH:mm:ss`` text as the contracts produce it; NULL outside 0-23 and for other text."""
+    hour = F.substring(_col(clock), 1, 2).try_cast("int")
     return F.when(hour.between(0, 23), hour)
 
 

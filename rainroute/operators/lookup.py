@@ -1,8 +1,8 @@
 """Row-preserving lookups against a side that is unique on the join key.
 
-A side is broadcast only when the caller proves a bound on its rows. Otherwise
-both sides are shuffled, the big one salted so that a hot key is spread over
-many tasks; AQE splits whatever is still too large.
+A side is broadcast when its exact row number is known and small. Otherwise the join is left to
+Spark: adaptive execution broadcasts what turns out small and splits the partition of a hot
+key, and only the columns that are used later are shuffled.
 """
 
 from __future__ import annotations
@@ -12,10 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# About 64 MB as a hashed relation of narrow rows.
-BROADCAST_ROWS = 1_000_000
-SALTS = 32
-_SALT = "__salt"
+# Bytes of a hashed relation; a row costs its columns' widths and about this much besides.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES, TEXT_BYTES = 32, 64
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated width of a row: 8 bytes a column, more for text."""
+    return ROW_BYTES + sum(TEXT_BYTES if kind == "string" else 8 for _, kind in df.dtypes)
 
 
 def lookup_join(
@@ -25,30 +29,19 @@ def lookup_join(
     *,
     rows: int | None,
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``right`` (unique on ``keys``) to ``left``.
 
-    ``rows`` is a proven upper bound on ``right``'s rows, None if unknown.
+    ``rows`` is ``right``'s exact row number or an upper bound, None if unknown.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
-    keys = list(keys)
-    if rows is not None and rows <= broadcast_rows:
-        return left.join(F.broadcast(right), keys, how)
-    # Row hash plus input partition: rows of one key spread, identical copies too, and
-    # a recomputed task sends each row to the same place again. So do NULL keys,
-    # which match nothing.
-    spread = F.xxhash64(*left.columns) + F.spark_partition_id()
-    salted = left.withColumn(_SALT, F.pmod(spread, F.lit(salts)).cast("int"))
-    copies = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, _SALT], how).drop(_SALT)
-
-
-def hour_rows_bound(readings: DataFrame, day: str) -> int:
-    """Proven bound on the groups of (day, hour 0-23 or NULL): one narrow min/max scan."""
-    span = readings.agg(
-        (F.datediff(F.max(day), F.min(day)) + F.lit(1)).alias("days")
-    ).first()
-    return 25 * ((span["days"] or 0) + 1)
+    if rows is not None and rows * row_bytes(right) <= broadcast_bytes:
+        right = F.broadcast(right)
+    return left.join(right, list(keys), how)
+
+
+def group_rows(df: DataFrame, *keys) -> int:
+    """Exact number of groups of the keys; one narrow aggregate."""
+    return df.groupBy(*keys).agg(F.lit(1).alias("one")).count()

@@ -4,22 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from rainroute.operators.lookup import lookup_join
-from rainroute.session import materialise
+from pyspark.sql import types as T
 
 
 def within_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    """Rows whose value lies in [low, high]; a NULL value is dropped."""
-    return df.filter(F.col(column).between(low, high))
+    """Rows whose value lies in [low, high]; a missing value is not an implausible one and stays."""
+    return df.filter(F.col(column).between(low, high) | F.col(column).isNull())
 
 
 def quantile_fences(df: DataFrame, group: str, column: str, low: float, high: float) -> DataFrame:
     """Exact interpolated quantiles per group, NULL values left out.
 
     Values are counted first: durations are whole minutes, so a group comes down
-    to one row per distinct minute on the map side, however many trips it has.
+    to one row per distinct minute on the map side, however many trips it has. Other
+    types are refused, since nothing bounds their distinct values.
     """
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{column} is {kind.simpleString()}; fences need whole numbers")
     counted = df.groupBy(group, column).agg(F.count(column).alias("n")).filter(F.col("n") > 0)
     return counted.groupBy(group).agg(
         F.percentile(column, F.lit(low), F.col("n")).alias("limite_inferior"),
@@ -28,14 +30,12 @@ def quantile_fences(df: DataFrame, group: str, column: str, low: float, high: fl
 
 
 def within_fences(df: DataFrame, group: str, column: str, low: float, high: float) -> DataFrame:
-    """Rows between the ``low`` and ``high`` quantile of their group (NULL group: dropped).
+    """Rows between the ``low`` and ``high`` quantile of their group.
 
-    The fences are written once, so their row number is known before the join
-    chooses between broadcast and shuffle.
+    Rows that cannot be judged, without a value or without a group, stay. The join is
+    left to Spark, which knows the size of the fences when they are there.
     """
-    fences = materialise(
-        quantile_fences(df, group, column, low, high).filter(F.col(group).isNotNull()), "fences"
-    )
-    joined = lookup_join(df, fences, [group], rows=fences.count(), how="inner")
+    fences = quantile_fences(df, group, column, low, high)
+    joined = df.join(fences, group, "left")
     kept = F.col(column).between(F.col("limite_inferior"), F.col("limite_superior"))
-    return joined.filter(kept).select(*df.columns)
+    return joined.filter(F.coalesce(kept, F.lit(True)) | F.col(group).isNull()).select(*df.columns)

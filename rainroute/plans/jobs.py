@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,50 +119,57 @@ def _fitted(raw: DataFrame, dataset: Dataset) -> DataFrame:
     ).drop(MALFORMED)
 
 
-def _audit_files(written: DataFrame, files: DataFrame) -> tuple[int, int]:
-    """Clean and rejected rows as written; every listed file must have a clean row."""
-    per_file = written.groupBy(F.col(SOURCE_FILE).alias("arquivo")).agg(
+def _audit_files(written: DataFrame, names: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """Clean and rejected rows of each file as written; every listed file must have a clean row."""
+    per_file = written.groupBy(SOURCE_FILE).agg(
         F.count_if(F.col(REJECTS).isNull()).alias("limpas"),
         F.count_if(F.col(REJECTS).isNotNull()).alias("rejeitadas"),
     )
-    seen = files.select("arquivo").join(per_file, "arquivo", "left")
-    empty = F.coalesce("limpas", F.lit(0)) == 0
-    found = seen.agg(
-        F.sum("limpas").alias("limpas"),
-        F.sum("rejeitadas").alias("rejeitadas"),
-        F.count_if(empty).alias("vazios"),
-        F.min(F.when(empty, F.col("arquivo"))).alias("exemplo"),
-    ).first()
-    if found["vazios"]:
-        raise AuditError(f"no data rows in {found['vazios']} file(s), such as {found['exemplo']}")
-    return found["limpas"], found["rejeitadas"]
+    found = {r[SOURCE_FILE]: (r["limpas"], r["rejeitadas"]) for r in per_file.collect()}  # a row per file
+    empty = sorted(n for n in names if not found.get(n, (0, 0))[0])
+    if empty:
+        raise AuditError(f"no data rows in {len(empty)} file(s), such as {empty[0]}")
+    return found
+
+
+def _require_columns(dataset: Dataset, header: csv_files.Header, names: Sequence[str]) -> None:
+    have = {c.lower() for c in header.columns}
+    missing = [f.name for f in CONTRACTS[dataset.name].schema.fields if f.name.lower() not in have]
+    if missing:
+        raise ValueError(f"{names[0]} has no column {', '.join(missing)}")
 
 
 def ingest(lake: Lake, dataset: Dataset, run_date: date) -> LoadResult:
     """Landing copy and bronze load of one dataset for one run date.
 
-    Written to a new version, audited, then published; a repeated run date
-    replaces what readers see of that date.
+    The folder is listed once; files with different headers are fitted to the contract each
+    with its own. Rows go to a new version and are audited; then the landing copy is written and
+    the files are published. A file delivered again for the date replaces itself, other files stay.
     """
     spark = lake.spark
     files = csv_files.list_csv(spark, dataset.source) if dataset.source else None
-    first = files.orderBy("path").first() if files is not None else None
-    if first is None:
+    listed = {r["path"]: r["arquivo"] for r in files.collect()} if files is not None else {}  # a row per file
+    if not listed:
         return LoadResult(dataset.name, "skipped")
 
-    csv_files.land(spark, dataset.source, f"{lake.landing}/{dataset.name}/{run_date:%Y/%m/%d}")
-
-    header = csv_files.read_header(spark, first["path"], dataset.separator)
-    raw = csv_files.read_csv(spark, dataset.source, header, dataset.mode, dataset.multiline)
     contract = {f.name.lower() for f in CONTRACTS[dataset.name].schema.fields}
-    unknown = tuple(c for c in header.columns if c.lower() not in contract)
+    unknown: list[str] = []
+    parts = []
+    for header, paths in csv_files.by_header(spark, sorted(listed), dataset.separator).items():
+        if dataset.mode == "strict":
+            _require_columns(dataset, header, [listed[p] for p in paths])
+        unknown += [c for c in header.columns if c.lower() not in contract]
+        raw = csv_files.read_csv(spark, paths, header, dataset.mode, dataset.multiline)
+        parts.append(_fitted(raw, dataset))
 
     store, version, slot = lake.bronze_store(dataset.name), new_version(), run_slot(run_date)
-    write_files(_fitted(raw, dataset), store.path(version, slot))
+    write_files(reduce(DataFrame.unionByName, parts), store.path(version, slot))
     written = spark.read.schema(bronze_file_schema(dataset.name)).parquet(store.path(version, slot))
-    clean, bad = _audit_files(written, files)
-    store.publish(version, slot, clean)
-    return LoadResult(dataset.name, "published", version, clean, bad, unknown)
+    found = _audit_files(written, list(listed.values()))
+    csv_files.land(spark, sorted(listed), f"{lake.landing}/{dataset.name}/{run_date:%Y/%m/%d}")
+    store.publish_all(version, {f"{slot}/{SOURCE_FILE}={name}": clean for name, (clean, _) in found.items()})
+    clean, bad = (sum(n[i] for n in found.values()) for i in (0, 1))
+    return LoadResult(dataset.name, "published", version, clean, bad, tuple(dict.fromkeys(unknown)))
 
 
 def load_datasets(
@@ -182,7 +190,11 @@ def load_datasets(
         raise AssertionError("unreachable")
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        return list(pool.map(attempt, datasets))
+        results = list(pool.map(attempt, datasets))
+    for result in results:
+        if result.status == "published":
+            register_bronze(lake, result.dataset)
+    return results
 
 
 def require_all(results: Sequence[LoadResult]) -> None:
@@ -203,7 +215,7 @@ def read_bronze(
     ``deduplicate`` keeps, per contract key, the row of the latest run date.
     ``columns`` narrows the rows before that, so that less is shuffled.
     """
-    df = lake.bronze_store(dataset).read(schema=_bronze_table_schema(dataset), as_of=as_of, slots=True)
+    df = lake.bronze_store(dataset).read_files(_bronze_table_schema(dataset), SOURCE_FILE, as_of)
     clean = df.filter(F.col(REJECTS).isNull()).drop(REJECTS)
     key, run = CONTRACTS[dataset].key, ["ano", "mes", "dia", "carga"]
     if columns:
@@ -213,7 +225,7 @@ def read_bronze(
 
 def read_rejects(lake: Lake, dataset: str, as_of: int | datetime | None = None) -> DataFrame:
     """Published rows with bad cells, which no view shows."""
-    df = lake.bronze_store(dataset).read(schema=_bronze_table_schema(dataset), as_of=as_of, slots=True)
+    df = lake.bronze_store(dataset).read_files(_bronze_table_schema(dataset), SOURCE_FILE, as_of)
     return df.filter(F.col(REJECTS).isNotNull())
 
 
@@ -339,33 +351,36 @@ def read_gold(lake: Lake, table: str, as_of: int | datetime | None = None) -> Da
 
 
 def register_bronze(lake: Lake, dataset: str) -> None:
-    """``bronze.<dataset>``: clean rows of the published versions, under the contract's names.
+    """``bronze.<dataset>``: clean rows of the published files, under the contract's names.
 
-    ``carga`` is a partition folder, so files of other versions are not opened.
+    ``bronze.<dataset>_linhagem`` has file, run date and version beside them. ``carga`` is a partition
+    folder, so files of other versions are not opened.
     """
     store = lake.bronze_store(dataset)
-    versions = sorted(store.current().values())
+    versions = sorted(set(store.current().values()))
     if not versions:
         return
     catalog.create_layers(lake.spark)
     published = ", ".join(f"'{v}'" for v in versions)
+    old = store.stale_rows(SOURCE_FILE)
+    live = f"carga IN ({published}) AND {REJECTS} IS NULL" + (f" AND NOT ({old})" if old else "")
     columns = ", ".join(f"`{f.name}`" for f in CONTRACTS[dataset].schema.fields)
+    catalog.replace_view(lake.spark, f"bronze.{dataset}", f"SELECT {columns} FROM parquet.`{store.root}` WHERE {live}")
+    lineage = f"{columns}, {SOURCE_FILE}, ano, mes, dia, carga"
     catalog.replace_view(
-        lake.spark,
-        f"bronze.{dataset}",
-        f"SELECT {columns} FROM parquet.`{store.root}` WHERE carga IN ({published}) AND {REJECTS} IS NULL",
+        lake.spark, f"bronze.{dataset}_linhagem", f"SELECT {lineage} FROM parquet.`{store.root}` WHERE {live}"
     )
 
 
-def _view_over(spark: SparkSession, name: str, path: str) -> None:
-    catalog.replace_view(spark, name, f"SELECT * FROM parquet.`{path}`")
+def _view_over(spark: SparkSession, name: str, path: str, columns: Sequence[str] = ("*",)) -> None:
+    catalog.replace_view(spark, name, f"SELECT {', '.join(columns)} FROM parquet.`{path}`")
 
 
 def register_silver(lake: Lake) -> None:
     catalog.create_layers(lake.spark)
     store = lake.silver_store("stg_viagens")
     for version in store.current().values():
-        _view_over(lake.spark, "silver.viagens_processadas", store.path(version))
+        _view_over(lake.spark, "silver.viagens_processadas", store.path(version), silver.SILVER_COLUMNS)
 
 
 def register_gold(lake: Lake) -> None:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rainroute.functions import DRY, hour_of_clock, hour_of_timestamp, is_weekend, rain_band
-from rainroute.operators.lookup import hour_rows_bound, lookup_join
+from rainroute.operators.lookup import group_rows, lookup_join
 
 SILVER_COLUMNS = (
     "data_viagem",
@@ -76,24 +76,25 @@ def reenrich(wide: DataFrame, hourly: DataFrame, hourly_rows: int | None, band=r
 
 def silver_trips(trips: DataFrame, rain: DataFrame, band=rain_band) -> DataFrame:
     """Wide trip table from bronze trips and rain readings."""
-    bound = hour_rows_bound(rain, "data_particao")
-    return enrich(trip_attributes(trips), hourly_rain(rain), bound, band)
+    hours = group_rows(rain, "data_particao", hour_of_clock("horario"))
+    return enrich(trip_attributes(trips), hourly_rain(rain), hours, band)
 
 
 def one_rain_per_hour(classified: DataFrame) -> DataFrame:
     """Reduce already classified rain to one row per (date, hour): the heaviest record.
 
     Amount and class stay a pair. Joining trips to the raw records instead would
-    multiply every trip by the records of its hour.
+    multiply every trip by the records of its hour. The heaviest record per class folds in a hash
+    aggregate before the shuffle; the window then sees one row per hour and class.
     """
-    return (
-        classified.groupBy(
-            F.col("data_particao").alias(HOUR_KEY[0]),
-            hour_of_timestamp("datetime_partida").alias(HOUR_KEY[1]),
-        )
-        .agg(F.max(F.struct("chuva_1h_no_inicio", "tipo_chuva")).alias("r"))
-        .select(*HOUR_KEY, "r.chuva_1h_no_inicio", "r.tipo_chuva")
-    )
+    heaviest = classified.groupBy(
+        F.col("data_particao").alias(HOUR_KEY[0]),
+        hour_of_timestamp("datetime_partida").alias(HOUR_KEY[1]),
+        "tipo_chuva",
+    ).agg(F.max("chuva_1h_no_inicio").alias("chuva_1h_no_inicio"))
+    order = Window.partitionBy(*HOUR_KEY).orderBy(F.desc_nulls_last("chuva_1h_no_inicio"), F.desc_nulls_last("tipo_chuva"))
+    first = heaviest.withColumn("__n", F.row_number().over(order)).filter("__n = 1")
+    return first.select(*HOUR_KEY, "chuva_1h_no_inicio", "tipo_chuva")
 
 
 def _preclassified_columns(amount: Column, kind: Column) -> list[Column]:
@@ -106,8 +107,8 @@ def _preclassified_columns(amount: Column, kind: Column) -> list[Column]:
 def silver_trips_preclassified(trips: DataFrame, classified: DataFrame) -> DataFrame:
     """Alternative silver: rain amount and class come ready from upstream."""
     base = trip_attributes(trips).withColumnRenamed("linha", "servico")
-    bound = hour_rows_bound(classified, "data_particao")
-    joined = lookup_join(base, one_rain_per_hour(classified), HOUR_KEY, rows=bound)
+    hours = group_rows(classified, "data_particao", hour_of_timestamp("datetime_partida"))
+    joined = lookup_join(base, one_rain_per_hour(classified), HOUR_KEY, rows=hours)
     return joined.select(
         "data_viagem",
         "id_viagem",

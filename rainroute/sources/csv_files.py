@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import csv
 import re
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -70,17 +72,27 @@ def read_header(spark: SparkSession, path: str, separator: str | None = None) ->
     return Header(tuple(names), sep)
 
 
+def by_header(spark: SparkSession, paths: Sequence[str], separator: str | None = None) -> dict[Header, list[str]]:
+    """Files with the same header and separator together; one small job per file reads its first line."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda path: read_header(spark, path, separator), paths))
+    groups: dict[Header, list[str]] = {}
+    for header, path in zip(headers, paths, strict=True):
+        groups.setdefault(header, []).append(path)
+    return groups
+
+
 def read_csv(
     spark: SparkSession,
-    folder: str,
+    source: str | Sequence[str],
     header: Header,
     mode: str = "strict",
     multiline: bool = False,
 ) -> DataFrame:
-    """All CSV files of the folder as text columns plus the source file name.
+    """CSV files, listed or all of a folder, as text columns plus the source file name.
 
-    Every file's own header is checked where it is read, so a file with other
-    columns or another order fails the job instead of shifting values. Records
+    Every file's own header is checked where it is read, so a file that has other
+    columns by then fails the job instead of shifting values. Records
     with a wrong number of cells fail (``strict``) or are kept whole in
     ``_linha_malformada`` (``lenient``).
     """
@@ -100,7 +112,11 @@ def read_csv(
     )
     if lenient:
         reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
-    return reader.csv(folder).withColumn(SOURCE_FILE, _file_name())
+    return reader.csv(_source(source)).withColumn(SOURCE_FILE, _file_name())
+
+
+def _source(source: str | Sequence[str]) -> str | list[str]:
+    return source if isinstance(source, str) else [_literal(path) for path in source]
 
 
 def infer_csv(spark: SparkSession, folder: str, separator: str = ",") -> DataFrame:
@@ -116,9 +132,11 @@ def infer_csv(spark: SparkSession, folder: str, separator: str = ",") -> DataFra
     )
 
 
-def land(spark: SparkSession, folder: str, target: str) -> None:
-    """Copy the files' lines, header included, to one directory per source file."""
-    lines = spark.read.option("pathGlobFilter", CSV_ONLY).text(folder)
-    lines.select("value", _file_name().alias("arquivo")).write.mode("overwrite").partitionBy(
-        "arquivo"
-    ).text(target)
+def land(spark: SparkSession, paths: Sequence[str], target: str) -> None:
+    """Copy the files' lines, header included, to one directory per source file.
+
+    A file's directory is replaced when its new lines are written; other files of the target stay.
+    """
+    lines = spark.read.text(_source(paths)).select("value", _file_name().alias("arquivo"))
+    writer = lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("arquivo").text(target)

@@ -2,7 +2,7 @@
 
 Data is written to a folder of its own (``carga=<id>``) that no reader looks
 at. After the audit one row in the publication table makes it the version of
-its slot: a run date in bronze, the whole dataset in silver and gold. Older
+its slot: a source file of a run date in bronze, the whole dataset in silver and gold. Older
 versions stay readable, and rolling back is one more row.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from rainroute.sources.csv_files import path_missing
 
-PUBLICATIONS = "slot string, versao string, linhas bigint, ordem bigint, publicado_em timestamp"
+PUBLICATIONS = "slot string, versao string, linhas bigint, ordem bigint, publicado_em timestamp, volta boolean"
 
 
 class NotPublished(LookupError):
@@ -44,6 +45,11 @@ def write_files(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) -> N
         df.write.parquet(path)
 
 
+def sql_text(value: str) -> str:
+    """A string literal of Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Store:
     """One dataset, or a group of tables published together, under ``root``."""
@@ -69,42 +75,76 @@ class Store:
 
     def publish(self, version: str, slot: str = "", rows: int | None = None) -> int:
         """Make ``version`` current for its slot; returns the publication number (a time in ns)."""
-        order = time.time_ns()
-        row = (slot, version, rows, order, datetime.now(timezone.utc))
-        self.spark.createDataFrame([row], PUBLICATIONS).coalesce(1).write.mode("append").parquet(
-            self._log_path
-        )
+        return self.publish_all(version, {slot: rows})
+
+    def publish_all(self, version: str, slots: Mapping[str, int | None], undo: bool = False) -> int:
+        """Make ``version`` current for several slots at once."""
+        order, now = time.time_ns(), datetime.now(timezone.utc)
+        entries = [(slot, version, rows, order, now, undo) for slot, rows in slots.items()]
+        self.spark.createDataFrame(entries, PUBLICATIONS).coalesce(1).write.mode("append").parquet(self._log_path)
         return order
 
-    def rollback(self, slot: str = "") -> str:
-        """Publish again what was current before the slot's present version."""
-        entries = (
-            self.history()
-            .filter(F.col("slot") == slot)
-            .groupBy("versao")
-            .agg(F.max("ordem").alias("ultima"), F.first("linhas").alias("linhas"))
-            .orderBy(F.desc("ultima"))
-            .limit(2)
-            .collect()
-        )
-        if len(entries) < 2:
+    def rollback(self, slot: str = "", to: str | None = None) -> str:
+        """Publish version ``to`` of the slot again, by default the one published before its present one."""
+        entries = self.history().filter(F.col("slot") == slot).orderBy("ordem").collect()
+        first = [e for e in entries if not e["volta"]]
+        if to is None and entries:
+            at = max((i for i, e in enumerate(first) if e["versao"] == entries[-1]["versao"]), default=0)
+            first = [e for e in first[:at] if e["versao"] != entries[-1]["versao"]]
+        elif to is not None:
+            first = [e for e in first if e["versao"] == to]
+        if not first:
             raise NotPublished(f"nothing to roll back to in {self.root}/{slot}")
-        self.publish(entries[1]["versao"], slot, entries[1]["linhas"])
-        return entries[1]["versao"]
+        self.publish_all(first[-1]["versao"], {slot: first[-1]["linhas"]}, undo=True)
+        return first[-1]["versao"]
+
+    def _until(self, as_of: int | datetime | None) -> DataFrame:
+        log = self.history()
+        if isinstance(as_of, datetime):
+            return log.filter(F.col("publicado_em") <= F.lit(as_of))
+        return log if as_of is None else log.filter(F.col("ordem") <= as_of)
 
     def current(self, as_of: int | datetime | None = None) -> dict[str, str]:
         """Slot -> version, now or as of a publication number or time.
 
-        One entry per slot, so at most one per run date reaches the driver.
+        One entry per slot, so at most one per file and run date reaches the driver.
         """
-        log = self.history()
-        if isinstance(as_of, datetime):
-            log = log.filter(F.col("publicado_em") <= F.lit(as_of))
-        elif as_of is not None:
-            log = log.filter(F.col("ordem") <= as_of)
-        latest = log.groupBy("slot").agg(F.max_by("versao", "ordem").alias("versao"))
+        latest = self._until(as_of).groupBy("slot").agg(F.max_by("versao", "ordem").alias("versao"))
         return {r["slot"]: r["versao"] for r in latest.collect()}
 
+    def replaced(self, as_of: int | datetime | None = None) -> dict[str, list[str]]:
+        """Version -> its slots that another version is current for, of versions still current somewhere."""
+        now = self.current(as_of)
+        kept = set(now.values())
+        pairs = self._until(as_of).select("slot", "versao").distinct().collect()
+        out: dict[str, list[str]] = {}
+        for slot, version in sorted(pairs):
+            if version in kept and now[slot] != version:
+                out.setdefault(version, []).append(slot)
+        return out
+
+    def read_files(self, schema: T.StructType, file: str, as_of: int | datetime | None = None) -> DataFrame:
+        """Published rows of slots ``<folder>/<file column>=<name>``, with the partition columns of the folders.
+
+        A version's rows of a file that was replaced later are left out; the condition
+        is pushed to the files' statistics.
+        """
+        now = self.current(as_of)
+        if not now:
+            raise NotPublished(f"nothing published in {self.root}")
+        paths = sorted({self.path(version, slot.rpartition("/")[0]) for slot, version in now.items()})
+        df = self.spark.read.schema(schema).option("basePath", self.root).parquet(*paths)
+        old = self.stale_rows(file, as_of)
+        return df.filter(f"NOT ({old})") if old else df
+
+    def stale_rows(self, file: str, as_of: int | datetime | None = None) -> str:
+        """SQL condition that holds for rows of replaced files; empty if there are none."""
+        found = []
+        for version, slots in self.replaced(as_of).items():
+            names = ", ".join(sql_text(slot.rpartition("/")[2].split("=", 1)[1]) for slot in slots)
+            found.append(f"(carga = '{version}' AND {file} IN ({names}))")
+        return " OR ".join(found)
+
     def read(
         self,
         table: str = "",

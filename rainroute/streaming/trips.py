@@ -9,19 +9,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainroute.contracts import CONTRACTS
-from rainroute.operators.casting import apply_contract
-from rainroute.plans.silver import enrich, trip_attributes
-from rainroute.sources.csv_files import CSV_ONLY
+from rainroute.operators.casting import REJECTS, apply_contract
+from rainroute.plans.jobs import AuditError, Lake, register_silver
+from rainroute.plans.silver import SILVER_COLUMNS, enrich, trip_attributes
+from rainroute.sources import catalog
+from rainroute.sources.csv_files import CSV_ONLY, MALFORMED
+from rainroute.sources.versions import Store, new_version, write_files
 
-BATCH = "lote"
+QUERY, BATCH = "consulta", "lote"
 
 
 def csv_stream(
-    spark: SparkSession, folder: str, dataset: str, separator: str = ",", files_per_batch: int = 1000
+    spark: SparkSession,
+    folder: str,
+    dataset: str,
+    separator: str = ",",
+    files_per_batch: int = 1000,
+    mode: str = "strict",
 ) -> DataFrame:
-    """New CSV files of a folder, typed by their contract; headers must list its columns in order."""
+    """New CSV files of a folder, typed by their contract; headers must list its columns in order.
+
+    ``strict``: a bad cell stops the stream. ``lenient``: the cell becomes NULL and is
+    kept in the rejects column, as in a batch load; a record with a wrong number of cells is kept whole there.
+    """
     schema = CONTRACTS[dataset].schema
+    lenient = mode == "lenient"
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    if lenient:
+        text = text.add(MALFORMED, T.StringType())
     lines = (
         spark.readStream.schema(text)
         .option("header", True)
@@ -29,11 +44,16 @@ def csv_stream(
         .option("pathGlobFilter", CSV_ONLY)
         .option("sep", separator)
         .option("escape", '"')
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE" if lenient else "FAILFAST")
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
-    return apply_contract(lines, schema)
+    if not lenient:
+        return apply_contract(lines, schema)
+    typed = apply_contract(lines, schema, "lenient", keep=(MALFORMED,))
+    whole = F.array(F.struct(F.lit("*").alias("coluna"), F.col(MALFORMED).alias("valor")))
+    return typed.withColumn(REJECTS, F.when(F.col(MALFORMED).isNotNull(), whole).otherwise(F.col(REJECTS))).drop(MALFORMED)
 
 
 def enrich_stream(trips: DataFrame, hourly: DataFrame, hourly_rows: int | None) -> DataFrame:
@@ -55,13 +75,15 @@ def write_enriched(
     """Enrich everything available, then stop.
 
     ``hourly`` is asked again for every micro-batch, so a newly published rain
-    table is used from the next batch on. A batch writes to a folder of its own
-    and replaces it when it is repeated after a failure.
+    table is used from the next batch on. A batch writes to a folder of its own, named by the
+    query and the batch: it replaces itself when it is repeated after a failure, and a
+    query with a new checkpoint adds to what others have written.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rain, rows = hourly()
-        enrich_stream(batch, rain, rows).write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        enrich_stream(batch, rain, rows).write.mode("overwrite").parquet(f"{target}/{QUERY}={query_id}/{BATCH}={batch_id}")
 
     query = (
         trips.writeStream.foreachBatch(write_batch)
@@ -72,10 +94,28 @@ def write_enriched(
     query.awaitTermination()
 
 
+def publish_enriched(lake: Lake, target: str) -> str:
+    """Publish the rows streamed so far as silver, after the audit of a batch build, and refresh the view.
+
+    Batches are copied to a version of their own, so readers never see a half-written batch.
+    """
+    written = lake.spark.read.parquet(target).select(*SILVER_COLUMNS)
+    store, version = lake.silver_store("stg_viagens"), new_version()
+    write_files(written, store.path(version))
+    rows = catalog.parquet_rows(lake.spark, store.path(version))
+    if not rows:
+        raise AuditError(f"nothing streamed to {target}")
+    store.publish(version, rows=rows)
+    register_silver(lake)
+    return version
+
+
 def hourly_counts(events: DataFrame, time: str, kind: str, late_by: str) -> DataFrame:
     """Events per kind and clock hour; an hour is final once the watermark has passed it.
 
-    State holds open hours only. A timestamp without zone is taken as session
+    With ``write_available`` state holds open hours only, the hours not passed yet are not
+    given out, and events later than ``late_by`` are lost to the counts; ``write_all`` gives
+    every hour and loses none. A timestamp without zone is taken as session
     time, since watermarks need one with a zone.
     """
     return (
@@ -88,7 +128,7 @@ def hourly_counts(events: DataFrame, time: str, kind: str, late_by: str) -> Data
 
 
 def write_available(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Append everything available to Parquet files, then stop."""
+    """Append the hours that are final to Parquet files, then stop."""
     query = (
         stream.writeStream.format("parquet")
         .option("path", target)
@@ -98,3 +138,25 @@ def write_available(stream: DataFrame, target: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+
+
+def write_all(counts: DataFrame, store: Store, checkpoint: str) -> None:
+    """Count everything available, then publish all hours as a new version, open ones and late events included.
+
+    State and result hold a row per hour and kind, not events. Every run that finds new events publishes the
+    whole result again, and a repeated batch only adds a version with the same rows.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        version = new_version()
+        write_files(batch, store.path(version))
+        store.publish(version)
+
+    query = (
+        counts.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("complete")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

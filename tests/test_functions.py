@@ -50,8 +50,8 @@ def test_day_category_of_null_is_a_working_day(spark):
 def test_hours(spark):
     df = spark.sql("SELECT timestamp'2024-03-25 23:59:59' AS ts, '07:45:00' AS clock")
     assert rows(df, hour_of_timestamp("ts"), hour_of_clock("clock")) == [(23, 7)]
-    odd = spark.createDataFrame([("00:00:00",), ("24:00:00",), ("-1:00:00",), (None,)], "clock string")
-    assert rows(odd, hour_of_clock("clock")) == [(None,), (None,), (None,), (0,)]
+    odd = spark.createDataFrame([("00:00:00",), ("24:00:00",), ("-1:00:00",), ("xx:00",), ("",), (None,)], "clock string")
+    assert rows(odd, hour_of_clock("clock")) == [(None,)] * 5 + [(0,)]
 
 
 @pytest.mark.parametrize(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rainroute.contracts import CONTRACTS
 from rainroute.operators.quality import ExpectationError
-from rainroute.plans import jobs, questions
+from rainroute.plans import jobs, questions, silver
 from rainroute.sources import catalog, csv_files
 from rainroute.sources.versions import NotPublished, Store, write_files
 
@@ -134,12 +134,63 @@ def test_columns_by_name_and_unknown_ones_reported(lake, inbox):
     assert rows(jobs.read_bronze(lake, "viagens_onibus"), "id_viagem", "tempo_viagem") == [("a1", 30)]
 
 
-def test_a_file_with_another_column_order_is_refused(lake, inbox):
+def test_files_with_different_headers_are_each_fitted(lake, inbox):
     names = TRIPS.split(",")
+    cells = dict(zip(names, trip("b1").split(",")))
+    swapped = [names[5], *names[:5], *names[6:], "nova"]
+    put(inbox, "a.csv", TRIPS, trip("a1"))
+    put(inbox, "b.csv", ",".join(swapped), ",".join([*[cells[n] for n in swapped[:-1]], "1"]))
+    put(inbox, "c.csv", TRIPS.replace(",", ";"), trip("c1").replace(",", ";"))
+    result = load(lake, "viagens_onibus", inbox)
+    assert (result.rows, result.unknown_columns) == (3, ("nova",))
+    got = rows(jobs.read_bronze(lake, "viagens_onibus"), "id_viagem", "_arquivo", "tempo_viagem")
+    assert got == [("a1", "a.csv", 30), ("b1", "b.csv", 30), ("c1", "c.csv", 30)]
+
+
+def test_a_missing_column_names_the_file(lake, inbox):
     put(inbox, "a.csv", TRIPS, trip("a1"))
-    put(inbox, "b.csv", ",".join([names[1], names[0], *names[2:]]), trip("b1"))
-    with pytest.raises(Exception, match="header"):
+    put(inbox, "b.csv", TRIPS.replace("data,", "", 1), trip("b1").split(",", 1)[1])
+    with pytest.raises(ValueError, match="b.csv has no column data"):
         load(lake, "viagens_onibus", inbox)
+    with pytest.raises(NotPublished):
+        jobs.read_bronze(lake, "viagens_onibus")
+
+
+def test_a_second_delivery_of_a_date_keeps_the_other_files(spark, lake, tmp_path):
+    first, second, third = (str(tmp_path / d) for d in ("one", "two", "three"))
+    put(first, "a.csv", TRIPS, trip("a1"), trip("a2"))
+    put(first, "it's.csv", TRIPS, trip("q1"))
+    put(second, "b.csv", TRIPS, trip("b1"))
+    put(third, "a.csv", TRIPS, trip("a3"))
+    put(third, "it's.csv", TRIPS, trip("q2"))
+    seen = []
+    for folder in (first, second, third):
+        load(lake, "viagens_onibus", folder)
+        seen.append(rows(jobs.read_bronze(lake, "viagens_onibus"), "id_viagem"))
+    assert seen == [[("a1",), ("a2",), ("q1",)], [("a1",), ("a2",), ("b1",), ("q1",)], [("a3",), ("b1",), ("q2",)]]
+    jobs.register_bronze(lake, "viagens_onibus")
+    assert rows(spark.table("bronze.viagens_onibus"), "id_viagem") == seen[-1]
+    by_file = spark.table("bronze.viagens_onibus_linhagem").groupBy("_arquivo", "dia").count()
+    assert rows(by_file) == [("a.csv", 5, 1), ("b.csv", 5, 1), ("it's.csv", 5, 1)]
+    landing = spark.read.text(f"{lake.landing}/viagens_onibus/2024/03/05")
+    assert rows(landing.filter(F.col("value") != TRIPS), "arquivo") == [("a.csv",), ("b.csv",), ("it's.csv",)]
+    store = lake.bronze_store("viagens_onibus")
+    first_load = store.history().orderBy("ordem").first()["ordem"]
+    assert rows(jobs.read_bronze(lake, "viagens_onibus", as_of=first_load), "id_viagem") == seen[0]
+    store.rollback("ano=2024/mes=03/dia=05/_arquivo=a.csv")
+    assert rows(jobs.read_bronze(lake, "viagens_onibus"), "id_viagem") == [("a1",), ("a2",), ("b1",), ("q2",)]
+
+
+def test_landing_survives_a_failed_audit(spark, lake, inbox, tmp_path):
+    put(inbox, "a.csv", TRIPS, trip("a1"))
+    load(lake, "viagens_onibus", inbox)
+    bad = str(tmp_path / "bad")
+    put(bad, "a.csv", TRIPS)
+    with pytest.raises(jobs.AuditError):
+        load(lake, "viagens_onibus", bad)
+    folder = f"{lake.landing}/viagens_onibus/2024/03/05/arquivo=a.csv"
+    assert [r[0] for r in spark.read.text(folder).collect()] == [TRIPS, trip("a1")]
+    assert rows(jobs.read_bronze(lake, "viagens_onibus"), "id_viagem") == [("a1",)]
 
 
 def test_missing_column_is_refused(lake, inbox):
@@ -240,6 +291,8 @@ def test_silver_by_month(lake, tmp_path):
     store = lake.silver_store("stg_viagens")
     assert os.path.isdir(f"{store.path(version)}/ano=2024/mes=3")
     assert store.read().count() == 2
+    jobs.register_silver(lake)
+    assert tuple(lake.spark.table("silver.viagens_processadas").columns) == silver.SILVER_COLUMNS
 
 
 def test_cleaning_before_silver_is_optional(lake, tmp_path):
@@ -289,6 +342,15 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
         cli.main(["--lake", "x", "--run-date", "2024-03-05", "--source", "nope=x"])
 
 
+def test_the_submit_script_runs_the_command_line(tmp_path):
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, f"{root}/submit.py", "--help"], capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and "--run-date" in done.stdout
+
+
 @pytest.mark.parametrize("name", sorted(CONTRACTS))
 def test_every_contract_can_be_loaded(lake, inbox, name):
     cell = {"string": "a", "date": "2024-01-01", "timestamp": "2024-01-01 10:00:00", "int": "1", "bigint": "2",
@@ -318,7 +380,13 @@ def test_publish_as_of_and_rollback(spark, tmp_path):
     assert store.read(as_of=when).count() == 2
     assert store.rollback() == "v2"
     assert store.read().count() == 2
-    assert [r["versao"] for r in store.history().orderBy("ordem").collect()] == ["v1", "v2", "v3", "v2"]
+    assert store.rollback() == "v1"
+    with pytest.raises(NotPublished):
+        store.rollback()
+    assert store.rollback(to="v3") == "v3" and store.read().count() == 3
+    with pytest.raises(NotPublished):
+        store.rollback(to="v9")
+    assert [r["versao"] for r in store.history().orderBy("ordem").collect()] == ["v1", "v2", "v3", "v2", "v1", "v3"]
 
 
 def test_nothing_to_roll_back_to(spark, tmp_path):

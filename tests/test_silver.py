@@ -5,7 +5,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from rainroute.contracts import CONTRACTS
-from rainroute.operators.lookup import hour_rows_bound, lookup_join
+from rainroute.operators.lookup import group_rows, lookup_join
 from rainroute.plans import questions, silver
 from rainroute.sources import proxy
 
@@ -90,11 +90,21 @@ def test_preclassified_rain_does_not_multiply_trips(spark):
     assert "linha" not in got.columns and "servico" in got.columns
 
 
-def test_rain_rows_are_bounded_by_the_span_of_days(spark):
+def test_hours_are_counted_not_bounded_by_the_span_of_days(spark):
     rain = rain_frame(spark, (date(2024, 1, 1), "00:00:00", 1.0), (date(2024, 1, 3), "05:00:00", 1.0), (None, "05:00:00", 1.0))
-    assert hour_rows_bound(rain, "data_particao") == 25 * 4
-    assert silver.hourly_rain(rain).count() <= 25 * 4
-    assert hour_rows_bound(rain_frame(spark), "data_particao") == 25
+    assert group_rows(rain, "data_particao", "horario") == silver.hourly_rain(rain).count() == 3
+    assert group_rows(rain_frame(spark), "data_particao", "horario") == 0
+
+
+def test_one_date_of_long_ago_does_not_turn_the_join(spark, tiny):
+    stray = rain_frame(spark, (date(1190, 1, 1), "00:00:00", 1.0))
+    rain = proxy.rain(spark, tiny).unionByName(stray, allowMissingColumns=True)
+    joined = silver.silver_trips(proxy.trips(spark, tiny), rain)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan(joined).count("BroadcastHashJoin LeftOuter") >= 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_broadcast_only_below_the_bound_and_same_rows_either_way(spark, tiny):
@@ -106,15 +116,15 @@ def test_broadcast_only_below_the_bound_and_same_rows_either_way(spark, tiny):
     assert small.exceptAll(unknown).count() == 0 and unknown.exceptAll(small).count() == 0
 
 
-def test_salted_lookup_without_broadcast(spark):
-    """A hot key and NULL keys are spread, nothing is lost or repeated."""
+def test_lookup_without_broadcast(spark, tiny):
+    """Hot and NULL keys lose and repeat nothing, and only the columns in use are shuffled."""
     left = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 50).alias("k"), "id"
     )
     right = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = lookup_join(left, right, ["k"], rows=None, salts=8)
+        got = lookup_join(left, right, ["k"], rows=None)
         text = plan(got)
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
         assert got.count() == 3000
@@ -122,27 +132,19 @@ def test_salted_lookup_without_broadcast(spark):
         assert got.filter(F.col("v").isNull()).count() == 1000
         assert lookup_join(left, right, ["k"], rows=None, how="inner").count() == 2000
         assert lookup_join(left, right, ["k"], rows=10**9).count() == 3000
+        items = proxy.table(spark, tiny, "lineitem")
+        wide = lookup_join(items, right.withColumnRenamed("k", "l_suppkey"), ["l_suppkey"], rows=None)
+        scan = next(x for x in plan(wide.groupBy("v").count()).split("\n\n") if "ReadSchema" in x)
+        assert "struct<l_suppkey" in scan and "," not in scan.split("ReadSchema: struct<")[1].split(">")[0]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     with pytest.raises(ValueError):
         lookup_join(left, right, ["k"], rows=1, how="full")
 
 
-def test_identical_rows_of_a_hot_key_are_spread_too(spark):
-    left = spark.range(8000, numPartitions=16).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
-    right = spark.createDataFrame([(7, "r")], "k int, r string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    try:
-        joined = lookup_join(left, right, ["k"], rows=None, salts=16)
-        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert sum(r["count"] for r in per_task) == 8000
-        assert max(r["count"] for r in per_task) <= 4000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+def test_heaviest_rain_is_found_without_sorting_the_readings(spark, tiny):
+    text = plan(silver.one_rain_per_hour(proxy.classified_rain(spark, tiny)))
+    assert "SortAggregate" not in text and "partial_max" in text
 
 
 def test_unmatched_share(spark):

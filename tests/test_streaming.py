@@ -4,8 +4,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 from test_ingest import TRIPS, put, trip
 
-from rainroute.plans import silver
+from rainroute.plans import jobs, silver
 from rainroute.sources import proxy
+from rainroute.sources.versions import Store
 from rainroute.streaming import trips as trips_stream
 
 
@@ -70,3 +71,46 @@ def test_hours_become_final_once_the_watermark_passes(spark, tmp_path):
     assert pull() == [(datetime(2024, 1, 1, 5), 2)]
     add((5, 55), (9, 5))  # 05:55 is later than the watermark allows
     assert pull() == [(datetime(2024, 1, 1, 5), 2), (datetime(2024, 1, 1, 7), 1)]
+
+
+def test_all_hours_are_published_late_events_included(spark, tmp_path):
+    folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    schema = "ts timestamp_ntz, kind string"
+    store = Store(spark, str(tmp_path / "out"))
+
+    def add(*times):
+        spark.createDataFrame([(datetime(2024, 1, 1, h, m), "x") for h, m in times], schema).coalesce(
+            1
+        ).write.mode("append").parquet(folder)
+
+    def pull():
+        stream = spark.readStream.schema(schema).parquet(folder)
+        trips_stream.write_all(trips_stream.hourly_counts(stream, "ts", "kind", "1 hour"), store, checkpoint)
+        return [(r.inicio.hour, r.total) for r in store.read().orderBy("inicio").collect()]
+
+    add((5, 10), (5, 50), (7, 30))
+    assert pull() == [(5, 2), (7, 1)]
+    add((5, 55), (9, 5))
+    assert pull() == [(5, 3), (7, 1), (9, 1)]
+
+
+def test_a_new_checkpoint_adds_to_what_was_streamed(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for name in ("a", "b"):
+        put(str(tmp_path / name), f"{name}.csv", TRIPS, trip(f"{name}1"), trip(f"{name}2"))
+        stream = trips_stream.csv_stream(spark, str(tmp_path / name), "viagens_onibus")
+        trips_stream.write_enriched(stream, lambda: (hourly_frame(spark, 4.0), 1), out, str(tmp_path / f"cp-{name}"))
+    assert rows(spark.read.parquet(out), "id_viagem") == [("a1",), ("a2",), ("b1",), ("b2",)]
+    lake = jobs.Lake.under(spark, str(tmp_path / "lake"))
+    trips_stream.publish_enriched(lake, out)
+    view = spark.table("silver.viagens_processadas")
+    assert tuple(view.columns) == silver.SILVER_COLUMNS and view.count() == 4
+
+
+def test_a_bad_cell_does_not_stop_a_lenient_stream(spark, tmp_path):
+    put(str(tmp_path / "in"), "a.csv", TRIPS, trip("a1"), trip("a2", minutes="xx"), trip("a3") + ",extra")
+    stream = trips_stream.csv_stream(spark, str(tmp_path / "in"), "viagens_onibus", mode="lenient")
+    trips_stream.write_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(got.filter("_rejeitos IS NULL"), "id_viagem") == [("a1",)]
+    assert got.filter("_rejeitos IS NOT NULL").count() == 2
