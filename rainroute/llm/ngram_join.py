@@ -16,7 +16,7 @@ then only pairs of columns whose components still differ are multiplied.
 Defined cases: lower-cased words ``[^\\x20\\x09-\\x0D]+``; fewer words than a shingle make one
 shingle; null and empty texts have none and are linked with nothing; rows alike are linked; a component of
 null ids has a null id; an empty table gives no rows; further columns pass through. Sets and
-shingles are told apart by 64-bit hashes.
+shingles are told apart by hashes of 64 and 54 bits.
 """
 
 from __future__ import annotations
@@ -32,33 +32,40 @@ from rainroute.session import materialise
 
 from . import text
 from .components import components
-from .repeats import squeeze, unsqueeze
+from .keys import picked
+from .repeats import key_columns, packed, unsqueeze
 from .tasks import arrow_map
 
 WORDS = 5
 HEAVY = 64  # documents from which a shingle is sorted last
 HEAVY_MOST = 500_000  # heavy shingles sent to the tasks (4 MB): the heaviest; only the order depends on it
 COUNTED = 1 << 21  # shingles a task counts at a time
+HASH_BITS = 54  # of a shingle
+ROWS = 1 << (64 - HASH_BITS)  # texts handled at a time
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of every row, one after another, and offsets (rows + 1)."""
+    """Sorted distinct shingle hashes of every row, one after another, and offsets (rows + 1).
+
+    At most ``ROWS`` rows: row and hash share 64 bits, so that one plain sort orders both.
+    """
     body, at = text.LOWER[data[offsets[0] : offsets[-1]]], offsets - offsets[0]
     start, stop = text.word_bounds(body, at, text.SPACE)
     hashes = text.word_hashes(body, start, stop)
     bounds = text.word_counts(start, at)
     sums = text.prefix_sums(hashes)
-    row = np.searchsorted(bounds, np.arange(len(hashes)), side="right") - 1
+    row = np.repeat(np.arange(len(at) - 1), np.diff(bounds))
     first = np.arange(len(hashes))
     last = np.minimum(first + words, bounds[row + 1])
     keep = (last - first == words) | (first == bounds[row])
     first, last, row = first[keep], last[keep], row[keep]
-    found = text.stretch(sums, first, last)
-    order = np.lexsort((found, row))
-    found, row = found[order], row[order]
-    new = np.ones(len(found), dtype=bool)
-    new[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1])
-    return found[new], np.searchsorted(row[new], np.arange(len(at)))
+    found = text.stretch(sums, first, last) >> np.uint64(64 - HASH_BITS)
+    packed = np.sort((row.astype(np.uint64) << np.uint64(HASH_BITS)) | found)
+    new = np.ones(len(packed), dtype=bool)
+    new[1:] = packed[1:] != packed[:-1]
+    packed = packed[new]
+    row = (packed >> np.uint64(HASH_BITS)).astype(np.int64)
+    return packed & np.uint64((1 << HASH_BITS) - 1), np.searchsorted(row, np.arange(len(at)))
 
 
 def set_hashes(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -74,26 +81,11 @@ def set_hashes(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _sets_of(batch: pa.RecordBatch, column: str = "text"):
     """Row, sets, bounds and set hashes of pieces of a batch."""
     data, offsets = text.buffers(batch.column(column))
-    for a, b in text.runs(offsets):
+    for a, b in text.runs(offsets, most=ROWS):
         found, bounds = shingle_sets(data, offsets[a : b + 1])
         yield a, found, bounds, set_hashes(found, bounds)
 
 
-def set_rows(docs: DataFrame, column: str) -> DataFrame:
-    """Every column of ``docs`` but the text as struct ``doc``; n_shingles and node, the set's hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, _, bounds, nodes in _sets_of(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc").slice(a, len(nodes)), pa.array(np.diff(bounds)), pa.array(nodes.view(np.int64))],
-                    ["doc", "n_shingles", "node"],
-                )
-
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != column]).alias("doc"), F.col(column).alias("text"))
-    return arrow_map(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, n_shingles long, node long")
-
-
 def heavy_shingles(texts: DataFrame, least: int = HEAVY, most: int = HEAVY_MOST) -> np.ndarray:
     """Shingles of ``least`` or more documents, lightest first; counted per task, then summed.
 
@@ -124,128 +116,169 @@ def heavy_shingles(texts: DataFrame, least: int = HEAVY, most: int = HEAVY_MOST)
     return found[::-1].copy()
 
 
+class Order:
+    """The common order of shingles: light ones by hash, then the heavy ones, lightest first."""
+
+    def __init__(self, heavy: np.ndarray):
+        self.values, self.places = np.sort(heavy), np.argsort(heavy, kind="stable")
+
+    def places_of(self, found: np.ndarray) -> np.ndarray:
+        """Place as one number: the hash of a light shingle; above all hashes for a heavy one."""
+        if not len(self.values):
+            return found
+        at = np.minimum(np.searchsorted(self.values, found), len(self.values) - 1)
+        late = self.places[at].astype(np.uint64) + np.uint64(1 << HASH_BITS)
+        return np.where(self.values[at] == found, late, found)
+
+
+def deciding(found: np.ndarray, bounds: np.ndarray, order: Order):
+    """The first n - ceil(0.75 n) + 1 shingles of every set in the common order: row, shingle, place."""
+    size = np.diff(bounds)
+    row = np.repeat(np.arange(len(size)), size)
+    place = order.places_of(found)
+    moved = np.flatnonzero(np.bincount(row, weights=place >> np.uint64(HASH_BITS), minlength=len(size)))
+    if len(moved):  # only sets with heavy shingles have to be sorted again
+        inside = np.isin(row, moved)
+        again = np.flatnonzero(inside)[np.lexsort((place[inside], row[inside]))]
+        found, place = found.copy(), place.copy()
+        found[inside], place[inside] = found[again], place[again]
+    n = size[row]
+    keep = np.arange(len(found)) - bounds[row] < n - -(-3 * n // 4) + 1
+    return row[keep], found[keep], place[keep]
+
+
+def set_rows(docs: DataFrame, heavy: np.ndarray, column: str) -> DataFrame:
+    """Key and id of every row, and of its set: hash (node), size, place of its last deciding shingle, light ones."""
+    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = Order(shared.value)
+        for batch in batches:
+            for a, found, bounds, nodes in _sets_of(batch):
+                n = len(nodes)
+                row, _, place = deciding(found, bounds, order)
+                last, light = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.int64)
+                last[row] = place  # places rise within a row
+                late = order.places_of(found) >> np.uint64(HASH_BITS)
+                every = np.repeat(np.arange(n), np.diff(bounds))
+                light += np.bincount(every, weights=late == 0, minlength=n).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(a, n) for c in ("k1", "k2", "id")),
+                        pa.array(np.diff(bounds)),
+                        pa.array(nodes.view(np.int64)),
+                        pa.array(last.view(np.int64)),
+                        pa.array(light),
+                    ],
+                    ["k1", "k2", "id", "n", "node", "last", "light"],
+                )
+
+    id_type = docs.schema["id"].dataType.simpleString()
+    return arrow_map(
+        docs.select("k1", "k2", "id", F.col(column).alias("text")),
+        run,
+        f"k1 long, k2 long, id {id_type}, n long, node long, last long, light long",
+    )
+
+
 def prefix_rows(texts: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """shingle, node, n and place of the deciding columns of each set (once per task and set)."""
-    shared = texts.sparkSession.sparkContext.broadcast((np.sort(heavy), np.argsort(heavy, kind="stable")))
+    """shingle and node of the deciding columns of each set, once per task and set."""
+    shared = texts.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, places = shared.value
+        order = Order(shared.value)
         seen: set[int] = set()
         for batch in batches:
             for _, found, bounds, nodes in _sets_of(batch):
                 fresh = np.zeros(len(nodes), dtype=bool)
                 for i, node in enumerate(nodes.tolist()):
-                    if node not in seen and bounds[i + 1] > bounds[i]:
+                    if node not in seen:
                         fresh[i] = True
                         seen.add(node)
                 if len(seen) > 500_000:
                     seen.clear()
-                size = np.diff(bounds)
-                row = np.repeat(np.arange(len(nodes)), size)
-                late = np.zeros(len(found), dtype=np.int64)
-                if len(values):
-                    at = np.minimum(np.searchsorted(values, found), len(values) - 1)
-                    late = np.where(values[at] == found, places[at] + 1, 0)
-                order = np.lexsort((found, late, row))
-                place = np.arange(len(found)) - bounds[row]
-                n = size[row]
-                keep = (place < n - -(-3 * n // 4) + 1) & fresh[row]
+                row, shingle, _ = deciding(found, bounds, order)
+                keep = fresh[row]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(found[order][keep].view(np.int64)),
-                        pa.array(nodes[row[keep]].view(np.int64)),
-                        pa.array(n[keep].astype(np.int32)),
-                        pa.array(place[keep].astype(np.int32)),
-                    ],
-                    ["shingle", "node", "n", "place"],
+                    [pa.array(shingle[keep].view(np.int64)), pa.array(nodes[row[keep]].view(np.int64))], ["shingle", "node"]
                 )
 
-    return arrow_map(texts, run, "shingle long, node long, n int, place int")
+    return arrow_map(texts, run, "shingle long, node long")
 
 
 def shared_columns(rows: DataFrame) -> DataFrame:
-    """Rows of shingles of two sets or more, with the first set of the shingle (``*0``).
+    """Distinct rows of the shingles that stand in two sets or more.
 
-    Rows come sorted by shingle and set and are read as a stream; nothing of a shingle is held but its first row.
+    Rows come sorted and are read as a stream; of a shingle nothing is held but its first row.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = ["shingle", "node", "n", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = None  # first row of the current shingle
-        waiting = False  # whether that row is still to be given out
-        previous = None  # last (shingle, node)
+        last = None  # (shingle, node) of the row before
+        alone = False  # whether that row is the first of its shingle and not given out yet
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(c).to_numpy() for c in names]
-            key, node = columns[0], columns[1]
+            key, node = batch.column("shingle").to_numpy(), batch.column("node").to_numpy()
             fresh = np.ones(len(key), dtype=bool)
             fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-            fresh[0] = previous != (key[0], node[0])
-            previous = (key[-1], node[-1])
-            columns = [c[fresh] for c in columns]
-            if not len(columns[0]):
+            if len(key) and last is not None and last == (key[0], node[0]):
+                fresh[0] = False
+            key, node = key[fresh], node[fresh]
+            if not len(key):
                 continue
-            if lead is not None:  # the open shingle's first row stands before the batch
-                columns = [np.concatenate([[x], c]).astype(c.dtype) for x, c in zip(lead, columns, strict=True)]
-            key = columns[0]
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            size = np.diff(np.append(first, len(key)))
-            base = np.repeat(first, size)
-            out = np.repeat(size > 1, size)
-            if lead is not None and not waiting:
-                out[0] = False  # given out before
-            was_open = waiting or lead is None or size[0] > 1 or len(first) > 1
-            waiting = bool(size[-1] == 1) and (len(first) > 1 or was_open and (lead is None or waiting))
-            lead = [c[first[-1]] for c in columns]
-            arrays = [pa.array(c[out]) for c in columns] + [pa.array(c[base][out]) for c in columns[1:]]
-            yield pa.RecordBatch.from_arrays(arrays, [*names, "node0", "n0", "place0"])
+            before = np.concatenate([[last is not None and last[0] == key[0]], key[1:] == key[:-1]])
+            after = np.concatenate([key[1:] == key[:-1], [False]])
+            out = before | after
+            if alone and before[0]:
+                yield pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]])], ["shingle", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(node[out])], ["shingle", "node"])
+            last, alone = (key[-1], node[-1]), not out[-1]
 
     dealt = rows.repartition(parts, "shingle").sortWithinPartitions("shingle", "node")
-    return arrow_map(dealt, run, "shingle long, node long, n int, place int, node0 long, n0 int, place0 int")
+    return arrow_map(dealt, run, "shingle long, node long")
 
 
-def _bounded(products: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose summed products can still reach the overlap that J >= 0.75 asks for."""
-    sums = products.groupBy("a", "b").agg(
-        F.count("*").alias("shared"),
-        F.max("place_a").alias("place_a"),
-        F.max("place_b").alias("place_b"),
-        F.first("n_a").alias("n_a"),
-        F.first("n_b").alias("n_b"),
-    )
-    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) - 1
-    return sums.where(7 * (F.col("shared") + rest) >= 3 * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+def _side(rows: DataFrame, name: str, *others: str) -> DataFrame:
+    return rows.select(*others, *[F.col(c).alias(f"{c}_{name}") for c in ("node", "n", "most", "last", "label")])
 
 
-def _sizes_fit(n_a, n_b):
-    return (4 * F.least(n_a, n_b)) >= (3 * F.greatest(n_a, n_b))
+def _of_first_end(a, b):
+    """Of two values the one of the set whose last deciding shingle comes first in the order; the larger if none does."""
+    first = F.when(F.col("last_a") < F.col("last_b"), a)
+    return first.when(F.col("last_a") > F.col("last_b"), b).otherwise(F.greatest(a, b))
 
 
-def node_texts(texts: DataFrame) -> DataFrame:
-    """node and compressed text, once per task and set."""
+def _possible():
+    """Whether a and b can be alike by their sizes and by what is known of each alone.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            body = batch.column("text")
-            for a, _, _, nodes in _sets_of(batch):
-                keep = [i for i, node in enumerate(nodes.tolist()) if node and not (node in seen or seen.add(node))]
-                if len(seen) > 500_000:
-                    seen.clear()
-                z = [squeeze((body[a + i].as_buffer())) for i in keep]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[keep].view(np.int64)), pa.array(z, pa.binary())], ["node", "z"]
-                )
+    ``most`` is a set's size less its deciding shingles that decide for no other set. Of the set whose last
+    deciding shingle comes first, all of these would decide for the other one too if they were in it.
+    """
+    sizes = 4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")
+    return sizes & (7 * _of_first_end(F.col("most_a"), F.col("most_b")) >= 3 * (F.col("n_a") + F.col("n_b")))
+
+
+def _bounded(products: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose summed products can still reach the overlap that J >= 0.75 asks for.
 
-    return arrow_map(texts, run, "node long, z binary")
+    All deciding shingles of the set whose last one comes first in the order are known
+    to be shared or not, so at most ``shared`` of them count.
+    """
+    sums = products.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
+        F.count("*").alias("shared"),
+        *[F.first(c).alias(c) for c in ("n_a", "n_b", "last_a", "last_b")],
+    )
+    open_a, open_b = (F.ceil(F.col(n) * 0.75) - 1 for n in ("n_a", "n_b"))
+    return sums.where(7 * (F.col("shared") + _of_first_end(open_a, open_b)) >= 3 * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= 75 * union, by their full sets."""
-    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    bodies = materialise(node_texts(texts).join(wanted, "node").groupBy("node").agg(F.any_value("z").alias("z")), "bodies")
+    pairs = materialise(pairs, "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+    one = rows.join(nodes, "node").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("one"))
+    wanted = materialise(one.select("one.k1", "one.k2", "node"), "wanted")
+    bodies = packed(picked(docs, wanted.select("k1", "k2")), "text", "k1", "k2").groupBy("k1", "k2").agg(F.any_value("z").alias("z"))
+    bodies = materialise(bodies.join(wanted, ["k1", "k2"]).select("node", "z"), "bodies")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: tuple[bytes, np.ndarray] | None = None
@@ -255,65 +288,74 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 if kept is None or kept[0] != left:
                     kept = (left, one_set(left))
                 x, y = kept[1], one_set(right)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
                 keep.append(100 * both >= 75 * (len(x) + len(y) - both))
-            part = batch.filter(pa.array(keep))
+            part = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"])
 
     def one_set(z: bytes) -> np.ndarray:
         data = np.frombuffer(unsqueeze(z), dtype=np.uint8)
         return shingle_sets(data, np.array([0, len(data)]))[0]
 
-    left = pairs.join(bodies.select(F.col("node").alias("a"), F.col("z").alias("z_a")), "a")
-    both = left.join(bodies.select(F.col("node").alias("b"), F.col("z").alias("z_b")), "b")
+    left = pairs.join(bodies.select(F.col("node").alias("b"), F.col("z").alias("z_b")), "b")
+    both = left.join(bodies.select(F.col("node").alias("a"), F.col("z").alias("z_a")), "a")
     return materialise(arrow_map(both.select("a", "b", "z_a", "z_b"), run, "a long, b long"), "links")
 
 
-def alike_sets(texts: DataFrame) -> DataFrame:
-    """node and label: components of sets that are alike; sets without a link are left out."""
-    columns = materialise(shared_columns(prefix_rows(texts, heavy_shingles(texts))), "columns")
-    ab = [F.col(x) for x in ("node0", "node", "n0", "n", "place0", "place")]
-    names = ("a", "b", "n_a", "n_b", "place_a", "place_b")
-    stars = columns.where((F.col("node") != F.col("node0")) & _sizes_fit(F.col("n"), F.col("n0")))
-    first = verified(materialise(_bounded(stars.select(*[c.alias(n) for c, n in zip(ab, names, strict=True)])), "pairs"), texts)
+def alike_sets(docs: DataFrame, rows: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """node and label: components of sets that are alike; sets without a link are left out.
+
+    ``docs``: k1, k2, text. ``rows``: what ``set_rows`` has of them.
+    """
+    columns = materialise(shared_columns(prefix_rows(docs.select("text"), heavy)), "columns")
+    found = columns.groupBy("node").agg(F.count("*").alias("found"))
+    sets = rows.where("n > 0").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "last", "light")])
+    decide = F.col("n") - F.ceil(F.col("n") * 0.75) + 1
+    sets = materialise(
+        sets.join(found, "node").withColumn("most", F.col("n") - (decide - F.col("found"))).withColumn("label", F.col("node")), "nodes"
+    )
+    marked = materialise(columns.join(sets, "node"), "marked")
+    # The document least of its own makes the centre of a column.
+    share = F.floor(F.col("light") * 1000 / F.col("n"))
+    centre = marked.groupBy("shingle").agg(F.min(F.struct(share, "node", "n", "most", "last", "label")).alias("c"))
+    stars = _side(marked, "b", "shingle").join(_side(centre.select("shingle", "c.*"), "a", "shingle"), "shingle")
+    first = verified(_bounded(stars.where("node_a <> node_b").where(_possible())), rows, docs)
     labels = components(first)
-    marked = columns.select("shingle", "node", "n", "place").join(labels, "node", "left")
-    marked = marked.withColumn("label", F.coalesce("label", "node"))
+    marked = marked.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     marked = materialise(marked, "marked")
     mixed = marked.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
-    open_rows = marked.join(mixed, "shingle")
-    x = open_rows.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "place", "label")])
-    y = open_rows.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "label")])
-    products = (
-        x.join(y, "shingle")
-        .where("node_a < node_b and label_a <> label_b")
-        .where(_sizes_fit(F.col("n_a"), F.col("n_b")))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b", "place_a", "place_b")
-    )
-    rest = verified(materialise(_bounded(products), "pairs"), texts)
-    return components(first.unionAll(rest))
+    rest = marked.join(mixed, "shingle")
+    products = _side(rest, "a", "shingle").join(_side(rest, "b", "shingle"), "shingle")
+    products = products.where("node_a < node_b and label_a <> label_b").where(_possible())
+    return components(first.unionAll(verified(_bounded(products), rows, docs)))
 
 
 def near_duplicates(docs: DataFrame, column: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """Every column of ``docs`` but the text as struct ``doc``; n_shingles, node and component_id.
+    """k1, k2 (key of id and text), id, n_shingles, label and component_id of every row.
 
     ``component_id`` is the smallest id of the rows reachable by links, the row itself included.
     """
-    texts = docs.select(F.coalesce(F.col(column), F.lit("")).alias("text"))
-    rows = materialise(set_rows(docs, column), "sets")
-    labels = alike_sets(texts)
+    docs = docs.select(
+        *key_columns(F.col(id_column), F.col(column)),
+        F.col(id_column).alias("id"),
+        F.coalesce(F.col(column), F.lit("")).alias("text"),
+    )
+    heavy = heavy_shingles(docs.select("text"))
+    rows = materialise(set_rows(docs, heavy, "text"), "sets")
+    labels = alike_sets(docs.select("k1", "k2", "text"), rows, heavy)
     joined = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    own = F.col("doc").getField(id_column)
-    least = joined.where("n_shingles > 0").groupBy("label").agg(F.min(own).alias("component_id"))
+    least = joined.where("n > 0").groupBy("label").agg(F.min("id").alias("component_id"))
     return joined.join(least, "label", "left").select(
-        "doc",
-        "n_shingles",
+        "k1",
+        "k2",
+        "id",
+        F.col("n").alias("n_shingles"),
         "label",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of ``documents``: five-word shingles, Jaccard 0.75 or more."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return near_duplicates(docs).select(F.col("doc.doc_id").alias("doc_id"), "n_shingles", "component_id")
+    return near_duplicates(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
