@@ -1,4 +1,7 @@
-"""Queries of this subpackage and their SQL."""
+"""Queries of this subpackage and their SQL.
+
+Operators without SQL (token output, fingerprints, license scans, tokens, classifiers) are tested in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +21,9 @@ from . import (
     token_output,
     toxicity,
 )
+from .oracle import ORACLE
+
+__all__ = ["ORACLE", "REGISTRY"]
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -34,5 +40,3 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quality.op10_quality_classifier,
     )
 }
-
-ORACLE: dict[str, str] = {}
