@@ -362,6 +362,16 @@ UNION ALL SELECT 'l_shipdate', 'changed', count(*) FROM lineitem WHERE l_linenum
     ),
     "lineage_by_file": "SELECT 'lineitem.parquet' AS arquivo, count(*) AS linhas FROM lineitem",
 }
+_KEPT = "silver.hora_partida <> 3"
+ORACLE["star_integrity_planted"] = _on_silver(
+    "SELECT * FROM (VALUES ('dim_calendario: chave repetida', CAST(0 AS BIGINT)), ('dim_calendario: fato sem dimensao', 0), "
+    "('dim_calendario: chave nula no fato', 0), ('dim_consorcio: chave repetida', 0), ('dim_consorcio: chave nula no fato', 0), "
+    "('dim_clima: fato sem dimensao', 0), ('dim_clima: chave nula no fato', 0)) t(verificacao, violacoes)\n"
+    f"UNION ALL SELECT 'dim_consorcio: fato sem dimensao', count(*) FROM silver WHERE consorcio = 'ASIA' AND {_KEPT}\n"
+    "UNION ALL SELECT 'dim_clima: chave repetida', count(*) FROM (SELECT DISTINCT condicao_clima FROM silver) "
+    "WHERE condicao_clima = 'Sem Chuva'\n"
+    f"UNION ALL SELECT 'fato x silver: diferenca de linhas', count(*) FROM silver WHERE NOT ({_KEPT})"
+)
 ORACLE["csv_to_bronze"] = ORACLE["bronze_trips"]
 ORACLE["published_star_answer"] = ORACLE["q5_rain_duration"]
 ORACLE["stream_enriched_trips"] = ORACLE["silver_trips"]

@@ -300,6 +300,19 @@ def star_integrity(spark, sf):
     return quality.star_integrity(wide, gold.fact_trips(wide), dims, keys)
 
 
+def star_integrity_planted(spark, sf):
+    """The audit of a star with planted faults: an operator and a band's uniqueness gone, an hour of trips lost."""
+    wide = materialise(_silver(spark, sf), "silver")
+    weather = gold.dim_weather(wide)
+    dims = {
+        "dim_calendario": (gold.dim_calendar(wide), "data_id"),
+        "dim_consorcio": (gold.dim_consortium(wide).filter("consorcio_id <> 'ASIA'"), "consorcio_id"),
+        "dim_clima": (weather.unionAll(weather.filter("clima_id = 'Sem Chuva'")), "clima_id"),
+    }
+    keys = {"dim_calendario": "data_id", "dim_consorcio": "consorcio_id", "dim_clima": "clima_id"}
+    return quality.star_integrity(wide, gold.fact_trips(wide).filter("hora_partida <> 3"), dims, keys)
+
+
 DRIFT_CONTRACT = "l_orderkey BIGINT, l_quantity INT, l_returnflag DOUBLE, l_shipdate DATE, versao_modelo VARCHAR"
 
 
@@ -574,6 +587,7 @@ REGISTRY: dict[str, Query] = {
         column_profile,
         category_counts,
         star_integrity,
+        star_integrity_planted,
         schema_drift,
         layer_expectations,
         lineage_by_file,

@@ -123,6 +123,41 @@ class Store:
                 out.setdefault(version, []).append(slot)
         return out
 
+    def remove_old(self, keep: int, unpublished_before: datetime) -> list[str]:
+        """Delete version folders that are not among the last ``keep`` publications of any slot.
+
+        Folders that were never published go if they were begun before ``unpublished_before`` (UTC), so that
+        a load that is still writing is left alone. Returns the deleted paths.
+        """
+        if keep < 1:
+            raise ValueError("the current version is always kept")
+        entries = self.history().select("slot", "versao", "ordem").collect()  # a row per publication
+        latest: dict[str, dict[str, int]] = {}
+        for slot, version, order in entries:
+            known = latest.setdefault(slot, {})
+            known[version] = max(order, known.get(version, 0))
+        kept = {v for known in latest.values() for v in sorted(known, key=known.get)[-keep:]}
+        published = {version for _, version, _ in entries}
+        begun = f"v{unpublished_before:%Y%m%dT%H%M%S}"
+        gone = []
+        for path in self._version_folders():
+            version = path.rpartition("carga=")[2]
+            if version not in kept and (version in published or version < begun):
+                self._files().delete(self._hadoop_path(path), True)
+                gone.append(path)
+        return gone
+
+    def _hadoop_path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self):
+        return self._hadoop_path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _version_folders(self) -> list[str]:
+        patterns = (f"{self.root}/carga=*", f"{self.root}/*=*/*=*/*=*/carga=*", f"{self.root}/*=*/carga=*")
+        found = [self._files().globStatus(self._hadoop_path(p)) or [] for p in patterns]
+        return sorted(str(status.getPath().toString()) for statuses in found for status in statuses)
+
     def read_files(self, schema: T.StructType, file: str, as_of: int | datetime | None = None) -> DataFrame:
         """Published rows of slots ``<folder>/<file column>=<name>``, with the partition columns of the folders.
 

@@ -389,6 +389,23 @@ def test_publish_as_of_and_rollback(spark, tmp_path):
     assert [r["versao"] for r in store.history().orderBy("ordem").collect()] == ["v1", "v2", "v3", "v2", "v1", "v3"]
 
 
+def test_old_versions_are_removed_on_request_only(spark, tmp_path):
+    from datetime import datetime
+
+    store = Store(spark, str(tmp_path / "ds"))
+    for version, slot, n in (("v20240101T000000-a", "dia=1", 1), ("v20240102T000000-b", "dia=1", 2), ("v20240103T000000-c", "dia=2", 3)):
+        write_files(spark.range(n), store.path(version, slot))
+        store.publish(version, slot)
+    for version in ("v20240101T000000-x", "v20990101T000000-y"):
+        write_files(spark.range(9), store.path(version, "dia=1"))
+    with pytest.raises(ValueError):
+        store.remove_old(0, datetime(2025, 1, 1))
+    assert store.remove_old(2, datetime(2023, 1, 1)) == []
+    gone = store.remove_old(1, datetime(2025, 1, 1))
+    assert sorted(p.rpartition("=")[2] for p in gone) == ["v20240101T000000-a", "v20240101T000000-x"]
+    assert store.read().count() == 5 and os.path.isdir(store.path("v20990101T000000-y", "dia=1"))
+
+
 def test_nothing_to_roll_back_to(spark, tmp_path):
     store = Store(spark, str(tmp_path / "ds"))
     write_files(spark.range(1), store.path("v1"))
