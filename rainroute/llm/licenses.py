@@ -123,8 +123,9 @@ def runs(found: str) -> str:
 
 def template_places(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     """hash, template, label, n (runs of the template), t (place) and word: a few hundred rows."""
-    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(templates)], "template int, label string, body string")
-    listed = rows.select("template", "label", words(F.col("body")).alias("found"))
+    given = [F.struct(F.lit(label).alias("label"), F.lit(body).alias("body")) for label, body in templates]
+    rows = spark.range(1).select(F.posexplode(F.array(*given)).alias("template", "t"))
+    listed = rows.select("template", "t.label", words(F.col("t.body")).alias("found"))
     return listed.select(
         "template",
         "label",
