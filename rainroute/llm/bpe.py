@@ -69,9 +69,9 @@ class Vocabulary:
         self.offsets = np.cumsum([0, *map(len, tokens)])
         self.split = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.words = regex.compile(PATTERN)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.flat = np.empty(0, dtype=np.int64)  # tokens of the known words, one after another
         self.stops = np.zeros(1, dtype=np.int64)
@@ -128,7 +128,7 @@ class Vocabulary:
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all texts in one array, and its offsets (texts + 1)."""
         if len(self.number) > KNOWN:
-            self._forget()
+            self.forget()
         pieces, counts = [], []
         marks = []  # (place, added token) among the pieces
         for body in texts:
@@ -217,6 +217,7 @@ def encode(docs: DataFrame, spec: str, column: str = "text") -> DataFrame:
                     [batch.column("doc").slice(a, b - a), pa.array(raw, pa.binary()), pa.array(decoded, pa.string())],
                     ["doc", "ids", "decoded"],
                 )
+        vocab.forget()  # the next task reads other texts
 
     rows = docs.select(
         F.struct(*[F.col(c) for c in docs.columns if c != column]).alias("doc"), F.col(column).alias("body")

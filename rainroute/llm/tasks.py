@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -30,8 +32,25 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def release() -> None:
+    """Give memory of finished work back to the system; a worker that serves later stages would keep it."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def arrow_map(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
+    """``mapInArrow`` with the package at hand and with memory released after each task."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
