@@ -1,7 +1,8 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions only.
 
-A text is its words with their counts as weights. For sample i and word k, one hash gives
-r and c of the Gamma(2, 1) distribution and b of the uniform one. With weight S:
+A text is its words with their counts as weights. For sample i and word k, hashes give
+r and c of the Gamma(2, 1) distribution, each the negative logarithm of a product of two uniform
+numbers, and b of the uniform one. With weight S:
 
     t = floor(ln S / r + b)        ln a = ln c - r * (t - b + 1)
 
@@ -19,72 +20,82 @@ last; the only document is its own next; an empty table gives no rows; further c
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rainroute.session import materialise
 
-SAMPLES = 64
-_QUANTILES = 4096  # steps of the gamma distribution: 12 bits of the hash
-_ID_BITS = 24
+SAMPLES = 32
+AT_ONCE = 4  # samples computed in one pass over a word's row
 _NONE = (1 << 62) - 1  # larger than any sample
-SPLIT = "[ \\\\n\\\\t\\\\r]+"
+SPLIT = "[ \\n\\t\\r]+"
 
 
-def gamma_quantiles(steps: int) -> np.ndarray:
-    """Middles of ``steps`` equal shares of Gamma(2, 1): 1 - (1 + x) exp(-x) = u, by bisection."""
-    u = (np.arange(steps) + 0.5) / steps
-    low, high = np.zeros(steps), np.full(steps, 64.0)
-    for _ in range(80):
-        x = (low + high) / 2
-        below = 1 - (1 + x) * np.exp(-x) < u
-        low, high = np.where(below, x, low), np.where(below, high, x)
-    return (low + high) / 2
+def _uniform(hash_: str, shift: int, bits: int) -> str:
+    """Bits of a hash as a number above 0 and below 1."""
+    return f"((shiftrightunsigned({hash_}, {shift}) & {(1 << bits) - 1}) + 0.5D) / {1 << bits}D"
 
 
-def _table(values: np.ndarray) -> str:
-    """An array that Spark folds to a constant."""
-    return f"cast(split('{','.join(f'{v:.9g}' for v in values)}', ',') as array<double>)"
+def _gamma(hash_: str) -> str:
+    """A number of the Gamma(2, 1) distribution from the upper 42 bits of a hash."""
+    return f"-ln({_uniform(hash_, 43, 21)} * {_uniform(hash_, 22, 21)})"
 
 
 def _sample(i: int, weight: str) -> str:
-    """Sample i of a word (hash ``h{i}``, logarithm of its weight ``weight``) as a number whose order is that of a."""
-    r = f"r[cast(shiftrightunsigned(h{i}, 52) as int)]"
-    c = f"c[cast(shiftrightunsigned(h{i}, 40) & 4095 as int)]"
-    b = f"((h{i} & 1099511627775) / 1099511627776D)"
-    t = f"floor({weight} / {r} + {b})"
-    ln_a = f"({c} - {r} * ({t} - {b} + 1))"
-    return f"cast({ln_a} * 1073741824D as bigint) * 16777216 + ((h{i} ^ ({t} * 10368889)) & 16777215)"
+    """Sample i of a word, given the logarithm of its weight, as a number whose order is that of a."""
+    t = f"floor({weight} / r{i} + b{i})"
+    ln_a = f"(c{i} - r{i} * ({t} - b{i} + 1))"
+    return f"cast({ln_a} * 1073741824D as bigint) * 16777216 + ((k{i} ^ ({t} * 10368889)) & 16777215)"
 
 
-def signatures(bodies: DataFrame, keys: list[str], kinds: int) -> DataFrame:
+def signatures(bodies: DataFrame, keys: list[str], kinds: int, at_once: int = AT_ONCE) -> DataFrame:
     """Samples ``f0``, ... of each kind of text of a key, as hexadecimal digits.
 
-    ``bodies``: keys, ``kind`` (0 to kinds - 1) and ``body``.
+    ``bodies``: keys, ``kind`` (0 to kinds - 1) and ``body``. ``at_once`` samples are computed in one pass
+    over a word's row, of which there are SAMPLES / at_once; the result is the same for any.
     """
     words = bodies.select(*keys, "kind", F.explode(F.split("body", SPLIT.replace("\\\\", "\\"))).alias("w"))
     counts = words.groupBy(*keys, F.xxhash64("w").alias("w")).agg(
         *[F.sum(F.when(F.col("kind") == k, 1).otherwise(0)).alias(f"n{k}") for k in range(kinds)]
     )
-    quantiles = gamma_quantiles(_QUANTILES)
-    # -1 marks a kind of text without the word.
-    logs = counts.select(
+    # Few samples at a time keep the generated code small enough for the JVM to compile well.
+    parts = counts.select(
         *keys,
+        "w",
+        # -1 marks a kind of text without the word.
         *[F.expr(f"if(n{k} > 0, ln(n{k}), -1D)").alias(f"s{k}") for k in range(kinds)],
-        *[F.xxhash64("w", F.lit(i)).alias(f"h{i}") for i in range(SAMPLES)],
-        F.expr(_table(quantiles)).alias("r"),
-        F.expr(_table(np.log(quantiles))).alias("c"),
+        F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // at_once - 1))).alias("g"),
     )
-    least = logs.groupBy(*keys).agg(
+    hashes = parts.select(
+        *keys,
+        "g",
+        *[f"s{k}" for k in range(kinds)],
+        *[F.xxhash64("w", F.col("g") * at_once + i, F.lit(0)).alias(f"h{i}") for i in range(at_once)],
+        *[F.xxhash64("w", F.col("g") * at_once + i, F.lit(1)).alias(f"k{i}") for i in range(at_once)],
+    )
+    logs = hashes.select(
+        *keys,
+        "g",
+        *[f"s{k}" for k in range(kinds)],
+        *[f"k{i}" for i in range(at_once)],
+        *[F.expr(_gamma(f"h{i}")).alias(f"r{i}") for i in range(at_once)],
+        *[F.expr(_uniform(f"h{i}", 0, 22)).alias(f"b{i}") for i in range(at_once)],
+        *[F.expr(f"ln({_gamma(f'k{i}')})").alias(f"c{i}") for i in range(at_once)],
+    )
+    least = logs.groupBy(*keys, "g").agg(
         *[
             F.expr(f"min(if(s{k} >= 0, {_sample(i, f's{k}')}, {_NONE}))").alias(f"m{k}_{i}")
             for k in range(kinds)
-            for i in range(SAMPLES)
+            for i in range(at_once)
         ]
     )
-    digits = [F.concat(*[F.lpad(F.hex(F.expr(f"m{k}_{i} & 16777215")), 6, "0") for i in range(SAMPLES)]) for k in range(kinds)]
-    return least.select(*keys, *[d.alias(f"f{k}") for k, d in enumerate(digits)])
+    digits = [
+        F.concat(*[F.lpad(F.hex(F.expr(f"m{k}_{i} & 16777215")), 6, "0") for i in range(at_once)]).alias(f"f{k}")
+        for k in range(kinds)
+    ]
+    # The rows of a key, put side by side.
+    whole = least.select(*keys, F.struct("g", *digits).alias("d")).groupBy(*keys).agg(F.sort_array(F.collect_list("d")).alias("d"))
+    return whole.select(*keys, *[F.expr(f"array_join(d.f{k}, '')").alias(f"f{k}") for k in range(kinds)])
 
 
 def likeness(a: str, b: str) -> Column:
@@ -113,7 +124,7 @@ def _ranges(docs: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
         (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("d")),
     )
     texts = first.groupBy("part").agg(F.min("text").alias("head"))
-    heads = texts.join(signatures(texts.select("part", F.lit(0).alias("kind"), F.col("head").alias("body")), ["part"], 1), "part")
+    heads = texts.join(signatures(texts.select("part", F.lit(0).alias("kind"), F.col("head").alias("body")), ["part"], 1, SAMPLES), "part")
     heads = materialise(heads.select(F.col("part").alias("next_part"), "head", F.col("f0").alias("head_print")), "heads")
     return docs, materialise(link.drop("doc_id").join(heads, "next_part").drop("next_part"), "nexts")
 

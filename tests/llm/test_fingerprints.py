@@ -27,12 +27,12 @@ def check(spark, rows, **extra):
 
 
 def test_edited_texts_and_estimates(spark):
-    rows = list(enumerate(random_texts(4, 120, words=80, vocabulary=60), 5))
+    rows = list(enumerate(random_texts(4, 150, words=80, vocabulary=900), 5))
     got, nexts = check(spark, rows)
     by_id = {r.doc_id: r for r in got}
     off = [by_id[i].near_edited - brute.likeness(t, edited(rows, nexts, k)) for k, (i, t) in enumerate(rows)]
     off += [by_id[i].near_next - brute.likeness(t, rows[nexts[k]][1]) for k, (i, t) in enumerate(rows)]
-    assert abs(np.mean(off)) < 0.015 and np.std(off) < 0.09
+    assert abs(np.mean(off)) < 0.03 and np.std(off) < 0.12
 
 
 def test_ties_nulls_empty_and_repeated_rows(spark):
@@ -54,11 +54,9 @@ def test_long_text(spark):
     check(spark, [(1, "ab cd " * 200_000), (2, "x")])
 
 
-def test_quantiles_are_those_of_the_gamma_distribution():
-    q = fingerprints.gamma_quantiles(4096)
-    rng = np.random.default_rng(1)
-    drawn = np.sort(rng.gamma(2.0, 1.0, 400_000))
-    assert np.allclose(np.quantile(drawn, [0.1, 0.5, 0.9]), q[[410, 2048, 3686]], rtol=0.02)
+def test_samples_are_drawn_from_the_gamma_distribution(spark):
+    found = spark.range(200_000).selectExpr("xxhash64(id) as h").selectExpr(f"{fingerprints._gamma('h')} as g").toPandas().g
+    assert abs(found.mean() - 2) < 0.02 and abs(found.var() - 2) < 0.05
 
 
 def test_no_python_in_the_plan(spark, tiny):
