@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,12 +38,14 @@ from pyspark.sql import functions as F
 
 from rainroute.session import materialise, scratch_path
 
-from . import bpe, repeats, text
+from . import text
 from .tasks import arrow_map
 
 LENGTH = 2048  # tokens of a sequence
 RECORDS = 4096  # sequences of a shard
 _ROUNDS = 6
+#: The pretokeniser's pattern (a fixed value of the vocabulary) in possessive form, which does not step back.
+_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 
 def permute(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -67,7 +70,7 @@ def permute(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
 def encoder(ranks: bytes) -> tiktoken.Encoding:
     """Byte-level BPE from lines of token (base 64) and rank."""
     pairs = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
-    return tiktoken.Encoding("vocabulary", pat_str=bpe.PATTERN, mergeable_ranks=pairs, special_tokens={})
+    return tiktoken.Encoding("vocabulary", pat_str=_PATTERN, mergeable_ranks=pairs, special_tokens={})
 
 
 def public_ranks(name: str = "byte_bpe_50k.tiktoken") -> bytes:
@@ -91,7 +94,7 @@ def token_counts(docs: DataFrame, shared: Broadcast) -> dict[int, int]:
 
 
 def sequence_parts(docs: DataFrame, shared: Broadcast, counts: dict[int, int], length: int, records: int, key: int) -> DataFrame:
-    """Sequences, whole or the parts that a task has of them: shard, slot, sequence, offset, doc_ids, ids (compressed).
+    """Sequences, whole or the parts that a task has of them: shard, slot, sequence, offset, doc_ids, ids.
 
     ``counts``: what ``token_counts`` found.
     """
@@ -104,31 +107,32 @@ def sequence_parts(docs: DataFrame, shared: Broadcast, counts: dict[int, int], l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(shared.value).encode_ordinary, encoder(shared.value).n_vocab
         kind = stride_type(end)
+        width = array(kind).itemsize
         part = TaskContext.get().partitionId()
         position = begin = bases[part]
-        held: list[np.ndarray] = []
+        held: list[bytes] = []
         ids: list[int | None] = []
         out: list[tuple] = []
 
         def close() -> None:
             nonlocal begin
             if held:
-                raw = np.concatenate(held).astype(kind).tobytes()
-                out.append((begin // length, begin % length, list(dict.fromkeys(ids)), repeats.squeeze(pa.py_buffer(raw))))
+                out.append((begin // length, begin % length, list(dict.fromkeys(ids)), b"".join(held)))
             held.clear()
             ids.clear()
             begin = position
 
         for batch in batches:
             for doc, body in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                tokens = np.array([*encode(body or ""), end], dtype=np.int64)
-                done = 0
-                while done < len(tokens):
-                    piece = tokens[done : done + length - position % length]
+                tokens = encode(body or "")
+                tokens.append(end)
+                raw, done = array(kind, tokens).tobytes(), 0
+                while done < len(raw):
+                    piece = raw[done : done + (length - position % length) * width]
                     held.append(piece)
                     ids.append(doc)
                     done += len(piece)
-                    position += len(piece)
+                    position += len(piece) // width
                     if position % length == 0:
                         close()
             if len(out) >= 500:
@@ -160,7 +164,8 @@ def sequence_parts(docs: DataFrame, shared: Broadcast, counts: dict[int, int], l
 
 
 def stride_type(end: int) -> str:
-    return "<u2" if end < 1 << 16 else "<u4"
+    """Type code of a token: 2 or 4 bytes, in the order of the machine (little-endian on those that Spark runs on)."""
+    return "H" if end < 1 << 16 else "I"
 
 
 def shard_name(folder: str, shard: int) -> str:
@@ -204,7 +209,7 @@ def write_shards(parts: DataFrame, folder: str, shards: int, length: int, record
                         sink = store.open_output_stream(name)
                     current[:] = [slot, sequence, of, [], []]
                 current[3] += ids
-                current[4].append(repeats.unsqueeze(piece))
+                current[4].append(piece)
             if len(out) >= 1000:
                 yield rows(out)
                 out = []

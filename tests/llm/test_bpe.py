@@ -47,7 +47,7 @@ def test_query_columns(spark, library, spec):
     assert bpe.token_digests(documents(spark, []), spec).collect() == []
 
 
-def test_forgetting_words_changes_nothing(spec, monkeypatch):
+def testforgetting_words_changes_nothing(spec, monkeypatch):
     texts = [f"word{i} and more" for i in range(300)]
     whole = bpe.Vocabulary(spec).encode_batch(texts)[0].tolist()
     monkeypatch.setattr(bpe, "KNOWN", 10)
