@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from rainroute.session import materialise
 
-SAMPLES = 32
+SAMPLES = 64
 AT_ONCE = 4  # samples computed in one pass over a word's row
 _NONE = (1 << 62) - 1  # larger than any sample
 SPLIT = "[ \\n\\t\\r]+"

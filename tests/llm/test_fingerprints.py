@@ -35,6 +35,16 @@ def test_edited_texts_and_estimates(spark):
     assert abs(np.mean(off)) < 0.03 and np.std(off) < 0.12
 
 
+def test_estimates_as_close_as_64_samples_make_them(spark):
+    rows = list(enumerate(random_texts(4, 120, words=80, vocabulary=60), 5))
+    got, nexts = check(spark, rows)
+    assert {len(r.fingerprint) for r in got} == {len(r.edited_fingerprint) for r in got} == {6 * 64}
+    by_id = {r.doc_id: r for r in got}
+    off = [by_id[i].near_edited - brute.likeness(t, edited(rows, nexts, k)) for k, (i, t) in enumerate(rows)]
+    off += [by_id[i].near_next - brute.likeness(t, rows[nexts[k]][1]) for k, (i, t) in enumerate(rows)]
+    assert abs(np.mean(off)) < 0.015 and np.std(off) < 0.09
+
+
 def test_ties_nulls_empty_and_repeated_rows(spark):
     rows = [(3, "b c d e f g"), (3, "a a a"), (3, "a a a"), (None, "x y z"), (None, None), (2, ""), (1, None), (9, "é" * 10), (8, "a a a")]
     got, _ = check(spark, rows, extra="part int, kind string, f0 int", value=(1, "k", 2))
