@@ -57,7 +57,10 @@ def swaps(groups=IDENTITY_GROUPS) -> dict[bytes, bytes]:
 
 def features_of(body: bytes) -> set[bytes]:
     """Words of a text, beginnings of its longer words (``^``), and those that two different words have (``^^``)."""
-    words = set(words_of(body))
+    return _with_stems(set(words_of(body)))
+
+
+def _with_stems(words: set[bytes]) -> set[bytes]:
     out = set(words)
     for size in STEMS:
         seen: set[bytes] = set()
@@ -110,10 +113,10 @@ def features(rows: DataFrame, words: list[bytes], terms: dict[bytes, bytes]):
         for batch in batches:
             plain, swapped = [], []
             for body in batch.column("text"):
-                found = features_of(bytes(body.as_buffer()))
-                plain.append(sorted(number[w] for w in found if w in number))
-                other = {terms.get(w, w) for w in found}
-                swapped.append(sorted(number[w] for w in other if w in number) if other != found else None)
+                found = set(words_of(bytes(body.as_buffer())))
+                plain.append(sorted(number[w] for w in _with_stems(found) if w in number))
+                other = {terms.get(w, w) for w in found}  # words first, so that the stems are those of the swapped text
+                swapped.append(sorted(number[w] for w in _with_stems(other) if w in number) if other != found else None)
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(plain, kind), pa.array(swapped, kind), batch.column("label")], ["plain", "swapped", "label"]

@@ -68,6 +68,34 @@ def test_swapped_identity_terms_change_the_score_less(spark):
     assert gap[10.0] < 0.1 * gap[0.0]
 
 
+def test_a_sentence_and_its_swapped_twin_score_alike(spark):
+    """A term's stems are swapped with it, so the lean cannot move from the word to them."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(400):
+        bad = i % 2
+        term = "muslims" if rng.random() < (0.8 if bad else 0.2) else "christians"
+        rows.append((" ".join([*(rng.choice(POOL) for _ in range(12)), term, *(["scum"] if bad and i % 3 else [])]), bad))
+    table = spark.createDataFrame(rows, "text string, label int")
+    twins = documents(spark, [(1, "my neighbours are christians"), (2, "my neighbours are muslims"), (3, "my neighbours are jews")])
+    gap = {}
+    for penalty in (0.0, 10.0):
+        model = toxicity.train(table, fairness=penalty)
+        logits = [np.log(r.score / (1 - r.score)) for r in toxicity.score(twins, *model).collect()]
+        gap[penalty] = max(logits) - min(logits)
+    assert gap[10.0] < 0.1 * gap[0.0], gap
+
+
+def test_stems_follow_the_swapped_words(spark):
+    body = "Muslims and musliminnen"
+    table = spark.createDataFrame([(body, 1), ("no term at all", 0)], "text string, label int")
+    words = sorted(toxicity.features_of(body.lower().encode()) | toxicity.features_of(b"jews and musliminnen"))
+    found = {r.label: r for r in toxicity.features(table, words, toxicity.swaps())}
+    assert {words[i] for i in found[1].plain} == toxicity.features_of(body.lower().encode())
+    assert {words[i] for i in found[1].swapped} == toxicity.features_of(b"jews and musliminnen")
+    assert found[0].swapped is None
+
+
 @pytest.mark.parametrize("labels,score", [([], 0.0), ([(1, 0), (3, 0)], 0.0), ([(1, 1), (3, 1)], 1.0)])
 def test_without_labels_of_both_kinds(spark, labels, score):
     docs = documents(spark, [(1, "a b"), (3, "c"), (4, None)])
