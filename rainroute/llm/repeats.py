@@ -301,7 +301,8 @@ def repeated_starts(docs: DataFrame, unit: Unit, solver: Solver, most: int = 16_
     wanted = (
         sets.select("one.*", "owner").groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "at", "owner")).alias("segs"))
     )
-    texts = packed(docs, "text", "k1", "k2")  # rows alike repeat each other, so a second copy adds nothing
+    # Rows alike repeat each other, so a second copy adds nothing.
+    texts = packed(docs, "text", "k1", "k2").dropDuplicates(["k1", "k2"])
     blocks = materialise(block_rows(texts.join(wanted, ["k1", "k2"]), unit), "blocks")
     hot = materialise(blocks.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > most).select("group"), "hot")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

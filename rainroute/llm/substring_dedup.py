@@ -119,7 +119,8 @@ def remove_repeated_words(
     key = repeats.key_columns(F.col(id_column), F.col(column))
     body = docs.select(*key, F.col(column).alias("text"))
     starts = repeats.repeated_starts(body, unit(width), automaton_repeats, most)
-    per_doc = starts.groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    # A set: rows alike in id and text share a key, and each has all of their repeats.
+    per_doc = starts.groupBy("k1", "k2").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
     rows = docs.select(
         *key,
         F.struct(*[F.col(c) for c in docs.columns if c != column]).alias("doc"),

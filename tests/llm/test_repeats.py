@@ -51,6 +51,20 @@ def test_repeated_rows_null_ids_and_clashing_columns(spark):
     assert set(suffix_dedup.remove_repeats(df, 20).first().doc.asDict()) == set(df.columns) - {"text"}
 
 
+@pytest.mark.parametrize("module,check,width", [(suffix_dedup, check_bytes, 20), (substring_dedup, check_words, 6)])
+def test_copies_of_a_row_have_its_repeats_once(spark, monkeypatch, module, check, width):
+    texts = random_texts(5, 12)
+    rows = [(None, texts[0])] * 40 + [(7, texts[1])] * 40 + list(enumerate(texts[2:], 10)) + [(50, texts[0][3:]), (51, texts[1][3:])]
+    joined, cut = [], []
+    arrow_map, block_rows = module.arrow_map, repeats.block_rows
+    monkeypatch.setattr(module, "arrow_map", lambda df, *a: joined.append(df) or arrow_map(df, *a))
+    monkeypatch.setattr(repeats, "block_rows", lambda df, *a: cut.append(df) or block_rows(df, *a))
+    check(documents(spark, rows), rows, width)
+    (lists,), (texts_cut,) = joined, cut
+    assert lists.where("size(runs) > size(array_distinct(runs))").count() == 0
+    assert texts_cut.count() == texts_cut.select("k1", "k2").distinct().count() > 2
+
+
 def test_empty_table(spark):
     df = documents(spark, [])
     assert suffix_dedup.remove_repeats(df, 20).collect() == []
