@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    alignment,
     bpe,
     decontaminate,
     fingerprints,
@@ -38,5 +39,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bpe.op8_bpe_encoding,
         toxicity.op9_toxicity,
         quality.op10_quality_classifier,
+        alignment.op13_cross_tokenizer_alignment,
     )
 }
