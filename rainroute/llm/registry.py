@@ -14,6 +14,8 @@ from . import (
     bpe,
     decontaminate,
     fingerprints,
+    hard_negatives,
+    learned_partitions,
     licenses,
     ngram_join,
     quality,
@@ -39,6 +41,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bpe.op8_bpe_encoding,
         toxicity.op9_toxicity,
         quality.op10_quality_classifier,
+        hard_negatives.op11_hard_negative_mining,
+        learned_partitions.op12_approximate_neighbours,
         alignment.op13_cross_tokenizer_alignment,
     )
 }
