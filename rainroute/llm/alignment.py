@@ -39,10 +39,14 @@ from pyspark.sql import types as T
 from ..session import materialise
 from .bpe import byte_characters, gathered
 from .tasks import arrow_map
+from .text import buffers
+from .text import runs as text_runs
 
 BLOCK = 8 << 20  # bytes of text whose documents share a table of units
+ROWS = 100_000  # documents of a block at most
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
-TOGETHER = 2_000  # units given to a library at once
+TOGETHER = 100  # units given to a library as one text; its work on a text grows faster than the text
+AT_ONCE = 64  # such texts whose tokens are checked together
 SPACE = "▁"
 
 
@@ -118,13 +122,14 @@ class Aligner:
         full = " " + text
         return self.cut.split(full) if self.cut else [full]
 
-    def _runs(self, units: list[str]) -> Iterator[tuple[int, int]]:
+    def _runs(self, units: list[str]) -> list[tuple[int, int]]:
         """Stretches of units that may be given to the libraries as one text: only the last may end in white space."""
-        start = 0
-        for i, u in enumerate(units):
-            if i + 1 - start == TOGETHER or not self.cut or u[-1:].isspace() or not u or i + 1 == len(units):
-                yield start, i + 1
-                start = i + 1
+        n = len(units)
+        if not self.cut:
+            return [(i, i + 1) for i in range(n)]
+        closed = np.array([u[-1:].isspace() for u in units], dtype=bool)
+        ends = distinct(np.concatenate([np.flatnonzero(closed) + 1, np.arange(TOGETHER, n, TOGETHER), [n]])) if n else np.empty(0, np.int64)
+        return list(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False))
 
     def tokens(self, units: list[str], stops: np.ndarray) -> tuple[Tokens, Tokens]:
         """Tokens of all units by A and by B; ``stops``: the units' ends in bytes. Texts given start with the word x."""
@@ -132,55 +137,64 @@ class Aligner:
         out = []
         for spans, entries in ((self._spans_a, self.a_entries), (self._spans_b, self.b_entries)):
             found = []
-            bounds = list(self._runs(units))
+            bounds = self._runs(units)
             while bounds:
-                texts = (lead + "".join(units[i:j]) for i, j in bounds)
                 alone = []
-                for (i, j), (text, ids, low, high) in zip(bounds, spans(texts), strict=True):
-                    ends, right = self._ends(text, entries, ids, low, high)
-                    if not right and j - i > 1:  # one unit that does not survive costs the others nothing
-                        alone += [(k, k + 1) for k in range(i, j)]
-                        continue
-                    keep = ends > len(lead)
-                    begin = int(stops[i - 1]) if i else 0
-                    # Without its own bytes a unit has no ends; all its tokens are put at its end.
-                    ends = ends[keep] - len(lead) + begin if right else np.full(int(keep.sum()), stops[j - 1])
-                    found.append((i, ids[keep], ends, np.full(len(ends), right)))
+                for start in range(0, len(bounds), AT_ONCE):
+                    some = bounds[start : start + AT_ONCE]
+                    texts = [lead + "".join(units[i:j]) for i, j in some]
+                    raw = [t.encode() for t in texts]
+                    at = np.cumsum([0, *map(len, raw)])
+                    ids, counts, low, high = spans(texts, raw, at)
+                    text_of = np.repeat(np.arange(len(some)), counts)
+                    decoded = np.cumsum(entries.sizes[ids])
+                    cuts = np.concatenate([[0], decoded])[np.concatenate([[0], np.cumsum(counts)])]  # of the texts in what is spelt
+                    decoded = decoded - (cuts[:-1] - at[:-1])[text_of]
+                    # A cut that the library gives between two characters is sure; inside a character it gives none.
+                    other = np.append(text_of[1:] != text_of[:-1], True)[: len(ids)]
+                    sure = other | (np.append(low[1:], 0)[: len(ids)] == high)
+                    sure &= np.diff(high, prepend=0) > 0
+                    ends = refined(decoded, high, sure)
+                    spelt = entries.spelt(ids).tobytes()
+                    right = np.array([spelt[x:y] == r for x, y, r in zip(cuts[:-1].tolist(), cuts[1:].tolist(), raw, strict=True)])
+                    right[text_of[ends != decoded]] = False
+                    for k in np.flatnonzero(~right).tolist():
+                        if some[k][1] - some[k][0] > 1:  # one unit that does not survive costs the others nothing
+                            alone += [(x, x + 1) for x in range(*some[k])]
+                    first = np.array([i for i, _ in some])
+                    begin = np.append(0, stops)[first]
+                    ends = ends - (at[:-1] + len(lead) - begin)[text_of]
+                    # Without its own bytes a unit has no ends; its tokens are put at its end.
+                    ends = np.where(right[text_of], ends, stops[[j - 1 for _, j in some]][text_of])
+                    again = ~right & np.array([j - i > 1 for i, j in some])
+                    keep = ~again[text_of] & ~(right[text_of] & (ends <= begin[text_of]))
+                    found.append((first[text_of][keep], ids[keep], ends[keep], right[text_of][keep]))
                 bounds = alone
-            found.sort(key=lambda x: x[0])
-            flat = [np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (1, 2, 3)]
-            out.append(Tokens(flat[0], flat[1], flat[2].astype(bool), stops))
+            start, ids, ends, right = [np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in range(4)]
+            order = np.argsort(start, kind="stable")
+            out.append(Tokens(ids[order], ends[order], right[order].astype(bool), stops))
         return out[0], out[1]
 
-    @staticmethod
-    def _ends(text: str, entries: Entries, ids: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, bool]:
-        """The tokens' ends in bytes, and whether the tokens spell the text and their cuts agree with it."""
-        decoded = np.cumsum(entries.sizes[ids])
-        # A cut that the library gives between two characters is sure; inside a character it gives none.
-        sure = np.append(low[1:] == high[:-1], True)[: len(ids)] & (np.diff(high, prepend=0) > 0)
-        ends = refined(decoded, high, sure)
-        return ends, entries.spelt(ids).tobytes() == text.encode() and bool((ends == decoded).all())
-
-    def _spans_a(self, texts: Iterator[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
-        for text in texts:
-            e = self.a.encode(text, add_special_tokens=False)
-            ids = np.array(e.ids, dtype=np.int64)
-            offsets = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
-            if text.isascii():
-                yield text, ids, offsets[:, 0], offsets[:, 1]
-            else:
-                raw = np.frombuffer(text.encode(), dtype=np.uint8)
-                at = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # characters' first bytes
-                yield text, ids, at[offsets[:, 0]], at[offsets[:, 1]]
-
-    def _spans_b(self, texts: Iterator[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
-        """The model puts a space before the text, so the text's own first space is left to it."""
-        for text in texts:
-            found = self._pieces(text[1:])
-            spans = np.fromiter(chain.from_iterable(found), np.int64, 3 * len(found)).reshape(-1, 3)
-            low, high = spans[:, 1] + 1, spans[:, 2] + 1
-            low[:1] = 0
-            yield text, spans[:, 0], low, high
+    def _spans_a(self, texts: list[str], raw: list[bytes], at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """ids of all texts, their number in each, first and last byte + 1 of each, counted from the first text on."""
+        encoded = [self.a.encode(t, add_special_tokens=False) for t in texts]
+        ids = [e.ids for e in encoded]
+        counts = np.array([len(i) for i in ids], dtype=np.int64)
+        total = int(counts.sum())
+        offsets = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in encoded)), np.int64, 2 * total).reshape(-1, 2)
+        flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        byte = np.append(np.flatnonzero((flat & 0xC0) != 0x80), len(flat))  # characters' first bytes
+        offsets += np.repeat(np.cumsum([0, *map(len, texts)])[:-1], counts)[:, None]
+        return np.fromiter(chain.from_iterable(ids), np.int64, total), counts, byte[offsets[:, 0]], byte[offsets[:, 1]]
+
+    def _spans_b(self, texts: list[str], raw: list[bytes], at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The model puts a space before a text, so the text's own first space is left to it."""
+        found = [self._pieces(t[1:]) for t in texts]
+        counts = np.array([len(f) for f in found], dtype=np.int64)
+        total = int(counts.sum())
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable(found)), np.int64, 3 * total).reshape(-1, 3)
+        base = np.repeat(at[:-1], counts)
+        return spans[:, 0], counts, spans[:, 1] + base + 1, spans[:, 2] + base + 1
 
     def _pieces(self, text: str) -> list[tuple[int, int, int]]:
         """(id, first byte, last byte + 1) of the pieces, as the library's proto gives them."""
@@ -261,19 +275,23 @@ def public_models(a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model")
 
 def block_of(aligned_by: Aligner, texts: list[str | None], keep_groups: bool) -> dict:
     """Alignment of some documents, their units, and the id pairs they link with the number of documents of each."""
-    known: dict[str, int] = {}
-    rows = [[known.setdefault(u, len(known)) for u in aligned_by.units(t)] if t else [] for t in texts]
-    found = aligned_by.align(list(known))
+    rows = [aligned_by.units(t) if t else [] for t in texts]
     sizes = np.array([len(r) for r in rows], dtype=np.int64)
-    sequence = np.array([u for r in rows for u in r], dtype=np.int64)
-    doc = np.repeat(np.arange(len(rows)), sizes)
-    fine = np.ones(len(rows), dtype=bool)
+    known = list(dict.fromkeys(chain.from_iterable(rows)))
+    number = dict(zip(known, range(len(known)), strict=True))
+    sequence = np.fromiter(map(number.__getitem__, chain.from_iterable(rows)), np.int64, int(sizes.sum()))
+    del rows, number
+    found = aligned_by.align(known)
+    doc = np.repeat(np.arange(len(texts)), sizes)
+    fine = np.ones(len(texts), dtype=bool)
     fine[doc[~found.right[sequence]]] = False
     fine &= sizes > 0
     sequence, doc = sequence[fine[doc]], doc[fine[doc]]
-    totals = {c: np.bincount(doc, getattr(found, c)[sequence], len(rows)).astype(np.int64) for c in ("n_a", "n_b", "n_groups")}
-    totals["n_links"] = np.bincount(doc, found.links[sequence], len(rows)).astype(np.int64)
-    texts_of = [";".join([found.groups[u] for u in r]) if ok else "" for r, ok in zip(rows, fine.tolist(), strict=True)]
+    totals = {c: np.bincount(doc, getattr(found, c)[sequence], len(texts)).astype(np.int64) for c in ("n_a", "n_b", "n_groups")}
+    totals["n_links"] = np.bincount(doc, found.links[sequence], len(texts)).astype(np.int64)
+    unit_stops = np.searchsorted(doc, np.arange(1, len(texts) + 1))
+    groups, cuts = np.array([*found.groups, None], dtype=object), [0, *unit_stops.tolist()]
+    texts_of = [";".join(groups[sequence[i:j]].tolist()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
     pairs, place = np.unique((found.link_a << 32) | found.link_b, return_inverse=True)
     stops = np.cumsum(found.links)
     # Each document's distinct units, then its distinct pairs.
@@ -283,10 +301,10 @@ def block_of(aligned_by: Aligner, texts: list[str | None], keep_groups: bool) ->
     held = distinct(np.repeat(holder, found.links[unit]) * max(len(pairs), 1) + held)
     return {
         **totals,
-        "groups": texts_of if keep_groups else [None] * len(rows),
+        "groups": texts_of if keep_groups else [None] * len(texts),
         "groups_sha256": [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts_of],
         "units": sequence.astype("<u4").tobytes(),
-        "unit_stops": np.searchsorted(doc, np.arange(1, len(rows) + 1)).astype("<i8").tobytes(),
+        "unit_stops": unit_stops.astype("<i8").tobytes(),
         "links": place.astype("<u4").tobytes(),
         "link_stops": stops.astype("<i8").tobytes(),
         "pairs": pairs.astype("<i8").tobytes(),
@@ -298,19 +316,6 @@ PER_DOC = ("n_a", "n_b", "n_groups", "n_links")
 BYTES = ("units", "unit_stops", "links", "link_stops", "pairs", "holders")
 
 
-def by_bytes(texts: list[str | None], limit: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes (by characters, up to four each); a longer text stands alone."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        more = len(t) + 16 if t else 16
-        if i > start and size + more > limit:
-            yield start, i
-            start, size = i, 0
-        size += more
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def aligned_blocks(
     docs: DataFrame, models: tuple[str, bytes], column: str = "text", keep_groups: bool = False, limit: int = BLOCK
 ) -> DataFrame:
@@ -324,11 +329,11 @@ def aligned_blocks(
         both = aligner(*shared.value)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts = batch.column("body").to_pylist()
-            for i, j in by_bytes(texts, limit):
+            body = batch.column("body")
+            for i, j in text_runs(buffers(body)[1], limit, ROWS):
                 gc.disable()  # millions of small tuples, none in a cycle
                 try:
-                    found = block_of(both, texts[i:j], keep_groups)
+                    found = block_of(both, body.slice(i, j - i).to_pylist(), keep_groups)
                 finally:
                     gc.enable()
                 doc = batch.column("doc").slice(i, j - i)
