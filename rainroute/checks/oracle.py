@@ -379,6 +379,17 @@ ORACLE["stream_hourly_counts"] = """
 SELECT hora AS inicio, hora + INTERVAL 1 HOUR AS fim, event_type, count(*) AS total
 FROM (SELECT date_trunc('hour', ts) AS hora, event_type FROM events)
 GROUP BY hora, event_type"""
+for _same in ("stream_late_rain", "incremental_silver", "streamed_beside_batch"):
+    ORACLE[_same] = ORACLE["silver_trips"]
+ORACLE["incremental_star"] = _on_silver(
+    "SELECT desc_categoria_dia, consorcio AS consorcio_id, condicao_clima AS desc_intensidade, count(*) AS viagens, "
+    "CAST(sum(tempo_viagem) AS BIGINT) AS minutos FROM silver JOIN calendar ON data_id = data_viagem GROUP BY ALL",
+    _CALENDAR,
+)
+ORACLE["clustered_month_and_line"] = _on_silver(
+    "SELECT linha, count(*) AS viagens, CAST(sum(tempo_viagem) AS BIGINT) AS minutos FROM silver "
+    "WHERE data_viagem BETWEEN DATE '1998-06-01' AND DATE '1998-06-30' AND split_part(linha, '-', 1) IN ('1', '2', '3') GROUP BY linha"
+)
 ORACLE["two_deliveries_one_date"] = ORACLE["mixed_headers_to_bronze"] = ORACLE["bronze_trips"]
 ORACLE["rollback_to_first"] = ORACLE["rain_hourly"]
 ORACLE["bronze_lineage"] = (

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from rainroute.contracts import CONTRACTS, schema_from_ddl
 from rainroute.functions import mapped_name, rain_band_contiguous
 from rainroute.operators import dedup, outliers, quality, scope
 from rainroute.operators.casting import REJECTS, apply_contract, rejected
-from rainroute.plans import eta, gold, jobs, questions, rain_stations, silver
+from rainroute.plans import clustering, eta, gold, jobs, questions, rain_stations, silver
 from rainroute.plans import fleet as fleet_plan
 from rainroute.session import materialise, scratch_path
 from rainroute.sources import proxy
@@ -32,6 +32,8 @@ PLATEAU_FROM, VALLEY_BELOW = 0.99, 0.95
 FLEET_YEAR = 2025
 RUN_DATE = date(2024, 8, 24)
 ETA_SPLIT = date(1997, 1, 1)
+LATER_FROM = date(1998, 6, 1)
+MONTH = (date(1998, 6, 1), date(1998, 6, 30))
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -506,10 +508,102 @@ def stream_enriched_trips(spark, sf):
 def stream_hourly_counts(spark, sf):
     """All hours, those that are still open included."""
     root = scratch_path(spark, "stream")
-    counts = trips_stream.hourly_counts(_file_stream(spark, sf, "events"), "ts", "event_type", "1 hour")
     store = Store(spark, f"{root}/out")
-    trips_stream.write_all(counts, store, f"{root}/checkpoint")
-    return store.read(schema=counts.schema)
+    trips_stream.write_touched(_file_stream(spark, sf, "events"), store, f"{root}/checkpoint", "ts", "event_type")
+    return store.read()
+
+
+FAR = "2100-01-01"
+
+
+def stream_late_rain(spark, sf):
+    """Silver from two streams, the rain of all hours coming after all trips; equal to the batch result.
+
+    A trip and a reading of the far future close all hours at the end; that hour itself stays open.
+    """
+    root = scratch_path(spark, "late")
+    rain = proxy.rain(spark, sf).select("primary_key", "data_particao", "horario", "acumulado_chuva_1_h")
+    trips = proxy.trips(spark, sf).select(*jobs.TRIP_COLUMNS)
+    inbox = {"trips": trips, "rain": rain}
+    streams = {}
+    for name, df in inbox.items():
+        df.limit(0).write.parquet(f"{root}/{name}")
+        streams[name] = spark.readStream.schema(df.schema).parquet(f"{root}/{name}")
+
+    def pull():
+        rows = trips_stream.wait_for_rain(streams["trips"], streams["rain"], "1 hour", "1 hour")
+        return trips_stream.write_closed(rows, f"{root}/out", f"{root}/checkpoint")
+
+    def end(name: str, day: str, clock: str, at: str) -> None:
+        given = {day: F.lit(FAR).cast("date"), clock: F.lit(at).cast(inbox[name].schema[clock].dataType)}
+        row = [given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in inbox[name].schema.fields]
+        spark.range(1).select(*row).write.mode("append").parquet(f"{root}/{name}")
+
+    trips.write.mode("append").parquet(f"{root}/trips")
+    pull()
+    rain.write.mode("append").parquet(f"{root}/rain")
+    pull()
+    end("trips", "data", "datetime_partida", f"{FAR} 00:00:00")
+    end("rain", "data_particao", "horario", "00:00:00")
+    pull()
+    return rounded(spark.read.parquet(f"{root}/out").select(*silver.SILVER_COLUMNS), "chuva_no_horario")
+
+
+def _two_run_dates(spark, sf, *datasets: str) -> jobs.Lake:
+    """Trips loaded on two run dates, the second one with the last months; silver and gold built after each."""
+    root = scratch_path(spark, "lake")
+    lake = jobs.Lake.under(spark, root)
+    trips = proxy.trips(spark, sf)
+    later = F.col("data") >= F.lit(LATER_FROM)
+    _export(proxy.rain(spark, sf), "primary_key", f"{root}/entrada/clima_pluviometria")
+    jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset("clima_pluviometria", f"{root}/entrada/clima_pluviometria")], RUN_DATE))
+    for n, part in enumerate((trips.filter(~later), trips.filter(later))):
+        _export(part, "id_viagem", f"{root}/entrada/viagens_{n}")
+        dataset = jobs.Dataset("viagens_onibus", f"{root}/entrada/viagens_{n}")
+        jobs.require_all(jobs.load_datasets(lake, [dataset], RUN_DATE + timedelta(days=n)))
+        jobs.build_silver(lake)
+        jobs.build_gold(lake)
+    return lake
+
+
+def incremental_silver(spark, sf):
+    """Silver after two builds, the second of which wrote the months of the second delivery only."""
+    return rounded(jobs.read_silver(_two_run_dates(spark, sf)), "chuva_no_horario")
+
+
+def incremental_star(spark, sf):
+    """The star after two builds: minutes by day category, operator and rain band."""
+    lake = _two_run_dates(spark, sf)
+    fact, calendar, weather = (jobs.read_gold(lake, t) for t in ("fato_desempenho_viagem", "dim_calendario", "dim_clima"))
+    joined = fact.join(calendar, "data_id").join(weather, "clima_id")
+    return joined.groupBy("desc_categoria_dia", "consorcio_id", "desc_intensidade").agg(
+        F.count(F.lit(1)).alias("viagens"), F.sum("tempo_viagem").alias("minutos")
+    )
+
+
+def clustered_month_and_line(spark, sf):
+    """Trips and minutes of one month on some lines, from the fact files that can hold them."""
+    lake = _two_run_dates(spark, sf)
+    fact = clustering.read_fact(lake.gold_store(), MONTH, [f"{n}-{m}" for n in (1, 2, 3) for m in range(12)])
+    return fact.groupBy("linha").agg(F.count(F.lit(1)).alias("viagens"), F.sum("tempo_viagem").alias("minutos"))
+
+
+def streamed_beside_batch(spark, sf):
+    """Silver where the last months were streamed after a batch build, with some trips of the batch sent again."""
+    root = scratch_path(spark, "lake")
+    lake = jobs.Lake.under(spark, root)
+    trips = proxy.trips(spark, sf)
+    later, again = F.col("data") >= F.lit(LATER_FROM), F.pmod(F.xxhash64("id_viagem"), F.lit(50)) == 0
+    for name, df, key in (("viagens_onibus", trips.filter(~later), "id_viagem"), ("clima_pluviometria", proxy.rain(spark, sf), "primary_key")):
+        _export(df, key, f"{root}/entrada/{name}")
+        jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset(name, f"{root}/entrada/{name}")], RUN_DATE))
+    jobs.build_silver(lake)
+    trips.filter(later | again).write.parquet(f"{root}/chegadas")
+    stream = spark.readStream.schema(trips.schema).parquet(f"{root}/chegadas")
+    hourly = materialise(silver.hourly_rain(proxy.rain(spark, sf)), "hourly")
+    trips_stream.write_enriched(stream, lambda: (hourly, hourly.count()), f"{root}/fluxo", f"{root}/checkpoint")
+    trips_stream.publish_enriched(lake, f"{root}/fluxo")
+    return rounded(jobs.read_silver(lake), "chuva_no_horario")
 
 
 def _eta_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -604,6 +698,11 @@ REGISTRY: dict[str, Query] = {
         as_of_version,
         stream_enriched_trips,
         stream_hourly_counts,
+        stream_late_rain,
+        incremental_silver,
+        incremental_star,
+        clustered_month_and_line,
+        streamed_beside_batch,
         eta_errors,
     )
 }

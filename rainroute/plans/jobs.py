@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,16 +20,17 @@ from rainroute.operators.casting import REJECTS, REJECTS_TYPE, apply_contract
 from rainroute.operators.dedup import latest_per_key
 from rainroute.operators.outliers import within_range
 from rainroute.operators.scope import within_dates
-from rainroute.plans import gold, silver
+from rainroute.plans import changes, clustering, gold, silver
 from rainroute.sources import catalog, csv_files
 from rainroute.sources.csv_files import MALFORMED, SOURCE_FILE
-from rainroute.sources.versions import Store, new_version, write_files
+from rainroute.sources.versions import NotPublished, Store, new_version, sql_text, write_files
 
 TRIP_COLUMNS = (
     "data", "id_viagem", "servico", "consorcio", "tipo_dia", "distancia_planejada", "tempo_viagem",
     "datetime_partida",
 )
 RAIN_COLUMNS = ("data_particao", "horario", "acumulado_chuva_1_h")
+INPUTS = ("viagens_onibus", "clima_pluviometria")
 GOLD_TABLES = ("dim_calendario", "dim_consorcio", "dim_clima", "fato_desempenho_viagem")
 
 
@@ -209,18 +211,27 @@ def read_bronze(
     as_of: int | datetime | None = None,
     deduplicate: bool = False,
     columns: Sequence[str] = (),
+    where: Column | None = None,
 ) -> DataFrame:
     """Clean published rows with their lineage columns (file, run date, version).
 
     ``deduplicate`` keeps, per contract key, the row of the latest run date.
-    ``columns`` narrows the rows before that, so that less is shuffled.
+    ``columns`` narrows the rows before that, so that less is shuffled. ``where`` picks rows; with ``deduplicate``
+    a row is kept only if no row of its key, picked or not, is later.
     """
     df = lake.bronze_store(dataset).read_files(_bronze_table_schema(dataset), SOURCE_FILE, as_of)
     clean = df.filter(F.col(REJECTS).isNull()).drop(REJECTS)
     key, run = CONTRACTS[dataset].key, ["ano", "mes", "dia", "carga"]
     if columns:
         clean = clean.select(*dict.fromkeys([*columns, *key, *run]))
-    return latest_per_key(clean, key, run) if deduplicate and key else clean
+    if not (deduplicate and key):
+        return clean if where is None else clean.filter(where)
+    if where is None:
+        return latest_per_key(clean, key, run)
+    picked = clean.filter(where)
+    unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    related = clean.join(picked.select(*key).distinct(), list(key), "left_semi").select(*clean.columns)
+    return latest_per_key(related, key, run).filter(where).unionByName(picked.filter(unkeyed))
 
 
 def read_rejects(lake: Lake, dataset: str, as_of: int | datetime | None = None) -> DataFrame:
@@ -252,75 +263,183 @@ def _clean_trips(trips: DataFrame, options: SilverOptions) -> DataFrame:
     return trips
 
 
-def _write_hourly_rain(lake: Lake, version: str, options: SilverOptions) -> tuple[DataFrame, int]:
-    """Write and publish the hourly rain; returns it with its exact row number."""
-    rain = read_bronze(
-        lake, "clima_pluviometria", deduplicate=options.deduplicate, columns=RAIN_COLUMNS
-    )
+def _touched(lake: Lake, dataset: str, day: str, since: int | None, until: int | None, deduplicate: bool) -> set[str]:
+    """Months whose rows differ between two publications of a bronze dataset.
+
+    Only files of slots that differ are read. When rows are deduplicated, a changed row can also decide which of its
+    copies stands in another month, so the months of all copies count.
+    """
+    store, key = lake.bronze_store(dataset), CONTRACTS[dataset].key
+    schema = _bronze_table_schema(dataset)
+    parts = [store.read_some_files(schema, SOURCE_FILE, slots) for slots in store.changes(since, until) if slots]
+    if not parts:
+        return set()
+    rows = reduce(DataFrame.unionByName, [p.filter(F.col(REJECTS).isNull()).select(day, *key) for p in parts])
+    months = changes.months_of(rows, day)
+    if deduplicate and key:
+        copies = read_bronze(lake, dataset, until, columns=(day,)).join(rows.select(*key).distinct(), list(key), "left_semi")
+        months |= changes.months_of(copies, day)
+    return months
+
+
+def _build_hourly_rain(lake: Lake, version: str, options: SilverOptions, until: int | None, months: set[str] | None) -> None:
+    """Write and publish the hourly rain of ``months``, of all if None."""
+    if months is not None and not months:
+        return
+    where = None if months is None else changes.in_months("data_particao", sorted(months))
+    rain = read_bronze(lake, "clima_pluviometria", until, options.deduplicate, RAIN_COLUMNS, where)
     if options.scope:
         rain = within_dates(rain, *options.scope, column="data_particao")
     store = lake.silver_store("chuva_horaria")
-    write_files(silver.hourly_rain(rain), store.path(version))
-    rows = catalog.parquet_rows(lake.spark, store.path(version))  # one per hour: it is an aggregate by that key
-    store.publish(version, rows=rows)
-    return lake.spark.read.parquet(store.path(version)), rows
+    _publish_months(store, _by_month(silver.hourly_rain(rain), "data_particao", version), version, months)
+
+
+def _by_month(df: DataFrame, day: str, version: str) -> DataFrame:
+    """Rows with the columns of their slot, one month's together; AQE splits large months and merges small ones."""
+    slot = {"origem": F.lit(changes.BATCH), "parte": changes.month_part(day), "carga": F.lit(version)}
+    return df.withColumns(slot).hint("rebalance", "parte")
+
+
+def _publish_months(store: Store, df: DataFrame, version: str, months: set[str] | None) -> None:
+    store.write_slots(df, changes.KEYS)
+    store.publish_set(_entries(store, version, store.written_slots(version, changes.KEYS), months))
+
+
+def _entries(store: Store, version: str, written: Mapping[str, int], months: set[str] | None) -> list[tuple]:
+    """Publication of the written months; those that were due and have no rows any more are withdrawn."""
+    before = [s for s in store.current() if changes.is_batch(s) or not s]
+    due = before if months is None else [s for s in before if s in {changes.batch_slot(m) for m in months}]
+    return [(s, version, n) for s, n in sorted(written.items())] + [(s, None, 0) for s in sorted(set(due) - set(written))]
+
+
+def _hourly_of(lake: Lake, months: set[str] | None) -> tuple[DataFrame, int]:
+    """Published hourly rain of some months and its exact row number."""
+    store = lake.silver_store("chuva_horaria")
+    slots = {s: v for s, v in store.current().items() if months is None or s in {changes.batch_slot(m) for m in months}}
+    if not slots:
+        return lake.spark.createDataFrame([], "data_particao date, hora_medicao int, avg_chuva_1h double"), 0
+    hourly = store.read_slots(slots).drop(*changes.KEYS, "carga")
+    return hourly, hourly.count()  # from the footers; one row per hour, as it is an aggregate by that key
+
+
+def _superseded_streams(store: Store, version: str, months: Mapping[str, int]) -> list[tuple]:
+    """Publication of streamed slots without the trips that the batch months now have; most need none."""
+    streams = {s: v for s, v in store.current().items() if s and not changes.is_batch(s)}
+    if not streams or not months:
+        return []
+    known = store.read_slots(dict.fromkeys(months, version)).select("id_viagem").where("id_viagem IS NOT NULL")
+    streamed = store.read_slots(streams).drop("carga")
+    hit = streamed.join(known, "id_viagem", "left_semi").select(*changes.KEYS).distinct().collect()  # a row per slot
+    slots = {f"origem={r.origem}/parte={r.parte}" for r in hit}
+    if not slots:
+        return []
+    rest = store.read_slots({s: streams[s] for s in slots}).drop("carga").join(known, "id_viagem", "left_anti")
+    store.write_slots(rest.select(*silver.SILVER_COLUMNS, *changes.KEYS, F.lit(version).alias("carga")), changes.KEYS)
+    left = {s: n for s, n in store.written_slots(version, changes.KEYS).items() if s in slots}
+    return [(s, version if s in left else None, left.get(s, 0)) for s in sorted(slots)]
 
 
 def build_silver(
     lake: Lake,
     options: SilverOptions = SilverOptions(),
-    cluster_by: tuple[str, ...] = (),
     rules: Mapping[str, Column] | None = None,
+    full: bool = False,
 ) -> str:
-    """Hourly rain, then the wide trip table; both published. Returns the trips' version.
+    """Hourly rain, then the wide trip table, by month; both published. Returns the trips' version.
 
-    The hourly rain is written first, so its exact row number decides between a
-    broadcast and a shuffle join. Before publication the trips as written are
-    counted against the trips read, and ``rules`` must hold on every row.
-    """
-    version = new_version()
-    hourly, hours = _write_hourly_rain(lake, version, options)
+    Only months that differ since the last build are written, all if there was none, if the options are others or
+    if ``full``; without any, nothing is published and the last build's version is returned. The
+    hourly rain comes first, so its exact row number decides between a broadcast and a shuffle join. Before
+    publication the trips as written are compared with the trips counted while they were read, and ``rules`` must
+    hold on every row written. All months go live in one publication, and with them the streamed slots, cut
+    by the trips that batch has now.
 
-    trips = read_bronze(
-        lake, "viagens_onibus", deduplicate=options.deduplicate, columns=TRIP_COLUMNS
-    )
+    A month that was rolled back stays so until its input changes or a full build.
+    """
+    version, store = new_version(), lake.silver_store("stg_viagens")
+    bases, trips_at, rain_at = changes.Bases(store), *(lake.bronze_store(d).last() for d in INPUTS)
+    base = None if full else bases.last()
+    months = rain_months = None
+    if base is not None and base.options == repr(options):
+        try:
+            rain_months = _touched(lake, "clima_pluviometria", "data_particao", base.rain, rain_at, options.deduplicate)
+            months = rain_months | _touched(lake, "viagens_onibus", "data", base.trips, trips_at, options.deduplicate)
+        except AnalysisException as error:  # files that were replaced since have been removed
+            if not csv_files.path_missing(error):
+                raise
+            months = rain_months = None
+        if months is not None and not months:
+            return base.versao
+    _build_hourly_rain(lake, version, options, rain_at, rain_months)
+
+    where = None if months is None else changes.in_months("data", sorted(months))
+    trips = read_bronze(lake, "viagens_onibus", trips_at, options.deduplicate, TRIP_COLUMNS, where)
     attributes = silver.trip_attributes(_clean_trips(trips, options))
-    wide = silver.enrich(attributes, hourly, hours)
-    if cluster_by:
-        wide = wide.withColumns({"ano": F.year("data_viagem"), "mes": F.month("data_viagem")})
-    store = lake.silver_store("stg_viagens")
-    write_files(wide, store.path(version), cluster_by)
-
-    rows_in, rows_out = attributes.count(), catalog.parquet_rows(lake.spark, store.path(version))
+    seen = Observation()
+    wide = silver.enrich(attributes.observe(seen, F.count(F.lit(1)).alias("linhas")), *_hourly_of(lake, months))
+    store.write_slots(_by_month(wide, "data_viagem", version), changes.KEYS)
+
+    written = store.written_slots(version, changes.KEYS)
+    rows_in, rows_out = seen.get.get("linhas", 0), sum(written.values())
+    if rows_in != rows_out:  # a repeated task counts twice; the trips themselves decide
+        rows_in = attributes.count()
     if rows_in != rows_out:
         raise AuditError(f"silver has {rows_out} rows for {rows_in} trips")
-    if rules:
-        quality.require(quality.expectations(lake.spark.read.parquet(store.path(version)), rules))
-    store.publish(version, rows=rows_out)
+    if rules and written:
+        quality.require(quality.expectations(store.read_slots(dict.fromkeys(written, version)), rules))
+    entries = _entries(store, version, written, months) + _superseded_streams(store, version, written)
+    bases.add(version, trips_at, rain_at, repr(options))
+    store.publish_set(entries or [("", None, 0)])
     return version
 
 
+def read_silver(lake: Lake, as_of: int | datetime | None = None) -> DataFrame:
+    """The wide trip table: batch months and streamed batches, every trip once between the two."""
+    return lake.silver_store("stg_viagens").read(as_of=as_of)
+
+
+FACT, MEMBERS = "fato_desempenho_viagem", "membros"
+MEMBER_COLUMNS = ("data_viagem", "is_weekend", "tipo_dia", "consorcio", "condicao_clima")
+
+
 def build_gold(lake: Lake, audit: bool = True) -> str:
     """Three dimensions and the fact from published silver, audited and published together.
 
-    A date listed with several day types is reported by ``gold_report`` but does
-    not block: the calendar is distinct over both by definition.
+    The fact has silver's slots: only slots whose silver version has no fact yet are written, clustered by date and
+    line, with the members of the dimensions they use beside them; the dimensions are the distinct members of all
+    slots. Nothing is published if silver has not changed. A date listed with several day types is reported by
+    ``gold_report`` but does not block: the calendar is distinct over both by definition.
     """
-    version, store = new_version(), lake.gold_store()
-    wide = lake.silver_store("stg_viagens").read()
-    tables = {
-        "dim_calendario": gold.dim_calendar(wide),
-        "dim_consorcio": gold.dim_consortium(wide),
-        "dim_clima": gold.dim_weather(wide),
-        "fato_desempenho_viagem": gold.fact_trips(wide),
-    }
+    store, source = lake.gold_store(), lake.silver_store("stg_viagens")
+    now, have = source.current(), store.current()
+    if not now:
+        raise NotPublished(f"nothing published in {source.root}")
+    facts = {s.removeprefix(f"{FACT}/"): v for s, v in have.items() if s}
+    if facts == now and "" in have:
+        return have[""]
+    known = {(r.slot.removeprefix(f"{FACT}/"), r.versao): r.linhas for r in store.history().where(f"slot LIKE '{FACT}/%'").collect()}
+    due = {s: v for s, v in now.items() if (s, v) not in known}
+    rows = {s: known.get((s, v)) for s, v in now.items()}
+    if due:
+        wide = source.read_slots(due)
+        members = wide.select(*MEMBER_COLUMNS, *changes.KEYS, "carga").distinct()
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            side = pool.submit(store.write_slots, members.hint("rebalance", "parte"), changes.KEYS, MEMBERS)
+            store.write_slots(clustering.clustered_fact(wide), changes.KEYS, FACT)
+            side.result()
+        written = store.read_slots(due, FACT)
+        clustering.write_statistics(store, written)
+        rows |= {f"origem={r.origem}/parte={r.parte}": r.n for r in written.groupBy(*changes.KEYS).agg(F.count(F.lit(1)).alias("n")).collect()}
+    version = new_version()
+    members = store.read_slots(now, MEMBERS)
+    tables = {"dim_calendario": gold.dim_calendar(members), "dim_consorcio": gold.dim_consortium(members), "dim_clima": gold.dim_weather(members)}
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         writes = [pool.submit(write_files, df, store.path(version, table=t)) for t, df in tables.items()]
         for write in writes:
             write.result()
-    if audit:
-        read = {t: lake.spark.read.parquet(store.path(version, table=t)) for t in GOLD_TABLES}
-        blocking = gold_report(wide, read).filter(
+    if audit and due:
+        read = {t: lake.spark.read.parquet(store.path(version, table=t)) for t in tables}
+        blocking = gold_report(wide, {**read, FACT: store.read_slots(due, FACT)}).filter(
             (F.col("violacoes") > 0)
             & ~F.col("verificacao").isin("dim_calendario: chave repetida")
             & ~F.col("verificacao").endswith("chave nula no fato")
@@ -328,8 +447,9 @@ def build_gold(lake: Lake, audit: bool = True) -> str:
         found = [f"{r['verificacao']} ({r['violacoes']})" for r in blocking.collect()]
         if found:
             raise AuditError("gold: " + "; ".join(found))
-    rows = catalog.parquet_rows(lake.spark, store.path(version, table="fato_desempenho_viagem"))
-    store.publish(version, rows=rows)
+    entries = [(f"{FACT}/{s}", v, rows[s]) for s, v in sorted(now.items()) if facts.get(s) != v]
+    entries += [(f"{FACT}/{s}", None, 0) for s in sorted(set(facts) - set(now))]
+    store.publish_set([("", version, None), *entries])
     return version
 
 
@@ -351,7 +471,15 @@ def remove_old_versions(lake: Lake, datasets: Sequence[str], keep: int, unpublis
 
 
 def read_gold(lake: Lake, table: str, as_of: int | datetime | None = None) -> DataFrame:
-    return lake.gold_store().read(table, as_of=as_of)
+    """A published table of the star; ``clustering.read_fact`` opens only the fact files a question needs."""
+    store = lake.gold_store()
+    now = store.current(as_of)
+    if table != FACT:
+        if "" not in now:
+            raise NotPublished(f"nothing published in {store.root}")
+        return lake.spark.read.parquet(store.path(now[""], table=table))
+    slots = {s.removeprefix(f"{FACT}/"): v for s, v in now.items() if s}
+    return store.read_slots(slots, FACT).drop(*changes.KEYS, "carga")
 
 
 # --- Views --------------------------------------------------------------------
@@ -379,25 +507,38 @@ def register_bronze(lake: Lake, dataset: str) -> None:
     )
 
 
-def _view_over(spark: SparkSession, name: str, path: str, columns: Sequence[str] = ("*",)) -> None:
-    catalog.replace_view(spark, name, f"SELECT {', '.join(columns)} FROM parquet.`{path}`")
+def _slots_view(lake: Lake, name: str, folder: str, slots: Mapping[str, str], columns: Sequence[str]) -> None:
+    """A view over the published folders of a table in slots; others are not opened, as the keys are partitions."""
+    by_version: dict[str, list[str]] = {}
+    for slot, version in slots.items():
+        by_version.setdefault(version, []).append("/".join(p.split("=", 1)[1] for p in slot.split("/")))
+    live = [
+        f"(carga = {sql_text(v)} AND concat_ws('/', {', '.join(changes.KEYS)}) IN ({', '.join(map(sql_text, sorted(names)))}))"
+        for v, names in sorted(by_version.items())
+    ]
+    query = f"SELECT {', '.join(columns)} FROM parquet.`{folder}` WHERE {' OR '.join(live)}"
+    catalog.replace_view(lake.spark, name, query)
 
 
 def register_silver(lake: Lake) -> None:
     catalog.create_layers(lake.spark)
     store = lake.silver_store("stg_viagens")
-    for version in store.current().values():
-        _view_over(lake.spark, "silver.viagens_processadas", store.path(version), silver.SILVER_COLUMNS)
+    slots = store.current()
+    if slots:
+        _slots_view(lake, "silver.viagens_processadas", store.root, slots, silver.SILVER_COLUMNS)
 
 
 def register_gold(lake: Lake) -> None:
-    """The four gold views, all over one version folder. Replacing them is atomic per view."""
+    """The four gold views, of one publication. Replacing them is atomic per view."""
     catalog.create_layers(lake.spark)
     store = lake.gold_store()
-    for version in store.current().values():
-        for table in GOLD_TABLES:
-            view = "fato_viagens" if table.startswith("fato") else table
-            _view_over(lake.spark, f"gold.{view}", store.path(version, table=table))
+    now = store.current()
+    if "" not in now:
+        return
+    for table in GOLD_TABLES[:3]:
+        catalog.replace_view(lake.spark, f"gold.{table}", f"SELECT * FROM parquet.`{store.path(now[''], table=table)}`")
+    slots = {s.removeprefix(f"{FACT}/"): v for s, v in now.items() if s}
+    _slots_view(lake, "gold.fato_viagens", f"{store.root}/{FACT}", slots, tuple(gold.FACT_COLUMNS))
 
 
 def register_views(lake: Lake, datasets: Sequence[str]) -> None:
@@ -416,7 +557,7 @@ def run(
     if another dataset failed.
     """
     results = load_datasets(lake, datasets, run_date)
-    ready = all(lake.bronze_store(d).current() for d in ("viagens_onibus", "clima_pluviometria"))
+    ready = all(lake.bronze_store(d).current() for d in INPUTS)
     if ready:
         build_silver(lake, options)
         build_gold(lake)

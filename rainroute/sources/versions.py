@@ -2,25 +2,23 @@
 
 Data is written to a folder of its own (``carga=<id>``) that no reader looks
 at. After the audit one row in the publication table makes it the version of
-its slot: a source file of a run date in bronze, the whole dataset in silver and gold. Older
-versions stay readable, and rolling back is one more row.
+its slot: a source file of a run date in bronze, a month or a stream's batch in silver and in the
+fact table. Slots published together are one write of that table, so readers see all of them or none. A row
+without a version withdraws its slot. Older versions stay readable, and rolling back is one more row.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rainroute.sources.csv_files import path_missing
-
 PUBLICATIONS = "slot string, versao string, linhas bigint, ordem bigint, publicado_em timestamp, volta boolean"
 
 
@@ -66,12 +64,9 @@ class Store:
 
     def history(self) -> DataFrame:
         """All publications, oldest first by ``ordem``."""
-        try:
-            return self.spark.read.schema(PUBLICATIONS).parquet(self._log_path)
-        except AnalysisException as error:
-            if path_missing(error):
-                return self.spark.createDataFrame([], PUBLICATIONS)
-            raise
+        if not self.folders(self._log_path):
+            return self.spark.createDataFrame([], PUBLICATIONS)
+        return self.spark.read.schema(PUBLICATIONS).parquet(self._log_path)
 
     def publish(self, version: str, slot: str = "", rows: int | None = None) -> int:
         """Make ``version`` current for its slot; returns the publication number (a time in ns)."""
@@ -79,17 +74,22 @@ class Store:
 
     def publish_all(self, version: str, slots: Mapping[str, int | None], undo: bool = False) -> int:
         """Make ``version`` current for several slots at once."""
+        return self.publish_set([(slot, version, rows) for slot, rows in slots.items()], undo)
+
+    def publish_set(self, entries: Sequence[tuple[str, str | None, int | None]], undo: bool = False) -> int:
+        """Publish (slot, version, rows) entries at once; a version of None withdraws the slot."""
         order, now = time.time_ns(), datetime.now(timezone.utc)
-        entries = [(slot, version, rows, order, now, undo) for slot, rows in slots.items()]
+        entries = [(slot, version, rows, order, now, undo) for slot, version, rows in entries]
         self.spark.createDataFrame(entries, PUBLICATIONS).coalesce(1).write.mode("append").parquet(self._log_path)
         return order
 
     def rollback(self, slot: str = "", to: str | None = None) -> str:
         """Publish version ``to`` of the slot again, by default the one published before its present one."""
         entries = self.history().filter(F.col("slot") == slot).orderBy("ordem").collect()
-        first = [e for e in entries if not e["volta"]]
+        first = [e for e in entries if not e["volta"] and e["versao"] is not None]
         if to is None and entries:
-            at = max((i for i, e in enumerate(first) if e["versao"] == entries[-1]["versao"]), default=0)
+            withdrawn = entries[-1]["versao"] is None
+            at = max((i for i, e in enumerate(first) if e["versao"] == entries[-1]["versao"]), default=len(first) * withdrawn)
             first = [e for e in first[:at] if e["versao"] != entries[-1]["versao"]]
         elif to is not None:
             first = [e for e in first if e["versao"] == to]
@@ -98,6 +98,16 @@ class Store:
         self.publish_all(first[-1]["versao"], {slot: first[-1]["linhas"]}, undo=True)
         return first[-1]["versao"]
 
+    def restore(self, as_of: int | datetime) -> int:
+        """Publish every slot as it was; slots that did not exist then are withdrawn."""
+        then, now = self.current(as_of), self.current()
+        changed = [(slot, then.get(slot), None) for slot in sorted({*then, *now}) if then.get(slot) != now.get(slot)]
+        return self.publish_set(changed, undo=True) if changed else self.last() or 0
+
+    def last(self) -> int | None:
+        """Number of the latest publication."""
+        return self.history().agg(F.max("ordem")).first()[0]
+
     def _until(self, as_of: int | datetime | None) -> DataFrame:
         log = self.history()
         if isinstance(as_of, datetime):
@@ -110,16 +120,16 @@ class Store:
         One entry per slot, so at most one per file and run date reaches the driver.
         """
         latest = self._until(as_of).groupBy("slot").agg(F.max_by("versao", "ordem").alias("versao"))
-        return {r["slot"]: r["versao"] for r in latest.collect()}
+        return {r["slot"]: r["versao"] for r in latest.filter(F.col("versao").isNotNull()).collect()}
 
     def replaced(self, as_of: int | datetime | None = None) -> dict[str, list[str]]:
         """Version -> its slots that another version is current for, of versions still current somewhere."""
         now = self.current(as_of)
         kept = set(now.values())
-        pairs = self._until(as_of).select("slot", "versao").distinct().collect()
+        pairs = self._until(as_of).where(F.col("versao").isNotNull()).select("slot", "versao").distinct().collect()
         out: dict[str, list[str]] = {}
         for slot, version in sorted(pairs):
-            if version in kept and now[slot] != version:
+            if version in kept and now.get(slot) != version:
                 out.setdefault(version, []).append(slot)
         return out
 
@@ -131,7 +141,7 @@ class Store:
         """
         if keep < 1:
             raise ValueError("the current version is always kept")
-        entries = self.history().select("slot", "versao", "ordem").collect()  # a row per publication
+        entries = self.history().where(F.col("versao").isNotNull()).select("slot", "versao", "ordem").collect()  # a row per publication
         latest: dict[str, dict[str, int]] = {}
         for slot, version, order in entries:
             known = latest.setdefault(slot, {})
@@ -153,10 +163,15 @@ class Store:
     def _files(self):
         return self._hadoop_path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def folders(self, pattern: str) -> list[str]:
+        """Paths that match a glob pattern, in any file system Spark reads."""
+        path = self._hadoop_path(pattern)
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        return sorted(str(status.getPath().toString()) for status in found)
+
     def _version_folders(self) -> list[str]:
-        patterns = (f"{self.root}/carga=*", f"{self.root}/*=*/*=*/*=*/carga=*", f"{self.root}/*=*/carga=*")
-        found = [self._files().globStatus(self._hadoop_path(p)) or [] for p in patterns]
-        return sorted(str(status.getPath().toString()) for statuses in found for status in statuses)
+        patterns = (f"{self.root}/carga=*", f"{self.root}/*=*/*=*/*=*/carga=*", f"{self.root}/*=*/carga=*", f"{self.root}/*=*/*=*/carga=*", f"{self.root}/*/*=*/*=*/carga=*")
+        return sorted({path for p in patterns for path in self.folders(p)})
 
     def read_files(self, schema: T.StructType, file: str, as_of: int | datetime | None = None) -> DataFrame:
         """Published rows of slots ``<folder>/<file column>=<name>``, with the partition columns of the folders.
@@ -167,11 +182,57 @@ class Store:
         now = self.current(as_of)
         if not now:
             raise NotPublished(f"nothing published in {self.root}")
-        paths = sorted({self.path(version, slot.rpartition("/")[0]) for slot, version in now.items()})
-        df = self.spark.read.schema(schema).option("basePath", self.root).parquet(*paths)
+        df = self._folders(schema, now)
         old = self.stale_rows(file, as_of)
         return df.filter(f"NOT ({old})") if old else df
 
+    def _folders(self, schema: T.StructType, slots: Mapping[str, str]) -> DataFrame:
+        paths = sorted({self.path(version, slot.rpartition("/")[0]) for slot, version in slots.items()})
+        return self.spark.read.schema(schema).option("basePath", self.root).parquet(*paths)
+
+    def read_some_files(self, schema: T.StructType, file: str, slots: Mapping[str, str]) -> DataFrame:
+        """Rows of these slots ``<folder>/<file column>=<name>`` in these versions, current or not."""
+        by_version: dict[str, list[str]] = {}
+        for slot, version in slots.items():
+            by_version.setdefault(version, []).append(sql_text(slot.rpartition("/")[2].split("=", 1)[1]))
+        wanted = [f"(carga = '{v}' AND {file} IN ({', '.join(names)}))" for v, names in sorted(by_version.items())]
+        return self._folders(schema, slots).filter(" OR ".join(wanted))
+
+    def changes(self, since: int | None, until: int | None = None) -> tuple[dict[str, str], dict[str, str]]:
+        """Slots that differ between two publications: as they were, and as they are."""
+        then = self.current(since) if since is not None else {}
+        now = self.current(until)
+        differ = {s for s in {*then, *now} if then.get(s) != now.get(s)}
+        return {s: v for s, v in then.items() if s in differ}, {s: v for s, v in now.items() if s in differ}
+
+    def write_slots(self, df: DataFrame, keys: tuple[str, ...], under: str = "") -> None:
+        """Write rows to the slot folders that their ``keys`` and ``carga`` name; other folders are left alone.
+
+        A repeated write of the same version replaces itself.
+        """
+        (
+            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*keys, "carga").parquet("/".join(p for p in (self.root, under) if p))
+        )
+
+    def written_slots(self, version: str, keys: tuple[str, ...], under: str = "") -> dict[str, int]:
+        """Slot -> rows of the folders of a version, from listing and footers."""
+        pattern = "/".join([p for p in (self.root, under) if p] + [f"{k}=*" for k in keys] + [f"carga={version}"])
+        found = self.folders(pattern)
+        if not found:
+            return {}
+        base = "/".join(p for p in (self.root, under) if p)
+        counted = self.spark.read.option("basePath", base).parquet(*found).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        return {"/".join(f"{k}={r[k]}" for k in keys): r["n"] for r in counted.collect()}  # a row per slot
+
+    def read_slots(self, slots: Mapping[str, str], under: str = "") -> DataFrame:
+        """Rows of these slots in these versions, with the slot's keys and ``carga`` as columns."""
+        if not slots:
+            raise NotPublished(f"no slots of {self.root}")
+        base = "/".join(p for p in (self.root, under) if p)
+        paths = [f"{base}/{slot}/carga={version}" for slot, version in sorted(slots.items())]
+        return self.spark.read.option("basePath", base).parquet(*paths)
+
     def stale_rows(self, file: str, as_of: int | datetime | None = None) -> str:
         """SQL condition that holds for rows of replaced files; empty if there are none."""
         found = []

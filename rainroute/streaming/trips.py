@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainroute.contracts import CONTRACTS
+from rainroute.functions import rain_band
 from rainroute.operators.casting import REJECTS, apply_contract
+from rainroute.operators.dedup import latest_per_key
+from rainroute.plans.changes import KEYS
 from rainroute.plans.jobs import AuditError, Lake, register_silver
 from rainroute.plans.silver import SILVER_COLUMNS, enrich, trip_attributes
-from rainroute.sources import catalog
 from rainroute.sources.csv_files import CSV_ONLY, MALFORMED
-from rainroute.sources.versions import Store, new_version, write_files
+from rainroute.sources.versions import Store, new_version
 
 QUERY, BATCH = "consulta", "lote"
 
@@ -60,8 +62,8 @@ def enrich_stream(trips: DataFrame, hourly: DataFrame, hourly_rows: int | None)
     """Silver rows from a stream of bronze trips and a fixed table of hourly rain.
 
     The join keeps no state. Rain that arrives after its trips is not waited
-    for: the next batch build of silver reads those trips again, or
-    ``silver.reenrich`` looks it up for rows already written.
+    for: the next batch build of silver reads those trips again, ``silver.reenrich`` looks
+    it up for rows already written, and ``wait_for_rain`` holds trips back until it has come.
     """
     return enrich(trip_attributes(trips), hourly, hourly_rows)
 
@@ -94,27 +96,106 @@ def write_enriched(
     query.awaitTermination()
 
 
-def publish_enriched(lake: Lake, target: str) -> str:
-    """Publish the rows streamed so far as silver, after the audit of a batch build, and refresh the view.
+def publish_enriched(lake: Lake, target: str) -> str | None:
+    """Publish the batches streamed since the last time as silver, beside what is there, and refresh the view.
 
-    Batches are copied to a version of their own, so readers never see a half-written batch.
+    Each batch is a slot of its own (query and batch id). A trip that silver has already, from a batch build or an
+    earlier batch, is not published again; of copies among the new rows the last batch's stays, and rows
+    without id are all kept. Batches are copied, so readers never see a half-written one. Returns
+    the version, None if there was nothing new.
     """
-    written = lake.spark.read.parquet(target).select(*SILVER_COLUMNS)
     store, version = lake.silver_store("stg_viagens"), new_version()
-    write_files(written, store.path(version))
-    rows = catalog.parquet_rows(lake.spark, store.path(version))
-    if not rows:
+    folders = store.folders(f"{target}/{QUERY}=*/{BATCH}=*")
+    slots = {_stream_slot(f): f for f in folders}
+    handled = {r.slot for r in store.history().select("slot").distinct().collect()}  # a row per slot
+    new = {s: f for s, f in slots.items() if s not in handled}
+    if not slots:
         raise AuditError(f"nothing streamed to {target}")
-    store.publish(version, rows=rows)
+    if not new:
+        return None
+    read = lake.spark.read.option("basePath", target).parquet(*sorted(new.values()))
+    slot = {"origem": F.col(QUERY).cast("string"), "parte": F.concat(F.lit("b"), F.col(BATCH).cast("string"))}
+    rows = latest_per_key(read.withColumns(slot), ["id_viagem"], [BATCH, QUERY]).select(*SILVER_COLUMNS, *KEYS)
+    if store.current():
+        known = store.read().select("id_viagem").where("id_viagem IS NOT NULL")
+        rows = rows.join(known, "id_viagem", "left_anti").select(*rows.columns)
+    store.write_slots(rows.withColumn("carga", F.lit(version)).hint("rebalance", *KEYS), KEYS)
+    written = store.written_slots(version, KEYS)
+    # A batch whose trips are all there already is withdrawn at once, which marks it as done.
+    store.publish_set([(s, version if s in written else None, written.get(s, 0)) for s in sorted(new)])
     register_silver(lake)
     return version
 
 
+def _stream_slot(folder: str) -> str:
+    query, batch = (part.split("=", 1)[1] for part in folder.rstrip("/").split("/")[-2:])
+    return f"origem={query}/parte=b{batch}"
+
+
+# --- Rain that comes after its trips ---------------------------------------------
+
+
+def closed_hours(readings: DataFrame, late_by: str) -> DataFrame:
+    """Mean rain of each clock hour from a stream of readings, given out once the watermark has closed the hour."""
+    clock = F.to_timestamp(F.concat_ws(" ", F.col("data_particao").cast("string"), F.col("horario")))
+    return (
+        readings.withColumn("__t", clock).withWatermark("__t", late_by)
+        .groupBy(F.window("__t", "1 hour").alias("__hour"))
+        .agg(F.avg("acumulado_chuva_1_h").alias("__mm"))
+    )
+
+
+def wait_for_rain(trips: DataFrame, readings: DataFrame, trips_late_by: str, rain_late_by: str, band=rain_band) -> DataFrame:
+    """Silver rows from two streams: each trip comes out once, when the rain of its hour can no longer change.
+
+    A left outer join of two streams on the clock hour. State holds the trips and readings of hours that neither
+    watermark has passed; then an hour is given out, dry if it had no reading, and dropped. Trips without departure have
+    no hour to wait for and come out at once. Trips whose date is not the day of the departure take the rain of their
+    date at the hour of departure, as in the batch build. Events later than their watermark allows are lost to
+    the stream; the batch build still has them.
+    """
+    base = trip_attributes(trips)
+    hour = F.make_timestamp(
+        F.year("data_viagem"), F.month("data_viagem"), F.dayofmonth("data_viagem"), F.col("hora_partida"), F.lit(0), F.lit(0)
+    )
+    placed = base.withColumn("__t", hour)
+    dated = placed.where("__t IS NOT NULL").withWatermark("__t", trips_late_by).withColumn("__hour", F.window("__t", "1 hour"))
+    joined = dated.join(closed_hours(readings, rain_late_by), "__hour", "left_outer")
+    undated = placed.where("__t IS NULL").withColumn("__mm", F.lit(None).cast("double"))
+    both = joined.select(*base.columns, "__mm").unionByName(undated.select(*base.columns, "__mm"))
+    rain = [F.coalesce("__mm", F.lit(0.0)).alias("chuva_no_horario"), band("__mm").alias("condicao_clima")]
+    return both.select(*base.columns, *rain).select(*SILVER_COLUMNS)
+
+
+def write_closed(silver_rows: DataFrame, target: str, checkpoint: str):
+    """Write the rows of hours that have closed, a folder per query and batch as ``write_enriched`` does, then stop.
+
+    ``publish_enriched`` takes them from there. Returns the ended query, whose progress tells the rows kept in state.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.write.mode("overwrite").parquet(f"{target}/{QUERY}={query_id}/{BATCH}={batch_id}")
+
+    query = (
+        silver_rows.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+# --- Hourly counts ---------------------------------------------------------------
+
+
 def hourly_counts(events: DataFrame, time: str, kind: str, late_by: str) -> DataFrame:
     """Events per kind and clock hour; an hour is final once the watermark has passed it.
 
     With ``write_available`` state holds open hours only, the hours not passed yet are not
-    given out, and events later than ``late_by`` are lost to the counts; ``write_all`` gives
+    given out, and events later than ``late_by`` are lost to the counts; ``write_touched`` gives
     every hour and loses none. A timestamp without zone is taken as session
     time, since watermarks need one with a zone.
     """
@@ -140,22 +221,39 @@ def write_available(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def write_all(counts: DataFrame, store: Store, checkpoint: str) -> None:
-    """Count everything available, then publish all hours as a new version, open ones and late events included.
+def write_touched(events: DataFrame, store: Store, checkpoint: str, time: str, kind: str) -> None:
+    """Count everything available by clock hour and kind, open hours and late events included, then stop.
 
-    State and result hold a row per hour and kind, not events. Every run that finds new events publishes the
-    whole result again, and a repeated batch only adds a version with the same rows.
+    Nothing is kept in state, however long the stream runs. A micro-batch is counted by itself, and its counts are
+    added to those of the days it touches; these days are written anew and published together, other days are not
+    read. The version is named by query and batch: a repeated batch that was published is left out, and one that
+    was not replaces its files, so each event counts once.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        version = new_version()
-        write_files(batch, store.path(version))
-        store.publish(version)
+        spark = batch.sparkSession
+        version = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        if store.history().where(F.col("versao") == version).limit(1).count():
+            return
+        start = F.date_trunc("hour", F.col(time).cast("timestamp"))
+        counted = batch.groupBy(start.alias("inicio"), F.col(kind)).agg(F.count(F.lit(1)).alias("total"))
+        counted = counted.withColumn("dia", F.coalesce(F.date_format("inicio", "'d'yyyy-MM-dd"), F.lit("dsem-data")))
+        fresh = counted.select("inicio", (F.col("inicio") + F.expr("INTERVAL 1 HOUR")).alias("fim"), kind, "total", "dia").persist()
+        try:
+            days = {f"dia={r.dia}" for r in fresh.select("dia").distinct().collect()}  # a row per day of the batch
+            if not days:
+                return
+            have = {s: v for s, v in store.current().items() if s in days}
+            rows = fresh.unionByName(store.read_slots(have).select(*fresh.columns)) if have else fresh
+            summed = rows.groupBy("inicio", "fim", kind, "dia").agg(F.sum("total").alias("total"))
+            store.write_slots(summed.withColumn("carga", F.lit(version)).hint("rebalance", "dia"), ("dia",))
+        finally:
+            fresh.unpersist()
+        store.publish_set([(s, version, n) for s, n in sorted(store.written_slots(version, ("dia",)).items())])
 
     query = (
-        counts.writeStream.foreachBatch(write_batch)
+        events.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
         .trigger(availableNow=True)
         .start()
     )

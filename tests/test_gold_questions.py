@@ -12,7 +12,9 @@ MON, SUN = date(2024, 3, 25), date(2024, 3, 24)
 
 @pytest.fixture(scope="module")
 def wide(spark, tiny):
-    return silver.silver_trips(proxy.trips(spark, tiny), proxy.rain(spark, tiny)).cache()
+    kept = silver.silver_trips(proxy.trips(spark, tiny), proxy.rain(spark, tiny)).cache()
+    yield kept
+    kept.unpersist()  # else plans of later tests would read it from memory
 
 
 def fact_frame(spark, *records, schema="linha string, tempo_viagem int"):
@@ -182,3 +184,4 @@ def test_regression_equals_least_squares(spark, wide):
     report = eta.errors(eta.predict(model, features)).first()
     assert report["viagens"] == fact.count()
     assert abs(report["raiz_erro_quadratico"] - np.sqrt(np.mean((design @ solved - table[:, -1]) ** 2))) < 1e-6
+    features.unpersist()

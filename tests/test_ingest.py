@@ -287,9 +287,9 @@ def test_silver_by_month(lake, tmp_path):
     put(str(tmp_path / "r"), "r.csv", RAIN, reading("k1", 4.0))
     load(lake, "viagens_onibus", str(tmp_path / "t"))
     load(lake, "clima_pluviometria", str(tmp_path / "r"))
-    version = jobs.build_silver(lake, cluster_by=("ano", "mes"))
+    version = jobs.build_silver(lake)
     store = lake.silver_store("stg_viagens")
-    assert os.path.isdir(f"{store.path(version)}/ano=2024/mes=3")
+    assert os.path.isdir(store.path(version, "origem=lote/parte=m2024-03"))
     assert store.read().count() == 2
     jobs.register_silver(lake)
     assert tuple(lake.spark.table("silver.viagens_processadas").columns) == silver.SILVER_COLUMNS

@@ -2,7 +2,7 @@ from datetime import date, datetime
 
 from conftest import rows
 from pyspark.sql import functions as F
-from test_ingest import TRIPS, put, trip
+from test_ingest import RAIN, TRIPS, put, reading, trip
 
 from rainroute.plans import jobs, silver
 from rainroute.sources import proxy
@@ -79,19 +79,39 @@ def test_all_hours_are_published_late_events_included(spark, tmp_path):
     store = Store(spark, str(tmp_path / "out"))
 
     def add(*times):
-        spark.createDataFrame([(datetime(2024, 1, 1, h, m), "x") for h, m in times], schema).coalesce(
+        spark.createDataFrame([(t and datetime(2024, 1, *t), "x") for t in times], schema).coalesce(
             1
         ).write.mode("append").parquet(folder)
 
     def pull():
         stream = spark.readStream.schema(schema).parquet(folder)
-        trips_stream.write_all(trips_stream.hourly_counts(stream, "ts", "kind", "1 hour"), store, checkpoint)
-        return [(r.inicio.hour, r.total) for r in store.read().orderBy("inicio").collect()]
+        trips_stream.write_touched(stream, store, checkpoint, "ts", "kind")
+        return [(r.inicio and (r.inicio.day, r.inicio.hour), r.total) for r in store.read().orderBy("inicio").collect()]
+
+    add((1, 5, 10), (1, 5, 50), (2, 7, 30))
+    assert pull() == [((1, 5), 2), ((2, 7), 1)]
+    first = store.current()
+    add((1, 5, 55), (1, 9, 5), None)
+    assert pull() == [(None, 1), ((1, 5), 3), ((1, 9), 1), ((2, 7), 1)]
+    now = store.current()
+    assert now["dia=d2024-01-02"] == first["dia=d2024-01-02"] and now["dia=d2024-01-01"] != first["dia=d2024-01-01"]
+    assert pull() == [(None, 1), ((1, 5), 3), ((1, 9), 1), ((2, 7), 1)]  # nothing new: nothing counted again
 
-    add((5, 10), (5, 50), (7, 30))
-    assert pull() == [(5, 2), (7, 1)]
-    add((5, 55), (9, 5))
-    assert pull() == [(5, 3), (7, 1), (9, 1)]
+
+def test_a_repeated_batch_counts_once(spark, tmp_path):
+    """The last commit is taken back, as if the run had died just before it."""
+    folder, checkpoint, store = str(tmp_path / "in"), tmp_path / "cp", Store(spark, str(tmp_path / "out"))
+    spark.createDataFrame([(datetime(2024, 1, 1, 5), "x")] * 3, "ts timestamp_ntz, kind string").write.parquet(folder)
+
+    def pull():
+        stream = spark.readStream.schema("ts timestamp_ntz, kind string").parquet(folder)
+        trips_stream.write_touched(stream, store, str(checkpoint), "ts", "kind")
+        return [r.total for r in store.read().collect()]
+
+    assert pull() == [3]
+    for done in (checkpoint / "commits").iterdir():
+        done.unlink()
+    assert pull() == [3] and store.history().count() == 1
 
 
 def test_a_new_checkpoint_adds_to_what_was_streamed(spark, tmp_path):
@@ -105,6 +125,95 @@ def test_a_new_checkpoint_adds_to_what_was_streamed(spark, tmp_path):
     trips_stream.publish_enriched(lake, out)
     view = spark.table("silver.viagens_processadas")
     assert tuple(view.columns) == silver.SILVER_COLUMNS and view.count() == 4
+    assert trips_stream.publish_enriched(lake, out) is None and jobs.read_silver(lake).count() == 4
+
+
+def test_streamed_trips_stand_beside_batch(spark, tmp_path):
+    lake, out = jobs.Lake.under(spark, str(tmp_path / "lake")), str(tmp_path / "out")
+    put(str(tmp_path / "t"), "t.csv", TRIPS, *[trip(f"t{i}") for i in range(6000)])
+    put(str(tmp_path / "r"), "r.csv", RAIN, reading("k1", 4.0))
+    for name, folder in (("viagens_onibus", "t"), ("clima_pluviometria", "r")):
+        jobs.ingest(lake, jobs.Dataset(name, str(tmp_path / folder)), date(2024, 3, 26))
+    jobs.build_silver(lake)
+    store = lake.silver_store("stg_viagens")
+    before = store.last()
+
+    def stream(name, *lines):
+        put(str(tmp_path / name), f"{name}.csv", TRIPS, *lines)
+        arriving = trips_stream.csv_stream(spark, str(tmp_path / name), "viagens_onibus")
+        trips_stream.write_enriched(arriving, lambda: (hourly_frame(spark, 4.0), 1), out, str(tmp_path / f"cp-{name}"))
+        return trips_stream.publish_enriched(lake, out)
+
+    stream("a", *[trip(f"s{i}") for i in range(10)], trip("t5"), trip("s1", 44))
+    assert jobs.read_silver(lake).count() == spark.table("silver.viagens_processadas").count() == 6010
+    stream("b", trip("s3"), trip("t7"))  # all known: the batch is done and shows nothing
+    assert jobs.read_silver(lake).count() == 6010 and trips_stream.publish_enriched(lake, out) is None
+    jobs.build_gold(lake)
+    assert jobs.read_gold(lake, jobs.FACT).count() == 6010
+
+    # A batch load that brings some of them takes them over, in the same publication.
+    put(str(tmp_path / "t2"), "t2.csv", TRIPS, trip("s0", 99), trip("s1", 99), trip("new"))
+    jobs.ingest(lake, jobs.Dataset("viagens_onibus", str(tmp_path / "t2")), date(2024, 3, 27))
+    jobs.build_silver(lake)
+    jobs.build_gold(lake)
+    got = jobs.read_silver(lake)
+    assert got.count() == 6011 and got.select("id_viagem").distinct().count() == 6011
+    assert rows(got.filter("id_viagem IN ('s0', 's1')"), "id_viagem", "tempo_viagem") == [("s0", 99), ("s1", 99)]
+    assert jobs.read_gold(lake, jobs.FACT).count() == 6011
+
+    store.restore(before)
+    assert jobs.read_silver(lake).count() == 6000
+    jobs.build_gold(lake)
+    assert jobs.read_gold(lake, jobs.FACT).count() == 6000
+
+
+# --- Rain that comes late ---------------------------------------------------------
+
+
+def late_streams(spark, root):
+    trip_schema = "data date, id_viagem string, servico string, consorcio string, tipo_dia string, distancia_planejada double, tempo_viagem int, datetime_partida timestamp"
+    rain_schema = "data_particao date, horario string, acumulado_chuva_1_h double"
+
+    def add(name, *records):
+        schema = trip_schema if name == "trips" else rain_schema
+        spark.createDataFrame(list(records), schema).coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+
+    def pull():
+        trips, rain = (spark.readStream.schema(s).parquet(f"{root}/{n}") for n, s in (("trips", trip_schema), ("rain", rain_schema)))
+        query = trips_stream.write_closed(trips_stream.wait_for_rain(trips, rain, "1 hour", "2 hours"), f"{root}/out", f"{root}/cp")
+        return query, rows(spark.read.parquet(f"{root}/out"), "id_viagem", "chuva_no_horario", "condicao_clima")
+
+    return add, pull
+
+
+def departure(key, hour, minute=10, day=25):
+    return (date(2024, 3, day), key, "100", "A", "Dia Útil", 1.0, 30, None if hour is None else datetime(2024, 3, day, hour, minute))
+
+
+def test_trips_wait_until_their_hour_has_closed(spark, tmp_path):
+    add, pull = late_streams(spark, str(tmp_path))
+    add("trips", departure("a", 6), departure("b", 7), departure("none", None))
+    add("rain")
+    assert pull()[1] == [("none", 0.0, "Sem Chuva")]  # without departure there is nothing to wait for
+    add("rain", (date(2024, 3, 25), "06:15:00", 4.0), (date(2024, 3, 25), "06:45:00", 8.0))
+    assert pull()[1] == [("none", 0.0, "Sem Chuva")]  # hour 6 is open: more may come
+    add("rain", (date(2024, 3, 25), "06:30:00", 6.0), (date(2024, 3, 25), "09:30:00", 60.0))
+    add("trips", departure("c", 9), departure("d", 9, 50))
+    closed = [("a", 6.0, "Moderada"), ("none", 0.0, "Sem Chuva")]
+    assert pull()[1] == closed  # the watermark is at 07:30
+    add("rain", (date(2024, 3, 26), "09:00:00", 1.0))
+    add("trips", departure("far", 9, day=26))
+    query, got = pull()
+    assert got == [closed[0], ("b", 0.0, "Sem Chuva"), ("c", 60.0, "Muito Forte"), ("d", 60.0, "Muito Forte"), closed[1]]
+    kept = [o["numRowsTotal"] for o in query.lastProgress["stateOperators"]]
+    assert max(kept) <= 1  # of all closed hours nothing is left: one trip and one reading are open
+
+
+def test_late_rain_equals_the_batch_build(spark, tiny):
+    from rainroute.checks.registry import REGISTRY
+
+    got, want = REGISTRY["stream_late_rain"](spark, tiny), REGISTRY["silver_trips"](spark, tiny)
+    assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
 
 
 def test_a_bad_cell_does_not_stop_a_lenient_stream(spark, tmp_path):
