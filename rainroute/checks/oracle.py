@@ -435,6 +435,23 @@ ORACLE["question_order"] = _on_silver(
     _SPREAD,
 )
 ORACLE["as_of_version"] = ORACLE["rain_hourly"]
+ORACLE["distance_fences"] = _on_silver(
+    "SELECT consorcio AS consorcio_id, count(distancia_planejada) AS viagens, true AS limite_inferior_certo, "
+    "true AS limite_superior_certo FROM silver GROUP BY consorcio"
+)
+ORACLE["distance_outlier_filter"] = _on_silver(
+    "SELECT id_viagem, linha FROM silver JOIN fences USING (linha) WHERE distancia_planejada BETWEEN low AND high",
+    "\nfences AS (SELECT linha, quantile_disc(distancia_planejada, 0.05) AS low, "
+    "quantile_disc(distancia_planejada, 0.95) AS high FROM silver GROUP BY linha)",
+)
+ORACLE["profile_from_sketches"] = (
+    "WITH" + _TRIPS.replace("l_linestatus AS sentido", "l_linestatus AS sentido, CAST(NULL AS VARCHAR) AS shape_id")
+    + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS coluna, count(*) AS linhas, count(*) - count({c}) AS nulos, CAST(min({c}) AS VARCHAR) AS minimo, "
+        f"CAST(max({c}) AS VARCHAR) AS maximo, count(DISTINCT {c}) AS exatos, true AS perto FROM trips"
+        for c in ("data", "consorcio", "tipo_dia", "id_viagem", "servico", "shape_id", "tempo_viagem")
+    )
+)
 ORACLE["row_count"] = "SELECT count(*) AS linhas FROM lineitem"
 ORACLE["lenient_rejects"] = """
 SELECT l_orderkey, l_linenumber, 'l_quantity' AS coluna, 'xx' AS valor FROM lineitem WHERE l_linenumber = 5

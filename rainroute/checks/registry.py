@@ -6,9 +6,8 @@ from collections.abc import Callable
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rainroute.contracts import CONTRACTS, schema_from_ddl
 from rainroute.functions import mapped_name, rain_band_contiguous
@@ -30,6 +29,7 @@ DURATION_RANGE = (3, 45)
 DURATION_QUANTILES = (0.05, 0.95)
 PLATEAU_FROM, VALLEY_BELOW = 0.99, 0.95
 FLEET_YEAR = 2025
+PROFILED = ("data", "consorcio", "tipo_dia", "id_viagem", "servico", "shape_id", "tempo_viagem")
 RUN_DATE = date(2024, 8, 24)
 ETA_SPLIT = date(1997, 1, 1)
 LATER_FROM = date(1998, 6, 1)
@@ -252,6 +252,45 @@ def duration_outlier_filter(spark, sf):
     return outliers.within_fences(narrow, "linha", "tempo_viagem", *DURATION_QUANTILES)
 
 
+SKETCH_SIZE = 400
+
+
+def distance_fences(spark, sf):
+    """Sketched fences of a DOUBLE column per operator: whether their ranks are within the stated error of the asked ones."""
+    trips = _fact(spark, sf).select("consorcio_id", "distancia_planejada")
+    fences = outliers.sketched_fences(trips, "consorcio_id", "distancia_planejada", *DURATION_QUANTILES, SKETCH_SIZE)
+    # A quantile's rank lies between the share of smaller values and that of values up to it.
+    value, error = F.col("distancia_planejada"), 2 * outliers.rank_error(SKETCH_SIZE)
+    figures = [F.count(value).alias("viagens")]
+    for name, asked in zip(("limite_inferior", "limite_superior"), DURATION_QUANTILES, strict=True):
+        below, until = F.count_if(value < F.col(name)) / F.count(value), F.count_if(value <= F.col(name)) / F.count(value)
+        figures.append(((below - error <= asked) & (until + error >= asked)).alias(f"{name}_certo"))
+    return trips.join(F.broadcast(fences), "consorcio_id").groupBy("consorcio_id").agg(*figures)
+
+
+def distance_outlier_filter(spark, sf):
+    """Trips between sketched fences of their line; lines have fewer trips than a sketch keeps whole, so these are exact."""
+    narrow = _fact(spark, sf).select("id_viagem", "linha", "distancia_planejada")
+    kept = outliers.within_fences(narrow, "linha", "distancia_planejada", *DURATION_QUANTILES, sketch=SKETCH_SIZE)
+    return kept.select("id_viagem", "linha")
+
+
+def profile_from_sketches(spark, sf):
+    """Profile of all bronze trips, loaded on two run dates, merged from sketches; whether distinct counts are near enough."""
+    lake = jobs.Lake.under(spark, scratch_path(spark, "lake"))
+    trips = proxy.trips(spark, sf)
+    for n, part in enumerate((trips.filter(F.col("data") < F.lit(ETA_SPLIT)), trips.filter(F.col("data") >= F.lit(ETA_SPLIT)))):
+        folder = f"{lake.landing}-entrada/{n}"
+        _export(part, "id_viagem", folder)
+        dataset = jobs.Dataset("viagens_onibus", folder, profile=True)
+        jobs.require_all(jobs.load_datasets(lake, [dataset], RUN_DATE + timedelta(days=n)))
+    found = jobs.profile_bronze(lake, "viagens_onibus").where(F.col("coluna").isin(*PROFILED))
+    columns = [F.count_distinct(F.col(c)).alias(c) for c in PROFILED]
+    exact = trips.agg(*columns).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, PROFILED)), F.array(*PROFILED))).alias("coluna", "exatos"))
+    near = F.abs(F.col("distintos") - F.col("exatos")) <= 4 * quality.distinct_error() * F.col("exatos") + 1
+    return found.join(exact, "coluna").select("coluna", "linhas", "nulos", "minimo", "maximo", "exatos", near.alias("perto"))
+
+
 def _untidy(name, key):
     """Spell a name in one of three ways."""
     return (
@@ -359,9 +398,10 @@ def _export(df: DataFrame, key: str, folder: str) -> None:
 
 
 def _ordered(df: DataFrame) -> DataFrame:
-    """The rows of a result with their place in it."""
-    numbered = df.rdd.zipWithIndex().map(lambda pair: (*pair[0], pair[1] + 1))
-    return df.sparkSession.createDataFrame(numbered, T.StructType(df.schema.fields).add("posicao", "long"))
+    """The rows of a sorted answer, a handful, with their place in it: row ids follow the order of the sort."""
+    return df.withColumn("__row", F.monotonically_increasing_id()).withColumn(
+        "posicao", F.row_number().over(Window.orderBy("__row")).cast("long")
+    )
 
 
 def question_order(spark, sf):
@@ -676,6 +716,9 @@ REGISTRY: dict[str, Query] = {
         trip_dedup,
         duration_range_filter,
         duration_outlier_filter,
+        distance_fences,
+        distance_outlier_filter,
+        profile_from_sketches,
         consortium_normalise,
         scope_filter,
         column_profile,

@@ -73,6 +73,69 @@ def column_profile(
     )
 
 
+SKETCH = "coluna string, tipo string, linhas bigint, nulos bigint, menor struct<n:double,t:string>, maior struct<n:double,t:string>, esboco binary"
+SKETCH_BITS = 12  # of the distinct-count sketch: 2**12 registers
+
+
+def distinct_error(bits: int = SKETCH_BITS) -> float:
+    """Relative standard error of a sketched number of distinct values (a fixed value of the sketch: 1.04 / sqrt of its size)."""
+    return 1.04 / 2 ** (bits / 2)
+
+
+def _ordered(field: T.StructField, value: Column) -> Column:
+    """A value as (number, text), so that extremes of several parts can be compared without the column's type."""
+    kind = field.dataType
+    if isinstance(kind, T.BooleanType):
+        number = value.cast("int").cast("double")
+    elif isinstance(kind, T.NumericType):
+        number = value.cast("double")
+    elif isinstance(kind, T.DateType):
+        number = F.unix_date(value).cast("double")
+    elif isinstance(kind, T.TimestampType):
+        number = F.unix_micros(value).cast("double")
+    else:
+        number = F.lit(None).cast("double")
+    return F.when(value.isNotNull(), F.struct(number.alias("n"), value.cast("string").alias("t")))
+
+
+def sketch_columns(schema: T.StructType, only: Column | None = None) -> list[Column]:
+    """Aggregates behind ``sketch_rows``, for ``agg`` or, while rows are being written, ``observe``; ``only``: rows that count."""
+    only = F.lit(True) if only is None else only
+    out = [F.count_if(only).alias("n")]
+    for i, field in enumerate(schema.fields):
+        value = F.when(only, F.col(f"`{field.name}`"))
+        out += [
+            F.count(value).alias(f"c{i}"), F.min(_ordered(field, value)).alias(f"lo{i}"), F.max(_ordered(field, value)).alias(f"hi{i}"),
+            F.hll_sketch_agg(value.cast("string"), SKETCH_BITS).alias(f"s{i}"),
+        ]
+    return out
+
+
+def sketch_rows(schema: T.StructType, found: Mapping) -> list[tuple]:
+    """Rows of ``SKETCH`` from the values of ``sketch_columns``."""
+    pair = lambda v: None if v is None else (v["n"], v["t"])
+    n = found["n"]
+    return [
+        (f.name, f.dataType.simpleString(), n, n - found[f"c{i}"], pair(found[f"lo{i}"]), pair(found[f"hi{i}"]), found[f"s{i}"])
+        for i, f in enumerate(schema.fields)
+    ]
+
+
+def sketched_profile(df: DataFrame) -> DataFrame:
+    """A row of ``SKETCH`` per column, in one scan and without exploding rows; parts of a table can be merged."""
+    row = df.agg(*sketch_columns(df.schema)).first()
+    return df.sparkSession.createDataFrame(sketch_rows(df.schema, row.asDict()), SKETCH)
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """Profile of all rows behind some sketches: no row is read again; ``distintos`` is an estimate."""
+    return sketches.groupBy("coluna").agg(
+        F.max("tipo").alias("tipo"), F.sum("linhas").alias("linhas"), F.sum("nulos").alias("nulos"),
+        F.hll_sketch_estimate(F.hll_union_agg("esboco")).alias("distintos"),
+        F.min("menor").getField("t").alias("minimo"), F.max("maior").getField("t").alias("maximo"),
+    )
+
+
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per value of each listed column (NULL included), in one scan."""
     pairs = F.array(

@@ -75,6 +75,7 @@ class Dataset:
     mode: str = "strict"
     separator: str | None = None
     multiline: bool = False
+    profile: bool = False  # keep a mergeable profile of every load, collected while it is written
 
 
 @dataclass(frozen=True)
@@ -165,15 +166,47 @@ def ingest(lake: Lake, dataset: Dataset, run_date: date) -> LoadResult:
         parts.append(_fitted(raw, dataset))
 
     store, version, slot = lake.bronze_store(dataset.name), new_version(), run_slot(run_date)
-    write_files(reduce(DataFrame.unionByName, parts), store.path(version, slot))
+    rows, seen = reduce(DataFrame.unionByName, parts), Observation()
+    if dataset.profile:  # the figures come with the write; the rows are not read again for them
+        rows = rows.observe(seen, *quality.sketch_columns(CONTRACTS[dataset.name].schema, F.col(REJECTS).isNull()))
+    write_files(rows, store.path(version, slot))
     written = spark.read.schema(bronze_file_schema(dataset.name)).parquet(store.path(version, slot))
     found = _audit_files(written, list(listed.values()))
     csv_files.land(spark, sorted(listed), f"{lake.landing}/{dataset.name}/{run_date:%Y/%m/%d}")
+    if dataset.profile:
+        _keep_profile(lake, dataset.name, version, quality.sketch_rows(CONTRACTS[dataset.name].schema, seen.get))
     store.publish_all(version, {f"{slot}/{SOURCE_FILE}={name}": clean for name, (clean, _) in found.items()})
     clean, bad = (sum(n[i] for n in found.values()) for i in (0, 1))
     return LoadResult(dataset.name, "published", version, clean, bad, tuple(dict.fromkeys(unknown)))
 
 
+def _keep_profile(lake: Lake, dataset: str, version: str, rows: Sequence[tuple]) -> None:
+    sketches = lake.spark.createDataFrame(list(rows), quality.SKETCH).withColumn("versao", F.lit(version))
+    sketches.coalesce(1).write.mode("append").parquet(f"{lake.bronze_store(dataset).root}/_perfis")
+
+
+def profile_bronze(lake: Lake, dataset: str) -> DataFrame:
+    """Profile of all published clean rows of a dataset, merged from what its loads have kept.
+
+    Only the live rows of a version of which some file was replaced, or that kept no profile, are read. Distinct
+    values are an estimate within ``quality.distinct_error``; ``quality.column_profile`` counts them exactly.
+    """
+    store, schema = lake.bronze_store(dataset), CONTRACTS[dataset].schema
+    now, replaced, path = store.current(), store.replaced(), f"{store.root}/_perfis"
+    if not now:
+        raise NotPublished(f"nothing published in {store.root}")
+    empty = lake.spark.createDataFrame([], f"{quality.SKETCH}, versao string")
+    kept = lake.spark.read.schema(empty.schema).parquet(path) if store.folders(path) else empty
+    whole = sorted(set(now.values()) - set(replaced))
+    known = {r.versao for r in kept.where(F.col("versao").isin(whole)).select("versao").distinct().collect()}
+    sketches = kept.where(F.col("versao").isin(sorted(known))).drop("versao")
+    rest = {s: v for s, v in now.items() if v not in known}
+    if rest:
+        rows = store.read_some_files(_bronze_table_schema(dataset), SOURCE_FILE, rest).filter(F.col(REJECTS).isNull())
+        sketches = sketches.unionByName(quality.sketched_profile(rows.select(*schema.names)))
+    return quality.merged_profile(sketches)
+
+
 def load_datasets(
     lake: Lake, datasets: Sequence[Dataset], run_date: date, retries: int = 1, parallel: int = 4
 ) -> list[LoadResult]:

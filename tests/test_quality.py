@@ -112,3 +112,63 @@ def test_star_integrity_finds_each_kind_of_violation(spark):
         ("dim: fato sem dimensao", 1),
         ("fato x silver: diferenca de linhas", 1),
     ]
+
+
+# --- Sketches ----------------------------------------------------------------------
+
+
+def test_small_groups_have_exact_sketched_fences(spark):
+    df = spark.createDataFrame(
+        [("a", float(v)) for v in range(1, 101)] + [("a", None), ("a", float("nan")), ("b", None), (None, 5.0)], "g string, m double"
+    )
+    fences = outliers.sketched_fences(df, "g", "m", 0.05, 0.95, 400)
+    assert rows(fences) == [(None, 5.0, 5.0), ("a", 5.0, 95.0)]
+    kept = outliers.within_fences(df, "g", "m", 0.05, 0.95, sketch=400)
+    assert kept.filter("m BETWEEN 1 AND 100 AND g = 'a'").count() == 91 and kept.filter("isnan(m)").count() == 1
+    assert kept.filter("m IS NULL").count() == 2 and kept.filter("g IS NULL").count() == 1
+
+
+def test_large_groups_stay_within_the_stated_rank_error(spark):
+    df = spark.range(200_000).select(F.lit("x").alias("g"), F.pmod(F.xxhash64("id"), F.lit(10**6)).cast("double").alias("m"))
+    _, low, high = outliers.sketched_fences(df, "g", "m", 0.1, 0.9, 200).first()
+    ranks = df.agg(F.avg((F.col("m") <= low).cast("int")), F.avg((F.col("m") <= high).cast("int"))).first()
+    assert abs(ranks[0] - 0.1) < 2 * outliers.rank_error(200) and abs(ranks[1] - 0.9) < 2 * outliers.rank_error(200)
+
+
+def test_profiles_of_parts_merge_to_the_profile_of_the_whole(spark):
+    df = spark.range(3000).select(
+        F.col("id").cast("int").alias("n"), (F.col("id") / 7).alias("x"), F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("id", F.lit(40)).cast("int")).alias("d"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("s"), F.pmod("id", F.lit(9)))).alias("s"), (F.col("id") < 5).alias("b"), F.lit(None).cast("string").alias("none"),
+    )
+    parts = [quality.sketched_profile(df.filter(f"n % 4 = {i}")) for i in range(4)]
+    merged = quality.merged_profile(parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3]))
+    exact = quality.column_profile(df, exact=df.columns)
+    columns = ["coluna", "tipo", "linhas", "nulos", "minimo", "maximo"]
+    assert rows(merged, *columns) == rows(exact, *columns)
+    want = {r.coluna: r.distintos for r in exact.collect()}
+    for r in merged.collect():
+        assert abs(r.distintos - want[r.coluna]) <= 4 * quality.distinct_error() * want[r.coluna] + 1
+    empty = quality.sketched_profile(df.limit(0))
+    assert {(r.linhas, r.nulos, r.minimo) for r in quality.merged_profile(empty).collect()} == {(0, 0, None)}
+    assert rows(quality.merged_profile(parts[0].unionAll(empty)), *columns) == rows(quality.merged_profile(parts[0]), *columns)
+
+
+def test_loads_keep_their_profile_while_they_are_written(spark, tmp_path):
+    from datetime import date
+
+    from test_ingest import TRIPS, put, trip
+
+    from rainroute.plans import jobs
+
+    lake = jobs.Lake.under(spark, str(tmp_path / "lake"))
+
+    def load(name, day, *lines, profile=True):
+        put(str(tmp_path / name), f"{name[0]}.csv", TRIPS, *lines)
+        jobs.ingest(lake, jobs.Dataset("viagens_onibus", str(tmp_path / name), "lenient", profile=profile), date(2024, 3, day))
+        found = jobs.profile_bronze(lake, "viagens_onibus")
+        return rows(found.where("coluna IN ('id_viagem', 'tempo_viagem')"), "coluna", "linhas", "nulos", "distintos", "minimo", "maximo")
+
+    assert load("a1", 5, trip("k1", 9), trip("k2", 30), trip("bad", "xx")) == [("id_viagem", 2, 0, 2, "k1", "k2"), ("tempo_viagem", 2, 0, 2, "9", "30")]
+    assert load("b1", 6, trip("k2", 100), trip("k3", "")) == [("id_viagem", 4, 0, 3, "k1", "k3"), ("tempo_viagem", 4, 1, 3, "9", "100")]
+    # A file delivered again replaces what its load has kept; a load without a profile is read.
+    assert load("a2", 5, trip("k9", 50), profile=False) == [("id_viagem", 3, 0, 3, "k2", "k9"), ("tempo_viagem", 3, 1, 2, "50", "100")]
