@@ -7,6 +7,9 @@ text are one document to the near-duplicate stage and separate ones elsewhere.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from rainroute.session import materialise
 from . import bpe, decontaminate, ngram_join, suffix_dedup, toxicity
 from .keys import picked
 from .repeats import key_columns
+from .tasks import small_batches
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,10 +69,21 @@ def token_digests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return bpe.token_digests(docs, bpe.public_spec())
 
 
+def _bounded(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage with small Arrow batches: memory that a stage's batches took is kept by the executors for the next."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("ngram_jaccard_join", drop_near_duplicates),
-    ("suffix_array_dedup", cut_repeats),
-    ("benchmark_decontamination", drop_contaminated),
-    ("bpe_encoding", token_digests),
+    ("toxicity", _bounded(drop_toxic)),
+    ("ngram_jaccard_join", _bounded(drop_near_duplicates)),
+    ("suffix_array_dedup", _bounded(cut_repeats)),
+    ("benchmark_decontamination", _bounded(drop_contaminated)),
+    ("bpe_encoding", _bounded(token_digests)),
 ]

@@ -32,6 +32,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: Bytes of rows an Arrow batch takes at most. A batch stands in memory on both sides, and Python copies it.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches of this session by ``BATCH_BYTES``; Spark's own bound is eight times that."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def release() -> None:
     """Give memory of finished work back to the system; a worker that serves later stages would keep it."""
     gc.collect()
