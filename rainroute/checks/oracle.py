@@ -416,6 +416,23 @@ ORACLE["eta_baseline_errors"] = _on_silver(
 )
 
 
+def _mean_after(cut: str, until: str) -> str:
+    return f"""
+SELECT DATE '{cut}' AS corte, count(tempo_viagem) AS viagens, round(avg(abs(media - tempo_viagem)), 4) AS erro_absoluto_medio,
+       round(sqrt(avg((media - tempo_viagem) * (media - tempo_viagem))), 4) AS raiz_erro_quadratico
+FROM silver JOIN (SELECT linha, avg(tempo_viagem) AS media FROM silver WHERE data_viagem < DATE '{cut}' GROUP BY linha) USING (linha)
+WHERE data_viagem >= DATE '{cut}' AND data_viagem < DATE '{until}'"""
+
+
+ORACLE["eta_walk_forward_mean"] = _on_silver(
+    "UNION ALL".join(_mean_after(*x) for x in (("1996-01-01", "1997-01-01"), ("1997-01-01", "1998-01-01"), ("1998-01-01", "9999-01-01")))
+)
+ORACLE["bronze_table"] = (
+    "SELECT 2024 AS ano, 8 AS mes, CAST(if(l_shipdate < DATE '1997-01-01', 24, 25) AS INTEGER) AS dia, CAST(1 AS BIGINT) AS versoes, "
+    "count(*) AS linhas, min(CAST(l_shipdate AS DATE)) AS primeira, max(CAST(l_shipdate AS DATE)) AS ultima FROM lineitem GROUP BY 3"
+)
+
+
 def _places(question: str, value: str, order: str, source: str) -> str:
     return (
         f"SELECT '{question}' AS pergunta, row_number() OVER (ORDER BY {order}) AS posicao, "

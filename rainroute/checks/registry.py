@@ -677,6 +677,36 @@ def eta_errors(spark, sf):
     )
 
 
+ETA_CUTS = (date(1996, 1, 1), date(1997, 1, 1), date(1998, 1, 1))
+
+
+def eta_walk_forward_mean(spark, sf):
+    """Error per cut date of the line's mean, known before the cut, for the trips until the next cut."""
+    forecasts = eta.walk_forward(materialise(_fact(spark, sf), "fact"), ETA_CUTS, ["media"])
+    return rounded(eta.errors(forecasts, "corte"), "erro_absoluto_medio", "raiz_erro_quadratico", digits=4)
+
+
+def eta_walk_forward(spark, sf):
+    """Error per cut date of the line's mean, least squares and boosted trees over the same trips."""
+    forecasts = eta.walk_forward(materialise(_fact(spark, sf), "fact"), ETA_CUTS)
+    return rounded(eta.errors(forecasts, "corte", "modelo"), "erro_absoluto_medio", "raiz_erro_quadratico", digits=4)
+
+
+def bronze_table(spark, sf):
+    """Trips by run date, file and version from the catalog table that the loads keep up to date, after two run dates."""
+    root = scratch_path(spark, "lake")
+    lake = jobs.Lake.under(spark, root)
+    trips = proxy.trips(spark, sf)
+    for n, part in enumerate((trips.filter(F.col("data") < F.lit(ETA_SPLIT)), trips.filter(F.col("data") >= F.lit(ETA_SPLIT)))):
+        _export(part, "id_viagem", f"{root}/entrada/{n}")
+        dataset = jobs.Dataset("viagens_onibus", f"{root}/entrada/{n}")
+        jobs.require_all(jobs.load_datasets(lake, [dataset], RUN_DATE + timedelta(days=n)))
+    return spark.sql(
+        "SELECT ano, mes, dia, count(DISTINCT carga) AS versoes, count(*) AS linhas, min(data) AS primeira, max(data) AS ultima"
+        " FROM bronze.viagens_onibus_arquivos GROUP BY ano, mes, dia"
+    )
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -738,6 +768,9 @@ REGISTRY: dict[str, Query] = {
         rollback_to_first,
         eta_line_history,
         eta_baseline_errors,
+        eta_walk_forward_mean,
+        eta_walk_forward,
+        bronze_table,
         as_of_version,
         stream_enriched_trips,
         stream_hourly_counts,

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from datetime import date
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,7 @@ FEATURES = (
     "fim_de_semana",
 )
 TARGET = "tempo_viagem"
+MODELS = ("media", "linear", "arvores")
 
 
 def line_history(fact: DataFrame) -> DataFrame:
@@ -74,10 +78,40 @@ def predict(model: LinearRegressionModel, features: DataFrame) -> DataFrame:
     )
 
 
-def errors(predicted: DataFrame) -> DataFrame:
+def fit_trees(features: DataFrame, rounds: int = 10, depth: int = 4) -> GBTRegressionModel:
+    """Boosted trees: each round one distributed tree over binned features; only split statistics reach the driver."""
+    trees = GBTRegressor(maxIter=rounds, maxDepth=depth, seed=7)
+    return trees.fit(_vectors(features.dropna(subset=[TARGET])))
+
+
+def walk_forward(fact: DataFrame, cuts: Sequence[date], models: Sequence[str] = MODELS) -> DataFrame:
+    """Forecasts made as time went on: corte, modelo, tempo_viagem, tempo_previsto.
+
+    For each cut date, line history and models are made from trips before it, and forecast the trips from it until
+    the next cut (after the last one: all). No trip is forecast from itself or from a later one. Trips of lines without
+    history, or with a missing feature, are left out of every model alike.
+    """
+    parts = []
+    for cut, until in zip(cuts, [*cuts[1:], None], strict=True):
+        day = F.col("data_id")
+        known = fact.filter(day < F.lit(cut))
+        asked = fact.filter((day >= F.lit(cut)) if until is None else ((day >= F.lit(cut)) & (day < F.lit(until))))
+        history = materialise(line_history(known), "line_history")
+        before = materialise(eta_features(known, history), "eta_before")
+        after = materialise(eta_features(asked, history).dropna(subset=[*FEATURES]), "eta_after")
+        for name in models:
+            if name == "media":
+                forecast = after.withColumn("tempo_previsto", F.col("media_linha"))
+            else:
+                forecast = predict((fit if name == "linear" else fit_trees)(before), after)
+            parts.append(forecast.select(F.lit(cut).alias("corte"), F.lit(name).alias("modelo"), TARGET, "tempo_previsto"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def errors(predicted: DataFrame, *by: str) -> DataFrame:
     """Mean absolute and root mean square error in minutes."""
     miss = F.col("tempo_previsto") - F.col(TARGET)
-    return predicted.agg(
+    return predicted.groupBy(*by).agg(
         F.count(TARGET).alias("viagens"),
         F.avg(F.abs(miss)).alias("erro_absoluto_medio"),
         F.sqrt(F.avg(miss * miss)).alias("raiz_erro_quadratico"),

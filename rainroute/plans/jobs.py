@@ -525,21 +525,40 @@ def register_bronze(lake: Lake, dataset: str) -> None:
     folder, so files of other versions are not opened.
     """
     store = lake.bronze_store(dataset)
-    versions = sorted(set(store.current().values()))
+    now = store.current()
+    versions = sorted(set(now.values()))
     if not versions:
         return
     catalog.create_layers(lake.spark)
+    table = _bronze_table(lake, dataset, now)
     published = ", ".join(f"'{v}'" for v in versions)
     old = store.stale_rows(SOURCE_FILE)
     live = f"carga IN ({published}) AND {REJECTS} IS NULL" + (f" AND NOT ({old})" if old else "")
     columns = ", ".join(f"`{f.name}`" for f in CONTRACTS[dataset].schema.fields)
-    catalog.replace_view(lake.spark, f"bronze.{dataset}", f"SELECT {columns} FROM parquet.`{store.root}` WHERE {live}")
+    catalog.replace_view(lake.spark, f"bronze.{dataset}", f"SELECT {columns} FROM {table} WHERE {live}")
     lineage = f"{columns}, {SOURCE_FILE}, ano, mes, dia, carga"
     catalog.replace_view(
-        lake.spark, f"bronze.{dataset}_linhagem", f"SELECT {lineage} FROM parquet.`{store.root}` WHERE {live}"
+        lake.spark, f"bronze.{dataset}_linhagem", f"SELECT {lineage} FROM {table} WHERE {live}"
     )
 
 
+def _bronze_table(lake: Lake, dataset: str, now: Mapping[str, str]) -> str:
+    """``bronze.<dataset>_arquivos``: the files of every published load, by run date and version.
+
+    The table is made once per catalog, and folders that are published now are added; no folder is listed. Folders of
+    versions that are current no more stay in the table, where the views leave them out.
+    """
+    store, schema = lake.bronze_store(dataset), _bronze_table_schema(dataset)
+    name, keys = f"bronze.{dataset}_arquivos", ("ano", "mes", "dia", "carga")
+    if lake.spark.catalog.tableExists(name) and not catalog.is_over(lake.spark, name, store.root):
+        lake.spark.sql(f"DROP TABLE {name}")  # an external table of another lake: its files stay
+    catalog.ensure_external_table(lake.spark, name, store.root, schema, keys, recover=False)
+    for folder, version in sorted({(slot.rpartition("/")[0], v) for slot, v in now.items()}):
+        run = {k: int(v) for k, v in (part.split("=", 1) for part in folder.split("/"))}
+        catalog.ensure_partition(lake.spark, name, {**run, "carga": version}, store.path(version, folder))
+    return name
+
+
 def _slots_view(lake: Lake, name: str, folder: str, slots: Mapping[str, str], columns: Sequence[str]) -> None:
     """A view over the published folders of a table in slots; others are not opened, as the keys are partitions."""
     by_version: dict[str, list[str]] = {}

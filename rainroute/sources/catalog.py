@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -29,10 +31,12 @@ def ensure_table_as(df: DataFrame, name: str, fmt: str = "parquet") -> bool:
 
 
 def ensure_external_table(
-    spark: SparkSession, name: str, path: str, schema: T.StructType, partitions: tuple[str, ...] = ()
+    spark: SparkSession, name: str, path: str, schema: T.StructType, partitions: tuple[str, ...] = (), recover: bool = True
 ) -> bool:
     """Register files as a table if it is missing, else pick up files that were added.
 
+    Without ``recover`` no folder is listed; ``ensure_partition`` adds them.
+
     A table of that name over another folder is an error, not something to repair.
     """
     created = not spark.catalog.tableExists(name)
@@ -42,12 +46,19 @@ def ensure_external_table(
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         clause = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
         spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {clause} LOCATION '{path}'")
-    if partitions:
+    if partitions and recover:
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
     return created
 
 
+def ensure_partition(spark: SparkSession, name: str, values: Mapping[str, object], path: str) -> None:
+    """Make one partition folder known to a table and forget what was cached of it; other folders are not listed."""
+    spec = ", ".join(f"{k} = '{v}'" if isinstance(v, str) else f"{k} = {v}" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+
+
 def _bare(path: str) -> str:
     """A path without scheme and surplus slashes, for comparing."""
     return "/" + path.split(":", 1)[-1].strip("/")
@@ -58,6 +69,10 @@ def _folder_of(spark: SparkSession, name: str) -> str:
     return _bare(described["data_type"])
 
 
+def is_over(spark: SparkSession, name: str, path: str) -> bool:
+    return _folder_of(spark, name) == _bare(path)
+
+
 def replace_view(spark: SparkSession, name: str, query: str) -> None:
     """Stable name over a physical table; replacing the view is how a version goes live."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")

@@ -185,3 +185,41 @@ def test_regression_equals_least_squares(spark, wide):
     assert report["viagens"] == fact.count()
     assert abs(report["raiz_erro_quadratico"] - np.sqrt(np.mean((design @ solved - table[:, -1]) ** 2))) < 1e-6
     features.unpersist()
+
+
+def test_forecasts_know_only_what_came_before(spark, wide):
+    """Errors recomputed trip by trip from plain rows."""
+    import math
+    from collections import defaultdict
+
+    fact = gold.fact_trips(wide)
+    cuts = [date(1996, 1, 1), date(1997, 6, 1)]
+    forecasts = eta.walk_forward(fact, cuts)
+    trips = [(r.data_id, r.linha, r.tempo_viagem) for r in fact.select("data_id", "linha", "tempo_viagem").collect()]
+    got = {(r.corte, r.modelo): r for r in eta.errors(forecasts, "corte", "modelo").collect()}
+    assert set(got) == {(c, m) for c in cuts for m in eta.MODELS}
+    for cut, until in zip(cuts, [cuts[1], date.max], strict=True):
+        seen = defaultdict(list)
+        for day, line, minutes in trips:
+            if day < cut:
+                seen[line].append(minutes)
+        misses = [sum(seen[line]) / len(seen[line]) - m for day, line, m in trips if cut <= day < until and line in seen]
+        row = got[cut, "media"]
+        assert row.viagens == len(misses) == got[cut, "linear"].viagens == got[cut, "arvores"].viagens
+        assert math.isclose(row.erro_absoluto_medio, sum(map(abs, misses)) / len(misses), abs_tol=1e-9)
+        assert math.isclose(row.raiz_erro_quadratico, math.sqrt(sum(x * x for x in misses) / len(misses)), abs_tol=1e-9)
+        for model in ("linear", "arvores"):  # the error table follows from the forecasts
+            pairs = [(r.tempo_viagem, r.tempo_previsto) for r in forecasts.where((F.col("corte") == F.lit(cut)) & (F.col("modelo") == model)).collect()]
+            assert math.isclose(got[cut, model].erro_absoluto_medio, sum(abs(a - b) for a, b in pairs) / len(pairs), abs_tol=1e-9)
+
+
+def test_trees_learn_what_a_line_cannot(spark):
+    """Durations that jump at an hour: trees see it, least squares over sine and cosine of the hour less well."""
+    n = F.col("id")
+    fact = spark.range(4000).select(
+        F.date_add(F.lit(date(2024, 1, 1)), (n / 100).cast("int")).alias("data_id"), F.lit("L").alias("linha"),
+        F.pmod(n, F.lit(24)).cast("int").alias("hora_partida"), F.lit(1.0).alias("distancia_planejada"), F.lit(0.0).alias("chuva_no_horario"),
+        F.when(F.pmod(n, F.lit(24)).isin(7, 8, 17), 60).otherwise(20).alias("tempo_viagem"),
+    )
+    found = {r.modelo: r.erro_absoluto_medio for r in eta.errors(eta.walk_forward(fact, [date(2024, 1, 25)]), "modelo").collect()}
+    assert found["arvores"] < 0.5 * found["linear"] and found["arvores"] < 0.5 * found["media"]

@@ -451,6 +451,21 @@ def test_external_table_sees_files_added_later(spark, tmp_path):
         catalog.ensure_external_table(spark, "bronze.ext", str(tmp_path / "elsewhere"), schema, ("dia",))
 
 
+def test_loads_keep_a_partitioned_table(spark, lake, inbox, tmp_path):
+    put(inbox, "a.csv", TRIPS, trip("a1"), trip("a2"))
+    put(str(tmp_path / "b"), "b.csv", TRIPS, trip("b1"))
+    jobs.load_datasets(lake, [jobs.Dataset("viagens_onibus", inbox)], RUN)
+    jobs.load_datasets(lake, [jobs.Dataset("viagens_onibus", str(tmp_path / "b"))], date(2024, 3, 6))
+    jobs.load_datasets(lake, [jobs.Dataset("viagens_onibus", inbox)], RUN)  # replaces its file
+    table = spark.table("bronze.viagens_onibus_arquivos")
+    assert rows(table.groupBy("dia").agg(F.countDistinct("carga"), F.count("*"))) == [(5, 2, 4), (6, 1, 1)]
+    assert spark.table("bronze.viagens_onibus").count() == 3
+    assert spark.table("bronze.viagens_onibus_linhagem").filter("dia = 5").count() == 2
+    other = jobs.Lake.under(spark, str(tmp_path / "other"))
+    jobs.load_datasets(other, [jobs.Dataset("viagens_onibus", str(tmp_path / "b"))], RUN)
+    assert spark.table("bronze.viagens_onibus").count() == 1
+
+
 def test_row_count_and_preview(spark, tmp_path):
     path = str(tmp_path / "n")
     spark.range(25).write.parquet(path)
