@@ -379,8 +379,16 @@ ORACLE["stream_hourly_counts"] = """
 SELECT hora AS inicio, hora + INTERVAL 1 HOUR AS fim, event_type, count(*) AS total
 FROM (SELECT date_trunc('hour', ts) AS hora, event_type FROM events)
 GROUP BY hora, event_type"""
-for _same in ("stream_late_rain", "incremental_silver", "streamed_beside_batch"):
-    ORACLE[_same] = ORACLE["silver_trips"]
+ORACLE["stream_late_rain"] = ORACLE["incremental_silver"] = ORACLE["silver_trips"]
+# Of streamed copies of a trip one is published, and none if the batch has the trip.
+ORACLE["streamed_beside_batch"] = _on_silver(
+    "SELECT * REPLACE (round(chuva_no_horario, 6) AS chuva_no_horario) FROM batch UNION ALL "
+    "SELECT * EXCLUDE n REPLACE (round(chuva_no_horario, 6) AS chuva_no_horario) FROM streamed WHERE n = 1",
+    "\nbatch AS (SELECT * FROM silver WHERE data_viagem < DATE '1998-06-01')",
+    "\nstreamed AS (SELECT *, row_number() OVER (PARTITION BY id_viagem ORDER BY data_viagem DESC, linha DESC, consorcio DESC, "
+    "tipo_dia DESC, distancia_planejada DESC, tempo_viagem DESC) AS n FROM silver "
+    "WHERE data_viagem >= DATE '1998-06-01' AND id_viagem NOT IN (SELECT id_viagem FROM batch))",
+)
 ORACLE["incremental_star"] = _on_silver(
     "SELECT desc_categoria_dia, consorcio AS consorcio_id, condicao_clima AS desc_intensidade, count(*) AS viagens, "
     "CAST(sum(tempo_viagem) AS BIGINT) AS minutos FROM silver JOIN calendar ON data_id = data_viagem GROUP BY ALL",
@@ -427,6 +435,14 @@ WHERE data_viagem >= DATE '{cut}' AND data_viagem < DATE '{until}'"""
 ORACLE["eta_walk_forward_mean"] = _on_silver(
     "UNION ALL".join(_mean_after(*x) for x in (("1996-01-01", "1997-01-01"), ("1997-01-01", "1998-01-01"), ("1998-01-01", "9999-01-01")))
 )
+ORACLE["star_by_sql"] = ORACLE["incremental_star"]
+ORACLE["landing_copy"] = _with(
+    _TRIPS, select="SELECT consorcio, count(*) AS linhas, count(DISTINCT id_viagem) AS viagens FROM trips GROUP BY consorcio"
+)
+ORACLE["isolated_loads"] = (
+    "SELECT 'viagens_onibus' AS dataset, 'published' AS status, count(*) AS linhas, true AS publicado FROM lineitem "
+    "UNION ALL SELECT 'clima_pluviometria', 'failed', 0, false UNION ALL SELECT 'estacoes_clima', 'skipped', 0, false"
+)
 ORACLE["bronze_table"] = (
     "SELECT 2024 AS ano, 8 AS mes, CAST(if(l_shipdate < DATE '1997-01-01', 24, 25) AS INTEGER) AS dia, CAST(1 AS BIGINT) AS versoes, "
     "count(*) AS linhas, min(CAST(l_shipdate AS DATE)) AS primeira, max(CAST(l_shipdate AS DATE)) AS ultima FROM lineitem GROUP BY 3"

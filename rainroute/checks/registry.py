@@ -483,6 +483,42 @@ def bronze_lineage(spark, sf):
     )
 
 
+def landing_copy(spark, sf):
+    """Lines and trips of the landing copy, which keeps every line of the delivered files."""
+    lake = _loaded_lake(spark, sf, "viagens_onibus")
+    names = CONTRACTS["viagens_onibus"].schema.names
+    lines = spark.read.text(f"{lake.landing}/viagens_onibus/{RUN_DATE:%Y/%m/%d}").where(F.col("value") != ",".join(names))
+    cell = F.split("value", ",")
+    return lines.groupBy(cell[names.index("consorcio")].alias("consorcio")).agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_distinct(cell[names.index("id_viagem")]).alias("viagens")
+    )
+
+
+def isolated_loads(spark, sf):
+    """What becomes of three datasets of one run: good files, files without a column, no files. One retry each."""
+    root = scratch_path(spark, "lake")
+    lake = jobs.Lake.under(spark, root)
+    _export(proxy.trips(spark, sf), "id_viagem", f"{root}/entrada/viagens_onibus")
+    _export(proxy.rain(spark, sf).drop("horario"), "primary_key", f"{root}/entrada/clima_pluviometria")
+    names = ("viagens_onibus", "clima_pluviometria", "estacoes_clima")
+    results = jobs.load_datasets(lake, [jobs.Dataset(n, f"{root}/entrada/{n}") for n in names], RUN_DATE)
+    seen = [(r.dataset, r.status, r.rows, bool(lake.bronze_store(r.dataset).current())) for r in results]
+    return spark.createDataFrame(seen, "dataset string, status string, linhas bigint, publicado boolean")
+
+
+def star_by_sql(spark, sf):
+    """The weekend question in SQL over the four gold views."""
+    lake = _loaded_lake(spark, sf, "viagens_onibus", "clima_pluviometria")
+    jobs.build_silver(lake)
+    jobs.build_gold(lake)
+    jobs.register_views(lake, ["viagens_onibus"])
+    return spark.sql(
+        "SELECT d.desc_categoria_dia, c.nome_consorcio AS consorcio_id, w.desc_intensidade, count(*) AS viagens,"
+        " sum(f.tempo_viagem) AS minutos FROM gold.fato_viagens f JOIN gold.dim_calendario d USING (data_id)"
+        " JOIN gold.dim_consorcio c USING (consorcio_id) JOIN gold.dim_clima w USING (clima_id) GROUP BY ALL"
+    )
+
+
 def silver_view(spark, sf):
     """Trips and minutes by rain band, from the SQL view over published silver."""
     lake = _loaded_lake(spark, sf, "viagens_onibus", "clima_pluviometria")
@@ -765,6 +801,9 @@ REGISTRY: dict[str, Query] = {
         mixed_headers_to_bronze,
         bronze_lineage,
         silver_view,
+        landing_copy,
+        isolated_loads,
+        star_by_sql,
         rollback_to_first,
         eta_line_history,
         eta_baseline_errors,
