@@ -566,6 +566,8 @@ def rollback_to_first(spark, sf):
 
 def _file_stream(spark, sf, name: str) -> DataFrame:
     schema = proxy.table(spark, sf, name).schema
+    if Store(spark, sf).folders(f"{sf}/{name}.parquet/*.parquet"):  # a table of several files
+        return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parquet")
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 

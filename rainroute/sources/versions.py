@@ -106,7 +106,7 @@ class Store:
 
     def last(self) -> int | None:
         """Number of the latest publication."""
-        return self.history().agg(F.max("ordem")).first()[0]
+        return self.history().coalesce(1).agg(F.max("ordem")).first()[0]
 
     def _until(self, as_of: int | datetime | None) -> DataFrame:
         log = self.history()
@@ -119,7 +119,8 @@ class Store:
 
         One entry per slot, so at most one per file and run date reaches the driver.
         """
-        latest = self._until(as_of).groupBy("slot").agg(F.max_by("versao", "ordem").alias("versao"))
+        # The publication table is small: one task, without a shuffle.
+        latest = self._until(as_of).coalesce(1).groupBy("slot").agg(F.max_by("versao", "ordem").alias("versao"))
         return {r["slot"]: r["versao"] for r in latest.filter(F.col("versao").isNotNull()).collect()}
 
     def replaced(self, as_of: int | datetime | None = None) -> dict[str, list[str]]:
