@@ -15,6 +15,8 @@ no rows; further columns are left out.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ K = 4
 DRIFT = 3
 COVER = 0.5  # share of a template's runs that a span must hold
 
-#: Separators of words; letters are lower-cased after splitting (fixed value).
+#: Separators of words (fixed value).
 _SEPARATORS = r"[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 #: Phrases and labels of the base (fixed values).
@@ -105,10 +107,104 @@ TEMPLATES = (
 )
 
 
+#: Whole texts of public licenses, without titles and copyright lines (fixed values).
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+    " documentation files (the Software), to deal in the Software without restriction, including without limitation"
+    " the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,"
+    " and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+    " The above copyright notice and this permission notice shall be included in all copies or substantial portions"
+    " of the Software."
+)
+_BSD_TWO = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+    " following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this"
+    " list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above"
+    " copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+    " materials provided with the distribution."
+)
+_BSD_THIRD = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+    " products derived from this software without specific prior written permission."
+)
+_BSD_DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES,"
+    " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+    " DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,"
+    " INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF"
+    " SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY"
+    " THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING"
+    " IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+WHOLE = (
+    (
+        "mit",
+        _MIT_GRANT + " THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT"
+        " NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO"
+        " EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN"
+        " AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE"
+        " OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    ("bsd", _BSD_TWO + _BSD_DISCLAIMER),
+    ("bsd", _BSD_TWO + _BSD_THIRD + _BSD_DISCLAIMER),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies. THE"
+        " SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL"
+        " IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,"
+        " DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR"
+        " PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN"
+        " CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "zlib",
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held"
+        " liable for any damages arising from the use of this software. Permission is granted to anyone to use this"
+        " software for any purpose, including commercial applications, and to alter it and redistribute it freely,"
+        " subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must"
+        " not claim that you wrote the original software. If you use this software in a product, an acknowledgment in"
+        " the product documentation would be appreciated but is not required. 2. Altered source versions must be"
+        " plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not"
+        " be removed or altered from any source distribution.",
+    ),
+    (
+        "boost",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software"
+        " and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute,"
+        " execute, and transmit the Software, and to prepare derivative works of the Software, and to permit"
+        " third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices"
+        " in the Software and this entire statement, including the above license grant, this restriction and the"
+        " following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative"
+        " works of the Software, unless such copies or derivative works are solely in the form of machine-executable"
+        " object code generated by a source language processor. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY"
+        " KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A"
+        " PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING"
+        " THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING"
+        " FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,"
+        " publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary,"
+        " for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright"
+        " laws, the author or authors of this software dedicate any and all copyright interest in the software to the"
+        " public domain. We make this dedication for the benefit of the public at large and to the detriment of our"
+        " heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all"
+        " present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED AS IS, WITHOUT"
+        " WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,"
+        " FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM,"
+        " DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN"
+        " CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+)
+
+
 def words(body: Column) -> Column:
     """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased."""
     body = F.coalesce(body, F.lit(""))
-    return F.array_remove(F.split(F.lower(body), _SEPARATORS.replace("\\\\", "\\")), "")
+    lowered = F.translate(body, string.ascii_uppercase, string.ascii_lowercase)
+    return F.array_remove(F.split(lowered, _SEPARATORS.replace("\\\\", "\\")), "")
 
 
 def runs(found: str) -> str:
@@ -121,8 +217,8 @@ def runs(found: str) -> str:
     )
 
 
-def template_places(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    """hash, template, label, n (runs of the template), t (place) and word: a few hundred rows."""
+def template_places(spark: SparkSession, templates=TEMPLATES + WHOLE) -> DataFrame:
+    """hash, template, label, n (runs of the template), t (place) and word: a few thousand rows."""
     given = [F.struct(F.lit(label).alias("label"), F.lit(body).alias("body")) for label, body in templates]
     rows = spark.range(1).select(F.posexplode(F.array(*given)).alias("template", "t"))
     listed = rows.select("template", "t.label", words(F.col("t.body")).alias("found"))
@@ -139,7 +235,7 @@ def spans(rows: DataFrame, templates: DataFrame) -> DataFrame:
     votes = (
         rows.select("k1", "k2", F.posexplode(F.expr(runs("found"))).alias("place", "run"))
         .select("k1", "k2", "place", F.col("run.hash").alias("hash"), F.col("run.word").alias("word"))
-        .join(F.broadcast(templates), "hash")  # the constant list above: a few hundred rows
+        .join(F.broadcast(templates), "hash")  # the constant lists above: a few thousand rows
         .where("word = t_word")
         .withColumn("diagonal", F.col("place") - F.col("t"))
     )
@@ -172,7 +268,7 @@ def _places(phrase: tuple[str, ...]) -> str:
     )
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, column: str = "text", id_column: str = "doc_id") -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES + WHOLE, column: str = "text", id_column: str = "doc_id") -> DataFrame:
     """doc_id, words, base places and labels, all labels, score and verified spans of every row."""
     rows = docs.select(
         F.col(id_column).alias("doc_id"),

@@ -119,3 +119,30 @@ def likeness(a, b):
     """Generalised Jaccard similarity of the word counts of two texts."""
     x, y = (Counter(re.split(r"[ \n\t\r]+", t or "")) for t in (a, b))
     return sum((x & y).values()) / sum((x | y).values())
+
+
+def license_spans(text, templates, k, drift, cover):
+    """(first word, last word, label, share of the template's runs) of each span, sorted."""
+    words = WORDS.findall(lower(text))
+    out = []
+    for label, body in templates:
+        template = WORDS.findall(lower(body))
+        n = len(template) - k + 1
+        votes = defaultdict(list)
+        for i in range(len(words) - k + 1):
+            for t in range(n):
+                if words[i : i + k] == template[t : t + k]:
+                    votes[i - t].append((i, t))
+        bands = []
+        for diagonal in sorted(votes):
+            if bands and diagonal - bands[-1][-1] <= drift:
+                bands[-1].append(diagonal)
+            else:
+                bands.append([diagonal])
+        for band in bands:
+            found = sum(len({t for _, t in votes[d]}) for d in band)
+            places = [i for d in band for i, _ in votes[d]]
+            share = min(1.0, found / n)
+            if share >= cover and max(places) - min(places) < 2 * n + 2 * k:
+                out.append((min(places), max(places) + k - 1, label, share))
+    return sorted(out)

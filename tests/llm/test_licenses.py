@@ -1,3 +1,5 @@
+import random
+
 from helpers import documents, random_texts
 
 import brute
@@ -43,6 +45,34 @@ def test_base_against_brute_force_and_spans(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_spans_labels_and_score_against_brute_force(spark):
+    rng = random.Random(5)
+    templates = licenses.TEMPLATES + licenses.WHOLE
+    texts = [None, "", "mit license", "WITHOUT wor\u212a MIT L\u0130CENSE", MIT.replace("copy", "\u212aopy")]
+    for label, body in templates:
+        given = body.split()
+        for put_in, left_out in ((0, 0), (1, 1), (4, 0), (0, 5), (12, 12)):  # up to DRIFT in one place, and beyond it
+            edited = list(given)
+            at = rng.randrange(len(edited))
+            edited[at : at + left_out] = [f"x{i}" for i in range(put_in)]
+            texts.append(" ".join(["before", *edited, *given[: len(given) // 3], "after"]))
+        texts.append(" ".join([*given, *given]))
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, rows, "label string, spans int, cover double, first int", ("l", 1, 0.5, 2))).collect()}
+    for i, t in rows:
+        want = brute.license_spans(t, templates, licenses.K, licenses.DRIFT, licenses.COVER)
+        assert sorted(tuple(s) for s in got[i].spans) == want
+        _, places, base = brute.base_places(t, licenses.BASE)
+        assert got[i].labels == ",".join(sorted({*base, *(s[2] for s in want)}))
+        assert got[i].score == (1.0 if places else max((s[3] for s in want), default=0.0))
+
+
+def test_whole_licenses_are_named(spark):
+    rows = [(i, f"Title\n\nCopyright (c) 2020 A. Author\n\n{body}") for i, (_, body) in enumerate(licenses.WHOLE)]
+    for r in licenses.scan(documents(spark, rows)).collect():
+        assert licenses.WHOLE[r.doc_id][0] in r.labels.split(",") and r.score == 1.0
+
+
 def test_empty_table(spark):
     assert licenses.scan(documents(spark, [])).collect() == []
 
