@@ -17,6 +17,7 @@ from rainroute.plans import clustering, eta, gold, jobs, questions, rain_station
 from rainroute.plans import fleet as fleet_plan
 from rainroute.session import materialise, scratch_path
 from rainroute.sources import proxy
+from rainroute.sources.csv_files import GZIP
 from rainroute.sources.versions import Store, write_files
 from rainroute.streaming import trips as trips_stream
 
@@ -281,8 +282,7 @@ def profile_from_sketches(spark, sf):
     trips = proxy.trips(spark, sf)
     for n, part in enumerate((trips.filter(F.col("data") < F.lit(ETA_SPLIT)), trips.filter(F.col("data") >= F.lit(ETA_SPLIT)))):
         folder = f"{lake.landing}-entrada/{n}"
-        _export(part, "id_viagem", folder)
-        dataset = jobs.Dataset("viagens_onibus", folder, profile=True)
+        dataset = jobs.Dataset("viagens_onibus", _export(part, folder), profile=True)
         jobs.require_all(jobs.load_datasets(lake, [dataset], RUN_DATE + timedelta(days=n)))
     found = jobs.profile_bronze(lake, "viagens_onibus").where(F.col("coluna").isin(*PROFILED))
     columns = [F.count_distinct(F.col(c)).alias(c) for c in PROFILED]
@@ -388,13 +388,18 @@ def lineage_by_file(spark, sf):
 # --- Files, versions, streams, regression ---------------------------------------
 
 
-def _export(df: DataFrame, key: str, folder: str) -> None:
-    """Write the proxied input as CSV files with a header, as the jobs expect them.
+EXPORT_ROWS = 500_000  # a file of some 15 MB, which one task reads
 
-    By key range, because the first range always has rows: Spark writes a file for
-    its first partition even if that is empty, and an empty file fails the audit.
+
+def _export(df: DataFrame, folder: str) -> str:
+    """Write the proxied input as gzipped CSV files with a header, as the jobs expect them; returns their folder.
+
+    Rows stay where they are read. Spark writes a file for its first partition even if that is empty, and an
+    empty file fails the audit, but not so into the folder of a value.
     """
-    df.repartitionByRange(key).write.option("header", True).csv(folder)
+    writer = df.withColumn("entrega", F.lit(0)).write.mode("append").partitionBy("entrega")
+    writer.options(**GZIP).option("header", True).option("maxRecordsPerFile", EXPORT_ROWS).csv(folder)
+    return f"{folder}/entrega=0"
 
 
 def _ordered(df: DataFrame) -> DataFrame:
@@ -426,10 +431,8 @@ def _loaded_lake(spark, sf, *names: str) -> jobs.Lake:
         "clima_pluviometria": proxy.rain,
         "estacoes_clima": proxy.stations,
     }
-    for name in names:
-        _export(inputs[name](spark, sf), CONTRACTS[name].key[0], f"{root}/entrada/{name}")
+    datasets = [jobs.Dataset(name, _export(inputs[name](spark, sf), f"{root}/entrada/{name}")) for name in names]
     lake = jobs.Lake.under(spark, root)
-    datasets = [jobs.Dataset(name, f"{root}/entrada/{name}") for name in names]
     jobs.require_all(jobs.load_datasets(lake, datasets, RUN_DATE))
     return lake
 
@@ -450,12 +453,11 @@ def _two_deliveries(spark, sf, mixed: bool) -> jobs.Lake:
     even = F.pmod(F.xxhash64("id_viagem"), F.lit(2)) == 0
     other = [*reversed(trips.columns)] if mixed else trips.columns
     for name, part in (("a", trips.filter(even)), ("b", trips.filter(~even).select(*other))):
-        folder = f"{root}/entrada" if mixed else f"{root}/entrada/{name}"
-        part.repartitionByRange("id_viagem").write.mode("append").option("header", True).csv(folder)
+        folder = _export(part, f"{root}/entrada" if mixed else f"{root}/entrada/{name}")
         if not mixed:
             jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset("viagens_onibus", folder)], RUN_DATE))
     if mixed:
-        jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset("viagens_onibus", f"{root}/entrada")], RUN_DATE))
+        jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset("viagens_onibus", folder)], RUN_DATE))
     return lake
 
 
@@ -498,10 +500,12 @@ def isolated_loads(spark, sf):
     """What becomes of three datasets of one run: good files, files without a column, no files. One retry each."""
     root = scratch_path(spark, "lake")
     lake = jobs.Lake.under(spark, root)
-    _export(proxy.trips(spark, sf), "id_viagem", f"{root}/entrada/viagens_onibus")
-    _export(proxy.rain(spark, sf).drop("horario"), "primary_key", f"{root}/entrada/clima_pluviometria")
-    names = ("viagens_onibus", "clima_pluviometria", "estacoes_clima")
-    results = jobs.load_datasets(lake, [jobs.Dataset(n, f"{root}/entrada/{n}") for n in names], RUN_DATE)
+    sources = {
+        "viagens_onibus": _export(proxy.trips(spark, sf), f"{root}/entrada/viagens_onibus"),
+        "clima_pluviometria": _export(proxy.rain(spark, sf).drop("horario"), f"{root}/entrada/clima_pluviometria"),
+        "estacoes_clima": f"{root}/entrada/estacoes_clima",
+    }
+    results = jobs.load_datasets(lake, [jobs.Dataset(*source) for source in sources.items()], RUN_DATE)
     seen = [(r.dataset, r.status, r.rows, bool(lake.bronze_store(r.dataset).current())) for r in results]
     return spark.createDataFrame(seen, "dataset string, status string, linhas bigint, publicado boolean")
 
@@ -633,11 +637,10 @@ def _two_run_dates(spark, sf, *datasets: str) -> jobs.Lake:
     lake = jobs.Lake.under(spark, root)
     trips = proxy.trips(spark, sf)
     later = F.col("data") >= F.lit(LATER_FROM)
-    _export(proxy.rain(spark, sf), "primary_key", f"{root}/entrada/clima_pluviometria")
-    jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset("clima_pluviometria", f"{root}/entrada/clima_pluviometria")], RUN_DATE))
+    readings = _export(proxy.rain(spark, sf), f"{root}/entrada/clima_pluviometria")
+    jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset("clima_pluviometria", readings)], RUN_DATE))
     for n, part in enumerate((trips.filter(~later), trips.filter(later))):
-        _export(part, "id_viagem", f"{root}/entrada/viagens_{n}")
-        dataset = jobs.Dataset("viagens_onibus", f"{root}/entrada/viagens_{n}")
+        dataset = jobs.Dataset("viagens_onibus", _export(part, f"{root}/entrada/viagens_{n}"))
         jobs.require_all(jobs.load_datasets(lake, [dataset], RUN_DATE + timedelta(days=n)))
         jobs.build_silver(lake)
         jobs.build_gold(lake)
@@ -672,9 +675,8 @@ def streamed_beside_batch(spark, sf):
     lake = jobs.Lake.under(spark, root)
     trips = proxy.trips(spark, sf)
     later, again = F.col("data") >= F.lit(LATER_FROM), F.pmod(F.xxhash64("id_viagem"), F.lit(50)) == 0
-    for name, df, key in (("viagens_onibus", trips.filter(~later), "id_viagem"), ("clima_pluviometria", proxy.rain(spark, sf), "primary_key")):
-        _export(df, key, f"{root}/entrada/{name}")
-        jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset(name, f"{root}/entrada/{name}")], RUN_DATE))
+    for name, df in (("viagens_onibus", trips.filter(~later)), ("clima_pluviometria", proxy.rain(spark, sf))):
+        jobs.require_all(jobs.load_datasets(lake, [jobs.Dataset(name, _export(df, f"{root}/entrada/{name}"))], RUN_DATE))
     jobs.build_silver(lake)
     trips.filter(later | again).write.parquet(f"{root}/chegadas")
     stream = spark.readStream.schema(trips.schema).parquet(f"{root}/chegadas")
@@ -736,8 +738,7 @@ def bronze_table(spark, sf):
     lake = jobs.Lake.under(spark, root)
     trips = proxy.trips(spark, sf)
     for n, part in enumerate((trips.filter(F.col("data") < F.lit(ETA_SPLIT)), trips.filter(F.col("data") >= F.lit(ETA_SPLIT)))):
-        _export(part, "id_viagem", f"{root}/entrada/{n}")
-        dataset = jobs.Dataset("viagens_onibus", f"{root}/entrada/{n}")
+        dataset = jobs.Dataset("viagens_onibus", _export(part, f"{root}/entrada/{n}"))
         jobs.require_all(jobs.load_datasets(lake, [dataset], RUN_DATE + timedelta(days=n)))
     return spark.sql(
         "SELECT ano, mes, dia, count(DISTINCT carga) AS versoes, count(*) AS linhas, min(data) AS primeira, max(data) AS ultima"

@@ -155,6 +155,8 @@ def ingest(lake: Lake, dataset: Dataset, run_date: date) -> LoadResult:
     if not listed:
         return LoadResult(dataset.name, "skipped")
 
+    if len(set(listed.values())) < len(listed):
+        raise ValueError(f"a file of {dataset.source} is there twice, plain and with gzip")
     contract = {f.name.lower() for f in CONTRACTS[dataset.name].schema.fields}
     unknown: list[str] = []
     parts = []

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CSV_ONLY = "*.[cC][sS][vV]"
+CSV_ONLY = "*.[cC][sS][vV]{,.gz}"
 SOURCE_FILE = "_arquivo"
 MALFORMED = "_linha_malformada"
 SEPARATORS = (",", ";", "\t", "|")
+#: Text is written once and read seldom, so it is compressed, at the level that costs least time.
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def path_missing(error: AnalysisException) -> bool:
@@ -24,8 +26,12 @@ def path_missing(error: AnalysisException) -> bool:
 
 
 def _file_name() -> Column:
-    """Name of the file a row comes from; the metadata column has it URL-encoded."""
+    """Name of the file a row comes from; the metadata column has it URL-encoded.
+
+    A file delivered with gzip goes by its plain name: ``a.csv.gz`` is ``a.csv``.
+    """
     name = F.col("_metadata.file_name")
+    name = F.when(name.endswith(".gz"), name.substr(F.lit(1), F.length(name) - 3)).otherwise(name)
     plain = F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
     return F.when(name.contains("%"), plain).otherwise(name)
 
@@ -133,10 +139,10 @@ def infer_csv(spark: SparkSession, folder: str, separator: str = ",") -> DataFra
 
 
 def land(spark: SparkSession, paths: Sequence[str], target: str) -> None:
-    """Copy the files' lines, header included, to one directory per source file.
+    """Copy the files' lines, header included, to one directory per source file, with gzip.
 
     A file's directory is replaced when its new lines are written; other files of the target stay.
     """
     lines = spark.read.text(_source(paths)).select("value", _file_name().alias("arquivo"))
     writer = lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("arquivo").text(target)
+    writer.partitionBy("arquivo").options(**GZIP).text(target)

@@ -1,3 +1,5 @@
+import glob
+import gzip
 import os
 from datetime import date
 
@@ -478,3 +480,46 @@ def test_unusual_file_names(lake, inbox, name):
     put(inbox, name, TRIPS, trip("a"))
     assert load(lake, "viagens_onibus", inbox).rows == 1
     assert rows(jobs.read_bronze(lake, "viagens_onibus"), "_arquivo") == [(name,)]
+
+
+# --- Compressed deliveries -------------------------------------------------------
+
+
+def test_gzipped_files_are_loaded_under_their_plain_names(spark, lake, inbox):
+    put(inbox, "a.csv", TRIPS, trip("a1"))
+    with gzip.open(f"{inbox}/b%20.csv.gz", "wt", encoding="utf-8") as out:
+        out.write("\n".join([TRIPS, trip("b1"), trip("b2")]) + "\n")
+    result = load(lake, "viagens_onibus", inbox)
+    assert (result.status, result.rows) == ("published", 3)
+    assert rows(jobs.read_bronze(lake, "viagens_onibus").groupBy("_arquivo").count()) == [("a.csv", 1), ("b%20.csv", 2)]
+    landing = f"{lake.landing}/viagens_onibus/2024/03/05"
+    assert rows(spark.read.text(landing), "arquivo", "value") == sorted(
+        [("a.csv", TRIPS), ("a.csv", trip("a1")), ("b%20.csv", TRIPS), ("b%20.csv", trip("b1")), ("b%20.csv", trip("b2"))]
+    )
+    assert all(f.endswith(".gz") for f in glob.glob(f"{landing}/*/part-*"))
+    again = os.path.join(os.path.dirname(inbox), "again")
+    put(again, "b%20.csv", TRIPS, trip("b3"))  # the same file, delivered without gzip
+    load(lake, "viagens_onibus", again)
+    assert rows(jobs.read_bronze(lake, "viagens_onibus"), "id_viagem") == [("a1",), ("b3",)]
+
+
+def test_a_file_there_twice_fails_its_dataset(lake, inbox):
+    put(inbox, "a.csv", TRIPS, trip("a1"))
+    with gzip.open(f"{inbox}/a.csv.gz", "wt", encoding="utf-8") as out:
+        out.write("\n".join([TRIPS, trip("a1")]) + "\n")
+    with pytest.raises(ValueError, match="there twice"):
+        load(lake, "viagens_onibus", inbox)
+    assert not lake.bronze_store("viagens_onibus").current()
+
+
+def test_exported_input_is_not_shuffled_and_has_no_empty_file(spark, tmp_path, monkeypatch):
+    from rainroute.checks import registry
+
+    monkeypatch.setattr(registry, "EXPORT_ROWS", 100)
+    rows_of = spark.range(0, 4000, 1, 8).where("id >= 1250")  # nothing in the first partitions
+    folder = registry._export(rows_of, str(tmp_path / "out"))
+    files = glob.glob(f"{folder}/part-*.csv.gz")
+    lengths = [len(gzip.open(f, "rt").read().splitlines()) - 1 for f in files]
+    assert sum(lengths) == 2750 and min(lengths) > 0 and max(lengths) <= 100
+    names = csv_files.list_csv(spark, folder)
+    assert names.count() == len(files) and names.where("NOT endswith(arquivo, '.csv')").count() == 0
