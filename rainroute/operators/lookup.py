@@ -22,6 +22,11 @@ def row_bytes(df: DataFrame) -> int:
     return ROW_BYTES + sum(TEXT_BYTES if kind == "string" else 8 for _, kind in df.dtypes)
 
 
+def fits(right: DataFrame, rows: int | None, broadcast_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a side of so many rows is broadcast."""
+    return rows is not None and rows * row_bytes(right) <= broadcast_bytes
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -37,7 +42,7 @@ def lookup_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
-    if rows is not None and rows * row_bytes(right) <= broadcast_bytes:
+    if fits(right, rows, broadcast_bytes):
         right = F.broadcast(right)
     return left.join(right, list(keys), how)
 

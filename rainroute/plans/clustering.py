@@ -1,8 +1,9 @@
 """The fact laid out so that a question opens few files: clustered by date and line, with statistics per file.
 
 Inside a slot rows are ordered by a number whose bits come in turn from the day and from the place of the line among all
-lines (cut into ``LINE_RANGES`` ranges of equal size), so each file holds a few days of a few lines. What every file
-holds is kept beside the publications; ``read_fact`` picks files by it before Spark lists any folder.
+lines (cut into ``LINE_RANGES`` ranges of equal size), so each file holds a few days of a few lines. Batch slots get this
+order when silver is written, in the one shuffle of the trips, and the fact keeps it; streamed slots are ordered for
+the fact. What every file holds is kept beside the publications; ``read_fact`` picks files by it before Spark lists any folder.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rainroute.operators.lookup import group_rows, lookup_join
 from rainroute.plans import gold
 from rainroute.plans.changes import KEYS
 from rainroute.sources.versions import NotPublished, Store, sql_text
@@ -22,6 +22,7 @@ FACT = "fato_desempenho_viagem"
 LINE_RANGES = 64
 DAY_BITS, LINE_BITS = 5, 6
 FILES = "_arquivos"
+FILE_ROWS = 1_000_000  # a month of more trips is written as several ranges of the interleaved number
 
 
 def interleaved(first: Column, second: Column, first_bits: int, second_bits: int) -> Column:
@@ -35,10 +36,27 @@ def interleaved(first: Column, second: Column, first_bits: int, second_bits: int
     return out
 
 
-def line_ranges(lines: DataFrame) -> DataFrame:
-    """(linha, faixa): each distinct line and which of ``LINE_RANGES`` ranges in sorted order it is in."""
+def line_bounds(lines: DataFrame) -> list[str]:
+    """The last line of each of ``LINE_RANGES`` ranges of the distinct lines in sorted order, but for the last range."""
     ranged = lines.select("linha").where("linha IS NOT NULL").distinct().repartitionByRange(LINE_RANGES, "linha")
-    return ranged.select("linha", F.spark_partition_id().alias("faixa"))
+    last = ranged.groupBy(F.spark_partition_id().alias("faixa")).agg(F.max("linha").alias("ultima"))
+    return sorted(r.ultima for r in last.collect())[:-1]  # a row per range
+
+
+def line_place(line: Column, bounds: Sequence[str]) -> Column:
+    """Which range a line is in, 0 without a line: a search by halves, which needs no join however many lines there are."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(line <= F.lit(bounds[middle]), between(low, middle)).otherwise(between(middle + 1, high))
+
+    return F.when(line.isNull(), F.lit(0)).otherwise(between(0, len(bounds)))
+
+
+def trip_number(day: Column, line: Column, bounds: Sequence[str]) -> Column:
+    return interleaved(F.coalesce(F.dayofmonth(day), F.lit(0)), line_place(line, bounds), DAY_BITS, LINE_BITS)
 
 
 def clustered_fact(wide: DataFrame) -> DataFrame:
@@ -47,14 +65,40 @@ def clustered_fact(wide: DataFrame) -> DataFrame:
     Rows of one day and line range are told apart by a hash of the trip, so a line with a third of all rows fills
     several files.
     """
-    rows = wide.select(*[F.col(source).alias(name) for name, source in gold.FACT_COLUMNS.items()], *KEYS, "carga")
-    placed = lookup_join(rows, line_ranges(rows), ("linha",), rows=group_rows(rows, "linha"))
-    number = interleaved(F.coalesce(F.dayofmonth("data_id"), F.lit(0)), F.coalesce("faixa", F.lit(0)), DAY_BITS, LINE_BITS)
-    keyed = placed.withColumns({"__z": number, "__tie": F.xxhash64("linha", "id_viagem")})
+    rows = fact_rows(wide)
+    number = trip_number(F.col("data_id"), F.col("linha"), line_bounds(rows))
+    keyed = rows.withColumns({"__z": number, "__tie": F.xxhash64("linha", "id_viagem")})
     order = [*KEYS, "carga", "__z", "__tie"]
     return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(*rows.columns)
 
 
+def fact_rows(wide: DataFrame) -> DataFrame:
+    """Fact rows of silver slots with the slots' columns, in silver's order."""
+    return wide.select(*[F.col(source).alias(name) for name, source in gold.FACT_COLUMNS.items()], *KEYS, "carga")
+
+
+def dealt_by_month(trips: DataFrame, rows_of: DataFrame, bounds: Sequence[str]) -> DataFrame:
+    """Trips shuffled once, one month's together; of a month with more than ``FILE_ROWS``, one range of the number's.
+
+    ``rows_of`` has the months' trips, for the sizes only. AQE merges small months and splits what one range has too much.
+    """
+    month = F.year("data_viagem") * 12 + F.month("data_viagem")
+    large = rows_of.groupBy(month.alias("m")).count().where(F.col("count") > FILE_ROWS).collect()  # a row per month
+    piece = F.lit(0)
+    if large:
+        counts = F.create_map(*[F.lit(x) for r in large for x in (r["m"], -(-r["count"] // FILE_ROWS))])
+        number = trip_number(F.col("data_viagem"), F.col("linha"), bounds)
+        piece = F.floor(number * F.coalesce(F.element_at(counts, month), F.lit(1)) / (1 << (DAY_BITS + LINE_BITS))).cast("int")
+    return trips.withColumns({"__month": month, "__piece": piece}).hint("rebalance", "__month", "__piece").drop("__month", "__piece")
+
+
+def in_order(wide: DataFrame, bounds: Sequence[str]) -> DataFrame:
+    """Silver rows with their slot's columns, each task's sorted by slot and by the interleaved number."""
+    number = trip_number(F.col("data_viagem"), F.col("linha"), bounds)
+    order = [*KEYS, "carga", "__z", "data_viagem", "linha"]
+    return wide.withColumn("__z", number).sortWithinPartitions(*order).drop("__z")
+
+
 def write_statistics(store: Store, written: DataFrame) -> None:
     """One row per file of the written fact: the range of dates and lines it holds; a repeated write replaces itself."""
     found = written.groupBy(*KEYS, "carga", F.col("_metadata.file_path").alias("arquivo")).agg(

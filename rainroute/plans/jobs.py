@@ -18,6 +18,7 @@ from rainroute.functions import mapped_name
 from rainroute.operators import quality
 from rainroute.operators.casting import REJECTS, REJECTS_TYPE, apply_contract
 from rainroute.operators.dedup import latest_per_key
+from rainroute.operators.lookup import fits
 from rainroute.operators.outliers import within_range
 from rainroute.operators.scope import within_dates
 from rainroute.plans import changes, clustering, gold, silver
@@ -154,9 +155,9 @@ def ingest(lake: Lake, dataset: Dataset, run_date: date) -> LoadResult:
     listed = {r["path"]: r["arquivo"] for r in files.collect()} if files is not None else {}  # a row per file
     if not listed:
         return LoadResult(dataset.name, "skipped")
-
     if len(set(listed.values())) < len(listed):
         raise ValueError(f"a file of {dataset.source} is there twice, plain and with gzip")
+
     contract = {f.name.lower() for f in CONTRACTS[dataset.name].schema.fields}
     unknown: list[str] = []
     parts = []
@@ -331,8 +332,11 @@ def _build_hourly_rain(lake: Lake, version: str, options: SilverOptions, until:
 
 def _by_month(df: DataFrame, day: str, version: str) -> DataFrame:
     """Rows with the columns of their slot, one month's together; AQE splits large months and merges small ones."""
-    slot = {"origem": F.lit(changes.BATCH), "parte": changes.month_part(day), "carga": F.lit(version)}
-    return df.withColumns(slot).hint("rebalance", "parte")
+    return _in_slots(df, day, version).hint("rebalance", "parte")
+
+
+def _in_slots(df: DataFrame, day: str, version: str) -> DataFrame:
+    return df.withColumns({"origem": F.lit(changes.BATCH), "parte": changes.month_part(day), "carga": F.lit(version)})
 
 
 def _publish_months(store: Store, df: DataFrame, version: str, months: set[str] | None) -> None:
@@ -410,9 +414,17 @@ def build_silver(
     where = None if months is None else changes.in_months("data", sorted(months))
     trips = read_bronze(lake, "viagens_onibus", trips_at, options.deduplicate, TRIP_COLUMNS, where)
     attributes = silver.trip_attributes(_clean_trips(trips, options))
+    copies = attributes  # for the layout, where a trip that is there twice does no harm
+    if options.deduplicate:
+        copies = silver.trip_attributes(_clean_trips(read_bronze(lake, "viagens_onibus", trips_at, False, TRIP_COLUMNS, where), options))
+    bounds = clustering.line_bounds(copies)
     seen = Observation()
-    wide = silver.enrich(attributes.observe(seen, F.count(F.lit(1)).alias("linhas")), *_hourly_of(lake, months))
-    store.write_slots(_by_month(wide, "data_viagem", version), changes.KEYS)
+    counted, (hourly, hours) = attributes.observe(seen, F.count(F.lit(1)).alias("linhas")), _hourly_of(lake, months)
+    if fits(hourly, hours):  # rain that is broadcast meets the trips after their shuffle, which is narrower for it
+        wide = silver.enrich(clustering.dealt_by_month(counted, copies, bounds), hourly, hours)
+    else:
+        wide = clustering.dealt_by_month(silver.enrich(counted, hourly, hours), copies, bounds)
+    store.write_slots(clustering.in_order(_in_slots(wide, "data_viagem", version), bounds), changes.KEYS)
 
     written = store.written_slots(version, changes.KEYS)
     rows_in, rows_out = seen.get.get("linhas", 0), sum(written.values())
@@ -441,7 +453,7 @@ def build_gold(lake: Lake, audit: bool = True) -> str:
     """Three dimensions and the fact from published silver, audited and published together.
 
     The fact has silver's slots: only slots whose silver version has no fact yet are written, clustered by date and
-    line, with the members of the dimensions they use beside them; the dimensions are the distinct members of all
+    line as silver's batch months are, with the members of the dimensions they use beside them; the dimensions are the distinct members of all
     slots. Nothing is published if silver has not changed. A date listed with several day types is reported by
     ``gold_report`` but does not block: the calendar is distinct over both by definition.
     """
@@ -460,7 +472,12 @@ def build_gold(lake: Lake, audit: bool = True) -> str:
         members = wide.select(*MEMBER_COLUMNS, *changes.KEYS, "carga").distinct()
         with ThreadPoolExecutor(max_workers=2) as pool:
             side = pool.submit(store.write_slots, members.hint("rebalance", "parte"), changes.KEYS, MEMBERS)
-            store.write_slots(clustering.clustered_fact(wide), changes.KEYS, FACT)
+            batch = {s: v for s, v in due.items() if changes.is_batch(s)}
+            streamed = {s: v for s, v in due.items() if s not in batch}
+            if batch:
+                store.write_slots(clustering.fact_rows(source.read_slots(batch)), changes.KEYS, FACT, as_they_come=True)
+            if streamed:
+                store.write_slots(clustering.clustered_fact(source.read_slots(streamed)), changes.KEYS, FACT)
             side.result()
         written = store.read_slots(due, FACT)
         clustering.write_statistics(store, written)

@@ -4,7 +4,7 @@ import os
 from datetime import date, timedelta
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 from test_ingest import RAIN, TRIPS, put
 
@@ -219,3 +219,50 @@ def test_a_question_opens_few_files(spark, tmp_path):
     # The line with a third of the trips fills many files, none much larger than the others.
     sizes = sorted(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in everything)
     assert sizes[-1] <= 4 * sizes[len(sizes) // 2]
+
+
+def test_silver_is_written_in_the_facts_order_and_the_fact_is_not_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(clustering, "FILE_ROWS", 1_000)
+    wide = wide_rows(spark, 30_000)
+    trips, slots = wide.drop(*changes.KEYS, "carga"), [*changes.KEYS, "carga"]
+    bounds = clustering.line_bounds(trips)
+    assert bounds == sorted(set(bounds)) and len(bounds) == clustering.LINE_RANGES - 1
+    silver_store, store = Store(spark, str(tmp_path / "silver")), Store(spark, str(tmp_path / "gold"))
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = clustering.dealt_by_month(trips, trips, bounds)
+        silver_store.write_slots(clustering.in_order(dealt.withColumns({c: F.lit(v) for c, v in zip(slots, ("lote", "m2024-06", "v1"), strict=True)}), bounds), changes.KEYS)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    slot = {"origem=lote/parte=m2024-06": "v1"}
+    fact = clustering.fact_rows(silver_store.read_slots(slot))
+    assert "Exchange" not in plan(fact) and "Join" not in plan(clustering.clustered_fact(wide))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")  # a task for each file, as large files have
+    try:
+        store.write_slots(fact, changes.KEYS, clustering.FACT, as_they_come=True)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    written = store.read_slots(slot, clustering.FACT)
+    assert rows(written.select(*fact.columns)) == rows(fact)
+    clustering.write_statistics(store, written)
+    store.publish_set([(f"{clustering.FACT}/{s}", v, None) for s, v in slot.items()])
+    everything = clustering.fact_files(store)
+    assert len(everything) >= 15
+    assert len(clustering.fact_files(store, (date(2024, 6, 3), date(2024, 6, 6)), ["L120"])) <= 0.35 * len(everything)
+    # Inside a file the interleaved number never falls.
+    number = clustering.trip_number(F.col("data_id"), F.col("linha"), bounds)
+    for file in everything:
+        seen = [r[0] for r in spark.read.parquet(file).select(number).collect()]
+        assert seen == sorted(seen)
+
+
+def test_places_of_lines(spark):
+    lines = ["a", "b", "c", "d", None, "Z", "e"]
+    df = spark.createDataFrame([(x,) for x in lines], "linha string")
+    for bounds in ([], ["b"], ["a", "c"], ["Z", "a", "b", "c", "d"]):
+        got = df.select("linha", clustering.line_place(F.col("linha"), bounds).alias("n")).collect()
+        assert all(r.n == (sum(b < r.linha for b in bounds) if r.linha else 0) for r in got)
