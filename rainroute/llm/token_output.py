@@ -23,12 +23,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyarrow import fs
 from pyspark import TaskContext
@@ -46,6 +46,10 @@ RECORDS = 4096  # sequences of a shard
 _ROUNDS = 6
 #: The pretokeniser's pattern (a fixed value of the vocabulary) in possessive form, which does not step back.
 _PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+#: The same without lookahead, as one pass of an automaton: for texts without a run of white space before a visible character.
+_PLAIN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+_WHITE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"  # as Unicode has it
+_RUN = f"[{_WHITE}][{_WHITE}][^{_WHITE}]"
 
 
 def permute(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -66,11 +70,19 @@ def permute(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-@lru_cache(maxsize=2)
-def encoder(ranks: bytes) -> tiktoken.Encoding:
-    """Byte-level BPE from lines of token (base 64) and rank."""
+@lru_cache(maxsize=4)
+def encoder(ranks: bytes, pattern: str = _PATTERN) -> tiktoken.Encoding:
+    """Byte-level BPE from lines of token (base 64) and rank; the end token is its last one."""
     pairs = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
-    return tiktoken.Encoding("vocabulary", pat_str=_PATTERN, mergeable_ranks=pairs, special_tokens={})
+    # The library's arrays need some special token; none is looked for in texts.
+    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=pairs, special_tokens={"<|end|>": max(pairs.values()) + 1})
+
+
+def encoded(column: pa.StringArray, ranks: bytes) -> Iterator[np.ndarray]:
+    """Tokens of each text; a null has none."""
+    plain, whole = encoder(ranks, _PLAIN), encoder(ranks)
+    for body, run in zip(column.to_pylist(), pc.match_substring_regex(column, _RUN).to_pylist(), strict=True):
+        yield (whole if run else plain).encode_to_numpy(body or "", allowed_special=frozenset(), disallowed_special=())
 
 
 def public_ranks(name: str = "byte_bpe_50k.tiktoken") -> bytes:
@@ -85,9 +97,9 @@ def token_counts(docs: DataFrame, shared: Broadcast) -> dict[int, int]:
     """Tokens of each task's documents, end tokens included: a number per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, total = encoder(shared.value).encode_ordinary, 0
+        total = 0
         for batch in batches:
-            total += sum(len(encode(x or "")) + 1 for x in batch.column("text").to_pylist())
+            total += sum(len(x) + 1 for x in encoded(batch.column("text"), shared.value))
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([total])], ["part", "n"])
 
     return {r.part: r.n for r in arrow_map(docs.select("text"), run, "part long, n long").collect()}
@@ -105,9 +117,9 @@ def sequence_parts(docs: DataFrame, shared: Broadcast, counts: dict[int, int], l
     count = -(-total // length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(shared.value).encode_ordinary, encoder(shared.value).n_vocab
-        kind = stride_type(end)
-        width = array(kind).itemsize
+        last = encoder(shared.value).max_token_value
+        kind = stride_type(last)
+        width, end = np.dtype(kind).itemsize, np.array([last], dtype=kind).tobytes()
         part = TaskContext.get().partitionId()
         position = begin = bases[part]
         held: list[bytes] = []
@@ -123,10 +135,8 @@ def sequence_parts(docs: DataFrame, shared: Broadcast, counts: dict[int, int], l
             begin = position
 
         for batch in batches:
-            for doc, body in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                tokens = encode(body or "")
-                tokens.append(end)
-                raw, done = array(kind, tokens).tobytes(), 0
+            for doc, tokens in zip(batch.column("doc_id").to_pylist(), encoded(batch.column("text"), shared.value), strict=True):
+                raw, done = tokens.astype(kind).tobytes() + end, 0
                 while done < len(raw):
                     piece = raw[done : done + (length - position % length) * width]
                     held.append(piece)
@@ -232,7 +242,7 @@ def write_shards(parts: DataFrame, folder: str, shards: int, length: int, record
 def write_corpus(docs: DataFrame, ranks: bytes, folder: str, length: int = LENGTH, records: int = RECORDS, key: int = 2024) -> DataFrame:
     """Tokenises ``docs`` (doc_id, text) and writes the shards under ``folder``; the manifest, a row per sequence."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    end = encoder(ranks).n_vocab
+    end = encoder(ranks).max_token_value
     kind = stride_type(end)
     counts = token_counts(docs, shared)
     shards = max(1, -(-sum(counts.values()) // (length * records)))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents
 
@@ -95,3 +96,18 @@ def test_shards_hold_every_token_once(spark, library, tmp_path):
 def test_no_documents_no_shards(spark, tmp_path):
     empty = token_output.write_corpus(documents(spark, []), token_output.public_ranks(), f"file://{tmp_path}/none")
     assert empty.collect() == []
+
+
+def test_tokens_without_lookahead_are_those_of_the_pattern(library):
+    """Texts without runs of white space are read in one pass of an automaton, the others by the whole pattern."""
+    ranks = token_output.public_ranks()
+    assert "(?!" not in token_output.encoder(ranks, token_output._PLAIN)._pat_str
+    parts = ["a", "B", "1", " ", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\r", "'s", "'", "é", "中", "!"]
+    parts += ["\u0301", "<|end|>", "<|endoftext|>", "\u200b", "😀"]
+    draw = np.random.default_rng(3)
+    texts = ["".join(parts[i] for i in draw.integers(0, len(parts), n)) for n in draw.integers(0, 12, 20_000)]
+    found = list(token_output.encoded(pa.array([*texts, None, *ODD]), ranks))
+    library.encode_special_tokens = True
+    want = [x.ids for x in library.encode_batch([*texts, "", *ODD], add_special_tokens=False)]
+    library.encode_special_tokens = False
+    assert [x.tolist() for x in found] == want
