@@ -69,8 +69,35 @@ def test_samples_are_drawn_from_the_gamma_distribution(spark):
     assert abs(found.mean() - 2) < 0.02 and abs(found.var() - 2) < 0.05
 
 
+def test_words_left_out_change_no_sample(spark):
+    rows = [(i, k, t) for i, t in enumerate(random_texts(4, 60, words=80, vocabulary=900)) for k in range(2)]
+    rows = [(i, k, t if k == 0 else t[: len(t) // 2] + " more") for i, k, t in rows] + [(99, 0, ""), (99, 1, "a a a b")]
+    bodies = spark.createDataFrame(rows, "part int, kind int, body string")
+    whole, most, few = (
+        {r.part: r for r in fingerprints.signatures(bodies, ["part"], 2, near=near).collect()}
+        for near in (float("inf"), fingerprints.NEAR, 4.0)
+    )
+    assert len(whole) == 61 and all(r.sure for r in whole.values()) and most == whole
+    sure = [r for r in few.values() if r.sure]
+    assert 0 < len(sure) < 61 and all(r == whole[r.part] for r in sure)
+
+
+def test_all_words_are_taken_where_a_sample_is_not_sure(spark):
+    docs = documents(spark, list(enumerate(random_texts(4, 30, words=80, vocabulary=900))))
+    want, got = fingerprints.fingerprints(docs), fingerprints.fingerprints(docs, near=0.5)
+    assert fingerprints._fingerprints(docs, 0.5).where("not sure").count() > 0
+    assert sorted(want.collect()) == sorted(got.collect())
+
+
 def test_no_python_in_the_plan(spark, tiny):
     from conftest import plan
 
     text = plan(fingerprints.op4_document_fingerprints(spark, tiny))
     assert not any(x in text for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_no_python_in_the_plan_of_what_is_written(spark, tiny):
+    from conftest import plan
+
+    text = plan(fingerprints._fingerprints(spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text"), fingerprints.NEAR))
+    assert "HashAggregate" in text and not any(x in text for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
