@@ -209,6 +209,24 @@ def test_trips_wait_until_their_hour_has_closed(spark, tmp_path):
     assert max(kept) <= 1  # of all closed hours nothing is left: one trip and one reading are open
 
 
+def test_waiting_trips_are_packed_by_hour_and_kept_on_disk(spark, tmp_path):
+    add, pull = late_streams(spark, str(tmp_path))
+    waiting = [departure(f"t{i:03d}", 6, i % 60) for i in range(400)]
+    add("trips", *waiting, waiting[0], (*waiting[1][:3], None, *waiting[1][4:]), departure("none", None))
+    add("rain")
+    settings = [spark.conf.get(k, None) for k in trips_stream.STATE]
+    query, got = pull()
+    assert got == [("none", 0.0, "Sem Chuva")]
+    kept = query.lastProgress["stateOperators"]
+    assert 0 < sum(o["numRowsTotal"] for o in kept) <= trips_stream.PARTS
+    assert all(any(m.startswith("rocksdb") for m in o["customMetrics"]) for o in kept)
+    assert [spark.conf.get(k, None) for k in trips_stream.STATE] == settings
+    add("trips", departure("late", 6, 59), departure("far", 9, day=26))  # a second batch of the same hour
+    add("rain", (date(2024, 3, 25), "06:15:00", 4.0), (date(2024, 3, 26), "09:00:00", 1.0))
+    found = sorted([w[1] for w in [*waiting, *waiting[:2]]] + ["late"])
+    assert sorted(pull()[1], key=str) == sorted([("none", 0.0, "Sem Chuva"), *[(i, 4.0, "Fraca") for i in found]], key=str)
+
+
 def test_late_rain_equals_the_batch_build(spark, tiny):
     from rainroute.checks.registry import REGISTRY
 
