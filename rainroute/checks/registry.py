@@ -686,9 +686,14 @@ def streamed_beside_batch(spark, sf):
     return rounded(jobs.read_silver(lake), "chuva_no_horario")
 
 
+def _eta_fact(spark, sf) -> DataFrame:
+    """The fact written once, with the columns that forecasts read."""
+    return materialise(_fact(spark, sf).select(*eta.COLUMNS), "fact")
+
+
 def _eta_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Trips before and from the split date on: history and model come from the first part only."""
-    fact = materialise(_fact(spark, sf), "fact")
+    fact = _eta_fact(spark, sf)
     return fact.filter(F.col("data_id") < F.lit(ETA_SPLIT)), fact.filter(F.col("data_id") >= F.lit(ETA_SPLIT))
 
 
@@ -722,13 +727,13 @@ ETA_CUTS = (date(1996, 1, 1), date(1997, 1, 1), date(1998, 1, 1))
 
 def eta_walk_forward_mean(spark, sf):
     """Error per cut date of the line's mean, known before the cut, for the trips until the next cut."""
-    forecasts = eta.walk_forward(materialise(_fact(spark, sf), "fact"), ETA_CUTS, ["media"])
+    forecasts = eta.walk_forward(_eta_fact(spark, sf), ETA_CUTS, ["media"])
     return rounded(eta.errors(forecasts, "corte"), "erro_absoluto_medio", "raiz_erro_quadratico", digits=4)
 
 
 def eta_walk_forward(spark, sf):
     """Error per cut date of the line's mean, least squares and boosted trees over the same trips."""
-    forecasts = eta.walk_forward(materialise(_fact(spark, sf), "fact"), ETA_CUTS)
+    forecasts = eta.walk_forward(_eta_fact(spark, sf), ETA_CUTS)
     return rounded(eta.errors(forecasts, "corte", "modelo"), "erro_absoluto_medio", "raiz_erro_quadratico", digits=4)
 
 

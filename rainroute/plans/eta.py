@@ -26,6 +26,8 @@ FEATURES = (
     "fim_de_semana",
 )
 TARGET = "tempo_viagem"
+#: Columns of the fact that histories, models and forecasts read.
+COLUMNS = ("data_id", "linha", "hora_partida", "distancia_planejada", "chuva_no_horario", TARGET)
 MODELS = ("media", "linear", "arvores")
 
 
@@ -99,13 +101,13 @@ def walk_forward(fact: DataFrame, cuts: Sequence[date], models: Sequence[str] =
         history = materialise(line_history(known), "line_history")
         before = materialise(eta_features(known, history), "eta_before")
         after = materialise(eta_features(asked, history).dropna(subset=[*FEATURES]), "eta_after")
-        for name in models:
-            if name == "media":
-                forecast = after.withColumn("tempo_previsto", F.col("media_linha"))
-            else:
-                forecast = predict((fit if name == "linear" else fit_trees)(before), after)
-            parts.append(forecast.select(F.lit(cut).alias("corte"), F.lit(name).alias("modelo"), TARGET, "tempo_previsto"))
-    return reduce(DataFrame.unionAll, parts)
+        forecast = after.withColumn("media", F.col("media_linha")) if "media" in models else after
+        for name, train in (("linear", fit), ("arvores", fit_trees)):
+            if name in models:
+                forecast = predict(train(before), forecast).withColumnRenamed("tempo_previsto", name)
+        each = F.explode(F.array(*[F.struct(F.lit(m).alias("modelo"), F.col(m).alias("tempo_previsto")) for m in models]))
+        parts.append(forecast.select(F.lit(cut).alias("corte"), TARGET, each.alias("each")))
+    return reduce(DataFrame.unionAll, parts).select("corte", "each.modelo", TARGET, "each.tempo_previsto")
 
 
 def errors(predicted: DataFrame, *by: str) -> DataFrame:

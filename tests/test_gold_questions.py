@@ -213,6 +213,19 @@ def test_forecasts_know_only_what_came_before(spark, wide):
             assert math.isclose(got[cut, model].erro_absoluto_medio, sum(abs(a - b) for a, b in pairs) / len(pairs), abs_tol=1e-9)
 
 
+def test_forecasts_write_what_they_read_and_read_a_cut_once(spark, tiny):
+    from conftest import plan
+
+    from rainroute.checks import registry
+
+    fact = registry._eta_fact(spark, tiny)
+    assert tuple(fact.columns) == eta.COLUMNS
+    forecasts = eta.walk_forward(fact, [date(1996, 1, 1), date(1997, 1, 1)], ["linear", "media"])
+    assert sum("Location" in line and "eta_after" in line for line in plan(forecasts).splitlines()) == 2
+    assert forecasts.columns == ["corte", "modelo", "tempo_viagem", "tempo_previsto"]
+    assert {r.modelo for r in forecasts.select("modelo").distinct().collect()} == {"linear", "media"}
+
+
 def test_trees_learn_what_a_line_cannot(spark):
     """Durations that jump at an hour: trees see it, least squares over sine and cosine of the hour less well."""
     n = F.col("id")
