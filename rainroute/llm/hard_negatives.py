@@ -7,8 +7,9 @@ cells by that sum, highest first (the multi-sequence order), and stops where the
 change its window: for positives the score of the last one, for negatives the last one of each positive's window
 (or the window's lower end while it is not full). What is left then cannot be in the result, so results are exact.
 
-Queries visit in waves of eight times as many rows; each wave starts from what the one before has certified. The number of
-codes grows with the rows (up to ``CODES`` a half), so that a cell has about ``PER_CELL`` rows.
+Queries visit in waves (``FIRST`` rows, ``STEP`` times as many, the rest); each wave starts from what the one before has
+certified, and within a task every block from what the blocks before it have. The number of codes grows with the rows
+(up to ``CODES`` a half), so that a cell has about ``PER_CELL`` rows.
 
 Defined cases: rows without id, label or vector or with a null, non-finite or huge (|256 x| of 2**27 or more)
 component take no part; shorter vectors count as filled up with zeros; rows alike in id, label and vector count once;
@@ -28,12 +29,14 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from . import vector_blocks as vb
-from .tasks import arrow_map
+from .tasks import arrow_map, small_batches
 
 SAMPLE = 8192  # rows the codebooks are fitted on: those of the smallest hashes of the id
 CODES = 256
 PER_CELL = 512
 FIRST = 2048  # rows a query meets in its first wave
+STEP = 64  # times as many in its second; then whatever is left
+TOGETHER = 1 << 21  # (query, cell) bounds that are compared at once
 HUGE = float(1 << 27)
 
 
@@ -82,11 +85,15 @@ class Index:
 
     def __init__(self, rows: DataFrame):
         self.rows = rows
-        n, width = rows.agg(F.count("*"), F.max(F.size("vector"))).first()
+        n, width, low, high = rows.agg(
+            F.count("*"), F.max(F.size("vector")), F.min(F.array_min("vector")), F.max(F.array_max("vector"))
+        ).first()
         self.n, self.width, self.half = n, width or 0, (width or 0) // 2
+        self.kind = "<i2" if max(-(low or 0), high or 0) < 1 << 15 else "<i4"
         codes = min(CODES, max(1, round((n / PER_CELL) ** 0.5)))
         sample = rows.orderBy(F.xxhash64("id"), "id", "label", "vector").limit(SAMPLE).select("vector").toArrow()
         points = vb.matrix(sample.column("vector"), self.width)
+        del sample
         self.books = [fitted(points[:, : self.half], codes), fitted(points[:, self.half :], codes)]
         self.stride = len(self.books[1])
         books, half, width = self.books, self.half, self.width
@@ -108,19 +115,28 @@ class Index:
             for k, d in ((0, r.d1), (1, r.d2)):
                 code = (r.cell // self.stride, r.cell % self.stride)[k]
                 self.radii[k][code] = max(self.radii[k][code], d)
-        self.blocks = vb.blocks_of(self.placed, self.width, self.counts, "<i4")
+        self.blocks = vb.blocks_of(self.placed, self.width, self.counts, self.kind)
 
     def waves(self) -> Iterator[tuple[int, int]]:
+        """(low, high) numbers of rows met; the last one takes all that is left."""
         low, high = 0, FIRST
-        while low < self.n:
+        while high < self.n and low < FIRST * STEP:
             yield low, high
-            low, high = high, high * 8
+            low, high = high, high * STEP
+        yield low, max(high, self.n)
 
     def visitor(self, low: int, high: int):
-        """Cells of a pack that are due after ``low`` and before ``high`` rows, while their bound reaches ``least``."""
-        books, radii, half, width, counts, stride = self.books, self.radii, self.half, self.width, self.counts, self.stride
+        """Cells of a pack that are due after ``low`` and before ``high`` rows, while their bound reaches ``least``.
 
-        def wanted(pack: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+        Where ``high`` takes in all rows, cells after the first ``low`` rows are due in whatever order.
+        """
+        books, radii, half, width, stride, rest = self.books, self.radii, self.half, self.width, self.stride, high >= self.n
+        cells = np.array(sorted(self.counts), dtype=np.int64)
+        place = np.full(len(books[0]) * stride, -1, dtype=np.int64)
+        place[cells] = np.arange(len(cells))
+        rows = [self.counts[c] for c in cells.tolist()]
+
+        def wanted(pack: pa.Table) -> np.ndarray:
             q = vb.matrix(pack.column("vector"), width)
             least = np.asarray(pack.column("least"), dtype=np.float64)
             bounds, size = [], np.zeros(len(q))
@@ -129,39 +145,47 @@ class Index:
                 reach = length * np.where(np.isfinite(radius), radius, 0)[None, :]
                 size = size + (reach + length * np.sqrt((book**2).sum(axis=1))[None, :]).max(axis=1)
                 bounds.append(np.where(np.isfinite(radius)[None, :], side @ book.T + reach, -np.inf))
-            going: dict[int, list[int]] = {}
-            for i in range(len(q)):
+            slack = 1 + 1e-9 * size  # for rounding; scores are whole numbers
+            due = np.zeros((len(q), len(cells)), dtype=bool)
+            if rest:
+                several = max(1, TOGETHER // max(1, len(cells)))
+                for i in range(0, len(q), several):
+                    sums = bounds[0][i : i + several, cells // stride] + bounds[1][i : i + several, cells % stride]
+                    due[i : i + several] = sums + slack[i : i + several, None] >= least[i : i + several, None]
+            for i in range(len(q) if low or not rest else 0):
                 met = 0
-                slack = 1 + 1e-9 * float(size[i])  # for rounding; scores are whole numbers
                 for bound, a, b in multi_sequence(bounds[0][i], bounds[1][i]):
-                    if met >= high or bound + slack < least[i]:
+                    if met >= (low if rest else high) or not rest and bound + slack[i] < least[i]:
                         break
-                    cell = a * stride + b
-                    rows = counts.get(cell, 0)
-                    if rows and met >= low:
-                        going.setdefault(cell, []).append(i)
-                    met += rows
-            for cell, who in going.items():
-                yield cell, np.array(who)
+                    at = place[a * stride + b]
+                    if at >= 0:
+                        due[i, at] = not rest and met >= low
+                        met += rows[at]
+            return due
 
         return wanted
 
 
+def fitting(queries: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers as floating point that gives their inner products exactly, or as integers."""
+    most = float(np.abs(queries.astype(np.int64)).max(initial=0)) * float(np.abs(vectors.astype(np.int64)).max(initial=0)) * max(queries.shape[1], 1)
+    kind = np.float32 if most < 2.0**24 else np.float64 if most < 2.0**53 else np.int64
+    return queries.astype(kind), vectors.astype(kind)
+
+
 def exact_scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers: by floating point where that is exact, else by integers."""
-    most = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(queries.shape[1], 1)
-    if most < 2.0**53:
-        return (queries.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
-    return queries.astype(np.int64) @ vectors.astype(np.int64).T
+    """Inner products of whole numbers."""
+    q, v = fitting(queries, vectors)
+    return (q @ v.T).astype(np.int64)
 
 
-def _payload(width: int, extra: list[str]):
+def _payload(width: int, extra: list[str], kind: str = "<i4"):
     def payload(pack: pa.Table, who: np.ndarray) -> dict[str, bytes]:
         chosen = pack.take(pa.array(who))
         out = {c: np.asarray(chosen.column(c)).astype("<i8").tobytes() for c in ("key", "own", "group")}
-        out["q"] = vb.matrix(chosen.column("vector"), width).astype("<i4").tobytes()
+        out["q"] = vb.matrix(chosen.column("vector"), width).astype(kind).tobytes()
         for c in extra:
-            out[c] = vb.matrix(chosen.column(c), WINDOWS, np.int64).astype("<i8").tobytes()
+            out[c] = np.asarray(chosen.column(c), dtype="<f8").tobytes() if c == "least" else vb.matrix(chosen.column(c), WINDOWS, np.int64).astype("<i8").tobytes()
         return out
 
     return payload
@@ -169,36 +193,82 @@ def _payload(width: int, extra: list[str]):
 
 WINDOWS = 5  # positives of a query
 NAMES = ["key", "own", "group", "q"]
+LOW, HIGH = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
-def _read(value: dict, width: int) -> tuple[np.ndarray, ...]:
-    key, own, group = (np.frombuffer(value[c], "<i8") for c in ("key", "own", "group"))
-    ids, labels = np.frombuffer(value["ids"], "<i8"), np.frombuffer(value["labels"], "<i8")
-    q = np.frombuffer(value["q"], "<i4").reshape(len(key), width)
-    return key, own, group, q, ids, labels, np.frombuffer(value["vectors"], "<i4").reshape(len(ids), width)
+def _prepared(width: int, kind: str):
+    return lambda vectors, rows: np.frombuffer(vectors, kind).reshape(rows, width)
 
 
-def positives(index: Index, queries: DataFrame, most: int = WINDOWS) -> DataFrame:
-    """(key, rank, id, score): the ``most`` best rows of the query's label, certified."""
-    width = index.width
+def _meeting(width: int, kind: str, most: int, slots: int):
+    """The scorer of a task: best rows of the query's label (one slot), or of other labels in its windows.
+
+    Per query and slot it keeps the score that ``most`` rows have reached; rows below it cannot be in the result.
+    """
+    same, places = slots == 1, vb.PACK
+
+    def meeting():
+        reached: dict[int, np.ndarray] = {}
+        scorer = vb.Scores()
+
+        def meet(pack: int, who: np.ndarray, cells: np.ndarray, value: dict, blocks: list) -> list[np.ndarray]:
+            key, own, group = (np.frombuffer(value[c], "<i8") for c in ("key", "own", "group"))
+            q = np.frombuffer(value["q"], kind).reshape(len(key), width)
+            if same:
+                least = np.frombuffer(value["least"], "<f8")
+                low = np.array([int(x) if x > -np.inf else LOW for x in least.tolist()], dtype=np.int64)[:, None]
+                high = np.full((len(key), 1), HIGH)
+            else:
+                low, high = (np.frombuffer(value[c], "<i8").reshape(-1, slots) for c in ("low", "high"))
+            known = reached.setdefault(pack, np.full((places, slots), LOW))
+            low = np.maximum(known[who], low)
+            parts: list[list] = [[] for _ in range(slots)]
+            for block in blocks:
+                asked, labels = np.flatnonzero(cells[:, block.place]), block.labels
+                rows = np.flatnonzero(np.isin(labels, group[asked])) if same else np.arange(len(labels))
+                if not len(asked) or not len(rows):
+                    continue
+                scores = scorer.product(*fitting(q[asked], block.vectors[rows]))
+                least = np.where(low <= high, low, HIGH).min(axis=1)[asked]
+                query, row = scorer.reaching(scores, least)
+                score = scores[query, row].astype(np.int64)
+                query, row = asked[query], rows[row]
+                ids = block.ids[row]
+                fits = ((labels[row] == group[query]) == same) & (ids != own[query])
+                query, score, ids = query[fits], score[fits], ids[fits]
+                for slot in range(slots):
+                    inside = (score >= low[query, slot]) & (score <= high[query, slot])
+                    at, s, i = query[inside], score[inside], ids[inside]
+                    best, rank = vb.leading(at, s, i, most)
+                    parts[slot].append((at[best], s[best], i[best]))
+                    last = best[rank == most - 1]
+                    low[at[last], slot] = s[last]
+            known[who] = low
+            out = []
+            for slot, part in enumerate(parts):
+                if part:
+                    at, s, i = (np.concatenate(x) for x in zip(*part, strict=True))
+                    best, _ = vb.leading(at, s, i, most)
+                    out.append((key[at[best]], np.full(len(best), slot, np.int32), i[best], s[best]))
+            found = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 4
+            return [found[0], *found[2:]] if same else found
+
+        return meet
+
+    return meeting
 
-    def score(value: dict) -> list[np.ndarray]:
-        key, own, group, q, ids, labels, vectors = _read(value, width)
-        same = np.isin(labels, group)
-        ids, labels, vectors = ids[same], labels[same], vectors[same]
-        scores = exact_scores(q, vectors)
-        fits = (labels[None, :] == group[:, None]) & (ids[None, :] != own[:, None])
-        who, row = vb.best_per_query(scores, ids, fits, most)
-        return [key[who], ids[row], scores[who, row]]
 
+def positives(index: Index, queries: DataFrame, most: int = WINDOWS) -> DataFrame:
+    """(key, rank, id, score): the ``most`` best rows of the query's label, certified."""
+    width, kind, names = index.width, index.kind, [*NAMES, "least"]
     found = None
     for low, high in index.waves():
         known = queries.withColumn("least", F.lit(float("-inf")))
         if found is not None:
             last = found.groupBy("key").agg(F.count("*").alias("n"), F.min("score").alias("low")).where(F.col("n") == most)
             known = queries.join(last, "key", "left").withColumn("least", F.coalesce(F.col("low").cast("double"), F.lit(float("-inf")))).drop("n", "low")
-        visits = vb.visits_of(known, ["group", "cell", "key"], index.visitor(low, high), index.counts, _payload(width, []), NAMES)
-        new = vb.met(visits, index.blocks, score, NAMES, "key long, id long, score long")
+        visits = vb.visits_of(known, ["group", "cell", "key"], index.visitor(low, high), index.counts, _payload(width, ["least"], kind), names)
+        new = vb.met(visits, index.blocks, _prepared(width, kind), _meeting(width, kind, most, 1), names, "key long, id long, score long")
         both = new if found is None else new.unionByName(found.select("key", "id", "score"))
         found = materialise(vb.first_rows(both, ["key"], most), "positives")
     return found
@@ -209,20 +279,7 @@ def negatives(index: Index, queries: DataFrame, most: int = 3) -> DataFrame:
 
     ``queries`` has arrays ``low`` and ``high``, the ends of its windows; a window with low > high takes nothing.
     """
-    width = index.width
-
-    def score(value: dict) -> list[np.ndarray]:
-        key, own, group, q, ids, labels, vectors = _read(value, width)
-        low, high = (np.frombuffer(value[c], "<i8").reshape(-1, WINDOWS) for c in ("low", "high"))
-        scores = exact_scores(q, vectors)
-        other = (labels[None, :] != group[:, None]) & (ids[None, :] != own[:, None])
-        parts = []
-        for slot in range(WINDOWS):
-            fits = other & (scores >= low[:, slot, None]) & (scores <= high[:, slot, None])
-            who, row = vb.best_per_query(scores, ids, fits, most)
-            parts.append((key[who], np.full(len(who), slot, np.int32), ids[row], scores[who, row]))
-        return [np.concatenate(p) for p in zip(*parts, strict=True)]
-
+    width, kind, names = index.width, index.kind, [*NAMES, "low", "high"]
     found = None
     for low, high in index.waves():
         if found is not None:  # a full window is only changed from its last row's score on
@@ -235,9 +292,8 @@ def negatives(index: Index, queries: DataFrame, most: int = 3) -> DataFrame:
             known = queries
         open_ends = F.filter(F.arrays_zip("low", "high"), lambda w: w["low"] <= w["high"])
         known = known.withColumn("least", F.array_min(F.transform(open_ends, lambda w: w["low"].cast("double")))).where(F.col("least").isNotNull())
-        names = [*NAMES, "low", "high"]
-        visits = vb.visits_of(known, ["group", "cell", "key"], index.visitor(low, high), index.counts, _payload(width, ["low", "high"]), names)
-        new = vb.met(visits, index.blocks, score, names, "key long, slot int, id long, score long")
+        visits = vb.visits_of(known, ["group", "cell", "key"], index.visitor(low, high), index.counts, _payload(width, ["low", "high"], kind), names)
+        new = vb.met(visits, index.blocks, _prepared(width, kind), _meeting(width, kind, most, WINDOWS), names, "key long, slot int, id long, score long")
         both = new if found is None else new.unionByName(found.select("key", "slot", "id", "score"))
         found = materialise(vb.first_rows(both, ["key", "slot"], most), "negatives")
     return found
@@ -250,6 +306,7 @@ def hard_negatives(rows: DataFrame, anchors, most: int = 3) -> DataFrame:
     95 hundredths of the positive's score.
     """
     spark = rows.sparkSession
+    small_batches(spark)
     out = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     index = Index(materialise(rows.distinct(), "vectors"))
     if not index.n:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from . import vector_blocks as vb
-from .tasks import arrow_map
+from .tasks import arrow_map, small_batches
 
 SAMPLE = 8192
 ROWS = 1024  # rows of a partition, from which their number follows
@@ -34,6 +34,8 @@ PARTITIONS = 256  # at most
 NEIGHBOURS = 10  # edges of a row in the graph
 TARGET = 0.95
 LEAST = 64
+PICKED = 200_000  # pairs that wait for their cosine at most, or one block's
+PAIRS = 8192  # cosines that are computed at once
 HELD_OUT = 4  # every fourth sample row is kept from the fit
 
 
@@ -164,8 +166,9 @@ class Index:
     """The classifier, the partitions' sizes (at most ``PARTITIONS``) and the written blocks of (id, vector) rows."""
 
     def __init__(self, rows: DataFrame, most: int):
-        n, width = rows.agg(F.count("*"), F.max(F.size("vector"))).first()
-        self.n, self.width = n, width or 0
+        longer = F.exists("vector", lambda x: x.cast("float").cast("double") != x)  # than 32 bits hold
+        n, width, longer = rows.agg(F.count("*"), F.max(F.size("vector")), F.max(longer)).first()
+        self.n, self.width, self.kind = n, width or 0, "<f8" if longer else "<f4"
         self.parts = max(1, min(PARTITIONS, round(n / ROWS)))
         sample = rows.orderBy(F.xxhash64("id"), "id", "vector").limit(SAMPLE).select("vector").toArrow()
         self.model, self.visits = learned(unit(vb.matrix(sample.column("vector"), self.width)), self.parts, most)
@@ -179,7 +182,7 @@ class Index:
 
         self.placed = materialise(arrow_map(rows, run, "id long, vector array<double>, cell int"), "partitions")
         self.counts = {r.cell: r["count"] for r in self.placed.groupBy("cell").count().collect()}
-        self.blocks = vb.blocks_of(self.placed.withColumn("label", F.lit(0).cast("long")), self.width, self.counts, "<f8")
+        self.blocks = vb.blocks_of(self.placed.withColumn("label", F.lit(0).cast("long")), self.width, self.counts, self.kind)
 
 
 def cosines(queries: np.ndarray, vectors: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -192,19 +195,54 @@ def cosines(queries: np.ndarray, vectors: np.ndarray, pairs: tuple[np.ndarray, n
     return (q[pairs[0]] * v[pairs[1]]).sum(axis=1) / (a[pairs[0]] * b[pairs[1]])
 
 
-def best_cosines(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
-    """(query, row, cosine) of each query's best rows: a matrix product picks, pair by pair decides."""
-    rough = unit(queries) @ unit(vectors).T
-    fits = ids[None, :] != own[:, None]
-    rough = np.where(fits, rough, -np.inf)
-    if rough.shape[1] > most:
-        fits &= rough >= np.partition(rough, -most, axis=1)[:, -most, None] - 1e-12
-    who, row = np.nonzero(fits)
-    score = cosines(queries, vectors, (who, row))
-    order = np.lexsort((ids[row], -score, who))
-    who, row, score = who[order], row[order], score[order]
-    keep = np.arange(len(who)) - np.searchsorted(who, who) < most
-    return who[keep], row[keep], score[keep]
+class Nearest:
+    """The best rows of some queries among blocks: products of 32 bits pick, the cosine of each pair decides.
+
+    ``reached``: per query a product that ``most`` of its rows have; it rises from block to block and is kept by the caller.
+    """
+
+    def __init__(self, queries: np.ndarray, own: np.ndarray, reached: np.ndarray, most: int, scorer: vb.Scores):
+        self.queries, self.own, self.reached, self.most, self.scorer = queries, own, reached, most, scorer
+        self.units = unit(queries.astype(np.float64)).astype(np.float32)
+        # Twice more than the rounding of a product of unit vectors: rows below by this cannot come out ahead.
+        self.off = 2.0**-21 * (queries.shape[1] + 4)
+        self.picked: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+        self.best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+
+    def meet(self, asked: np.ndarray, points: np.ndarray, units: np.ndarray, ids: np.ndarray) -> None:
+        rough = self.scorer.product(self.units[asked], units)
+        fresh = np.flatnonzero(np.isneginf(self.reached[asked]))
+        if len(fresh) and len(ids) > self.most:
+            others = np.where(ids[None, :] != self.own[asked[fresh], None], rough[fresh], -np.inf)
+            self.reached[asked[fresh]] = np.partition(others, -self.most, axis=1)[:, -self.most]
+        who, row = self.scorer.reaching(rough, self.reached[asked] - self.off)
+        score, who = rough[who, row], asked[who]
+        fits = ids[row] != self.own[who]
+        who, row, score = who[fits], row[fits], score[fits]
+        best, rank = vb.leading(who, score, ids[row], self.most)
+        last = best[rank == self.most - 1]
+        self.reached[who[last]] = np.maximum(self.reached[who[last]], score[last])
+        self.picked.append((who, ids[row], score, row, points))
+        self.size += len(who)
+        if self.size > PICKED:
+            self.decide()
+
+    def decide(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, id, cosine) of each query's best so far."""
+        parts = [self.best]
+        for who, ids, score, row, points in self.picked:
+            still = score >= self.reached[who] - self.off
+            who, ids, row = who[still], ids[still], row[still]
+            for i in range(0, len(who), PAIRS):
+                q, v = self.queries[who[i : i + PAIRS]].astype(np.float64), points[row[i : i + PAIRS]].astype(np.float64)
+                pairs = np.arange(len(q))
+                parts.append((who[i : i + PAIRS], ids[i : i + PAIRS], cosines(q, v, (pairs, pairs))))
+        who, ids, cosine = (np.concatenate(x) for x in zip(*parts, strict=True))
+        best, _ = vb.leading(who, cosine, ids, self.most)
+        self.best = who[best], ids[best], cosine[best]
+        self.picked, self.size = [], 0
+        return self.best
 
 
 NAMES = ["key", "own", "q"]
@@ -212,36 +250,53 @@ NAMES = ["key", "own", "q"]
 
 def search(index: Index, queries: DataFrame, most: int, visits: int | None = None) -> DataFrame:
     """(key, rank, id, score) of the ``most`` nearest rows in the ``visits`` most probable partitions (all, if so many)."""
-    weights, width, counts = index.model.weights, index.width, index.counts
+    weights, width, counts, kind, places = index.model.weights, index.width, index.counts, index.kind, vb.PACK
     wanted_parts = index.visits if visits is None else visits
+    place = {cell: i for i, cell in enumerate(sorted(counts))}
 
-    def wanted(pack: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    def wanted(pack: pa.Table) -> np.ndarray:
         scores = Classifier(weights).scores(unit(vb.matrix(pack.column("vector"), width)))
-        going: dict[int, list[int]] = {}
+        going = np.zeros((len(scores), len(place)), dtype=bool)
         for i, cells in enumerate(np.argsort(-scores, axis=1, kind="stable").tolist()):
             rows = 0
             for k, cell in enumerate(cells):
                 if k >= wanted_parts and rows >= LEAST:
                     break
                 if cell in counts:
-                    going.setdefault(cell, []).append(i)
+                    going[i, place[cell]] = True
                     rows += counts[cell]
-        for cell, who in going.items():
-            yield cell, np.array(who)
+        return going
 
     def payload(pack: pa.Table, who: np.ndarray) -> dict[str, bytes]:
         chosen = pack.take(pa.array(who))
         out = {c: np.asarray(chosen.column(c)).astype("<i8").tobytes() for c in ("key", "own")}
-        return {**out, "q": vb.matrix(chosen.column("vector"), width).astype("<f8").tobytes()}
+        return {**out, "q": vb.matrix(chosen.column("vector"), width).astype(kind).tobytes()}
+
+    def prepare(vectors: bytes, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        points = np.frombuffer(vectors, kind).reshape(rows, width)
+        return points, unit(points.astype(np.float64)).astype(np.float32)
+
+    def meeting():
+        reached: dict[int, np.ndarray] = {}  # by pack, over all tiles of the task
+        scorer = vb.Scores()
+
+        def meet(pack: int, who: np.ndarray, cells: np.ndarray, value: dict, blocks: list) -> list[np.ndarray]:
+            key, own = (np.frombuffer(value[c], "<i8") for c in ("key", "own"))
+            q = np.frombuffer(value["q"], kind).reshape(len(key), width)
+            known = reached.setdefault(pack, np.full(places, -np.inf))
+            nearest = Nearest(q, own, known[who], most, scorer)
+            for block in blocks:
+                asked = np.flatnonzero(cells[:, block.place])
+                if len(asked):
+                    nearest.meet(asked, *block.vectors, block.ids)
+            known[who] = nearest.reached
+            at, ids, cosine = nearest.decide()
+            return [key[at], ids, cosine]
 
-    def score(value: dict) -> list[np.ndarray]:
-        key, own, ids = (np.frombuffer(value[c], "<i8") for c in ("key", "own", "ids"))
-        q, vectors = np.frombuffer(value["q"], "<f8").reshape(len(key), width), np.frombuffer(value["vectors"], "<f8").reshape(len(ids), width)
-        who, row, cosine = best_cosines(q, own, vectors, ids, most)
-        return [key[who], ids[row], cosine]
+        return meet
 
-    met = vb.met(vb.visits_of(queries, ["cell", "key"], wanted, counts, payload, NAMES), index.blocks, score, NAMES, "key long, id long, score double")
-    return vb.first_rows(met, ["key"], most)
+    visits = vb.visits_of(queries, ["cell", "key"], wanted, counts, payload, NAMES)
+    return vb.first_rows(vb.met(visits, index.blocks, prepare, meeting, NAMES, "key long, id long, score double"), ["key"], most)
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -256,6 +311,7 @@ def usable(rows: DataFrame) -> DataFrame:
 
 def nearest_neighbours(rows: DataFrame, queries, most: int = 5, visits: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the rows found nearest to those of (id, vector) ``rows`` that ``queries`` picks."""
+    small_batches(rows.sparkSession)
     index = Index(materialise(rows, "vectors"), most)
     if not index.n:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")

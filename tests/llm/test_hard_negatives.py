@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from conftest import plan
 from pyspark.sql import functions as F
 
 from rainroute.llm import hard_negatives as hn
@@ -124,3 +125,53 @@ def test_query(spark, tiny):
     rows = [(r.vec_id, r.label, r.embedding) for r in spark.read.parquet(f"{tiny}/embeddings.parquet").collect()]
     got = hn.op11_hard_negative_mining(spark, tiny)
     assert sorted(tuple(r) for r in got.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect()) == expected(rows)
+
+
+def test_a_pack_visits_tiles_once_and_is_not_broadcast(spark, monkeypatch):
+    """What queries send does not grow with the number of cells, and few queries that want many cells stay on the executors."""
+    monkeypatch.setattr(hn, "PER_CELL", 4)
+    monkeypatch.setattr(vb, "BLOCK", 200)
+    rows = vectors(6, 1200, 8)
+    index = hn.Index(hn.whole_numbers(table(spark, rows)))
+    queries = index.placed.where("id % 50 = 0").select(F.col("id").alias("own"), F.col("label").alias("group"), "vector", "cell")
+    queries = queries.withColumn("key", F.col("own")).withColumn("least", F.lit(float("-inf")))
+    names = [*hn.NAMES, "least"]
+    visits = vb.visits_of(queries, ["group", "cell", "key"], index.visitor(0, index.n), index.counts, hn._payload(8, ["least"], index.kind), names)
+    tiles = len(vb.Tiles(index.counts).spans())
+    assert len(index.counts) > 100 and tiles < 10
+    pairs = visits.select((F.length("key") / 8).alias("n")).agg(F.sum("n")).first()[0]
+    assert pairs <= 24 * tiles
+    new = vb.met(visits, index.blocks, hn._prepared(8, index.kind), hn._meeting(8, index.kind, 5, 1), names, "key long, id long, score long")
+    assert "Broadcast" not in plan(new)
+    assert new.count() >= 24 * 5
+
+
+def test_tiles_hold_few_rows_and_large_cells_have_several(monkeypatch):
+    monkeypatch.setattr(vb, "BLOCK", 10)
+    monkeypatch.setattr(vb, "SALT", 30)
+    monkeypatch.setattr(vb, "TILES", 1)
+    counts = {9: 12, 1: 5, 2: 20, 4: 6, 5: 1000, 7: 30}
+    tiles = vb.Tiles(counts)
+    held = {}
+    for tile, n, i, j in tiles.spans():
+        held[tile, n] = [tiles.cells[k] for k in range(i, j)]
+        assert [tiles.place[c] for c in held[tile, n]] == list(range(j - i))
+    assert sorted(c for cells in held.values() for c in cells) == sorted(counts)
+    assert all(sum(counts[c] for c in cells) <= 30 * n for (_, n), cells in held.items())
+    taken = [t for (tile, n) in held for t in range(tile, tile + n)]
+    assert len(taken) == len(set(taken)) and held[min(held)] == [1, 2]
+    assert tiles.several[5] == 34
+
+
+def test_early_waves_and_the_rest_visit_every_cell_once(spark, monkeypatch):
+    """Without a bound every query meets every row in exactly one wave."""
+    monkeypatch.setattr(hn, "PER_CELL", 10)
+    monkeypatch.setattr(hn, "FIRST", 40)
+    monkeypatch.setattr(hn, "STEP", 4)
+    index = hn.Index(hn.whole_numbers(table(spark, vectors(8, 900, 6))))
+    pack = index.placed.limit(30).withColumn("least", F.lit(float("-inf"))).toArrow()
+    waves = list(index.waves())
+    due = [index.visitor(low, high)(pack).astype(int) for low, high in waves]
+    assert len(waves) == 3 and (sum(due) == 1).all()
+    sizes = np.array([index.counts[c] for c in sorted(index.counts)])
+    assert ((due[0] @ sizes) >= 40).all() and ((due[0] + due[1]) @ sizes >= 160).all() and ((due[0] @ sizes) < 40 + sizes.max()).all()
