@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from . import vector_blocks as vb
-from .tasks import arrow_map, small_batches
+from .tasks import arrow_map, release, small_batches
 
 SAMPLE = 8192
 ROWS = 1024  # rows of a partition, from which their number follows
@@ -34,6 +34,7 @@ PARTITIONS = 256  # at most
 NEIGHBOURS = 10  # edges of a row in the graph
 TARGET = 0.95
 LEAST = 64
+AT_ONCE = 128  # sample rows scored against all others at a time; the driver holds these scores
 PICKED = 200_000  # pairs that wait for their cosine at most, or one block's
 PAIRS = 8192  # cosines that are computed at once
 HELD_OUT = 4  # every fourth sample row is kept from the fit
@@ -50,11 +51,11 @@ def unit(points: np.ndarray) -> np.ndarray:
 def nearest_rows(queries: np.ndarray, points: np.ndarray, most: int, own: np.ndarray | None = None) -> np.ndarray:
     """(queries, most) places of the nearest points by inner product; ``own``: each query's place, left out."""
     out = np.empty((len(queries), most), dtype=np.int64)
-    for i in range(0, len(queries), 1024):
-        scores = queries[i : i + 1024] @ points.T
+    for i in range(0, len(queries), AT_ONCE):
+        scores = queries[i : i + AT_ONCE] @ points.T
         if own is not None:
-            scores[np.arange(len(scores)), own[i : i + 1024]] = -np.inf
-        out[i : i + 1024] = np.argpartition(-scores, most - 1, axis=1)[:, :most]
+            scores[np.arange(len(scores)), own[i : i + AT_ONCE]] = -np.inf
+        out[i : i + AT_ONCE] = np.argpartition(np.negative(scores, out=scores), most - 1, axis=1)[:, :most]
     return out
 
 
@@ -128,11 +129,12 @@ class Classifier:
         w = np.zeros((x.shape[1], target.shape[1]))
         m, v = np.zeros_like(w), np.zeros_like(w)
         for step in range(1, steps + 1):
-            z = x @ w
-            z -= z.max(axis=1, keepdims=True)
-            p = np.exp(z)
+            p = x @ w
+            p -= p.max(axis=1, keepdims=True)
+            np.exp(p, out=p)
             p /= p.sum(axis=1, keepdims=True)
-            g = x.T @ (p - target) / len(x) + penalty * w
+            p -= target
+            g = x.T @ p / len(x) + penalty * w
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         return Classifier(w)
@@ -171,7 +173,11 @@ class Index:
         self.n, self.width, self.kind = n, width or 0, "<f8" if longer else "<f4"
         self.parts = max(1, min(PARTITIONS, round(n / ROWS)))
         sample = rows.orderBy(F.xxhash64("id"), "id", "vector").limit(SAMPLE).select("vector").toArrow()
-        self.model, self.visits = learned(unit(vb.matrix(sample.column("vector"), self.width)), self.parts, most)
+        points = unit(vb.matrix(sample.column("vector"), self.width))
+        del sample
+        self.model, self.visits = learned(points, self.parts, most)
+        del points
+        release()  # the driver keeps running for long after the fit
         weights, width = self.model.weights, self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

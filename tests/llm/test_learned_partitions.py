@@ -1,6 +1,7 @@
 """Against all cosines."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -97,3 +98,35 @@ def test_query(spark, tiny):
     for r in lp.op12_approximate_neighbours(spark, tiny).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 12)))
     assert hits(got, nearest(rows)) >= 0.9
+
+
+def test_the_fit_holds_few_scores_at_a_time():
+    """The driver has 1,500 MB; scores of a thousand sample rows against all others took 150 of them."""
+    points = lp.unit(np.random.default_rng(3).normal(size=(6144, 64)))
+    tracemalloc.start()
+    got = lp.nearest_rows(points, points, 10, np.arange(len(points)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    scores = points[:50] @ points.T
+    scores[np.arange(50), np.arange(50)] = -np.inf
+    assert [set(x) for x in got[:50].tolist()] == [set(x) for x in np.argsort(-scores, axis=1)[:, :10].tolist()]
+
+
+def test_many_rows_alike_are_decided_in_bounded_memory(monkeypatch):
+    """A block whose rows all tie with the last one gives the smallest ids, and no vector per pair is held."""
+    monkeypatch.setattr(lp, "PICKED", 1000)
+    monkeypatch.setattr(lp, "PAIRS", 256)
+    rows = np.tile(np.array([[0.5, -0.25, 0.125, 0.75]], np.float32), (1024, 16))
+    ids = np.arange(1024)[::-1].copy()
+    nearest_ = lp.Nearest(rows[:64], np.arange(64), np.full(64, -np.inf), 5, vb.Scores())
+    units = lp.unit(rows.astype(np.float64)).astype(np.float32)
+    tracemalloc.start()
+    for i in range(0, 1024, 512):
+        nearest_.meet(np.arange(64), rows[i : i + 512], units[i : i + 512], ids[i : i + 512])
+    who, found_ids, score = nearest_.decide()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+    assert [sorted(found_ids[who == i].tolist()) for i in range(64)] == [[j for j in range(6) if j != i][:5] for i in range(64)]
+    assert (np.abs(score - 1) < 1e-12).all()
