@@ -38,14 +38,16 @@ from pyspark.sql import types as T
 
 from ..session import materialise
 from .bpe import byte_characters, gathered
-from .tasks import arrow_map
+from .tasks import arrow_map, release, small_batches
 from .text import buffers
 from .text import runs as text_runs
 
 BLOCK = 8 << 20  # bytes of text whose documents share a table of units
+PART = 1 << 18  # characters or units of a block's documents that are taken apart at a time
 ROWS = 100_000  # documents of a block at most
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
 TOGETHER = 100  # units given to a library as one text; its work on a text grows faster than the text
+UNITS = 256 * TOGETHER  # units whose tokens are held together; runs of ``TOGETHER`` end there in any case
 AT_ONCE = 64  # such texts whose tokens are checked together
 SPACE = "▁"
 
@@ -260,6 +262,15 @@ class Aligned:
         return ["".join(flat[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+class Together:
+    """What is kept of alignments of consecutive units, without their tokens."""
+
+    def __init__(self, parts: Iterator[Aligned]):
+        kept = [(p.right, p.n_a, p.n_b, p.n_groups, p.links, (p.link_a << 32) | p.link_b, p.groups) for p in parts]
+        self.right, self.n_a, self.n_b, self.n_groups, self.links, self.pairs = (np.concatenate(c) for c in list(zip(*kept, strict=True))[:6])
+        self.groups = list(chain.from_iterable(k[6] for k in kept))
+
+
 @lru_cache(maxsize=1)
 def aligner(spec: str, proto: bytes) -> Aligner:
     return Aligner(spec, proto)
@@ -273,15 +284,26 @@ def public_models(a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model")
         return f.read(), g.read()
 
 
+def _parts(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of a block that are worked on together, ``PART`` characters or units or one document each."""
+    return text_runs(np.cumsum([0, *sizes]), PART)
+
+
 def block_of(aligned_by: Aligner, texts: list[str | None], keep_groups: bool) -> dict:
     """Alignment of some documents, their units, and the id pairs they link with the number of documents of each."""
-    rows = [aligned_by.units(t) if t else [] for t in texts]
-    sizes = np.array([len(r) for r in rows], dtype=np.int64)
-    known = list(dict.fromkeys(chain.from_iterable(rows)))
-    number = dict(zip(known, range(len(known)), strict=True))
-    sequence = np.fromiter(map(number.__getitem__, chain.from_iterable(rows)), np.int64, int(sizes.sum()))
-    del rows, number
-    found = aligned_by.align(known)
+    number: dict[str, int] = {}
+    sizes, sequence = np.zeros(len(texts), dtype=np.int64), []
+    for i, j in _parts([len(t or "") for t in texts]):  # units as strings take many times the text's bytes
+        rows = [aligned_by.units(t) if t else [] for t in texts[i:j]]
+        for unit in dict.fromkeys(chain.from_iterable(rows)):
+            number.setdefault(unit, len(number))
+        sizes[i:j] = [len(r) for r in rows]
+        sequence.append(np.fromiter(map(number.__getitem__, chain.from_iterable(rows)), np.int64, int(sizes[i:j].sum())))
+        del rows
+    known = list(number)
+    sequence = np.concatenate(sequence) if sequence else np.empty(0, np.int64)
+    del number
+    found = Together(aligned_by.align(known[i : i + UNITS]) for i in range(0, max(len(known), 1), UNITS))
     doc = np.repeat(np.arange(len(texts)), sizes)
     fine = np.ones(len(texts), dtype=bool)
     fine[doc[~found.right[sequence]]] = False
@@ -291,27 +313,59 @@ def block_of(aligned_by: Aligner, texts: list[str | None], keep_groups: bool) ->
     totals["n_links"] = np.bincount(doc, found.links[sequence], len(texts)).astype(np.int64)
     unit_stops = np.searchsorted(doc, np.arange(1, len(texts) + 1))
     groups, cuts = np.array([*found.groups, None], dtype=object), [0, *unit_stops.tolist()]
-    texts_of = [";".join(groups[sequence[i:j]].tolist()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-    pairs, place = np.unique((found.link_a << 32) | found.link_b, return_inverse=True)
+    kept, digests = [], []
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        text = ";".join(groups[sequence[i:j]].tolist())
+        kept.append(text if keep_groups else None)
+        digests.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+    del groups, found.groups
+    pairs, place = np.unique(found.pairs, return_inverse=True)
     stops = np.cumsum(found.links)
     # Each document's distinct units, then its distinct pairs.
-    once = distinct(doc * max(len(known), 1) + sequence)
-    unit, holder = once % max(len(known), 1), once // max(len(known), 1)
-    held = gathered(place, stops[unit] - found.links[unit], found.links[unit])
-    held = distinct(np.repeat(holder, found.links[unit]) * max(len(pairs), 1) + held)
+    holders = np.zeros(len(pairs), dtype=np.int64)
+    for i, j in _parts(np.diff(unit_stops, prepend=0).tolist()):
+        first, last = cuts[i], cuts[j]
+        once = distinct(doc[first:last] * max(len(known), 1) + sequence[first:last])
+        unit, holder = once % max(len(known), 1), once // max(len(known), 1)
+        held = gathered(place, stops[unit] - found.links[unit], found.links[unit])
+        held = distinct(np.repeat(holder, found.links[unit]) * max(len(pairs), 1) + held)
+        holders += np.bincount(held % max(len(pairs), 1), minlength=len(pairs))[: len(pairs)]
     return {
         **totals,
-        "groups": texts_of if keep_groups else [None] * len(texts),
-        "groups_sha256": [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts_of],
+        "groups": kept,
+        "groups_sha256": digests,
         "units": sequence.astype("<u4").tobytes(),
         "unit_stops": unit_stops.astype("<i8").tobytes(),
         "links": place.astype("<u4").tobytes(),
         "link_stops": stops.astype("<i8").tobytes(),
         "pairs": pairs.astype("<i8").tobytes(),
-        "holders": np.bincount(held % max(len(pairs), 1), minlength=len(pairs)).astype("<i8").tobytes(),
+        "holders": holders.astype("<i8").tobytes(),
     }
 
 
+def gathered_batches(batches: Iterator[pa.RecordBatch], limit: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """Rows of small batches in blocks of at most ``limit`` bytes of ``body`` and ``rows`` rows; a longer text stands alone.
+
+    No more than a block and a batch are held, however many rows a task reads.
+    """
+    held: list[pa.RecordBatch] = []
+    size = count = 0
+    for batch in batches:
+        sizes = np.diff(buffers(batch.column("body"))[1])
+        start = 0
+        while start < batch.num_rows:
+            room = np.searchsorted(np.cumsum(sizes[start : start + rows - count]), limit - size, side="right")
+            if not room and held:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size, count = [], 0, 0
+                continue
+            stop = start + max(int(room), 1)
+            held.append(batch.slice(start, stop - start))
+            size, count, start = size + int(sizes[start:stop].sum()), count + stop - start, stop
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 PER_DOC = ("n_a", "n_b", "n_groups", "n_links")
 BYTES = ("units", "unit_stops", "links", "link_stops", "pairs", "holders")
 
@@ -323,27 +377,27 @@ def aligned_blocks(
 
     ``keep_groups`` also keeps every document's groups as text (``a1,a2|b1;a3|b2``), not only their digest.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(*shared.value)
         number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            body = batch.column("body")
-            for i, j in text_runs(buffers(body)[1], limit, ROWS):
-                gc.disable()  # millions of small tuples, none in a cycle
-                try:
-                    found = block_of(both, body.slice(i, j - i).to_pylist(), keep_groups)
-                finally:
-                    gc.enable()
-                doc = batch.column("doc").slice(i, j - i)
-                whole = pa.array([0, j - i], pa.int32())
-                columns = [pa.array([number], pa.int64()), pa.ListArray.from_arrays(whole, doc)]
-                columns += [pa.ListArray.from_arrays(whole, pa.array(found[c], pa.int64())) for c in PER_DOC]
-                columns += [pa.ListArray.from_arrays(whole, pa.array(found[c], pa.string())) for c in ("groups", "groups_sha256")]
-                columns += [pa.array([found[c]], pa.binary()) for c in BYTES]
-                yield pa.RecordBatch.from_arrays(columns, ["block", "docs", *PER_DOC, "groups", "groups_sha256", *BYTES])
-                number += 1
+        for block in gathered_batches(batches, limit, ROWS):
+            gc.disable()  # millions of small tuples, none in a cycle
+            try:
+                found = block_of(both, block.column("body").to_pylist(), keep_groups)
+            finally:
+                gc.enable()
+            whole = pa.array([0, block.num_rows], pa.int32())
+            columns = [pa.array([number], pa.int64()), pa.ListArray.from_arrays(whole, block.column("doc"))]
+            columns += [pa.ListArray.from_arrays(whole, pa.array(found[c], pa.int64())) for c in PER_DOC]
+            columns += [pa.ListArray.from_arrays(whole, pa.array(found[c], pa.string())) for c in ("groups", "groups_sha256")]
+            columns += [pa.array([found[c]], pa.binary()) for c in BYTES]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "docs", *PER_DOC, "groups", "groups_sha256", *BYTES])
+            del found, columns, block
+            release()  # before the next block: what one has freed is else kept beside what the next one takes
+            number += 1
 
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != column] or [F.lit(1).alias("one")]).alias("doc"),

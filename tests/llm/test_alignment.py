@@ -5,6 +5,7 @@ from collections import Counter
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents
 
@@ -127,3 +128,48 @@ def test_query_over_the_whole_table(spark, both, tiny):
     got = {r.doc.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups) for r in alignment.alignment(df, alignment.public_models()).collect()}
     assert got == {i: w for (i, _), w in zip(rows, expected(both, [t for _, t in rows]), strict=True)}
     assert alignment.op13_cross_tokenizer_alignment(spark, tiny).count() == spark.read.parquet(f"{tiny}/documents.parquet").count()
+
+
+def test_blocks_do_not_depend_on_the_size_of_batches():
+    """A task holds a block and a batch, however many rows it reads; blocks are cut by bytes and rows."""
+    rng = random.Random(4)
+    texts = [rng.choice([None, "", "é" * rng.randrange(60), "x" * rng.randrange(200)]) for _ in range(400)]
+    texts[50] = "y" * 700
+    table = pa.table({"doc": list(range(400)), "body": texts})
+    size = lambda t: len((t or "").encode())
+    cut = []
+    for rows in (1, 7, 400):
+        read = [0]
+
+        def batches(rows=rows, read=read):
+            for b in table.to_batches(max_chunksize=rows):
+                read[0] += b.num_rows
+                yield b
+
+        blocks, given = [], 0
+        for block in alignment.gathered_batches(batches(), 500, 30):
+            given += block.num_rows
+            assert read[0] - given <= rows
+            blocks.append(block.column("doc").to_pylist())
+            assert len(blocks[-1]) <= 30 and (sum(map(size, block.column("body").to_pylist())) <= 500 or blocks[-1] == [50])
+        assert [d for b in blocks for d in b] == list(range(400))
+        cut.append(blocks)
+    assert cut[0] == cut[1] == cut[2]
+    assert list(alignment.gathered_batches(iter([]), 500, 30)) == []
+
+
+def test_a_block_in_parts_is_the_same_block(both, monkeypatch):
+    """Units are aligned, and documents' pairs counted, some at a time."""
+    rng = random.Random(5)
+    words = [*ODD, "tokenizer", "alignment", "covers", "naïve", "日本", "x1", "the"]
+    texts = [*ODD, None, *(" ".join(rng.choice(words) + str(rng.randrange(60)) for _ in range(rng.randrange(1, 80))) for _ in range(120))]
+    whole = alignment.block_of(both, texts, True)
+    monkeypatch.setattr(alignment, "UNITS", 2 * alignment.TOGETHER)
+    monkeypatch.setattr(alignment, "PART", 300)
+    calls = []
+    align = both.align
+    monkeypatch.setattr(both, "align", lambda units: calls.append(len(units)) or align(units))
+    parts = alignment.block_of(both, texts, True)
+    assert len(calls) > 3 and max(calls) <= 2 * alignment.TOGETHER
+    assert whole.keys() == parts.keys() and all(np.array_equal(whole[k], parts[k]) for k in whole)
+    assert alignment.block_of(both, [None, ""], True)["groups"] == ["", ""]
