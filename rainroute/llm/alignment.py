@@ -43,7 +43,7 @@ from .text import buffers
 from .text import runs as text_runs
 
 BLOCK = 8 << 20  # bytes of text whose documents share a table of units
-PART = 1 << 18  # characters or units of a block's documents that are taken apart at a time
+PART = 1 << 19  # characters or units of a block's documents that are taken apart at a time
 ROWS = 100_000  # documents of a block at most
 CUT = re.compile(r"(?<=\S)(?=[ \n])")
 TOGETHER = 100  # units given to a library as one text; its work on a text grows faster than the text
@@ -284,13 +284,22 @@ def public_models(a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model")
         return f.read(), g.read()
 
 
-def _parts(sizes: list[int]) -> Iterator[tuple[int, int]]:
+def _parts(sizes: list[int], part: int | None = None) -> Iterator[tuple[int, int]]:
     """Ranges of documents of a block that are worked on together, ``PART`` characters or units or one document each."""
-    return text_runs(np.cumsum([0, *sizes]), PART)
+    return text_runs(np.cumsum([0, *sizes]), part or PART)
 
 
 def block_of(aligned_by: Aligner, texts: list[str | None], keep_groups: bool) -> dict:
-    """Alignment of some documents, their units, and the id pairs they link with the number of documents of each."""
+    """All of a block in one piece; see ``pieces_of``."""
+    return next(pieces_of(aligned_by, texts, keep_groups, 1 << 62))[2]
+
+
+def pieces_of(aligned_by: Aligner, texts: list[str | None], keep_groups: bool, part: int | None = None) -> Iterator[tuple[int, int, dict]]:
+    """Alignment of some documents, their units, and the id pairs they link with the number of documents of each.
+
+    Units are aligned for all of them; what is found is given for a few documents (from, to) at a time, as rows that are
+    joined later should be small.
+    """
     number: dict[str, int] = {}
     sizes, sequence = np.zeros(len(texts), dtype=np.int64), []
     for i, j in _parts([len(t or "") for t in texts]):  # units as strings take many times the text's bytes
@@ -321,26 +330,44 @@ def block_of(aligned_by: Aligner, texts: list[str | None], keep_groups: bool) ->
     del groups, found.groups
     pairs, place = np.unique(found.pairs, return_inverse=True)
     stops = np.cumsum(found.links)
-    # Each document's distinct units, then its distinct pairs.
-    holders = np.zeros(len(pairs), dtype=np.int64)
-    for i, j in _parts(np.diff(unit_stops, prepend=0).tolist()):
+    for i, j in _parts(np.diff(unit_stops, prepend=0).tolist(), part):
         first, last = cuts[i], cuts[j]
-        once = distinct(doc[first:last] * max(len(known), 1) + sequence[first:last])
-        unit, holder = once % max(len(known), 1), once // max(len(known), 1)
-        held = gathered(place, stops[unit] - found.links[unit], found.links[unit])
-        held = distinct(np.repeat(holder, found.links[unit]) * max(len(pairs), 1) + held)
-        holders += np.bincount(held % max(len(pairs), 1), minlength=len(pairs))[: len(pairs)]
-    return {
-        **totals,
-        "groups": kept,
-        "groups_sha256": digests,
-        "units": sequence.astype("<u4").tobytes(),
-        "unit_stops": unit_stops.astype("<i8").tobytes(),
-        "links": place.astype("<u4").tobytes(),
-        "link_stops": stops.astype("<i8").tobytes(),
-        "pairs": pairs.astype("<i8").tobytes(),
-        "holders": holders.astype("<i8").tobytes(),
-    }
+        # The units and pairs of these documents, numbered anew.
+        units, its_units = _numbered(sequence[first:last], len(known))
+        links, its_pairs = _numbered(gathered(place, stops[units] - found.links[units], found.links[units]), len(pairs))
+        ends = np.cumsum(found.links[units])
+        # Each document's distinct units, then its distinct pairs.
+        once = distinct(doc[first:last] * max(len(units), 1) + its_units)
+        unit, holder = once % max(len(units), 1), once // max(len(units), 1)
+        held = gathered(its_pairs, ends[unit] - found.links[units[unit]], found.links[units[unit]])
+        held = distinct(np.repeat(holder, found.links[units[unit]]) * max(len(links), 1) + held)
+        yield i, j, {
+            **{c: totals[c][i:j] for c in totals},
+            "groups": kept[i:j],
+            "groups_sha256": digests[i:j],
+            "units": _short(its_units, len(units)),
+            "unit_stops": (unit_stops[i:j] - first).astype("<i8").tobytes(),
+            "links": _short(its_pairs, len(links)),
+            "link_stops": ends.astype("<u4").tobytes(),
+            "pairs": pairs[links].astype("<i8").tobytes(),
+            "holders": np.bincount(held % max(len(links), 1), minlength=len(links))[: len(links)].astype("<i8").tobytes(),
+        }
+
+
+def _numbered(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values below ``most``, and each value's number among them."""
+    there = np.zeros(most, dtype=bool)
+    there[values] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[values]
+
+
+def _short(numbers: np.ndarray, several: int) -> bytes:
+    """Numbers below ``several`` in two bytes each if they fit, else in four; see ``_long``."""
+    return numbers.astype("<u2" if several <= 1 << 16 else "<u4").tobytes()
+
+
+def _long(numbers: bytes, several: int) -> np.ndarray:
+    return np.frombuffer(numbers, "<u2" if several <= 1 << 16 else "<u4").astype(np.int64)
 
 
 def gathered_batches(batches: Iterator[pa.RecordBatch], limit: int, rows: int) -> Iterator[pa.RecordBatch]:
@@ -373,7 +400,7 @@ BYTES = ("units", "unit_stops", "links", "link_stops", "pairs", "holders")
 def aligned_blocks(
     docs: DataFrame, models: tuple[str, bytes], column: str = "text", keep_groups: bool = False, limit: int = BLOCK
 ) -> DataFrame:
-    """One written row per block of documents: their other columns, their alignment, and what links they hold.
+    """One written row per few documents of a block: their other columns, their alignment, and what links they hold.
 
     ``keep_groups`` also keeps every document's groups as text (``a1,a2|b1;a3|b2``), not only their digest.
     """
@@ -386,18 +413,18 @@ def aligned_blocks(
         for block in gathered_batches(batches, limit, ROWS):
             gc.disable()  # millions of small tuples, none in a cycle
             try:
-                found = block_of(both, block.column("body").to_pylist(), keep_groups)
+                for i, j, found in pieces_of(both, block.column("body").to_pylist(), keep_groups):
+                    whole = pa.array([0, j - i], pa.int32())
+                    columns = [pa.array([number], pa.int64()), pa.ListArray.from_arrays(whole, block.column("doc").slice(i, j - i))]
+                    columns += [pa.ListArray.from_arrays(whole, pa.array(found[c], pa.int64())) for c in PER_DOC]
+                    columns += [pa.ListArray.from_arrays(whole, pa.array(found[c], pa.string())) for c in ("groups", "groups_sha256")]
+                    columns += [pa.array([found[c]], pa.binary()) for c in BYTES]
+                    yield pa.RecordBatch.from_arrays(columns, ["block", "docs", *PER_DOC, "groups", "groups_sha256", *BYTES])
+                    number += 1
             finally:
                 gc.enable()
-            whole = pa.array([0, block.num_rows], pa.int32())
-            columns = [pa.array([number], pa.int64()), pa.ListArray.from_arrays(whole, block.column("doc"))]
-            columns += [pa.ListArray.from_arrays(whole, pa.array(found[c], pa.int64())) for c in PER_DOC]
-            columns += [pa.ListArray.from_arrays(whole, pa.array(found[c], pa.string())) for c in ("groups", "groups_sha256")]
-            columns += [pa.array([found[c]], pa.binary()) for c in BYTES]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "docs", *PER_DOC, "groups", "groups_sha256", *BYTES])
             del found, columns, block
             release()  # before the next block: what one has freed is else kept beside what the next one takes
-            number += 1
 
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != column] or [F.lit(1).alias("one")]).alias("doc"),
@@ -448,8 +475,9 @@ def document_links(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                get = lambda c, row=row: np.frombuffer(batch.column(c)[row].as_py(), "<i8" if c not in ("units", "links") else "<u4")
-                pairs, links, stops, sequence = get("pairs"), get("links").astype(np.int64), get("link_stops"), get("units").astype(np.int64)
+                get = lambda c, row=row: batch.column(c)[row].as_py()
+                pairs, stops = np.frombuffer(get("pairs"), "<i8"), np.frombuffer(get("link_stops"), "<u4").astype(np.int64)
+                links, sequence = _long(get("links"), len(pairs)), _long(get("units"), len(stops))
                 value = np.zeros(len(pairs), dtype=np.int64)
                 got = batch.column("sums")[row].values
                 if got is not None and len(got):
@@ -459,7 +487,7 @@ def document_links(blocks: DataFrame, counts: DataFrame) -> DataFrame:
                 for of_pair in (value & 1, value >> 1):
                     sums = np.concatenate([[0], np.cumsum(of_pair[links])])
                     per_unit.append(sums[before[1:]] - sums[before[:-1]])
-                ends = np.concatenate([[0], get("unit_stops")])
+                ends = np.concatenate([[0], np.frombuffer(get("unit_stops"), "<i8")])
                 out = []
                 for of_unit in per_unit:
                     sums = np.concatenate([[0], np.cumsum(of_unit[sequence])])

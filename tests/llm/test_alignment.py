@@ -165,11 +165,18 @@ def test_a_block_in_parts_is_the_same_block(both, monkeypatch):
     texts = [*ODD, None, *(" ".join(rng.choice(words) + str(rng.randrange(60)) for _ in range(rng.randrange(1, 80))) for _ in range(120))]
     whole = alignment.block_of(both, texts, True)
     monkeypatch.setattr(alignment, "UNITS", 2 * alignment.TOGETHER)
-    monkeypatch.setattr(alignment, "PART", 300)
+    monkeypatch.setattr(alignment, "PART", 100)
     calls = []
     align = both.align
     monkeypatch.setattr(both, "align", lambda units: calls.append(len(units)) or align(units))
-    parts = alignment.block_of(both, texts, True)
+    parts = list(alignment.pieces_of(both, texts, True))
     assert len(calls) > 3 and max(calls) <= 2 * alignment.TOGETHER
-    assert whole.keys() == parts.keys() and all(np.array_equal(whole[k], parts[k]) for k in whole)
-    assert alignment.block_of(both, [None, ""], True)["groups"] == ["", ""]
+    assert len(parts) > 5 and [i for i, _, _ in parts] == [0, *(j for _, j, _ in parts[:-1])] and parts[-1][1] == len(texts)
+    for c in (*alignment.PER_DOC, "groups", "groups_sha256"):
+        assert [x for _, _, p in parts for x in p[c]] == list(whole[c])
+    counts = Counter()
+    for _, _, p in parts:
+        counts.update(dict(zip(np.frombuffer(p["pairs"], "<i8").tolist(), np.frombuffer(p["holders"], "<i8").tolist(), strict=True)))
+    assert counts == dict(zip(np.frombuffer(whole["pairs"], "<i8").tolist(), np.frombuffer(whole["holders"], "<i8").tolist(), strict=True))
+    assert max(len(p["units"]) + len(p["links"]) for _, _, p in parts) < 0.5 * (len(whole["units"]) + len(whole["links"]))
+    assert [p["groups"] for _, _, p in alignment.pieces_of(both, [None, ""], True)] == [["", ""]]
